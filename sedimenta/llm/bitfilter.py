@@ -1,0 +1,38 @@
+"""A filter of a fixed size over the keys of a DataFrame, built and probed with Spark's bitmap functions.
+
+It has no false negatives. Its size has a bound that doesn't depend on the corpus, so it can be sent to every task; if the
+keys are many, more rows pass it and go through the join that follows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sedimenta.llm.common import written
+
+#: Bits of a filter: 1 MiB at most.
+FILTER_BITS = 1 << 23
+#: Bits that Spark's bitmap functions keep in one bucket.
+BUCKET_BITS = 32768
+
+
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def filter_over(keys: DataFrame, key: str) -> DataFrame:
+    """The filter's buckets that have bits: FILTER_BITS / BUCKET_BITS rows of 4 KiB at most."""
+    slot = _slot(key)
+    at = keys.select((slot / BUCKET_BITS).cast("long").alias("_bucket"), (slot % BUCKET_BITS).alias("_bit"))
+    return written(at.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "filter")
+
+
+def probed(rows: DataFrame, bits: DataFrame, key: str) -> DataFrame:
+    """rows with _hit, false only if the key isn't among the filter's."""
+    slot = _slot(key)
+    out = rows.withColumn("_bucket", (slot / BUCKET_BITS).cast("long")).withColumn("_bit", slot % BUCKET_BITS)
+    out = out.join(F.broadcast(bits), "_bucket", "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) > 0, F.lit(False))
+    return out.withColumn("_hit", hit).drop("_bucket", "_bit", "_bits")

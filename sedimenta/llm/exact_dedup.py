@@ -16,13 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm.bitfilter import filter_over, probed
 from sedimenta.llm.common import BLANKS, text_or_empty, written
 
-#: Bits of the hit filter; a filter is 1 MiB at most, whatever the corpus (fuller filters pass more rows to verification).
-FILTER_BITS = 1 << 23
-#: Bits that Spark's bitmap functions keep in one bucket.
-BUCKET_BITS = 32768
-
 
 def normalised(column: str = "text") -> Column:
     """The text without its white space."""
@@ -32,9 +28,8 @@ def normalised(column: str = "text") -> Column:
 class DigestIndex:
     """The index over one corpus. digest_bytes is 32; tests shorten it to force collisions."""
 
-    def __init__(self, digest_bytes: int = 32, filter_bits: int = FILTER_BITS):
+    def __init__(self, digest_bytes: int = 32):
         self.digest_bytes = digest_bytes
-        self.filter_bits = filter_bits
 
     def _keyed(self, docs: DataFrame, carry: list[Column]) -> DataFrame:
         keyed = docs.select(F.col("doc_id").alias("_id"), normalised().alias("_norm"), F.length(text_or_empty()).alias("_points"), *carry)
@@ -50,23 +45,9 @@ class DigestIndex:
         """One row for each digest over all runs: its rows, merged from partial counts of each run."""
         return runs.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"))
 
-    def _slot(self) -> Column:
-        return F.pmod(F.xxhash64("_digest"), F.lit(self.filter_bits))
-
     def hit_filter(self, level: DataFrame) -> DataFrame:
-        """Bitmaps of the digests that occur more than once: filter_bits / 8 bytes at most in all."""
-        slot = self._slot()
-        hits = level.where("_rows > 1").select((slot / BUCKET_BITS).cast("long").alias("_bucket"), (slot % BUCKET_BITS).alias("_bit"))
-        return written(hits.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "lsm-filter")
-
-    def _probed(self, keyed: DataFrame, bits: DataFrame) -> DataFrame:
-        """Adds _hit. The filter's size has a fixed bound, so every task gets it whole."""
-        slot = self._slot()
-        out = keyed.withColumn("_bucket", (slot / BUCKET_BITS).cast("long")).withColumn("_bit", slot % BUCKET_BITS)
-        out = out.join(F.broadcast(bits), "_bucket", "left")
-        byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        hit = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) > 0, F.lit(False))
-        return out.withColumn("_hit", hit).drop("_bucket", "_bit", "_bits")
+        """The filter over the digests that occur more than once."""
+        return filter_over(level.where("_rows > 1"), "_digest")
 
     def verified(self, rows: DataFrame) -> DataFrame:
         """Rows inside the filter with _keep_id, _size and _kept, after each was compared with its keeper's bytes.
@@ -91,7 +72,7 @@ class DigestIndex:
         return settled.select("_row", "_keep_id", "_size", (F.col("_row") == F.col("_keep_row")).alias("_kept"))
 
     def _candidates(self, docs: DataFrame, bits: DataFrame, carry: list[Column]) -> DataFrame:
-        keyed = self._probed(self._keyed(docs, carry), bits).where("_hit").drop("_hit")
+        keyed = probed(self._keyed(docs, carry), bits, "_digest").where("_hit").drop("_hit")
         return written(keyed.withColumn("_row", F.monotonically_increasing_id()), "lsm-candidates")
 
     def groups(self, docs: DataFrame) -> DataFrame:
@@ -102,7 +83,7 @@ class DigestIndex:
             runs = written(self._keyed(docs, []).select("_digest", "_id", "_points", "_sha"), "lsm-runs")
         bits = self.hit_filter(self.compact(runs))
         sha = F.lower(F.hex("_digest")) if self.digest_bytes == 32 else F.col("_sha")
-        alone = self._probed(runs, bits).where(~F.col("_hit"))
+        alone = probed(runs, bits, "_digest").where(~F.col("_hit"))
         alone = alone.select(F.col("_id").alias("doc_id"), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha.alias("text_sha256"))
         rows = self._candidates(docs, bits, [])
         shared = rows.select("_row", "_id", "_sha").join(self.verified(rows), "_row")
@@ -113,7 +94,7 @@ class DigestIndex:
         """The rows of docs that stay, with all their columns; unique rows go through without a shuffle."""
         bits = self.hit_filter(self.compact(self.flush(docs)))
         whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
-        alone = self._probed(self._keyed(docs, [whole]), bits).where(~F.col("_hit")).select("_whole.*")
+        alone = probed(self._keyed(docs, [whole]), bits, "_digest").where(~F.col("_hit")).select("_whole.*")
         rows = self._candidates(docs, bits, [whole])
         kept = self.verified(rows).where("_kept").select("_row")
         return alone.unionByName(rows.select("_row", "_whole").join(kept, "_row", "left_semi").select("_whole.*"))

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import exact_dedup
-from sedimenta.llm.common import bounded_batches, table
+from sedimenta.llm import exact_dedup, simhash
+from sedimenta.llm.common import table
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +18,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
