@@ -1,9 +1,10 @@
 """A supervised subword-embedding classifier of document quality.
 
-Words and their character n-grams (with word boundaries marked) hash to buckets that have learned vectors; a document is
-the mean of the vectors of all its features, and a softmax over two classes reads it. Training is stochastic gradient
-descent in numpy, on a bounded sample of labelled rows (TRAIN_ROWS for each class, those with the smallest hash of their
-doc_id); scoring reads every whole text. As the read-out is linear in the mean, scoring adds one number for each word.
+Words and their character n-grams (with word boundaries marked) hash to buckets that have learned vectors; word bigrams
+count only as repeats of the word before, one bucket for all words. A document is the mean of the vectors of all its
+features, and a softmax over two classes reads it. Training is stochastic gradient descent in numpy, on a bounded sample
+of labelled rows (TRAIN_ROWS for each class, those with the smallest hash of their doc_id); scoring reads every whole
+text. As the read-out is linear in the mean, scoring adds one number for each word.
 
 Defined results: a null text counts as empty; every document has an end feature, so an empty text scores what that feature
 learned. doc_ids without a usable label, or a table without labels, teach nothing; without both classes every score is
@@ -15,6 +16,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 from zlib import crc32
 
 import numpy as np
@@ -40,7 +43,10 @@ CACHED_WORDS = 300_000
 ACCEPT = 0.7
 HELD_OUT_REMAINDER = 2
 END = WORD_BUCKETS + GRAM_BUCKETS
-FEATURES = END + 1
+REPEAT = END + 1
+FEATURES = END + 2
+#: A repeat weighs as many features, as a word brings some fifteen n-grams.
+REPEAT_WEIGHT = 4
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -59,11 +65,18 @@ def features(word: str) -> list[int]:
     return out
 
 
+def repeats(words: list[str]) -> int:
+    """How often a word equals the word before."""
+    return sum(map(eq, words, islice(words, 1, None)))
+
+
 def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a whole text, and each one's share."""
     counts = np.zeros(FEATURES)
+    words = (text or "").split()
     counts[END] = 1
-    for word, n in Counter((text or "").split()).items():
+    counts[REPEAT] = REPEAT_WEIGHT * repeats(words)
+    for word, n in Counter(words).items():
         np.add.at(counts, features(word), n)
     at = np.flatnonzero(counts)
     return at.astype(np.uint16 if FEATURES <= 65536 else np.uint32), (counts[at] / counts.sum()).astype(np.float32)
@@ -101,8 +114,10 @@ class Scorer:
     def score(self, text: str | None) -> float:
         if self.model.evidence is None:
             return self.model.constant
-        total, n, new = float(self.model.evidence[END]), 1, self.new
-        for word, times in Counter((text or "").split()).items():
+        words, new = (text or "").split(), self.new
+        again = REPEAT_WEIGHT * repeats(words)
+        total, n = float(self.model.evidence[END] + again * self.model.evidence[REPEAT]), 1 + again
+        for word, times in Counter(words).items():
             known = new.get(word)
             if known is None:
                 known, new = self.word(word), self.new

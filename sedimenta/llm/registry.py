@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import exact_dedup, quality, simhash
+from sedimenta.llm import bpe, exact_dedup, quality, simhash
 from sedimenta.llm.common import table
 
 
@@ -22,10 +23,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLES = {
