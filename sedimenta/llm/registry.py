@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, quality, simhash, token_store
+from sedimenta.llm import bpe, exact_dedup, mixing, quality, simhash, token_store
 from sedimenta.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.TokenStore.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).verified()
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix().taken(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
@@ -34,6 +38,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op4_token_store": op4_token_store,
+    "op5_mixing": op5_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
