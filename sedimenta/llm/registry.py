@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, mixing, quality, simhash, token_store
+from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, simhash, token_store
 from sedimenta.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleave.media_features(table(spark, sf_dir, "documents"))
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.TokenStore.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).verified()
 
@@ -37,6 +41,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_interleaved_media": op3_interleaved_media,
     "op4_token_store": op4_token_store,
     "op5_mixing": op5_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
