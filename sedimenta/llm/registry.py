@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, simhash, token_store
+from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store
 from sedimenta.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
