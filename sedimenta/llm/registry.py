@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store
+from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store, warc
 from sedimenta.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.captures(table(spark, sf_dir, "pages"))
+
+
 def op3_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave.media_features(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_warc": op2_warc,
     "op3_interleaved_media": op3_interleaved_media,
     "op4_token_store": op4_token_store,
     "op5_mixing": op5_mixing,
@@ -55,6 +60,24 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS sha,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS keep_id
+            FROM pages
+        ), groups AS (
+            SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(sha, CAST(5 * i + 1 AS INT), 5) AS INT)) AS twenty FROM p
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(twenty, lambda v:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 15) % 32 + 1 AS INT), 1)
+                   || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 10) % 32 + 1 AS INT), 1)
+                   || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 5) % 32 + 1 AS INT), 1)
+                   || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v % 32 + 1 AS INT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = keep_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = keep_id THEN NULL ELSE keep_id END AS refers_to
+        FROM groups
+    """,
     "op8_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
