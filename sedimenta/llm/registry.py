@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store, warc
+from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store, warc, wrappers
 from sedimenta.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op5_mixing": op5_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_html_wrappers": op7_html_wrappers,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_byte_bpe": op10_byte_bpe,
