@@ -37,7 +37,10 @@ MIN_IDS = 64
 MAX_IDS = 2048
 CUT_BITS = 8
 #: Words whose ids a worker keeps; older halves go first.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_200_000
+#: Words that reach the library in one text, and the word between them.
+JOINT_WORDS = 2000
+MARK = b"\x01"
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -90,38 +93,52 @@ def merkle_root(digests: list[bytes]) -> bytes:
 
 
 class CrcJoin:
-    """CRC-32 of a joined text from those of its parts: appending n bytes is a linear map over the 32 bits."""
+    """CRC-32 of joined texts from those of their parts: appending n bytes to a text is a linear map over the 32 bits.
+
+    A text's CRC is the exclusive or of its parts' CRCs, each moved by the bytes that follow the part.
+    """
 
     def __init__(self) -> None:
-        one = [0xEDB88320] + [1 << (b - 1) for b in range(1, 32)]  # a zero bit appended
-        self.zeros = [one]  # zeros[k] appends 2 ** k zero bits
+        # What a zero bit appended makes of each single bit; as tables by byte, for 2 ** k zero bytes.
+        one = np.array([0xEDB88320] + [1 << (b - 1) for b in range(1, 32)], dtype=np.uint32)
+        for _ in range(3):
+            one = self._of_bits(one, one)
+        self.columns, self.tables = [one], [self._by_byte(one)]
 
     @staticmethod
-    def _apply(table: list[int], v: int) -> int:
-        out, b = 0, 0
-        while v:
-            if v & 1:
-                out ^= table[b]
-            v >>= 1
-            b += 1
+    def _of_bits(columns: np.ndarray, v: np.ndarray) -> np.ndarray:
+        bits = (v[:, None] >> np.arange(32, dtype=np.uint32)) & np.uint32(1)
+        return np.bitwise_xor.reduce(np.where(bits.astype(bool), columns, np.uint32(0)), axis=1)
+
+    @classmethod
+    def _by_byte(cls, columns: np.ndarray) -> np.ndarray:
+        return np.stack([cls._of_bits(columns, np.arange(256, dtype=np.uint32) << np.uint32(8 * i)) for i in range(4)])
+
+    def moved(self, crcs: np.ndarray, zero_bytes: np.ndarray) -> np.ndarray:
+        out, k = crcs.astype(np.uint32), 0
+        left = zero_bytes.astype(np.int64)
+        while left.any():
+            if len(self.tables) <= k:
+                self.columns.append(self._of_bits(self.columns[-1], self.columns[-1]))
+                self.tables.append(self._by_byte(self.columns[-1]))
+            at, t = np.flatnonzero(left & 1), self.tables[k]
+            v = out[at]
+            out[at] = t[0][v & 255] ^ t[1][(v >> 8) & 255] ^ t[2][(v >> 16) & 255] ^ t[3][v >> 24]
+            left, k = left >> 1, k + 1
         return out
 
-    def join(self, left: int, right: int, right_bytes: int) -> int:
-        bits, k = right_bytes * 8, 0
-        while bits:
-            while len(self.zeros) <= k:
-                self.zeros.append([self._apply(self.zeros[-1], v) for v in self.zeros[-1]])
-            if bits & 1:
-                left = self._apply(self.zeros[k], left)
-            bits >>= 1
-            k += 1
-        return left ^ right
+    def joined(self, crcs: np.ndarray, part_bytes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """One CRC for each text; offsets say where its parts begin, and where the last text's end. No text lacks parts."""
+        ends = np.cumsum(part_bytes)
+        whole = ends[offsets[1:] - 1]
+        after = np.repeat(whole, np.diff(offsets)) - ends
+        return np.bitwise_xor.reduceat(self.moved(crcs, after), offsets[:-1])
 
 
 class WordEncoder:
     """Ids of whole texts from the tokenizers library, for vocabularies that drop white space and never join across it.
 
-    Each word between white space is encoded by the library once and its ids are kept.
+    Each word between white space is encoded by the library and its ids are kept.
     """
 
     def __init__(self, path: str):
@@ -129,21 +146,43 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 65536 else np.dtype("<u4")
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Words go to the library in one text, apart by a word that none of them holds: this saves most of its cost."""
+        joint = [w for w in words if MARK not in w]
+        for at in range(0, len(joint), JOINT_WORDS):
+            part = joint[at : at + JOINT_WORDS]
+            text = (b" " + MARK + b" ").join(part).decode("utf-8", "replace")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.width)
+            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            if len(ends) != len(part):
+                raise ValueError("the words' ids can't be told apart")
+            raw, size, start = ids.tobytes(), self.width.itemsize, 0
+            for word, end in zip(part, ends, strict=True):
+                self.new[word] = raw[start * size : end * size]
+                start = end + 1
+        for word in words:
+            if MARK in word:
+                self.new[word] = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype=self.width).tobytes()
+
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.new) > CACHED_WORDS // 2:
             self.old, self.new = self.new, {}
         new, old = self.new, self.old
         split = [utf8(t).split() for t in texts]  # at ASCII white space only
-        missing = [w for w in set().union(*split) if w not in new]
-        unknown = [w for w in missing if w not in old]
+        found = [list(map(new.get, words)) for words in split]
+        holes = [[i for i, ids in enumerate(ids) if ids is None] for ids in found]
+        missing = {words[i] for words, own in zip(split, holes, strict=True) for i in own}
         new.update((w, old[w]) for w in missing if w in old)
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in unknown], add_special_tokens=False)
-        new.update((w, np.array(got.ids, dtype=self.width).tobytes()) for w, got in zip(unknown, found, strict=True))
-        return [np.frombuffer(b"".join(map(new.__getitem__, words)), dtype=self.width) for words in split]
+        self._learn([w for w in missing if w not in old])
+        for words, ids, own in zip(split, found, holes, strict=True):
+            for i in own:
+                ids[i] = new[words[i]]
+        return [np.frombuffer(b"".join(ids), dtype=self.width) for ids in found]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -179,21 +218,24 @@ class TokenStore:
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = encoder(tokenizer)
-            part = pa.list_(pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("ids", pa.binary())]))
+            size = own.width.itemsize
             for batch in batches:
-                n, chunks, roots = [], [], []
+                n, offsets, digests, lengths, raws, roots = [], [0], [], [], [], []
                 for ids in own.encode_batch(batch.column(1).to_pylist()):
                     ids = np.append(ids, own.width.type(end_id))
-                    at, found = 0, []
+                    raw, at, first = ids.tobytes(), 0, len(digests)
                     for end in cuts(ids):
-                        raw = ids[at:end].astype(own.width).tobytes()
-                        found.append({"digest": hashlib.sha256(raw).digest(), "n": end - at, "ids": raw})
+                        part = raw[at * size : end * size]
+                        digests.append(hashlib.sha256(part).digest())
+                        lengths.append(end - at)
+                        raws.append(part)
                         at = end
                     n.append(len(ids))
-                    chunks.append(found)
-                    roots.append(merkle_root([c["digest"] for c in found]))
+                    offsets.append(len(digests))
+                    roots.append(merkle_root(digests[first:]))
+                parts = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(lengths, pa.int32()), pa.array(raws, pa.binary())], ["digest", "n", "ids"])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(chunks, part), pa.array(np.full(len(n), own.width.itemsize, dtype=np.int32))],
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), parts), pa.array(np.full(len(n), size, dtype=np.int32))],
                     ["doc_id", "n_tokens", "root", "chunks", "width"],
                 )
 
@@ -253,16 +295,20 @@ class TokenStore:
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             joiner = CrcJoin()
             for batch in batches:
-                crcs = []
-                for doc_id, n_tokens, root, own in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
-                    own = own or []
-                    if any(p["n"] is None for p in own) or merkle_root([p["digest"] for p in own]) != root or sum(p["n"] for p in own) != n_tokens:
-                        raise ValueError(f"document {doc_id} can't be rebuilt")
-                    crc = 0
-                    for p in own:
-                        crc = joiner.join(crc, p["crc"], 4 * p["n"])
-                    crcs.append(crc)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                lists = batch.column(4)
+                offsets, own = lists.offsets.to_numpy(), lists.flatten()
+                offsets = offsets - offsets[0]
+                n, crcs = own.field("n"), own.field("crc")
+                if lists.null_count or n.null_count or (np.diff(offsets) == 0).any():
+                    raise ValueError("a document's chunks are missing")
+                n, digests = n.to_numpy().astype(np.int64), own.field("digest").to_pylist()
+                if batch.num_rows and (np.add.reduceat(n, offsets[:-1]) != batch.column(2).to_numpy()).any():
+                    raise ValueError("a document's length is wrong")
+                for i, root in enumerate(batch.column(3).to_pylist()):
+                    if merkle_root(digests[offsets[i] : offsets[i + 1]]) != root:
+                        raise ValueError(f"document {batch.column(0)[i].as_py()} can't be rebuilt")
+                found = joiner.joined(crcs.to_numpy(), 4 * n, offsets) if batch.num_rows else np.array([], dtype=np.uint32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(found.astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
         rows = recipes.select("row", "doc_id", "start", "n_tokens", "root").join(parts, "row", "left")
         return rows.select("doc_id", "start", "n_tokens", "root", "parts").mapInArrow(check, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
