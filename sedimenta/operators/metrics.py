@@ -65,7 +65,7 @@ def with_eta(rates: DataFrame, remaining: Column, active: Column) -> DataFrame:
 
 def rolling_count(df: DataFrame, by: str, at: str, seconds: int) -> DataFrame:
     """df with the rows of its key in the seconds up to each row."""
-    w = Window.partitionBy(by).orderBy(F.col(at).cast("timestamp").cast("double")).rangeBetween(-float(seconds), 0)
+    w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
     return df.withColumn(f"last_{seconds}s", F.count(F.lit(1)).over(w))
 
 

@@ -1,10 +1,6 @@
-"""Registry of the engine's own queries and the SQL they are checked against."""
+"""All queries of the engine's own operators."""
 
-from __future__ import annotations
+from sedimenta.plans import content_queries, operation_queries, reference_queries, url_queries
+from sedimenta.plans.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "content_queries", "operation_queries", "reference_queries", "url_queries"]
