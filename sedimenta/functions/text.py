@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sedimenta.functions import fixed
-from sedimenta.functions.values import ColumnLike, case, col, contains_any
+from sedimenta.functions.values import ColumnLike, case, col, contains_any, let
 
 #: Python's line ends, and its white space (Java's (?U)\s lacks the four separators \x1c-\x1f).
 LINE_ENDS = r"\r\n|[\r\n\x0b\x0c\x1c\x1d\x1e\x85  ]"
@@ -89,18 +89,27 @@ def detect_language(text: ColumnLike, declared: ColumnLike | None = None) -> Col
 
 def content_quality(text: ColumnLike, title: ColumnLike | None = None, kind: ColumnLike | None = None) -> Column:
     """accepted, score and reasons of a text."""
-    t, k = clean_text(text), _text(kind)
-    folded = F.lower(F.concat(_text(title), F.lit("\n"), t))
+    k = _text(kind)
     least = F.when(k.startswith("public_") | (k == "youtube_page"), fixed.LEAST_LENGTH_PUBLIC).otherwise(fixed.LEAST_LENGTH)
-    words = F.regexp_extract_all(F.lower(t), F.lit(r"(?U)[^\W_]+"), F.lit(0))
-    n = F.size(words)
-    short = F.length(t) < least
-    shell = contains_any(folded, fixed.SHELL_MARKERS) & (F.length(t) < fixed.SHELL_BELOW_LENGTH)
-    repetitive = (n >= fixed.REPETITION_FROM_WORDS) & (F.try_divide(F.size(F.array_distinct(words)).cast("double"), n.cast("double")) < fixed.REPETITION_RATIO)
-    repetitive = F.coalesce(repetitive, F.lit(False))
-    cost = F.when(short, fixed.COST_SHORT).otherwise(0) + F.when(shell, fixed.COST_SHELL).otherwise(0) + F.when(repetitive, fixed.COST_REPETITIVE).otherwise(0)
-    reasons = F.array_compact(F.array(F.when(short, "text_too_short"), F.when(shell, "access_or_platform_shell"), F.when(repetitive, "highly_repetitive_text")))
-    return F.struct((F.size(reasons) == 0).alias("accepted"), F.greatest(F.lit(0), 100 - cost).alias("score"), reasons.alias("reasons"))
+
+    def repeats(words: Column) -> Column:
+        ratio = F.try_divide(F.size(F.array_distinct(words)).cast("double"), F.size(words).cast("double"))
+        return F.coalesce((F.size(words) >= fixed.REPETITION_FROM_WORDS) & (ratio < fixed.REPETITION_RATIO), F.lit(False))
+
+    def faults(t: Column) -> Column:
+        folded = F.lower(F.concat(_text(title), F.lit("\n"), t))
+        return F.struct(
+            (F.length(t) < least).alias("short"),
+            ((F.length(t) < fixed.SHELL_BELOW_LENGTH) & contains_any(folded, fixed.SHELL_MARKERS)).alias("shell"),
+            let(F.regexp_extract_all(F.lower(t), F.lit(r"(?U)[^\W_]+"), F.lit(0)), repeats).alias("repetitive"),
+        )
+
+    def judged(f: Column) -> Column:
+        cost = F.when(f["short"], fixed.COST_SHORT).otherwise(0) + F.when(f["shell"], fixed.COST_SHELL).otherwise(0) + F.when(f["repetitive"], fixed.COST_REPETITIVE).otherwise(0)
+        reasons = F.array_compact(F.array(F.when(f["short"], "text_too_short"), F.when(f["shell"], "access_or_platform_shell"), F.when(f["repetitive"], "highly_repetitive_text")))
+        return F.struct((F.size(reasons) == 0).alias("accepted"), F.greatest(F.lit(0), 100 - cost).alias("score"), reasons.alias("reasons"))
+
+    return let(let(clean_text(text), faults), judged)
 
 
 def completeness(quality: Column, truncated: Column, method: ColumnLike) -> Column:

@@ -5,7 +5,8 @@ Null and the empty string both count as missing; a raw value is never overwritte
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -45,9 +46,14 @@ def _value(v: object) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it: branches don't share common parts otherwise."""
+    return F.transform(F.array(value), body)[0]
+
+
 def contains_any(c: ColumnLike, words: Sequence[str]) -> Column:
-    """Whether the text holds any of the words, as plain substrings; false for null."""
-    return F.coalesce(reduce(lambda a, b: a | b, [F.contains(col(c), F.lit(w)) for w in words]), F.lit(False))
+    """Whether the text holds any of the words, as plain substrings; false for null. The text is read once."""
+    return F.coalesce(col(c).rlike("|".join(re.escape(w) for w in words)), F.lit(False))
 
 
 def as_number(c: ColumnLike) -> Column:
