@@ -26,10 +26,12 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import bounded_batches, new_folder, remove, utf8
+from sedimenta.llm.bitfilter import filter_over, probed
+from sedimenta.llm.common import bounded_batches, new_folder, remove
 
 #: The rolling hash covers this many ids; chunks have MIN_IDS to MAX_IDS ids, some MIN_IDS + 2 ** CUT_BITS on average.
 WINDOW_IDS = 16
@@ -40,7 +42,14 @@ CUT_BITS = 8
 CACHED_WORDS = 1_200_000
 #: Words that reach the library in one text, and the word between them.
 JOINT_WORDS = 2000
-MARK = b"\x01"
+MARK = "\x01"
+#: Marks that are parted from the letters before them; letters that are known to be such lie below LATIN_END.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LATIN_END = "\u0250"
+#: Its lower case ends in a mark, which joins what follows.
+DOTTED = "\u0130"
+#: Bytes of texts that are encoded as one block.
+BLOCK_BYTES = 16_000_000
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -138,7 +147,9 @@ class CrcJoin:
 class WordEncoder:
     """Ids of whole texts from the tokenizers library, for vocabularies that drop white space and never join across it.
 
-    Each word between white space is encoded by the library and its ids are kept.
+    Words between white space are numbered within a block of texts, so each is looked up once for a block, and encoded by
+    the library once for as long as its ids are kept. A word of Latin letters with ASCII marks behind it is the joint of
+    the two, as such vocabularies part letters from marks.
     """
 
     def __init__(self, path: str):
@@ -146,18 +157,25 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        (self.mark,) = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.model = self.tokenizer.model
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 65536 else np.dtype("<u4")
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.new: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Words go to the library in one text, apart by a word that none of them holds: this saves most of its cost."""
-        joint = [w for w in words if MARK not in w]
+        tokenize, width = self.model.tokenize, self.width
+        joint = []
+        for word in words:
+            if word.isascii() and word.isalpha() and word.islower():
+                # Plain lower-case letters are what normalisers and splitters would leave, so they go to the model itself.
+                self.new[word] = np.array([t.id for t in tokenize(word)], dtype=width).tobytes()
+            elif MARK not in word:
+                joint.append(word)
         for at in range(0, len(joint), JOINT_WORDS):
             part = joint[at : at + JOINT_WORDS]
-            text = (b" " + MARK + b" ").join(part).decode("utf-8", "replace")
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.width)
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, dtype=self.width)
             ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
             if len(ends) != len(part):
                 raise ValueError("the words' ids can't be told apart")
@@ -167,22 +185,56 @@ class WordEncoder:
                 start = end + 1
         for word in words:
             if MARK in word:
-                self.new[word] = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype=self.width).tobytes()
+                self.new[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.width).tobytes()
 
-    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+    def lookup(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
         if len(self.new) > CACHED_WORDS // 2:
-            self.old, self.new = self.new, {}
+            self.old, self.new = self.new, {"": b""}
         new, old = self.new, self.old
-        split = [utf8(t).split() for t in texts]  # at ASCII white space only
-        found = [list(map(new.get, words)) for words in split]
-        holes = [[i for i, ids in enumerate(ids) if ids is None] for ids in found]
-        missing = {words[i] for words, own in zip(split, holes, strict=True) for i in own}
-        new.update((w, old[w]) for w in missing if w in old)
-        self._learn([w for w in missing if w not in old])
-        for words, ids, own in zip(split, found, holes, strict=True):
-            for i in own:
-                ids[i] = new[words[i]]
-        return [np.frombuffer(b"".join(ids), dtype=self.width) for ids in found]
+        found = list(map(new.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        parted, unknown = [], set()
+        for i in missing:
+            word = words[i]
+            ids = old.get(word)
+            if ids is not None:
+                found[i] = new[word] = ids
+                continue
+            stem = word.rstrip(MARKS)
+            if stem.isalpha() and (stem.isascii() or (max(stem) < LATIN_END and DOTTED not in stem)):
+                parts = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
+            else:
+                parts = (word, "")
+            parted.append((i, parts))
+            for part in parts:
+                if part not in new:
+                    if part in old:
+                        new[part] = old[part]
+                    else:
+                        unknown.add(part)
+        self._learn(list(unknown))
+        for i, (stem, marks) in parted:
+            found[i] = new[words[i]] = new[stem] + new[marks]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a block of texts, and where each text's ids end."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        at = words.indices.to_numpy()
+        ids = self.lookup(words.dictionary.to_pylist())
+        n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width.itemsize
+        table, starts = np.frombuffer(b"".join(ids), dtype=self.width), np.cumsum(n) - n
+        each = n[at]
+        ends = np.cumsum(each)
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - each), each)
+        ends = np.concatenate([[0], ends])
+        return table[where], ends[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        ids, ends = self.encode(pa.array(texts, pa.string()))
+        return np.split(ids, ends[:-1]) if texts else []
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -194,6 +246,20 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to BLOCK_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 class TokenStore:
     """A store in one folder."""
 
@@ -218,11 +284,12 @@ class TokenStore:
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = encoder(tokenizer)
-            size = own.width.itemsize
-            for batch in batches:
+            size, last = own.width.itemsize, np.array([end_id], dtype=own.width)
+            for batch in blocks(batches):
                 n, offsets, digests, lengths, raws, roots = [], [0], [], [], [], []
-                for ids in own.encode_batch(batch.column(1).to_pylist()):
-                    ids = np.append(ids, own.width.type(end_id))
+                all_ids, ends = own.encode(batch.column(1))
+                for ids in np.split(all_ids, ends[:-1]):
+                    ids = np.concatenate([ids, last])
                     raw, at, first = ids.tobytes(), 0, len(digests)
                     for end in cuts(ids):
                         part = raw[at * size : end * size]
@@ -244,8 +311,13 @@ class TokenStore:
         docs.select("doc_id", "text").mapInArrow(cut, schema).withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(staged_path)
         staged = spark.read.parquet(staged_path)
 
+        # Most chunks occur once and are written where they are; only those that may repeat are shuffled.
+        digests = staged.select(F.explode("chunks.digest").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+        bits = filter_over(digests.where("n > 1"), "digest")
         each = staged.select("width", F.explode("chunks").alias("c")).select(F.col("c.digest").alias("digest"), "width", F.col("c.ids").alias("ids"))
-        each.dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{store.folder}/chunks")
+        tried = probed(each, bits, "digest")
+        once = tried.where(~F.col("_hit")).unionByName(tried.where("_hit").dropDuplicates(["digest"])).drop("_hit")
+        once.write.option("compression", "zstd").parquet(f"{store.folder}/chunks")
 
         listed = staged.select("doc_id", "row", "n_tokens", "root", F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), c["n"].alias("n"))).alias("chunks"))
         store._write_recipes(listed)
