@@ -5,12 +5,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch: with texts of some 100 KB a batch stays near 25 MB.
 BATCH_ROWS = 256
+#: Bytes of texts that are worked on as one block, where numbering words within a block saves work.
+BLOCK_BYTES = 5_000_000
 #: The six white-space bytes that the contracts name, [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -66,6 +70,20 @@ def _clean_up() -> None:
             return
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to BLOCK_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

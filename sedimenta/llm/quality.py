@@ -13,21 +13,17 @@ the labels' share of class 1, or 0.5 without any label. Repeated labels of a doc
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
-from operator import eq
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import bounded_batches
+from sedimenta.llm.common import blocks, bounded_batches
 
 WORD_BUCKETS = 1 << 14
 GRAM_BUCKETS = 1 << 15
@@ -37,8 +33,8 @@ DIMENSION = 10
 TRAIN_ROWS = 1500
 EPOCHS = 8
 RATE = 0.5
-#: Words that a worker keeps; older halves go first.
-CACHED_WORDS = 300_000
+#: Different words that are hashed at once.
+SLICE_WORDS = 20_000
 #: A document is accepted from this score on.
 ACCEPT = 0.7
 HELD_OUT_REMAINDER = 2
@@ -48,38 +44,82 @@ FEATURES = END + 2
 #: A repeat weighs as many features, as a word brings some fifteen n-grams.
 REPEAT_WEIGHT = 4
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 4, is 2. A null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == HELD_OUT_REMAINDER
 
 
-def features(word: str) -> list[int]:
-    """The buckets of a word: itself, and its n-grams."""
-    raw = word.encode("utf-8", "surrogatepass")
-    out = [xxhash.xxh32_intdigest(raw) % WORD_BUCKETS]
-    marked = f"<{word}>"
-    for size in GRAM_SIZES:
-        for i in range(len(marked) - size + 1):
-            out.append(WORD_BUCKETS + crc32(marked[i : i + size].encode("utf-8", "surrogatepass")) % GRAM_BUCKETS)
-    return out
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(buckets)).astype(np.int64)
 
 
-def repeats(words: list[str]) -> int:
-    """How often a word equals the word before."""
-    return sum(map(eq, words, islice(words, 1, None)))
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of all words, each word's own and its n-grams', beside the word's place in the list.
+
+    All words are hashed at once, as one array of code points; n-grams that would reach over a boundary are left out.
+    """
+    if not words:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    codes = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    starts = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(words)), n)
+    powers = np.full(int(n.max()), _ODD, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    whole = np.add.reduceat(codes * powers[np.arange(len(codes)) - starts[owner]], starts)
+    owners, buckets = [np.arange(len(words))], [_bucket(whole, WORD_BUCKETS)]
+    for size in GRAM_SIZES:
+        m = max(0, len(codes) - size + 1)
+        h = np.full(m, size, dtype=np.uint64)
+        for k in range(size):
+            h = h * _ODD + codes[k : k + m]
+        inside = owner[:m] == owner[size - 1 : size - 1 + m]
+        owners.append(owner[:m][inside])
+        buckets.append(WORD_BUCKETS + _bucket(h[inside], GRAM_BUCKETS))
+    return np.concatenate(owners), np.concatenate(buckets)
 
 
-def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of a whole text, and each one's share."""
-    counts = np.zeros(FEATURES)
-    words = (text or "").split()
-    counts[END] = 1
-    counts[REPEAT] = REPEAT_WEIGHT * repeats(words)
-    for word, n in Counter(words).items():
-        np.add.at(counts, features(word), n)
-    at = np.flatnonzero(counts)
-    return at.astype(np.uint16 if FEATURES <= 65536 else np.uint32), (counts[at] / counts.sum()).astype(np.float32)
+@dataclass(frozen=True)
+class Words:
+    """The words of a block of texts: the different ones, and for each word in order its number and its text's."""
+
+    different: list[str]
+    number: np.ndarray
+    text: np.ndarray
+    texts: int
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Words:
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        flat = lists.flatten().dictionary_encode()
+        different, number = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+        text = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        held = np.array([bool(w) for w in different], dtype=bool)[number] if different else np.zeros(0, dtype=bool)
+        return cls(different, number[held], text[held], len(texts))
+
+    def repeats(self) -> np.ndarray:
+        """How often, in each text, a word equals the word before."""
+        again = (self.number[1:] == self.number[:-1]) & (self.text[1:] == self.text[:-1])
+        return np.bincount(self.text[1:][again], minlength=self.texts)
+
+
+def document_features(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of each whole text, and each one's share."""
+    words, out = Words.of(texts), []
+    ends = np.searchsorted(words.text, np.arange(words.texts + 1))
+    for k, repeated in enumerate(words.repeats()):
+        own, times = np.unique(words.number[ends[k] : ends[k + 1]], return_counts=True)
+        owner, bucket = features([words.different[i] for i in own])
+        counts = np.bincount(bucket, weights=times[owner], minlength=FEATURES)
+        counts[END], counts[REPEAT] = 1, REPEAT_WEIGHT * repeated
+        at = np.flatnonzero(counts)
+        out.append((at.astype(np.uint16), (counts[at] / counts.sum()).astype(np.float32)))
+    return out
 
 
 @dataclass(frozen=True)
@@ -89,41 +129,21 @@ class Model:
     evidence: np.ndarray | None
     constant: float = 0.5
 
-    def scorer(self) -> Scorer:
-        return Scorer(self)
-
-
-class Scorer:
-    """Scores texts; keeps each word's evidence and number of features."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.new: dict[str, tuple[float, int]] = {}
-        self.old: dict[str, tuple[float, int]] = {}
-
-    def word(self, word: str) -> tuple[float, int]:
-        found = self.old.get(word)
-        if found is None:
-            at = features(word)
-            found = (float(self.model.evidence[at].sum()), len(at))
-        if len(self.new) >= CACHED_WORDS // 2:
-            self.old, self.new = self.new, {}
-        self.new[word] = found
-        return found
-
-    def score(self, text: str | None) -> float:
-        if self.model.evidence is None:
-            return self.model.constant
-        words, new = (text or "").split(), self.new
-        again = REPEAT_WEIGHT * repeats(words)
-        total, n = float(self.model.evidence[END] + again * self.model.evidence[REPEAT]), 1 + again
-        for word, times in Counter(words).items():
-            known = new.get(word)
-            if known is None:
-                known, new = self.word(word), self.new
-            total += known[0] * times
-            n += known[1] * times
-        return 1 / (1 + np.exp(-np.clip(total / n, -60, 60)))
+    def score(self, texts: pa.Array) -> np.ndarray:
+        """The score of each text of a block."""
+        if self.evidence is None:
+            return np.full(len(texts), self.constant)
+        words = Words.of(texts)
+        speaks, n = np.zeros(len(words.different)), np.zeros(len(words.different))
+        for at in range(0, len(words.different), SLICE_WORDS):
+            part = words.different[at : at + SLICE_WORDS]
+            owner, bucket = features(part)
+            speaks[at : at + len(part)] = np.bincount(owner, weights=self.evidence[bucket], minlength=len(part))
+            n[at : at + len(part)] = np.bincount(owner, minlength=len(part))
+        again = REPEAT_WEIGHT * words.repeats()
+        total = np.bincount(words.text, weights=speaks[words.number], minlength=words.texts) + self.evidence[END] + again * self.evidence[REPEAT]
+        count = np.bincount(words.text, weights=n[words.number], minlength=words.texts) + 1 + again
+        return 1 / (1 + np.exp(-np.clip(total / count, -60, 60)))
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Model:
@@ -166,7 +186,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [document_features(t) for t in batch.column(1).to_pylist()]
+            found = document_features(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([a.tobytes() for a, _ in found], pa.binary()), pa.array([x.tobytes() for _, x in found], pa.binary()), batch.column(2)],
                 ["doc_id", "at", "x", "y"],
@@ -175,34 +195,32 @@ def training_sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = rows.mapInArrow(run, f"doc_id {kind}, at binary, x binary, y int").collect()
     got.sort(key=lambda r: (r.doc_id, bytes(r["at"]), bytes(r["x"])))
-    width = np.uint16 if FEATURES <= 65536 else np.uint32
-    return [(np.frombuffer(bytes(r["at"]), width).astype(np.int64), np.frombuffer(bytes(r["x"]), np.float32), r["y"]) for r in got]
+    return [(np.frombuffer(bytes(r["at"]), np.uint16).astype(np.int64), np.frombuffer(bytes(r["x"]), np.float32), r["y"]) for r in got]
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     return train(training_sample(docs, labels, train_rows))
 
 
-def scores(model: Model, text: Column) -> Column:
-    """The score of each whole text."""
-
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = model.scorer()
-        for texts in batches:
-            yield pd.Series([scorer.score(t) for t in texts], dtype="float64")
-
-    return run(text)
-
-
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     bounded_batches(docs.sparkSession)
-    out = docs.select("doc_id", is_held_out().alias("held_out"), scores(model, F.col("text")).alias("score"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(model.score(batch.column(2)))], ["doc_id", "held_out", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double")
     return out.withColumn("predicted", F.when(F.col("score") >= ACCEPT, 1).otherwise(0))
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows that the classifier accepts, with all their columns."""
+    """The rows that the classifier accepts, with all their columns; only the texts go to Python."""
     bounded_batches(docs.sparkSession)
-    return docs.where(scores(model, F.col("text")) >= ACCEPT)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(pa.array(texts, pa.string(), from_pandas=True)))
+
+    return docs.where(score(F.col("text")) >= ACCEPT)

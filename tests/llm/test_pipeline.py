@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
+
 import corpus_pipeline
 from sedimenta.llm import mixing, quality, simhash
 from tests_llm_plain import keep_exact, keep_near
@@ -11,8 +13,8 @@ def test_stages_match_plain_versions(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = [r.asDict() for r in docs.collect()]
-    scorer = quality.fit(docs, labels).scorer()
-    rows = [r for r in rows if scorer.score(r["text"]) >= quality.ACCEPT]
+    scores = quality.fit(docs, labels).score(pa.array([r["text"] for r in rows], pa.string()))
+    rows = [r for r, s in zip(rows, scores, strict=True) if s >= quality.ACCEPT]
     rows = keep_near(keep_exact(rows))
     left = spark.createDataFrame([tuple(r.values()) for r in rows], docs.schema)
     copies = {r.doc_id: r.copies for r in mixing.Mix().copies(left).collect()}

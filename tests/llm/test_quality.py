@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from sedimenta.llm import quality
 
@@ -17,14 +18,24 @@ def test_held_out_and_scores(spark):
     assert (known[known.quality == 1].score >= 0.7).mean() > 0.99
 
 
-def test_scorer_equals_the_plain_model():
+def test_scores_equal_the_plain_model():
     rng = np.random.default_rng(3)
     model = quality.Model(rng.normal(size=quality.FEATURES))
-    scorer = model.scorer()
-    for text in ["a b b c", "", None, "x" * 500, "ab cd " * 3000, "É ß 中 中"]:
-        at, x = quality.document_features(text)
-        want = 1 / (1 + np.exp(-(model.evidence[at] * x).sum()))
-        assert abs(scorer.score(text) - want) < 1e-6
+    texts = ["a b b c", "", None, "x" * 500, "ab cd " * 3000, "É ß 中 中", "  lead and trail  ", "\n"]
+    texts += [" ".join(f"w{rng.integers(0, 50)}" for _ in range(rng.integers(0, 90))) for _ in range(50)]
+    got = model.score(pa.array(texts, pa.string()))
+    for text, score in zip(texts, got, strict=True):
+        ((at, x),) = quality.document_features(pa.array([text], pa.string()))
+        assert abs(score - 1 / (1 + np.exp(-(model.evidence[at] * x).sum()))) < 1e-6
+
+
+def test_features_are_those_of_each_word():
+    words = ["ab", "x", "Straße", "a" * 300, "中"]
+    owner, bucket = quality.features(words)
+    for i, word in enumerate(words):
+        alone = quality.features([word])[1]
+        assert sorted(bucket[owner == i]) == sorted(alone)
+        assert len(alone) == 1 + sum(max(0, len(word) + 2 - n + 1) for n in quality.GRAM_SIZES)
 
 
 def test_held_out_labels_teach_nothing(spark):
