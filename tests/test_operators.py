@@ -261,3 +261,35 @@ def test_capture_payloads(spark):
 
 def test_every_query_is_registered_with_a_callable():
     assert len(catalogue.QUERIES) > 50 and set(catalogue.ORACLES) <= set(catalogue.QUERIES)
+
+
+RECORD_PAGE = """<!doctype html><html><head><title>Record</title><script type="application/ld+json">{"b": 1, "a": 2}</script></head><body><article>
+  <div class="meta-block code"><h4>Incident Code</h4><p>TEST001</p></div>
+  <div class="meta-block"><h4>Incident date</h4><p>June 19, 2017</p></div>
+  <div class="meta-block location"><h4>Location</h4><p>الرقة, Raqqa, Syria</p></div>
+  <div class="info-left"><h4>Geolocation</h4><p>35.9, 4239.00416</p></div>
+  <div><h2>Assessment</h2><p>A narrative.</p><figure><img src="/m.jpg"><figcaption>A view</figcaption></figure></div>
+  <div class="sources"><h2>Sources (1)</h2><ul><li><div><a href="https://example.org/report">Example</a></div>
+    <div class="source-tags"><ul><li class="tag">Arabic</li></ul></div><div><a class="archive" href="https://web.archive.org/example">Archive</a></div></li></ul></div>
+</article></body></html>"""
+
+
+def test_record_pages(spark):
+    from sedimenta.functions.values import coordinate_pair, parsed_date
+    from sedimenta.operators.record_pages import parse_pages
+
+    df = spark.createDataFrame([(1, bytearray(RECORD_PAGE.encode())), (2, None)], "id int, body binary")
+    out = {r.id: r for r in parse_pages(df, "id", "body").collect()}
+    page = out[1]
+    fields = {f.label: f.value for f in page.fields}
+    assert fields == {"Incident Code": "TEST001", "Incident date": "June 19, 2017", "Location": "الرقة, Raqqa, Syria", "Geolocation": "35.9, 4239.00416"}
+    assert (page.sources_section_present, page.sources_declared, len(page.sources)) == (True, 1, 1)
+    source = page.sources[0]
+    assert (source.name, source.url, source.archive_url, source.tags) == ("Example", "https://example.org/report", "https://web.archive.org/example", ["Arabic"])
+    assert [(m.kind, m.url, m.caption) for m in page.media] == [("image", "/m.jpg", "A view")] and page.json_ld == ['{"a": 2, "b": 1}']
+    assert out[2].fields == [] and not out[2].sources_section_present
+    cell = spark.createDataFrame([(fields["Geolocation"], fields["Incident date"])], "g string, d string").select(coordinate_pair("g").alias("p"), parsed_date("d").alias("d")).first()
+    assert (cell.p.lon, cell.d) == (4239.00416, "2017-06-19")
+    from sedimenta.operators.classify import coordinate_reasons
+
+    assert spark.createDataFrame([("35.9", "4239.00416")], "a string, b string").select(coordinate_reasons("a", "b").alias("r")).first().r == ["invalid_longitude"]
