@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.bitfilter import filter_over, probed
-from sedimenta.llm.common import bounded_batches, new_folder, remove
+from sedimenta.llm.common import blocks, bounded_batches, new_folder, remove
 
 #: The rolling hash covers this many ids; chunks have MIN_IDS to MAX_IDS ids, some MIN_IDS + 2 ** CUT_BITS on average.
 WINDOW_IDS = 16
@@ -39,17 +39,15 @@ MIN_IDS = 64
 MAX_IDS = 2048
 CUT_BITS = 8
 #: Words whose ids a worker keeps; older halves go first.
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 500_000
 #: Words that reach the library in one text, and the word between them.
 JOINT_WORDS = 2000
 MARK = "\x01"
-#: Marks that are parted from the letters before them; letters that are known to be such lie below LATIN_END.
+#: Marks that are parted from the letters before them, and how many at most.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-LATIN_END = "\u0250"
-#: Its lower case ends in a mark, which joins what follows.
-DOTTED = "\u0130"
-#: Bytes of texts that are encoded as one block.
-BLOCK_BYTES = 16_000_000
+MOST_MARKS = 8
+#: Beyond these letters none is parted; one among them has a lower case that ends in a mark, which joins what follows.
+NOT_LATIN = "[^\\x00-\\x{24f}]|\\x{130}"
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -148,8 +146,8 @@ class WordEncoder:
     """Ids of whole texts from the tokenizers library, for vocabularies that drop white space and never join across it.
 
     Words between white space are numbered within a block of texts, so each is looked up once for a block, and encoded by
-    the library once for as long as its ids are kept. A word of Latin letters with ASCII marks behind it is the joint of
-    the two, as such vocabularies part letters from marks.
+    the library once for as long as its ids are kept. A word of Latin letters with ASCII marks behind it is parted into the
+    two, as such vocabularies part letters from marks.
     """
 
     def __init__(self, path: str):
@@ -159,18 +157,19 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 65536 else np.dtype("<u4")
+        self.coded = [i.to_bytes(self.width.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Words go to the library in one text, apart by a word that none of them holds: this saves most of its cost."""
-        tokenize, width = self.model.tokenize, self.width
+        tokenize, coded = self.model.tokenize, self.coded
         joint = []
         for word in words:
             if word.isascii() and word.isalpha() and word.islower():
                 # Plain lower-case letters are what normalisers and splitters would leave, so they go to the model itself.
-                self.new[word] = np.array([t.id for t in tokenize(word)], dtype=width).tobytes()
+                self.new[word] = b"".join([coded[t.id] for t in tokenize(word)])
             elif MARK not in word:
                 joint.append(word)
         for at in range(0, len(joint), JOINT_WORDS):
@@ -194,43 +193,55 @@ class WordEncoder:
         new, old = self.new, self.old
         found = list(map(new.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        parted, unknown = [], set()
+        self._learn([words[i] for i in missing if words[i] not in old])
         for i in missing:
             word = words[i]
-            ids = old.get(word)
-            if ids is not None:
-                found[i] = new[word] = ids
-                continue
-            stem = word.rstrip(MARKS)
-            if stem.isalpha() and (stem.isascii() or (max(stem) < LATIN_END and DOTTED not in stem)):
-                parts = (stem.lower() if stem.isascii() else stem, word[len(stem) :])
-            else:
-                parts = (word, "")
-            parted.append((i, parts))
-            for part in parts:
-                if part not in new:
-                    if part in old:
-                        new[part] = old[part]
-                    else:
-                        unknown.add(part)
-        self._learn(list(unknown))
-        for i, (stem, marks) in parted:
-            found[i] = new[words[i]] = new[stem] + new[marks]
+            ids = new.get(word)
+            if ids is None:
+                ids = new[word] = old[word]
+            found[i] = ids
         return found
 
+    @staticmethod
+    def parted(words: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+        """For each word its letters (or all of it), and the number of the marks behind them in a list of marks."""
+        stems = pc.utf8_rtrim(words, characters=MARKS)
+        marks = (pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()).astype(np.int64)
+        plain = pc.ascii_is_alpha(stems)
+        latin = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring_regex(stems, NOT_LATIN)))
+        apart = pc.and_(pc.or_(plain, latin), pa.array(marks <= MOST_MARKS))
+        units = pc.if_else(apart, pc.if_else(plain, pc.ascii_lower(stems), stems), words)
+        marks[~apart.to_numpy(zero_copy_only=False)] = 0
+        numbers, known = np.zeros(len(words), dtype=np.int64), {"": 0}
+        for n in np.unique(marks[marks > 0]).tolist():
+            rows = np.flatnonzero(marks == n)
+            tails = pc.utf8_slice_codeunits(words.take(pa.array(rows)), start=-n).dictionary_encode()
+            own = np.array([known.setdefault(t, len(known)) for t in tails.dictionary.to_pylist()], dtype=np.int64)
+            numbers[rows] = own[tails.indices.to_numpy()]
+        return units, numbers, list(known)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block of texts, and where each text's ids end."""
         lists = pc.ascii_split_whitespace(texts.fill_null(""))
         words = lists.flatten().dictionary_encode()
         at = words.indices.to_numpy()
-        ids = self.lookup(words.dictionary.to_pylist())
+        units, tails, marks = self.parted(words.dictionary)
+        units = units.dictionary_encode()
+        different = units.dictionary.to_pylist()
+        ids = self.lookup(different + marks)
+        # Each word is a unit and its marks, the latter often none.
+        pieces = np.empty(2 * len(at), dtype=np.int64)
+        pieces[0::2] = units.indices.to_numpy()[at]
+        pieces[1::2] = len(different) + tails[at]
+        # A block's positions fit in 32 bits, unless a single text is larger than a block by far.
         n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width.itemsize
-        table, starts = np.frombuffer(b"".join(ids), dtype=self.width), np.cumsum(n) - n
-        each = n[at]
+        table, starts, each = np.frombuffer(b"".join(ids), dtype=self.width), np.cumsum(n) - n, n[pieces]
         ends = np.cumsum(each)
-        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - each), each)
+        kind = np.int32 if not len(ends) or ends[-1] < 1 << 31 else np.int64
+        where = np.repeat((starts[pieces] - (ends - each)).astype(kind), each)
+        where += np.arange(len(where), dtype=kind)
         ends = np.concatenate([[0], ends])
-        return table[where], ends[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+        return table[where], ends[2 * (lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py())]
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         ids, ends = self.encode(pa.array(texts, pa.string()))
@@ -246,20 +257,6 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches joined up to BLOCK_BYTES."""
-    held, size = [], 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.nbytes
-        if size >= BLOCK_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 class TokenStore:
     """A store in one folder."""
 
@@ -305,6 +302,8 @@ class TokenStore:
                     [batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), parts), pa.array(np.full(len(n), size, dtype=np.int32))],
                     ["doc_id", "n_tokens", "root", "chunks", "width"],
                 )
+            # The worker lives on while others need its memory.
+            pa.default_memory_pool().release_unused()
 
         staged_path = f"{store.folder}/staged"
         schema = f"doc_id {kind}, n_tokens bigint, root binary, chunks array<struct<digest: binary, n: int, ids: binary>>, width int"
