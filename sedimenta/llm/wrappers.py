@@ -85,6 +85,15 @@ class Node:
             return True
         return self.tag not in KEPT_TAGS and bool(self.names & DROPPED_NAMES)
 
+    @property
+    def is_aside(self) -> bool:
+        """An article that is a comment or an advert."""
+        return self.tag == "article" and bool(self.names & ASIDE_NAMES) and not self.names & CONTENT_NAMES
+
+    @property
+    def is_content(self) -> bool:
+        return self.tag == "main" or self.role == "main" or (self.tag == "article" and not self.is_aside)
+
     @property
     def header(self) -> bool:
         return self.tag == "header" or (self.tag not in KEPT_TAGS and bool(self.names & HEADER_NAMES))
@@ -251,22 +260,26 @@ def choices(wrapper: list) -> tuple[list[str], list[str]]:
             todo.append((below, child))
     order = sorted(nodes, key=lambda p: p.count(">"))
     holds: dict[str, bool] = {}  # whether an article or main lies within
+    named: dict[str, bool] = {}  # or a part that is named as content
     for path in reversed(order):
         node = nodes[path]
-        plain = node.tag in ("article", "main") or node.role == "main"
-        holds[path] = holds.get(path, False) or (plain and not node.names & DROPPED_NAMES)
+        holds[path] = holds.get(path, False) or node.is_content
+        named[path] = named.get(path, False) or bool(node.names & CONTENT_NAMES and not node.names & DROPPED_NAMES)
         if path:
             holds[parent[path]] = holds.get(parent[path], False) or holds[path]
+            named[parent[path]] = named.get(parent[path], False) or named[path]
     dropped: set[str] = set()
     within: dict[str, bool] = {}  # in an article or main
     for path in order:
         node = nodes[path]
         above = parent.get(path)
         inside = within.get(above, False)
-        within[path] = inside or node.tag in ("article", "main") or node.role == "main"
+        within[path] = inside or node.is_content
         strong = node.tag in DROPPED or node.role in DROPPED_ROLES
-        named = node.tag not in KEPT_TAGS and bool(node.names & DROPPED_NAMES) or node.tag == "article" and bool(node.names & ASIDE_NAMES) and not node.names & CONTENT_NAMES
-        if above in dropped or strong or (named and not holds[path]) or (node.header and not inside and not holds[path]):
+        # A layout's name, such as with-sidebar, doesn't count for what holds the content; comments may hold parts of any name.
+        exempt = holds[path] or (named[path] and not node.names & ASIDE_NAMES)
+        by_name = node.tag not in KEPT_TAGS and bool(node.names & DROPPED_NAMES) and not exempt
+        if above in dropped or strong or by_name or node.is_aside or (node.header and not inside and not exempt):
             dropped.add(path)
     whole = {p: 0 if p in dropped else text[p] for p in order}
     for path in reversed(order):
@@ -284,8 +297,8 @@ def choices(wrapper: list) -> tuple[list[str], list[str]]:
     elif mains:
         content = mains
     else:
-        named = [p for p in live if nodes[p].tag in ("div", "section", "td") and nodes[p].names & CONTENT_NAMES]
-        best = max(named, key=lambda p: (whole[p], -p.count(">"), p), default="")
+        parts = [p for p in live if nodes[p].tag in ("div", "section", "td") and nodes[p].names & CONTENT_NAMES]
+        best = max(parts, key=lambda p: (whole[p], -p.count(">"), p), default="")
         path = best if best and 2 * whole[best] >= whole[""] else ""
         if not path:
             while True:

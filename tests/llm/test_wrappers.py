@@ -28,6 +28,9 @@ def test_given_pages(spark):
 def test_boilerplate_goes_and_content_stays():
     assert wrappers.main_text(PAGE) == "Té\nOne two three\nFour\na\nb"
     assert wrappers.main_text("<body><div class=menu>m</div><div><div><p>Long text of the page</p>tail &lt;b&gt;<br>x</div></div><div>short</div></body>") == "Long text of the page\ntail <b> x"
+    layout = "<body><div class='layout with-sidebar'><div class=content><p>Body text</p></div><div class=sidebar>s</div></div><div id=comments><div class=content>much more text than there is in the body of it</div></div>"
+    assert wrappers.main_text(layout) == "Body text"
+    assert wrappers.main_text("<body><div class='wrap sidebar-left'><article class='post comments-open'><p>Body</p></article></div>") == "Body"
     assert wrappers.main_text("<!-- <p>no</p> --><script>a='<p>no</p>'</script>plain &amp;amp; text") == "plain &amp; text"
     assert wrappers.main_text(None) == "" and wrappers.main_text("<p></p>") == ""
     assert wrappers.main_text("<div>" * 5000 + "deep") == "deep"
