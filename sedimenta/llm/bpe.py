@@ -19,7 +19,6 @@ import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -29,6 +28,8 @@ from sedimenta.llm.common import bounded_batches
 #: Pieces, and pairs of tokens, whose results a worker keeps; older halves go first.
 CACHED_PIECES = 1_000_000
 CACHED_PAIRS = 2_000_000
+#: What stands before a piece's first token.
+START = -1
 
 
 class Vocabulary:
@@ -40,21 +41,26 @@ class Vocabulary:
         self.names = {rank: str(rank) for rank in self.bytes}
         self.longest = max(map(len, ranks), default=1)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
 
     @classmethod
     def from_file(cls, path: str) -> Vocabulary:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
-    def merged(self, piece: bytes) -> list[int]:
-        """The encoding by merging the lowest rank first; used for single tokens only."""
+    def merged(self, piece: bytes, below: float = float("inf")) -> list[int]:
+        """The encoding by merging the lowest rank first, ranks below a limit only; used for single tokens."""
+        get = self.ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
         while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], len(self.ranks) + 1))
-            if parts[best] + parts[best + 1] not in self.ranks:
+            best, at = below, -1
+            for i in range(len(parts) - 1):
+                rank = get(parts[i] + parts[i + 1])
+                if rank is not None and rank < best:
+                    best, at = rank, i
+            if at < 0:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
     def half(self, token: int) -> tuple[int, int] | None:
@@ -62,9 +68,7 @@ class Vocabulary:
         if token not in self.halves:
             text, found = self.bytes[token], None
             if len(text) > 1:
-                below = Vocabulary.__new__(Vocabulary)
-                below.ranks = _Below(self.ranks, token)
-                parts = below.merged(text)
+                parts = self.merged(text, token)
                 found = (parts[0], parts[1]) if len(parts) == 2 else None
             self.halves[token] = found
         return self.halves[token]
@@ -72,21 +76,46 @@ class Vocabulary:
     def makeable(self, token: int) -> bool:
         return len(self.bytes[token]) == 1 or self.half(token) is not None
 
-    def neighbours(self, left: int, right: int) -> bool:
-        """Whether the two tokens stay apart when their joint bytes are encoded.
+    def fits(self, left: int, right: int) -> bool:
+        """Whether right can follow left, or begin a piece if left is START: both stay apart when their bytes are encoded."""
+        return self.makeable(right) and (left == START or self._apart(left, right))
 
-        Their merges are undone from the latest on. At each point in time, the tokens that then touch at the border must
-        not have been mergeable with a rank below the merge that followed.
+    def extend(self, piece: bytes, last: list[int], until: int | None = None) -> None:
+        """Appends the valid last tokens of the prefixes of piece that last doesn't have yet.
+
+        Exactly one token is valid at each end; short ones are tried first, as most are short.
         """
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self._apart(left, right)
-        return known
+        get, pairs, longest = self.ranks.get, self.pairs, self.longest
+        for end in range(len(last), (len(piece) if until is None else until) + 1):
+            for start in range(end - 1, max(0, end - longest) - 1, -1):
+                token = get(piece[start:end])
+                if token is None:
+                    continue
+                key = last[start] << 32 | token
+                fits = pairs.get(key)
+                if fits is None:
+                    if len(pairs) >= CACHED_PAIRS:
+                        pairs.clear()
+                    fits = pairs[key] = self.fits(last[start], token)
+                if fits:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+
+    def tokens(self, piece: bytes, last: list[int]) -> list[int]:
+        """The encoding that a whole table holds, read from its end."""
+        out, at, text = [], len(piece), self.bytes
+        while at:
+            out.append(last[at])
+            at -= len(text[last[at]])
+        out.reverse()
+        return out
 
     def _apart(self, left: int, right: int) -> bool:
+        """The merges of both are undone from the latest on. At each point in time, the tokens that then touch at the border
+        must not have been mergeable with a rank below the merge that followed.
+        """
         ranks, text = self.ranks, self.bytes
         # A merge on the left wins a tie of ranks, as it comes first in the text; on the right it loses.
         horizon = float("inf")
@@ -103,48 +132,18 @@ class Vocabulary:
                 horizon, right = right + 0.5, b[0]
 
 
-class _Below:
-    """Ranks below a limit, and all single bytes."""
-
-    def __init__(self, ranks: dict[bytes, int], limit: int):
-        self.ranks, self.limit = ranks, limit
-
-    def get(self, text: bytes, default: int) -> int:
-        rank = self.ranks.get(text)
-        return default if rank is None or (rank >= self.limit and len(text) > 1) else rank
-
-    def __contains__(self, text: bytes) -> bool:
-        return self.get(text, -1) >= 0
-
-    def __getitem__(self, text: bytes) -> int:
-        return self.ranks[text]
-
-    def __len__(self) -> int:
-        return len(self.ranks)
-
-
 class PrefixEncoder:
     """The table of one piece: the valid last token of every prefix."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
         self.vocabulary = vocabulary
         self.piece = b""
-        self.last: list[int] = [-1]
+        self.last: list[int] = [START]
         self.append(piece)
 
-    def _at(self, piece: bytes, end: int, last: list[int]) -> int:
-        vocabulary = self.vocabulary
-        get, fits = vocabulary.ranks.get, vocabulary.neighbours
-        for start in range(max(0, end - vocabulary.longest), end):
-            token = get(piece[start:end])
-            if token is not None and (vocabulary.makeable(token) if not start else fits(last[start], token) and vocabulary.makeable(token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
-
     def append(self, more: bytes) -> None:
         self.piece += more
-        for end in range(len(self.last), len(self.piece) + 1):
-            self.last.append(self._at(self.piece, end, self.last))
+        self.vocabulary.extend(self.piece, self.last)
 
     def edit(self, start: int, end: int, new: bytes) -> int:
         """Replace piece[start:end]; gives the number of prefixes computed anew.
@@ -160,7 +159,7 @@ class PrefixEncoder:
             if same >= vocabulary.longest:
                 last.extend(old[at - shift :])
                 break
-            last.append(self._at(piece, at, last))
+            vocabulary.extend(piece, last, at)
             done += 1
             before = at - shift
             # A token that reaches back into the edit is the old one by chance only.
@@ -169,11 +168,7 @@ class PrefixEncoder:
         return done
 
     def ids(self) -> list[int]:
-        out, at, text = [], len(self.piece), self.vocabulary.bytes
-        while at:
-            out.append(self.last[at])
-            at -= len(text[self.last[at]])
-        return out[::-1]
+        return self.vocabulary.tokens(self.piece, self.last)
 
 
 class Codec:
@@ -190,7 +185,12 @@ class Codec:
         if found is None:
             raw = piece.encode("utf-8", "surrogatepass")
             whole = self.vocabulary.ranks.get(raw)
-            found = (whole,) if whole is not None else tuple(PrefixEncoder(self.vocabulary, raw).ids())
+            if whole is not None:
+                found = (whole,)
+            else:
+                last = [START]
+                self.vocabulary.extend(raw, last)
+                found = tuple(self.vocabulary.tokens(raw, last))
         if len(self.new) >= CACHED_PIECES // 2:
             self.old, self.new = self.new, {}
         self.new[piece] = found
@@ -243,10 +243,11 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids of every row."""
     bounded_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for rows in batches:
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": [own.encode(t) for t in rows["text"]]})
+        for batch in batches:
+            ids = pa.array([own.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
