@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,7 +38,7 @@ MIN_IDS = 64
 MAX_IDS = 2048
 CUT_BITS = 8
 #: Words whose ids a worker keeps; older halves go first.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 #: Words that reach the library in one text, and the word between them.
 JOINT_WORDS = 2000
 MARK = "\x01"
@@ -391,9 +390,9 @@ class TokenStore:
         parts = uses.join(self.chunks, "digest").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("pos", "width", "ids"))).alias("parts"))
         kind = recipes.schema["doc_id"].dataType.simpleString()
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for rows in batches:
-                ids = [np.concatenate([np.frombuffer(p["ids"], dtype=f"<u{p['width']}").astype(np.int32) for p in parts]) for parts in rows["parts"]]
-                yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": ids})
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = [np.concatenate([np.frombuffer(p["ids"], dtype=f"<u{p['width']}").astype(np.int32) for p in parts]) for parts in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-        return recipes.select("row", "doc_id").join(parts, "row").select("doc_id", "parts").mapInPandas(run, f"doc_id {kind}, ids array<int>")
+        return recipes.select("row", "doc_id").join(parts, "row").select("doc_id", "parts").mapInArrow(run, f"doc_id {kind}, ids array<int>")
