@@ -15,9 +15,13 @@ RATE_WINDOWS = (30, 60, 300)
 FORECAST_LEAST = 3
 
 
-def linear_percentiles(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Interpolated p50 and p90 of each column, three decimals."""
-    cells = [F.round(F.percentile(c, F.lit(p)), 3).alias(f"{c}_p{int(p * 100)}") for c in columns for p in (0.5, 0.9)]
+def linear_percentiles(df: DataFrame, columns: list[str], by: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+    """Interpolated p50 and p90 of each column, three decimals.
+
+    Exact ones hold a group's different values in memory; with an accuracy, sketches of a fixed size give them nearly.
+    """
+    one = (lambda c, p: F.percentile(c, F.lit(p))) if accuracy is None else (lambda c, p: F.percentile_approx(c, p, accuracy))
+    cells = [F.round(one(c, p), 3).alias(f"{c}_p{int(p * 100)}") for c in columns for p in (0.5, 0.9)]
     return (df.groupBy(*by) if by else df).agg(*cells)
 
 
@@ -159,6 +163,20 @@ def job_overlaps(jobs: DataFrame, by: str, job: str, first: str, last: str) -> D
     return a.join(b, meet & overlap & once).select(F.col(f"a.{by}").alias(by), F.col(f"a.{job}").alias("left_job"), F.col(f"b.{job}").alias("right_job"))
 
 
+def job_snapshot(items: DataFrame, now: Column, started: Column, total: Column, classes: dict[str, list[str]], active: Column | None = None) -> DataFrame:
+    """One row on a job: counts and shares by class, rates, forecast and ETA, and whether it has stalled (60 s without a change).
+
+    items has status and updated_at (a timestamp).
+    """
+    active = F.lit(True) if active is None else active
+    span = F.greatest(F.lit(0.001), now.cast("double") - started.cast("double"))
+    rates = with_eta(rolling_rates(items, "updated_at", now, span), total - items.agg(F.count(F.lit(1)).alias("n")).scalar(), active)
+    last = items.agg(F.max("updated_at").alias("t")).scalar()
+    done = progress(items, "status", classes)
+    out = rates.withColumns({c: done.select(c).scalar() for c in done.columns})
+    return out.withColumn("stalled", active & is_stalled(F.coalesce(last, started), now, 60))
+
+
 def live_decision(host_state: Column, now: Column, opened_at: Column, cooldown: int) -> Column:
     """What an open circuit allows: nothing, one probe after the cool-down, or all."""
     return case((host_state != "open", "allow"), (now.cast("double") - opened_at.cast("double") >= cooldown, "probe"), otherwise="skip")

@@ -5,15 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.session import checkpointed
+
+
+def numbered(df: DataFrame, by: list[str], order: list[Column], name: str, ranges: int | None = None) -> DataFrame:
+    """df with each row's number, from 1, within its group.
+
+    A group may hold a third of all rows, or there may be no groups at all: rows are dealt to ranges of group and order,
+    numbered within each, and then moved by their group's rows in the ranges before. Only counts meet in one place.
+    """
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in by]
+    ranged = checkpointed(df.repartitionByRange(n, *keys, *order).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_range").alias("_r"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order))
+    meet = F.col("_range") == F.col("_r")
+    for i, c in enumerate(by):
+        meet &= F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    out = ranged.withColumn("_own", own).join(before, meet).withColumn(name, F.col("_before") + F.col("_own"))
+    return out.drop("_range", "_r", "_before", "_own", *[f"_by{i}" for i in range(len(by))])
+
 
 def fair_order(df: DataFrame, bucket: Column, order: list[Column], by_size: bool = False) -> DataFrame:
-    """df with bucket, round and turn_key columns: ordered by them (turn_columns), rows alternate between buckets.
+    """df with bucket and round (and bucket_size): ordered by turn_columns(), rows alternate between buckets.
 
     Buckets take turns by name, or by (initial size, name) with by_size. Sorting is left to the reader: a total order over
     a corpus is a range sort, never a single task.
     """
     out = df.withColumn("bucket", F.coalesce(F.nullif(bucket, F.lit("")), F.lit("_unknown")))
-    out = out.withColumn("round", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)))
+    out = numbered(out, ["bucket"], order, "round")
     if by_size:
         sizes = out.groupBy("bucket").agg(F.count(F.lit(1)).alias("bucket_size"))
         out = out.join(sizes, "bucket")
@@ -45,15 +67,9 @@ def select_recovery(pending: DataFrame, host: Column, limit: int) -> DataFrame:
 
 
 def pages(df: DataFrame, order: list[Column], size: int = 100, ranges: int | None = None) -> DataFrame:
-    """df with position (from 1, in order) and page. Ranges are numbered apart and then moved by the rows before them."""
-    spark = df.sparkSession
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
-    sums = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
-    before = sums.select("_range", F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    out = ranged.join(F.broadcast(before), "_range").withColumn("position", F.col("_before") + own)
-    return out.withColumn("page", F.ceil(F.col("position") / size)).drop("_range", "_before")
+    """df with position (from 1, in order) and page."""
+    out = numbered(df, [], order, "position", ranges)
+    return out.withColumn("page", F.ceil(F.col("position") / size))
 
 
 def gcra(df: DataFrame, key: str, arrival: str, rate: float, burst: int) -> DataFrame:

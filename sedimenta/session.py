@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,3 +25,14 @@ def local_session(cpus: int | None = None, shuffle_partitions: int = 8, memory:
     spark = builder.config("spark.sql.shuffle.partitions", shuffle_partitions).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder: what reads it twice reads the same rows in the same partitions.
+
+    The folder is spark.checkpoint.dir; a temporary one only where none is named, as in tests.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sedimenta-"))
+    return df.checkpoint()

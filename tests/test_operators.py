@@ -30,6 +30,26 @@ def test_pages_number_in_order(spark):
     assert rows(out.select("k", "position", "page"), "k") == [(k, k + 1, k // 100 + 1) for k in range(1050)]
 
 
+def test_numbers_within_hot_groups(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, None).otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"), (F.col("id") * 7919 % 3001).alias("k"))
+    out = schedule.numbered(df, ["g"], [F.col("k")], "n", 16)
+    seen = {}
+    for r in df.collect():
+        seen.setdefault(r.g, []).append(r.k)
+    assert sorted(((r.g, r.k, r.n) for r in out.collect()), key=str) == sorted(((g, k, i + 1) for g, ks in seen.items() for i, k in enumerate(sorted(ks))), key=str)
+
+
+def test_job_snapshot(spark):
+    t = "2024-01-01 00:00:"
+    items = spark.createDataFrame([("ok", t + "10"), ("ok", t + "50"), ("bad", t + "55"), ("ok", t + "58")], "status string, at string").withColumn("updated_at", F.to_timestamp("at"))
+    now, started = F.to_timestamp(F.lit("2024-01-01 00:01:00")), F.to_timestamp(F.lit(t + "00"))
+    row = metrics.job_snapshot(items, now, started, F.lit(10), {"successful": ["ok"], "failed": ["bad"]}).first()
+    assert (row.total, row.successful, row.failed, row.successful_pct, row.count_30, row.count_60, row.stalled) == (4, 3, 1, 75.0, 3, 4, False)
+    assert row.eta_seconds == 60.0 * 6 / 4.0
+    late = metrics.job_snapshot(items, F.to_timestamp(F.lit("2024-01-01 00:10:00")), started, F.lit(10), {"successful": ["ok"]}).first()
+    assert late.stalled and late.eta_seconds is None
+
+
 def test_gcra(spark):
     arrivals = [(0.0,), (0.1,), (0.2,), (5.0,), (5.1,)]
     df = spark.createDataFrame([("h", a) for (a,) in arrivals], "h string, a double")
