@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sedimenta.functions import fixed
 from sedimenta.functions.values import percent
 from sedimenta.operators.classify import coordinate_class, coordinate_reasons
 
@@ -112,6 +113,39 @@ def record_rules() -> list[Rule]:
     ]
 
 
+def release_gates(t: dict[str, DataFrame]) -> DataFrame:
+    """name, found and ok of each gate of a release: found counts what breaks it.
+
+    t has records, sources and references, and optionally index (id, kind), points (record_id), pages (record_id) and
+    exports (raw_url, normalized_url); gates of tables that aren't given are left out.
+    """
+    records, sources, references = t["records"], t["sources"], t["references"]
+    statuses = sources.groupBy("content_status").agg(F.count(F.lit(1)).alias("n"))
+    unknown = statuses.where(~F.col("content_status").isin(*fixed.SOURCE_STATUSES))
+    gates = [(r.code, r.find(t)) for r in record_rules() if r.severity == "critical"]
+    gates += [
+        ("status_unknown", unknown),
+        ("status_missing", sources.where("content_status is null")),
+        ("blocked_without_evidence", sources.where("content_status = 'BLOCKED' and reachability != 'BLOCKED'")),
+        ("dead_without_evidence", sources.where("content_status = 'DEAD' and reachability != 'DEAD'")),
+        ("malformed_with_host", sources.where("content_status = 'MALFORMED' and url_status != 'malformed'") if "url_status" in sources.columns else sources.where("false")),
+        ("raw_url_lost", references.where("raw_url is null") if "raw_url" in references.columns else references.where("false")),
+        ("source_without_reference", sources.join(references.select("source_id"), "source_id", "left_anti")),
+    ]
+    if "index" in t:
+        wanted = records.select(F.col("record_id").alias("id"), F.lit("record").alias("kind")).unionByName(sources.select(F.col("source_id").alias("id"), F.lit("source").alias("kind")))
+        gates += [("index_lacks", wanted.join(t["index"], ["id", "kind"], "left_anti")), ("index_has_more", t["index"].join(wanted, ["id", "kind"], "left_anti"))]
+    if "points" in t:
+        drawable = records.where(coordinate_class("latitude", "longitude") == "drawable").select("record_id")
+        gates += [("point_missing", drawable.join(t["points"], "record_id", "left_anti")), ("point_not_drawable", t["points"].join(drawable, "record_id", "left_anti"))]
+    if "pages" in t:
+        gates += [("page_missing", records.select("record_id").join(t["pages"], "record_id", "left_anti")), ("page_orphaned", t["pages"].join(records.select("record_id"), "record_id", "left_anti"))]
+    if "exports" in t:
+        gates += [(f"export_lacks_{c}", references.where(F.coalesce(F.col(c), F.lit("")) != "").select(c).join(t["exports"].select(c), c, "left_anti")) for c in ("raw_url", "normalized_url")]
+    parts = [rows.agg(F.count(F.lit(1)).alias("found")).select(F.lit(name).alias("name"), "found", (F.col("found") == 0).alias("ok")) for name, rows in gates]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def map_coverage(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """Records in all and on the map, the share, and records by coordinate class."""
     kind = coordinate_class(lat, lon)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.functions.urls import hash_id, normalize_url
+from sedimenta.functions.urls import hash_id, normalize_url, urls_in
+from sedimenta.operators.extract import json_leaves
 
 
 def match_sources(references: DataFrame, sources: DataFrame) -> DataFrame:
@@ -106,3 +107,20 @@ def hydrate_from_cache(sources: DataFrame, cache: DataFrame) -> DataFrame:
     wanted = sources.where("text is null or text = ''")
     found = wanted.join(good, (F.col("fetch_key") == F.col("_k")) & (F.col("source_id") != F.col("cached_from")))
     return found.groupBy("source_id").agg(F.min(F.struct("cached_from", "cached_text")).alias("hit")).select("source_id", "hit.cached_from", "hit.cached_text")
+
+
+def link_evidence(declared: DataFrame, documents: DataFrame, key: str, column: str) -> DataFrame:
+    """key, url, path and kind of every link: those declared, and those found in the texts of JSON documents with their path.
+
+    declared has key and url.
+    """
+    found = json_leaves(documents, key, column).select(key, F.explode(urls_in("value")).alias("url"), "path").withColumn("kind", F.lit("embedded"))
+    own = declared.select(key, "url", F.lit(None).cast("string").alias("path"), F.lit("declared").alias("kind"))
+    return own.unionByName(found)
+
+
+def worklist_digest(targets: DataFrame) -> DataFrame:
+    """One digest for a set of rows, whatever their order: rows' SHA-256 are added in four parts, so no task holds them all."""
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(targets.columns)])), 256).alias("h")
+    part = lambda i: F.sum(F.conv(F.substring("h", 16 * i + 1, 16), 16, 10).cast("decimal(38,0)")).cast("string")
+    return targets.select(row).agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[F.coalesce(part(i), F.lit("0")) for i in range(4)]), 256).alias("digest"))

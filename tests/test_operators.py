@@ -88,6 +88,16 @@ def test_stages_add_only_unseen_pairs(spark):
     assert rows(out, "origin", "occurrence") == [("embedded", 1, "w", False), ("historical", 1, "u", False), ("historical", 2, "u", True), ("provenance", 1, "v", False)]
 
 
+def test_link_evidence_and_digests(spark):
+    declared = spark.createDataFrame([(1, "http://a")], "id int, url string")
+    docs = spark.createDataFrame([(1, '{"t": ["see http://b, and http://c."]}'), (2, None)], "id int, j string")
+    assert rows(refs.link_evidence(declared, docs, "id", "j").select("url", "path", "kind"), "url") == [("http://a", None, "declared"), ("http://b", "$.t[0]", "embedded"), ("http://c", "$.t[0]", "embedded")]
+    digest = lambda df: refs.worklist_digest(df).first().digest
+    work = spark.range(100)
+    assert digest(work) == digest(work.repartition(7).orderBy(F.desc("id"))) != digest(work.where("id > 0"))
+    assert digest(work.where("false")) == digest(work.where("id < 0"))
+
+
 def test_merge_lists_conflicts(spark):
     df = spark.createDataFrame([("r", "f", "A", "api", 1), ("r", "f", "a ", "live", 2), ("r", "f", "b", "archive", 9), ("r", "g", "", "api", 1), ("r", "g", "x", "historical", 1)], "record_id string, field string, value string, origin string, captured_at int")
     chosen, conflicts = merge.merge_fields(df)
@@ -243,6 +253,22 @@ def test_rules_become_issues(spark):
     assert tuple(audit.verdict(found.where("false")).first()) == (0, 0, 0, True)
 
 
+def test_release_gates(spark):
+    t = {
+        "records": spark.createDataFrame([("r1", "35", "36"), ("r2", None, None)], "record_id string, latitude string, longitude string"),
+        "sources": spark.createDataFrame([("s1", "FULL_TEXT_DIRECT", "text", 200, "FETCHED", "unchanged"), ("s2", "DEAD", None, 404, "DEAD", "unchanged")], "source_id string, content_status string, text string, http_status int, reachability string, url_status string"),
+        "references": spark.createDataFrame([("f1", "r1", "s1", "http://a", "http://a/"), ("f2", "r2", "s2", "http://b", "http://b/")], "source_reference_id string, record_id string, source_id string, raw_url string, normalized_url string"),
+    }
+    t["index"] = spark.createDataFrame([("r1", "record"), ("r2", "record"), ("s1", "source"), ("s2", "source")], "id string, kind string")
+    t["points"] = spark.createDataFrame([("r1",)], "record_id string")
+    t["pages"] = t["records"].select("record_id")
+    t["exports"] = t["references"].select("raw_url", "normalized_url")
+    gates = audit.release_gates(t)
+    assert tuple(audit.acceptance(gates).first()) == (gates.count(), 0, True) and gates.count() > 20
+    broken = t | {"points": spark.createDataFrame([("r2",)], "record_id string"), "pages": spark.createDataFrame([("r1",), ("r9",)], "record_id string"), "sources": t["sources"].withColumn("reachability", F.lit("FETCHED"))}
+    assert {r.name for r in audit.release_gates(broken).where("not ok").collect()} == {"dead_without_evidence", "point_missing", "point_not_drawable", "page_missing", "page_orphaned"}
+
+
 def test_links_resolve_and_break(spark):
     pages = spark.createDataFrame([("/a/b.html", '<a href="c.html"><a href="../d/"><a href="../../x"><a href="http://o/"><a href="#t"><img src="/no.png"><a href="/a/b.html?q#f">')], "path string, html string")
     files = spark.createDataFrame([("/a/b.html",), ("/a/c.html",), ("/d/index.html",)], "path string")
