@@ -16,6 +16,8 @@ from sedimenta.functions.values import ColumnLike, case, col, contains_any, let
 #: Python's line ends, and its white space (Java's (?U)\s lacks the four separators \x1c-\x1f).
 LINE_ENDS = r"\r\n|[\r\n\x0b\x0c\x1c\x1d\x1e\x85  ]"
 WIDE_BLANK = r"[\s\x1c-\x1f]"
+#: Runs are tried from their first character only, so long ones take linear time.
+INLINE_BLANK = r"[\s\x1c-\x1f&&[^\n]]"
 
 
 def _text(c: ColumnLike | None) -> Column:
@@ -23,7 +25,7 @@ def _text(c: ColumnLike | None) -> Column:
 
 
 def stripped(c: ColumnLike) -> Column:
-    return F.regexp_replace(_text(c), rf"(?U)^{WIDE_BLANK}+|{WIDE_BLANK}+$", "")
+    return F.regexp_replace(_text(c), rf"(?U)^{WIDE_BLANK}+|(?<!{WIDE_BLANK}){WIDE_BLANK}+$", "")
 
 
 def clean_text(c: ColumnLike) -> Column:
@@ -31,7 +33,7 @@ def clean_text(c: ColumnLike) -> Column:
     t = F.replace(_text(c), F.lit(" "), F.lit(" "))
     t = F.regexp_replace(t, LINE_ENDS, "\n")
     t = F.regexp_replace(t, r"[ \t\f\x0b]+", " ")
-    t = F.regexp_replace(t, rf"(?U)(?:(?!\n){WIDE_BLANK})*\n(?:(?!\n){WIDE_BLANK})*", "\n")
+    t = F.regexp_replace(t, rf"(?U)(?:(?<!{INLINE_BLANK}){INLINE_BLANK}+)?\n{INLINE_BLANK}*", "\n")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
     return stripped(t)
 

@@ -25,7 +25,7 @@ def _raw(url: ColumnLike) -> Column:
 
 
 def _trimmed(url: ColumnLike) -> Column:
-    return F.regexp_replace(_raw(url), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_raw(url), r"(?U)^\s+|(?<!\s)\s+$", "")
 
 
 def _part(value: Column, group: int) -> Column:

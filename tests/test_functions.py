@@ -89,6 +89,7 @@ def test_source_type(spark, url, publisher, kind):
 def test_clean_text(spark):
     assert one(spark, text.clean_text("t"), t=" a  b\r\nc\t \td\n\n\n\n e  f\x0bg ") == "a b\nc d\n\ne\nf\ng"
     assert one(spark, text.clean_text("t"), t=None) == ""
+    assert one(spark, text.clean_text("t"), t="a" + "\u3000" * 100_000 + "\nb" + "\u3000" * 100_000 + "c").startswith("a\nb\u3000")
 
 
 def test_same_value(spark):
