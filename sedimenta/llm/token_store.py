@@ -37,8 +37,8 @@ WINDOW_IDS = 16
 MIN_IDS = 64
 MAX_IDS = 2048
 CUT_BITS = 8
-#: Words whose ids a worker keeps; older halves go first.
-CACHED_WORDS = 300_000
+#: Words whose ids a worker keeps; beyond, it keeps those of the block at hand.
+CACHED_WORDS = 500_000
 #: Words that reach the library in one text, and the word between them.
 JOINT_WORDS = 2000
 MARK = "\x01"
@@ -158,48 +158,60 @@ class WordEncoder:
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 65536 else np.dtype("<u4")
         self.coded = [i.to_bytes(self.width.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.new: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        """Words go to the library in one text, apart by a word that none of them holds: this saves most of its cost."""
-        tokenize, coded = self.model.tokenize, self.coded
-        joint = []
-        for word in words:
+        # Known words, and where the ids of each stand in one table.
+        self.known = pa.array([""], pa.string())
+        self.table, self.starts, self.counts = np.zeros(0, dtype=self.width), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of words from the library. They go to it in one text, apart by a word that none of them holds: this saves most of its cost."""
+        tokenize, coded, size = self.model.tokenize, self.coded, self.width.itemsize
+        out: list[bytes] = [b""] * len(words)
+        joint: list[int] = []
+        for i, word in enumerate(words):
             if word.isascii() and word.isalpha() and word.islower():
                 # Plain lower-case letters are what normalisers and splitters would leave, so they go to the model itself.
-                self.new[word] = b"".join([coded[t.id] for t in tokenize(word)])
-            elif MARK not in word:
-                joint.append(word)
+                out[i] = b"".join([coded[t.id] for t in tokenize(word)])
+            elif MARK in word:
+                out[i] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.width).tobytes()
+            else:
+                joint.append(i)
         for at in range(0, len(joint), JOINT_WORDS):
             part = joint[at : at + JOINT_WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, dtype=self.width)
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join([words[i] for i in part])], add_special_tokens=False)[0].ids, dtype=self.width)
             ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
             if len(ends) != len(part):
                 raise ValueError("the words' ids can't be told apart")
-            raw, size, start = ids.tobytes(), self.width.itemsize, 0
-            for word, end in zip(part, ends, strict=True):
-                self.new[word] = raw[start * size : end * size]
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(part, ends, strict=True):
+                out[i] = raw[start * size : end * size]
                 start = end + 1
-        for word in words:
-            if MARK in word:
-                self.new[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.width).tobytes()
-
-    def lookup(self, words: list[str]) -> list[bytes]:
-        """The ids of different words."""
-        if len(self.new) > CACHED_WORDS // 2:
-            self.old, self.new = self.new, {"": b""}
-        new, old = self.new, self.old
-        found = list(map(new.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        self._learn([words[i] for i in missing if words[i] not in old])
-        for i in missing:
-            word = words[i]
-            ids = new.get(word)
-            if ids is None:
-                ids = new[word] = old[word]
-            found[i] = ids
-        return found
+        return out
+
+    def _forget_all_but(self, kept: np.ndarray) -> None:
+        starts, self.counts = self.starts[kept], self.counts[kept]
+        self.known = self.known.take(pa.array(kept))
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.table = self.table[np.repeat(starts - self.starts, self.counts) + np.arange(self.counts.sum())]
+
+    def lookup(self, words: pa.Array) -> np.ndarray:
+        """The numbers of different words among the known ones; new ones become known. At most CACHED_WORDS stay known besides the block's own."""
+        at = pc.index_in(words, value_set=self.known)
+        if at.null_count:
+            if len(self.known) + at.null_count > CACHED_WORDS:
+                self._forget_all_but(np.unique(at.drop_null().to_numpy()))
+                at = pc.index_in(words, value_set=self.known)
+            missing = words.filter(at.is_null())
+            ids = self._encoded(missing.to_pylist())
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width.itemsize
+            first = len(self.known)
+            self.starts = np.concatenate([self.starts, len(self.table) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.table = np.concatenate([self.table, np.frombuffer(b"".join(ids), dtype=self.width)])
+            self.known = pa.concat_arrays([self.known, missing])
+            numbers = at.fill_null(0).to_numpy().astype(np.int64)
+            numbers[at.is_null().to_numpy(zero_copy_only=False)] = np.arange(first, first + len(ids))
+            return numbers
+        return at.to_numpy().astype(np.int64)
 
     @staticmethod
     def parted(words: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
@@ -226,21 +238,22 @@ class WordEncoder:
         at = words.indices.to_numpy()
         units, tails, marks = self.parted(words.dictionary)
         units = units.dictionary_encode()
-        different = units.dictionary.to_pylist()
-        ids = self.lookup(different + marks)
+        # One lookup for both: a second one might move what the first found.
+        both = pa.concat_arrays([units.dictionary, pa.array(marks, pa.string())]).dictionary_encode()
+        numbers = self.lookup(both.dictionary)[both.indices.to_numpy()]
+        numbers, marked = numbers[: len(units.dictionary)], numbers[len(units.dictionary) :]
         # Each word is a unit and its marks, the latter often none.
         pieces = np.empty(2 * len(at), dtype=np.int64)
-        pieces[0::2] = units.indices.to_numpy()[at]
-        pieces[1::2] = len(different) + tails[at]
+        pieces[0::2] = numbers[units.indices.to_numpy()][at]
+        pieces[1::2] = marked[tails][at]
         # A block's positions fit in 32 bits, unless a single text is larger than a block by far.
-        n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width.itemsize
-        table, starts, each = np.frombuffer(b"".join(ids), dtype=self.width), np.cumsum(n) - n, n[pieces]
+        each = self.counts[pieces]
         ends = np.cumsum(each)
         kind = np.int32 if not len(ends) or ends[-1] < 1 << 31 else np.int64
-        where = np.repeat((starts[pieces] - (ends - each)).astype(kind), each)
+        where = np.repeat((self.starts[pieces] - (ends - each)).astype(kind), each)
         where += np.arange(len(where), dtype=kind)
         ends = np.concatenate([[0], ends])
-        return table[where], ends[2 * (lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py())]
+        return self.table[where], ends[2 * (lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py())]
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         ids, ends = self.encode(pa.array(texts, pa.string()))
