@@ -7,48 +7,49 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm import bpe, exact_dedup, interleave, mixing, quality, secret_scan, simhash, token_store, warc, wrappers
 from sedimenta.llm.common import table
+from sedimenta.session import spread
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.captures(table(spark, sf_dir, "pages"))
+    return warc.captures(spread(table(spark, sf_dir, "pages")))
 
 
 def op3_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interleave.media_features(table(spark, sf_dir, "documents"))
+    return interleave.media_features(spread(table(spark, sf_dir, "documents")))
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.TokenStore.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).verified()
+    return token_store.TokenStore.write(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("word_bpe_49k.json")).verified()
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.Mix().taken(table(spark, sf_dir, "documents"))
+    return mixing.Mix().taken(spread(table(spark, sf_dir, "documents")))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = simhash.near_duplicates(spread(table(spark, sf_dir, "documents")))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
 def op7_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wrappers.extracted(table(spark, sf_dir, "pages"))
+    return wrappers.extracted(spread(table(spark, sf_dir, "pages")))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(spread(table(spark, sf_dir, "documents")))
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(spread(table(spark, sf_dir, "documents")))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trips(spread(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES = {
