@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions import fixed, text
 from sedimenta.operators import classify, dedupe, extract, metrics, schedule, search
-from sedimenta.plans.registry import query, table
+from sedimenta.plans.registry import heavy, query, table
 
 _CLEAN = r"""
     trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace({c}, chr(160), ' '), '\r\n|[\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]', chr(10), 'g'),
@@ -19,7 +19,7 @@ _DOCS = "d AS (SELECT *, " + _CLEAN.format(c="text") + " AS clean FROM documents
 @query(f"WITH {_DOCS} SELECT doc_id, length(clean) AS n_clean, sha256(clean) AS clean_sha256 FROM d")
 def clean_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = text.clean_text("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(clean).cast("bigint").alias("n_clean"), F.sha2(clean, 256).alias("clean_sha256"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", F.length(clean).cast("bigint").alias("n_clean"), F.sha2(clean, 256).alias("clean_sha256"))
 
 
 _SHARE = "length(regexp_replace(text, '[^{r}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')), 0)::DOUBLE"
@@ -34,7 +34,7 @@ _SHARE = "length(regexp_replace(text, '[^{r}]', '', 'g')) / nullif(length(regexp
     SELECT doc_id, by_script, CASE WHEN lang IN ('ar', 'de', 'en', 'es', 'fa', 'fr', 'he', 'ku', 'ru', 'tr') THEN lang ELSE by_script END AS with_label FROM c
 """)
 def language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.detect_language("text").alias("by_script"), text.detect_language("text", "lang").alias("with_label"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", text.detect_language("text").alias("by_script"), text.detect_language("text", "lang").alias("with_label"))
 
 
 def _quality_sql(source: str, key: str) -> str:
@@ -60,12 +60,12 @@ def _quality(df: DataFrame, *keys: str) -> DataFrame:
 
 @query(_quality_sql("documents", "doc_id"))
 def content_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality(table(spark, sf_dir, "documents"), "doc_id")
+    return _quality(heavy(spark, sf_dir, "documents"), "doc_id")
 
 
 @query(_quality_sql("conversations", "conv_id, turn"))
 def turn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return _quality(heavy(spark, sf_dir, "conversations"), "conv_id", "turn")
 
 
 @query("""
@@ -87,7 +87,7 @@ def dup_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.text_chunks("text", 7000)).alias("position", "chunk"))
+    rows = heavy(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.text_chunks("text", 7000)).alias("position", "chunk"))
     return rows.select("doc_id", "position", F.length("chunk").alias("n_chars"), F.sha2("chunk", 256).alias("sha256"))
 
 
@@ -140,8 +140,8 @@ def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), F.col("lang").alias("status"), "text")
-    sources = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), F.col("url").alias("title"), F.lit("page").alias("status"), F.lit("").alias("text"))
+    records = heavy(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), F.col("lang").alias("status"), "text")
+    sources = heavy(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), F.col("url").alias("title"), F.lit("page").alias("status"), F.lit("").alias("text"))
     return search.index_rows(records, sources)
 
 
@@ -151,13 +151,13 @@ def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def contamination_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.sha2(F.lower(F.trim(F.regexp_replace("text", r"[ \t\r\n]+", " "))), 256).alias("k")
-    return table(spark, sf_dir, "documents").select("doc_id", key).join(table(spark, sf_dir, "benchmark").select(key), "k").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", key).join(heavy(spark, sf_dir, "benchmark").select(key), "k").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def page_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every page by the best candidate, with its quality."""
-    pages = table(spark, sf_dir, "pages")
+    pages = heavy(spark, sf_dir, "pages")
     kind = classify.body_format(F.col("html").cast("binary"), F.lit("text/html"), "url")
     found = extract.extract_bodies(pages, "page_id", "html", F.lit("text/html; charset=utf-8"), kind)
     q = text.content_quality("text", "title")

@@ -36,3 +36,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sedimenta-"))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table with fewer partitions than there are cores, dealt evenly; any other as it is.
+
+    A file of one row group is one task, however costly its rows. Large tables have many, and aren't shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
