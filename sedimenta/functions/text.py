@@ -66,21 +66,30 @@ def unique_paragraphs(blocks: ColumnLike) -> Column:
 
 
 def _letters(c: Column, ranges: str) -> Column:
-    return F.length(F.regexp_replace(c, f"[^{ranges}]", ""))
+    """How many characters are of the ranges: only their runs are replaced, which is little work for foreign scripts."""
+    return F.length(c) - F.length(F.regexp_replace(c, f"[{ranges}]+", ""))
 
 
 def detect_language(text: ColumnLike, declared: ColumnLike | None = None) -> Column:
     """A declared label's language, else that of the script with enough of the letters, else und."""
     t = _text(text)
-    letters = F.length(F.regexp_replace(t, r"(?U)[\W\d_]", "")).cast("double")
-    share = lambda ranges: F.coalesce(F.try_divide(_letters(t, ranges).cast("double"), letters), F.lit(0.0))
-    by_script = case(
-        (letters == 0, "und"),
-        (share("\u0600-\u06ff\u0750-\u077f") >= fixed.SCRIPT_SHARE, "ar"),
-        (share("\u0590-\u05ff") >= fixed.SCRIPT_SHARE, "he"),
-        (share("\u0400-\u04ff") >= fixed.SCRIPT_SHARE, "ru"),
-        (share("A-Za-z") >= fixed.LATIN_SHARE, "en"),
-        otherwise="und",
+    counts = F.struct(
+        _letters(t, r"\p{L}\p{Nl}\p{No}").cast("double").alias("all"),
+        _letters(t, "\u0600-\u06ff\u0750-\u077f").alias("ar"),
+        _letters(t, "\u0590-\u05ff").alias("he"),
+        _letters(t, "\u0400-\u04ff").alias("ru"),
+        _letters(t, "A-Za-z").alias("en"),
+    )
+    by_script = let(
+        counts,
+        lambda n: case(
+            (n["all"] == 0, "und"),
+            (n["ar"] >= fixed.SCRIPT_SHARE * n["all"], "ar"),
+            (n["he"] >= fixed.SCRIPT_SHARE * n["all"], "he"),
+            (n["ru"] >= fixed.SCRIPT_SHARE * n["all"], "ru"),
+            (n["en"] >= fixed.LATIN_SHARE * n["all"], "en"),
+            otherwise="und",
+        ),
     )
     if declared is None:
         return by_script

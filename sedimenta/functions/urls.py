@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sedimenta.functions import fixed
-from sedimenta.functions.values import ColumnLike, case, col, contains_any
+from sedimenta.functions.values import ColumnLike, case, col, contains_any, let
 
 #: Scheme, host, port, path and query of an HTTP URL.
 PARTS = r"^([Hh][Tt][Tt][Pp][Ss]?)://(?:[^/?#@]*@)?([^/?#:@]+)(?::([0-9]*))?(/[^?#]*)?(\?[^#]*)?(#.*)?$"
@@ -40,42 +40,59 @@ def _port(value: Column) -> Column:
     return F.coalesce(F.nullif(_part(value, 3), F.lit("")).try_cast("bigint"), F.lit(-1))
 
 
-def _joined(value: Column) -> Column:
-    scheme, port = F.lower(_part(value, 1)), _port(value)
-    default = (port < 0) | ((scheme == "http") & (port == 80)) | ((scheme == "https") & (port == 443))
-    path = _part(value, 4)
-    return F.concat(scheme, F.lit("://"), _host(value), F.when(default, "").otherwise(F.concat(F.lit(":"), port.cast("string"))), F.when(path == "", "/").otherwise(path), _part(value, 5))
+def _taken_apart(v: Column) -> Column:
+    """An HTTP URL's parts; whole says whether it has them."""
+    return F.struct(
+        v.alias("v"),
+        v.rlike(PARTS).alias("whole"),
+        F.lower(_part(v, 1)).alias("scheme"),
+        _host(v).alias("host"),
+        _port(v).alias("port"),
+        _part(v, 4).alias("path"),
+        _part(v, 5).alias("query"),
+    )
+
+
+def _joined(p: Column) -> Column:
+    default = (p["port"] < 0) | ((p["scheme"] == "http") & (p["port"] == 80)) | ((p["scheme"] == "https") & (p["port"] == 443))
+    port = F.when(default, "").otherwise(F.concat(F.lit(":"), p["port"].cast("string")))
+    return F.concat(p["scheme"], F.lit("://"), p["host"], port, F.when(p["path"] == "", "/").otherwise(p["path"]), p["query"])
 
 
 def normalize_url(url: ColumnLike) -> Column:
     """raw, normalized, status, reason and domain. The fragment and a default port go; nothing else of the identity does."""
-    raw, v = _raw(url), _trimmed(url)
-    http, whole = v.rlike(r"^(?i)https?:"), v.rlike(PARTS)
-    ported = whole & (_port(v) > 65535)
-    joined = _joined(v)
-    status = case((v == "", "missing"), (~http | ~whole | ported, "malformed"), (joined == v, "unchanged"), otherwise="normalized")
-    reason = case(
-        (v == "", "empty_url"),
-        (~http, "unsupported_or_missing_scheme"),
-        (~whole, "missing_hostname"),
-        (ported, "ValueError:Port out of range 0-65535"),
-        (joined == v, ""),
-        otherwise="transport_syntax_normalized",
-    )
-    good = status.isin("unchanged", "normalized")
-    return F.struct(
-        raw.alias("raw"),
-        F.when(good, joined).otherwise(v).alias("normalized"),
-        status.alias("status"),
-        reason.alias("reason"),
-        F.when(good, bare_domain(_host(v))).otherwise("").alias("domain"),
-    )
+
+    def judged(p: Column) -> Column:
+        v = p["v"]
+        http, ported = v.rlike(r"^(?i)https?:"), p["whole"] & (p["port"] > 65535)
+
+        def named(joined: Column) -> Column:
+            status = case((v == "", "missing"), (~http | ~p["whole"] | ported, "malformed"), (joined == v, "unchanged"), otherwise="normalized")
+            reason = case(
+                (v == "", "empty_url"),
+                (~http, "unsupported_or_missing_scheme"),
+                (~p["whole"], "missing_hostname"),
+                (ported, "ValueError:Port out of range 0-65535"),
+                (joined == v, ""),
+                otherwise="transport_syntax_normalized",
+            )
+            good = http & p["whole"] & ~ported
+            return F.struct(
+                _raw(url).alias("raw"),
+                F.when(good, joined).otherwise(v).alias("normalized"),
+                status.alias("status"),
+                reason.alias("reason"),
+                F.when(good, bare_domain(p["host"])).otherwise("").alias("domain"),
+            )
+
+        return let(_joined(p), named)
+
+    return let(let(_trimmed(url), _taken_apart), judged)
 
 
 def normalize_source_url(url: ColumnLike) -> Column:
     """The same transformation without a status; what isn't an HTTP URL stays as it is."""
-    v = _trimmed(url)
-    return F.when(v.rlike(PARTS) & (_port(v) <= 65535), _joined(v)).otherwise(v)
+    return let(let(_trimmed(url), _taken_apart), lambda p: F.when(p["whole"] & (p["port"] <= 65535), _joined(p)).otherwise(p["v"]))
 
 
 def unwrap_proxy(url: ColumnLike) -> Column:

@@ -22,7 +22,7 @@ def clean_text_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heavy(spark, sf_dir, "documents").select("doc_id", F.length(clean).cast("bigint").alias("n_clean"), F.sha2(clean, 256).alias("clean_sha256"))
 
 
-_SHARE = "length(regexp_replace(text, '[^{r}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')), 0)::DOUBLE"
+_SHARE = "length(regexp_replace(text, '[^{r}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{L}}\\p{{Nl}}\\p{{No}}]', '', 'g')), 0)::DOUBLE"
 
 
 @query(f"""
