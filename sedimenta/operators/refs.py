@@ -31,9 +31,9 @@ def collect_references(historical: DataFrame, provenance: DataFrame, embedded: D
     and flags repeats; the others number theirs for each record.
     """
     pair = ["record_id", "raw_url"]
-    by_record = Window.partitionBy("record_id").orderBy("ord")
+    by_record = Window.partitionBy("record_id").orderBy("ord", "raw_url")
     first = historical.withColumn("origin", F.lit("historical")).withColumn("occurrence", F.row_number().over(by_record))
-    first = first.withColumn("is_repeat", F.row_number().over(Window.partitionBy(*pair).orderBy("ord")) > 1)
+    first = first.withColumn("is_repeat", F.row_number().over(Window.partitionBy(*pair).orderBy("occurrence")) > 1)  # by occurrence, as rows may tie in ord
 
     def stage(rows: DataFrame, seen: DataFrame, origin: str) -> DataFrame:
         new = rows.where("raw_url is not null and raw_url != '' and record_id is not null").join(seen.select(*pair).distinct(), pair, "left_anti")

@@ -152,7 +152,8 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     WITH r AS (SELECT l_orderkey AS record_id, 'u' || l_partkey AS raw_url, l_linenumber * 10000000 + l_partkey AS ord FROM lineitem),
     h AS (SELECT * FROM r WHERE ord < 30000000), p AS (SELECT * FROM r WHERE ord BETWEEN 20000000 AND 49999999), m AS (SELECT * FROM r WHERE ord >= 40000000),
-    a AS (SELECT record_id, 'historical' AS origin, row_number() OVER (PARTITION BY record_id ORDER BY ord) AS occurrence, raw_url, row_number() OVER (PARTITION BY record_id, raw_url ORDER BY ord) > 1 AS is_repeat FROM h),
+    a0 AS (SELECT record_id, 'historical' AS origin, row_number() OVER (PARTITION BY record_id ORDER BY ord) AS occurrence, raw_url FROM h),
+    a AS (SELECT *, row_number() OVER (PARTITION BY record_id, raw_url ORDER BY occurrence) > 1 AS is_repeat FROM a0),
     b0 AS (SELECT record_id, raw_url, min(ord) AS ord FROM p WHERE (record_id, raw_url) NOT IN (SELECT record_id, raw_url FROM a) GROUP BY ALL),
     b AS (SELECT record_id, 'provenance' AS origin, row_number() OVER (PARTITION BY record_id ORDER BY ord) AS occurrence, raw_url, false AS is_repeat FROM b0),
     c0 AS (SELECT record_id, raw_url, min(ord) AS ord FROM m WHERE (record_id, raw_url) NOT IN (SELECT record_id, raw_url FROM a UNION ALL SELECT record_id, raw_url FROM b) GROUP BY ALL),

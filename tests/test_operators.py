@@ -88,6 +88,14 @@ def test_stages_add_only_unseen_pairs(spark):
     assert rows(out, "origin", "occurrence") == [("embedded", 1, "w", False), ("historical", 1, "u", False), ("historical", 2, "u", True), ("provenance", 1, "v", False)]
 
 
+def test_a_repeat_never_comes_before_what_it_repeats(spark):
+    s = "record_id string, raw_url string, ord int"
+    tied = spark.createDataFrame([("r", "u", 1), ("r", "v", 1), ("r", "u", 1), ("r", "v", 1)], s).repartition(4)
+    out = refs.collect_references(tied, tied.where("false"), tied.where("false")).collect()
+    for url in "uv":
+        assert [r.is_repeat for r in sorted(out, key=lambda r: r.occurrence) if r.raw_url == url] == [False, True]
+
+
 def test_link_evidence_and_digests(spark):
     declared = spark.createDataFrame([(1, "http://a")], "id int, url string")
     docs = spark.createDataFrame([(1, '{"t": ["see http://b, and http://c."]}'), (2, None)], "id int, j string")
