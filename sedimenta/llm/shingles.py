@@ -1,0 +1,131 @@
+"""Near copies by their shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Each document gets a MinHash of BANDS times ROWS values; documents that share a band's values meet in a bucket. Of two
+documents at exactly the least similarity, all bands miss with a chance of (1 - 0.8 ** ROWS) ** BANDS, 5e-8. In a bucket
+each member is held against its first and its last member only, so pairs grow with a bucket's size and not with its square;
+bands put members in one of ORDERS orders, so that these two differ. Every candidate is verified on its whole shingle sets,
+and documents linked directly or over others are one group. So no link is false; links can be missed where similar
+documents meet only in large buckets whose ends are like neither.
+
+Defined results: words are those of lower-cased UTF-8 between white space, as for SimHash. A text of five words or fewer is
+one shingle; null, empty and blank texts have the empty shingle and are one group. Rows that repeat are one group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sedimenta.llm.bitfilter import filter_over, probed
+from sedimenta.llm.common import bounded_batches, utf8, written
+from sedimenta.llm.simhash import components
+
+SHINGLE_WORDS = 5
+#: The least similarity, as a fraction.
+LEAST = (4, 5)
+BANDS, ROWS = 32, 4
+ORDERS = 4
+SEED = 42
+#: Shingles hashed at once, for memory.
+CHUNK = 1024
+
+_rng = np.random.default_rng(SEED)
+_XOR = _rng.integers(0, 1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64)
+_FACTOR = _rng.integers(0, 1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Masks of 62 bits, as row numbers aren't negative.
+_MASKS = [0, *(int(x) for x in _rng.integers(0, 1 << 62, size=ORDERS - 1))]
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The different shingles' hashes, in order."""
+    words = utf8(text).lower().split()
+    h = xxhash.xxh64_intdigest
+    if len(words) <= SHINGLE_WORDS:
+        return np.array([h(b" ".join(words), SEED)], dtype=np.uint64)
+    found = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE_WORDS)), strict=False))
+    return np.unique(np.fromiter((h(s, SEED) for s in found), dtype=np.uint64, count=len(words) - SHINGLE_WORDS + 1))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return LEAST[1] * shared >= LEAST[0] * (len(a) + len(b) - shared)
+
+
+def bands(text: str | None) -> list[int]:
+    """A key (signed) for each band of the text's MinHash."""
+    own = shingles(text)
+    least = None
+    for at in range(0, len(own), CHUNK):
+        low = ((own[at : at + CHUNK] ^ _XOR) * _FACTOR).min(axis=1)
+        least = low if least is None else np.minimum(least, low)
+    data = least.tobytes()
+    width = 8 * ROWS
+    keys = [xxhash.xxh64_intdigest(data[i * width : (i + 1) * width], i) for i in range(BANDS)]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """a and b (a < b) of the rows of (_row, _bands) that are to be verified, once each."""
+    buckets = rows.select("_row", F.posexplode("_bands").alias("_band", "_key"))
+    masks = F.array(*[F.lit(m) for m in _MASKS])
+    ordered = buckets.withColumn("_at", F.col("_row").bitwiseXOR(F.element_at(masks, F.pmod("_band", F.lit(ORDERS)) + 1)))
+    ends = ordered.groupBy("_band", "_key").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).where("_first < _last")
+    ends = written(ends, "bucket-ends")
+    # Most rows share no bucket; what passes the filter meets its bucket.
+    near = probed(ordered, filter_over(ends, "_key"), "_key").where("_hit")
+    met = near.join(ends, ["_band", "_key"]).select("_row", "_at", F.explode(F.array("_first", "_last")).alias("_end"), "_band").where("_at != _end")
+    other = F.col("_end").bitwiseXOR(F.element_at(masks, F.pmod("_band", F.lit(ORDERS)) + 1))
+    return met.select(F.least("_row", other).alias("a"), F.greatest("_row", other).alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts (_row, _text) are similar."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
+    known = probed(texts, filter_over(ids, "_row"), "_row").where("_hit")
+    both = pairs.join(known.select(F.col("_row").alias("a"), F.col("_text").alias("_one")), "a")
+    both = both.join(known.select(F.col("_row").alias("b"), F.col("_text").alias("_two")), "b").select("a", "b", "_one", "_two")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: dict[int, np.ndarray] = {}
+            kept = []
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, (x, y) in enumerate(zip(a, b, strict=True)):
+                if x not in sets:
+                    sets[x] = shingles(batch.column(2)[i].as_py())
+                if y not in sets:
+                    sets[y] = shingles(batch.column(3)[i].as_py())
+                if similar(sets[x], sets[y]):
+                    kept.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(kept, pa.int64())) for k in (0, 1)], ["a", "b"])
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
+def keep_one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each group the row with its smallest doc_id (null last; of repeated rows one)."""
+    bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("array<bigint>")
+    def marks(texts: pd.Series) -> pd.Series:
+        return pd.Series([bands(t) for t in texts])
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    rows = docs.select("doc_id", F.col("text").alias("_text"), whole).select("doc_id", marks("_text").alias("_bands"), "_whole")
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "banded")
+    pairs = written(candidates(rows.select("_row", "_bands")), "candidates")
+    links = verified(pairs, rows.select("_row", F.col("_whole.text").alias("_text")))
+    roots = written(components(links).withColumnRenamed("node", "_row"), "roots")
+    first = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("_row").alias("r"))
+    members = rows.select("doc_id", "_row").join(roots, "_row")
+    keepers = members.groupBy("root").agg(F.min(first).alias("_least")).select(F.col("_least.r").alias("_row"))
+    losers = written(roots.select("_row").join(keepers, "_row", "left_anti"), "near-copies")
+    tried = probed(rows.select("_row", "_whole"), filter_over(losers, "_row"), "_row")
+    passed = tried.where(~F.col("_hit")).select("_whole.*")
+    return passed.unionByName(tried.where("_hit").select("_row", "_whole").join(losers, "_row", "left_anti").select("_whole.*"))

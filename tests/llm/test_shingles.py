@@ -1,0 +1,73 @@
+import random
+
+import corpus_pipeline
+from sedimenta.llm import shingles, simhash
+
+SCHEMA = "doc_id bigint, text string, source string"
+
+
+def edited(words, at):
+    return " ".join([*words[:at], "edit", *words[at + 1 :]])
+
+
+def stage(spark, rows):
+    got = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    return sorted(r.doc_id for r in got)
+
+
+def jaccard(a, b):
+    parts = [{" ".join(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b)]
+    return len(parts[0] & parts[1]) / len(parts[0] | parts[1])
+
+
+def test_near_copies_at_any_distance_go(spark):
+    """Copies with small edits, most of them beyond two bits of SimHash."""
+    rng = random.Random(5)
+    rows, beyond = [], 0
+    for g in range(60):
+        words = [f"w{rng.randrange(4000)}" for _ in range(100)]
+        text = " ".join(words)
+        copy = edited(words, 50)
+        assert jaccard(text, copy) >= 0.8
+        beyond += (simhash.fingerprint(text) ^ simhash.fingerprint(copy)).bit_count() > 2
+        rows += [(g, text, "a"), (1000 + g, copy, "a")]
+        # Just below the least similarity, and half the text: both stay.
+        rows += [(2000 + g, " ".join(words[:40] + [f"x{g}-{i}" for i in range(60)]), "a")]
+    assert beyond > 30
+    assert stage(spark, rows) == [*range(60), *range(2000, 2060)]
+
+
+def test_the_least_similarity_itself(spark):
+    words = [f"w{i}" for i in range(94)]  # 90 shingles; 80 shared of 100 is 0.8, 79 of 101 is less
+    at = lambda n: " ".join(words[: 4 + n] + [f"y{n}-{i}" for i in range(90 - n)])
+    assert jaccard(" ".join(words), at(80)) == 0.8 > jaccard(" ".join(words), at(79))
+    assert stage(spark, [(1, " ".join(words), "a"), (2, at(80), "a")]) == [1]
+    assert stage(spark, [(1, " ".join(words), "a"), (2, at(79), "a")]) == [1, 2]
+
+
+def test_large_groups_are_linked(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(4000)}" for _ in range(200)]
+    rows = [(i, edited(words, i % 200), "a") for i in range(400)] + [(None, " ".join(words), "a"), (900, None, "a"), (901, " ", "a"), (902, "a b", "a"), (902, "A  b", "a")]
+    assert stage(spark, rows) == [0, 900, 902]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("monotonically_increasing_id() as _row", "text")
+    banded = spark.createDataFrame([(r._row, shingles.bands(r.text)) for r in docs.collect()], "_row bigint, _bands array<bigint>")
+    assert shingles.candidates(banded).count() < 405 * 404 / 4
+
+
+def test_given_near_copies_go(spark):
+    """All pairs of the given documents with a similarity of 0.8 or more, by comparing each with each other."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = corpus_pipeline.exact_stage(spark, docs, "").collect()
+    sets = [set(shingles.shingles(r.text).tolist()) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j]) if not sets[i].isdisjoint(sets[j]) else 0
+            if 5 * shared >= 4 * (len(sets[i]) + len(sets[j]) - shared):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if x == old else x for x in root]
+    want = {min(rows[k].doc_id for k in range(len(rows)) if root[k] == r) for r in set(root)}
+    assert len(rows) - len(want) == 5
+    got = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    assert len(got) == len(want) and {r.doc_id for r in got} == want
