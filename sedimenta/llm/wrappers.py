@@ -292,22 +292,26 @@ def choices(wrapper: list) -> tuple[list[str], list[str]]:
 
     articles = outermost([p for p in live if nodes[p].tag == "article"])
     mains = outermost([p for p in live if nodes[p].tag == "main" or nodes[p].role == "main"])
-    if articles and (not mains or 2 * sum(whole[p] for p in articles) >= sum(whole[p] for p in mains)):
+    if mains:
+        # A headline and lead in main before its articles stay; articles beside it count if they hold as much as half of it.
+        content = outermost([*mains, *articles]) if 2 * sum(whole[p] for p in articles) >= sum(whole[p] for p in mains) else mains
+    elif articles:
         content = articles
-    elif mains:
-        content = mains
     else:
-        parts = [p for p in live if nodes[p].tag in ("div", "section", "td") and nodes[p].names & CONTENT_NAMES]
-        best = max(parts, key=lambda p: (whole[p], -p.count(">"), p), default="")
-        path = best if best and 2 * whole[best] >= whole[""] else ""
-        if not path:
+        parts = outermost([p for p in live if nodes[p].tag in ("div", "section", "td") and nodes[p].names & CONTENT_NAMES])
+        if parts and 2 * sum(whole[p] for p in parts) >= whole[""]:
+            content = parts
+        else:
+            path = ""
             while True:
-                inner = [p for p in live if parent[p] == path and nodes[p].tag in ("html", "body", "div", "section", "table", "tbody", "tr", "td", "center", "blockquote")]
+                inner = [p for p in live if parent[p] == path and nodes[p].tag in ("html", "body", "div", "section", "table", "tbody", "tr", "td", "center")]
                 next_path = max(inner, key=lambda p: (whole[p], p), default=None)
-                if next_path is None or whole[next_path] < DENSE_SHARE * whole[path]:
+                # Headings, paragraphs and the body's own text beside the part are content; own text of other elements may be a sibling's of the same kind.
+                beside = whole[path] - sum(whole[p] for p in inner) - (0 if nodes[path].tag in ("", "html", "body") else text[path])
+                if next_path is None or whole[next_path] < DENSE_SHARE * whole[path] or beside > 0:
                     break
                 path = next_path
-        content = [path]
+            content = [path]
     return sorted(content), sorted(p for p in dropped if parent[p] not in dropped)
 
 

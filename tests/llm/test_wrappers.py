@@ -67,3 +67,11 @@ def test_a_host_decides_for_its_pages(spark):
     by = {r.page_id: r.text for r in got}
     assert by[100] == "short" and by[101] == "" and by[None] == "x y"
     assert wrappers.extracted(pages.where("false")).count() == 0
+
+
+def test_text_beside_the_densest_part_stays():
+    quote = "a quote that holds most of the text of this page " * 3
+    assert wrappers.main_text(f"<body><h1>T</h1><p>lead<blockquote>{quote}</blockquote><p>end") == f"T\nlead\n{quote.strip()}\nend"
+    assert wrappers.main_text(f"<body><h1>T</h1><div>{quote}</div><p>end") == f"T\n{quote.strip()}\nend"
+    assert wrappers.main_text(f"<body><div class=post-intro>intro</div><div class=post-body>{quote}</div>") == f"intro\n{quote.strip()}"
+    assert wrappers.main_text(f"<main><h1>T</h1><p>lead</p><article>{quote}</article></main>") == f"T\nlead\n{quote.strip()}"
