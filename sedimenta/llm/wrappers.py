@@ -11,14 +11,15 @@ most of the text) as are its boilerplate parts (menus, headers, footers, sidebar
 page's text is then read from its own stream: blocks of the content parts without boilerplate, whole and in page order.
 
 Defined results: a null html has an empty text. A page that lacks its host's content parts is read by a wrapper of its own.
-A null or unreadable url belongs to the host ''. Rows that repeat give a row each. Elements nested deeper than MAX_DEPTH are
-read as part of their ancestor at that depth.
+A null or unreadable url belongs to the host ''. Rows that repeat give a row each. Elements of any depth are
+parsed and read; below MAX_DEPTH the wrapper counts their text for their ancestor, and each page decides on boilerplate there.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.common import bounded_batches, written
 
+#: Depth down to which a wrapper has parts of its own.
 MAX_DEPTH = 100
 #: Hosts that a task aligns at once; beyond, it passes on what it has.
 TASK_HOSTS = 2000
@@ -68,10 +70,10 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     """An element: its kind (tag with class, id and role), and its children and texts in order."""
 
-    __slots__ = ("tag", "kind", "names", "role", "children")
+    __slots__ = ("tag", "kind", "names", "role", "children", "holds")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.children = tag, []
+        self.tag, self.children, self.holds = tag, [], False
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
         self.role = "main" if found.get("role") == "main" or "articlebody" in found.get("itemprop", "").lower() else found.get("role", "").lower()
         label = " ".join(found.get(k, "") for k in ("class", "id"))
@@ -85,6 +87,11 @@ class Node:
             return True
         return self.tag not in KEPT_TAGS and bool(self.names & DROPPED_NAMES)
 
+    @property
+    def deep_boilerplate(self) -> bool:
+        """Below MAX_DEPTH: names don't count for elements that hold an article or main."""
+        return self.tag in DROPPED or self.role in DROPPED_ROLES or self.is_aside or (self.boilerplate and not self.holds)
+
     @property
     def is_aside(self) -> bool:
         """An article that is a comment or an advert."""
@@ -104,10 +111,14 @@ def tree(html: str | None) -> Node:
     html = html or ""
     root = Node("")
     stack, at, n = [root], 0, len(html)
+    open_tags: Counter[str] = Counter()
 
     def close(tags: set[str], stop: set[str]) -> None:
+        if not any(open_tags[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
+                open_tags.subtract(x.tag for x in stack[i:])
                 del stack[i:]
                 return
             if stack[i].tag in stop:
@@ -146,10 +157,16 @@ def tree(html: str | None) -> Node:
         if tag in ENDS:
             close(*ENDS[tag])
         node = Node(tag, m[3])
-        if (tag in INLINE and not node.boilerplate) or len(stack) > MAX_DEPTH or m[3].endswith("/") and tag in INLINE:
+        if (tag in INLINE and not node.boilerplate) or m[3].endswith("/") and tag in INLINE:
             continue
         stack[-1].children.append(node)
         stack.append(node)
+        open_tags[tag] += 1
+        if node.is_content and len(stack) > MAX_DEPTH:
+            for above in reversed(stack[1:] if not stack[-2].holds else stack[-1:]):
+                if above.holds:
+                    break
+                above.holds = True
     return root
 
 
@@ -157,10 +174,21 @@ def tree(html: str | None) -> Node:
 OPTIONAL, REPEATED = 1, 2
 
 
-def folded(node: Node) -> list:
+def folded(node: Node, depth: int = 0) -> list:
     """The wrapper of one element: neighbours of a kind and alternating runs repeated, texts as slots."""
     text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
-    return [node.kind, 0, text, fold([folded(c) for c in node.children if isinstance(c, Node)])]
+    inner = [c for c in node.children if isinstance(c, Node)]
+    if depth < MAX_DEPTH:
+        return [node.kind, 0, text, fold([folded(c, depth + 1) for c in inner])]
+    while inner:
+        below = inner.pop()
+        if not below.deep_boilerplate:
+            for c in below.children:
+                if isinstance(c, str):
+                    text += len(c.strip())
+                else:
+                    inner.append(c)
+    return [node.kind, 0, text, []]
 
 
 def fold(parts: list) -> list:
@@ -327,10 +355,10 @@ def text_of(root: Node, content: set[str], dropped: set[str]) -> tuple[str, bool
         if text:
             blocks.append(text)
 
-    todo: list[tuple] = [(root, "", "" in content)]
+    todo: list[tuple] = [(root, "", "" in content, 0)]
     found = "" in content
     while todo:
-        item, path, inside = todo.pop()
+        item, path, inside, depth = todo.pop()
         if item is None:
             flush()
             continue
@@ -338,21 +366,22 @@ def text_of(root: Node, content: set[str], dropped: set[str]) -> tuple[str, bool
             run.append(item)
             continue
         own = item.tag not in INLINE
-        later: list[tuple] = [(None, "", False)] if own else []
+        later: list[tuple] = [(None, "", False, 0)] if own else []
         for child in item.children:
             if isinstance(child, str):
                 if inside:
-                    later.append((child, path, True))
+                    later.append((child, path, True, 0))
                 continue
-            below = f"{path}>{child.kind}"
-            if below in dropped or child.boilerplate and child.tag in INLINE:
-                later.append((None, "", False) if child.tag not in INLINE else (" ", below, True))
+            deep = depth >= MAX_DEPTH
+            below = path if deep else f"{path}>{child.kind}"
+            if (child.deep_boilerplate if deep else below in dropped) or child.boilerplate and child.tag in INLINE:
+                later.append((None, "", False, 0) if child.tag not in INLINE else (" ", below, True, 0))
                 continue
-            starts = below in content
+            starts = not deep and below in content
             found = found or starts
-            later.append((child, below, inside or starts))
+            later.append((child, below, inside or starts, depth + 1))
         if own:
-            later.append((None, "", False))
+            later.append((None, "", False, 0))
         todo.extend(reversed(later))
     flush()
     return "\n".join(blocks), found

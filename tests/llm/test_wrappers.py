@@ -75,3 +75,10 @@ def test_text_beside_the_densest_part_stays():
     assert wrappers.main_text(f"<body><h1>T</h1><div>{quote}</div><p>end") == f"T\n{quote.strip()}\nend"
     assert wrappers.main_text(f"<body><div class=post-intro>intro</div><div class=post-body>{quote}</div>") == f"intro\n{quote.strip()}"
     assert wrappers.main_text(f"<main><h1>T</h1><p>lead</p><article>{quote}</article></main>") == f"T\nlead\n{quote.strip()}"
+
+
+def test_deep_elements_count():
+    for depth in (90, 99, 100, 101, 150, 30000):
+        deep = "<div>" * depth + "<p>a</p><p>b</p><nav>n</nav><form>f</form><div class=comments>c</div><div class='wrap sidebar-left'><article><p>d</p></article></div>" + "</div>" * depth
+        text = wrappers.main_text(f"<article>{deep}<p>behind</p></article>")
+        assert text == "a\nb\nd\nbehind", depth
