@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and strings that pass a battery of randomness tests.
 
-A candidate is a run of at least MIN_LENGTH characters of the usual encodings with a letter and a digit. Its encoding is
-the smallest alphabet that holds it. Three tests ask whether its symbols look drawn at random from that alphabet: chi-squared
+A candidate is a run of at least MIN_LENGTH characters of the usual encodings with a letter. Its encoding is the smallest
+alphabet that holds it. A run with + or / as well as - or _, which no alphabet holds, is cut at + and / and, for
+itself, at - and _; each part of MIN_LENGTH is one. Three tests ask whether its symbols look drawn at random from that alphabet: chi-squared
 over parts of the alphabet, the number of runs below and above the middle, and the correlation of neighbours. A Cauchy
 combination makes one p-value of the three; small ones mean structure (words, slugs, counters).
 
@@ -37,6 +38,8 @@ ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 MIN_LENGTH = 24
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % MIN_LENGTH)
+#: What a run of both base64 alphabets is cut into: parts of either.
+PARTS = tuple(re.compile(r"[A-Za-z0-9%s]{%d,}" % (more, MIN_LENGTH)) for more in ("_-", "+/"))
 #: Encodings from the smallest alphabet on: symbols in order, cut where the parts of the chi-squared test end.
 ENCODINGS = (
     ("hex", ("0123", "4567", "89ab", "cdef")),
@@ -105,19 +108,30 @@ def combined(ps: tuple[float, ...]) -> float:
     return min(1.0, max(10.0 ** (-STEPS / STEPS_A_DECADE), 0.5 - atan(sum(tan((0.5 - p) * pi) for p in clipped) / len(clipped)) / pi))
 
 
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """start and end of the strings to test; parts that overlap are tested each."""
+    for m in CANDIDATE.finditer(text):
+        own = m[0]
+        if ("+" in own or "/" in own) and ("-" in own or "_" in own):
+            found = {(m.start() + p.start(), m.start() + p.end()) for part in PARTS for p in part.finditer(own)}
+            yield from sorted(found)
+        else:
+            yield m.span()
+
+
 def candidates(text: str) -> list[tuple[int, int, int, int]]:
     """start, end, stratum (encoding and length class) and step of -log10(p) of every candidate."""
     out = []
-    for m in CANDIDATE.finditer(text):
-        own = m[0]
+    for start, end in runs(text):
+        own = text[start:end]
         seen = set(own)
-        if not any(c.isdigit() for c in seen) or not any(c.isalpha() for c in seen):
+        if not any(c.isalpha() for c in seen):
             continue
         for k, allowed in enumerate(_SETS):
             if seen <= allowed:
                 p = combined(battery(own, k))
                 length = min(LENGTH_CLASSES - 1, len(own).bit_length())
-                out.append((m.start(), m.end(), k * LENGTH_CLASSES + length, min(STEPS - 1, int(-log10(p) * STEPS_A_DECADE))))
+                out.append((start, end, k * LENGTH_CLASSES + length, min(STEPS - 1, int(-log10(p) * STEPS_A_DECADE))))
                 break
     return out
 

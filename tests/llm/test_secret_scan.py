@@ -53,3 +53,13 @@ def test_rows(edge_docs, no_docs, spark):
     assert (one.n_assign, one.n_access, one.n_hex) == tuple(sum(k == i for _, k, _ in spans) for i in range(3))
     assert one.base_sha256 == secret_scan.digest_of(spans)
     assert [s for s in one.spans.split(",") if not s.startswith("random")] == [f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans]
+
+
+def test_mixed_and_letter_only_runs_are_tested():
+    key = "q7Zk2LxV9bTf4RwN8sYc3HdJ6mPg"
+    for before in ("com/hooks-api/T0000/", "a_b/"):
+        text = f"see {before}{key} here"
+        at = 4 + len(before)
+        assert (at, at + len(key)) in [c[:2] for c in secret_scan.candidates(text)], before
+    letters = "QWHZKDNVTBXAPLRMCYFJSEUGIO"
+    assert [c[:2] for c in secret_scan.candidates(f"see {letters} here")] == [(4, 4 + len(letters))]
