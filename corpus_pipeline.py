@@ -5,7 +5,8 @@ docs. All but the last return the columns that docs came with. Each works on all
 
     quality    documents that the classifier scores below its threshold go; it is fitted on the labelled ones among docs
     exact      of documents with equal texts (white space aside) the longest stays
-    near       of documents linked by a similarity of 0.8 of their five-word shingles, the one with the smallest doc_id stays
+    near       of documents linked by a similarity of 0.8 of their five-word shingles, the one with the smallest doc_id stays;
+               candidates come from the SimHash search, and each is verified on its whole shingle sets
     mix        rows are dropped or repeated, once at most, so that each source's words come near its target
     tokens     doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, mixing, quality, shingles
+from sedimenta.llm import bpe, exact_dedup, mixing, quality, simhash
 from sedimenta.llm.common import table, written
 
 
@@ -30,7 +31,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.keep_one_of_each_group(docs)
+    return simhash.keep_one_of_each_group(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

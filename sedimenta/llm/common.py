@@ -34,8 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is named, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='sedimenta-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        context = spark.sparkContext
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='sedimenta-')}")
+        found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -84,6 +86,20 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def joined_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to a number of rows, for narrow tables."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -1,14 +1,15 @@
 """Exact duplicates through a log-structured merge index, in DataFrame operations only.
 
-Every scan task is a memtable: it sorts its digests and flushes them as one run (a Parquet file sorted by digest, with
-min/max statistics and a Parquet Bloom filter). Compaction merges all runs into one level that keeps, per digest, the
-smallest identifier in keep order and the number of rows. Digests with more than one row are the hits; a bit filter of a
-fixed size over them splits the corpus: rows outside it are unique and need no further work, rows inside it are compared
-with their keeper byte by byte, so a collision of digests can't merge different texts.
+Every scan task is a memtable: it sorts its digests and flushes them as one run, a file of level 0. Compaction merges
+FAN_IN runs of a level into one of the next until one level is left; each merge keeps, for a digest, the smallest identifier in keep
+order (most code points, then doc_id) and the number of rows. Digests with more than one row are the hits. A filter over
+the hits' rows, by a quick hash of the text as it stands, splits the corpus: rows outside it are unique and need no further
+work, rows inside it are compared with their keeper byte by byte, so a collision of digests can't merge different texts.
+Each text is normalised and digested once, a candidate's twice.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; of equal texts the one with the most
-code points stays, then the smallest doc_id (null last), and of rows that repeat even these, one. An empty table gives
-an empty result. Other columns, whatever their names, are left alone.
+code points stays, then the smallest doc_id (null last), and of rows that repeat even these, one. Texts of any length are
+read whole. An empty table gives an empty result. Other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -16,88 +17,129 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import filter_over, probed
+from sedimenta.llm.bitfilter import KeyFilter
 from sedimenta.llm.common import BLANKS, text_or_empty, written
 
 
+#: Runs that one compaction merges.
+FAN_IN = 64
+
+
 def normalised(column: str = "text") -> Column:
     """The text without its white space."""
     return F.translate(text_or_empty(column), BLANKS, "")
 
 
+def keep_order(points: str = "_points", doc_id: str = "_id") -> Column:
+    """What the row that stays has least of."""
+    return F.struct((-F.col(points)).alias("p"), F.col(doc_id).isNull().alias("z"), F.col(doc_id).alias("i"))
+
+
 class DigestIndex:
     """The index over one corpus. digest_bytes is 32; tests shorten it to force collisions."""
 
-    def __init__(self, digest_bytes: int = 32):
+    def __init__(self, digest_bytes: int = 32, fan_in: int = FAN_IN):
         self.digest_bytes = digest_bytes
+        self.fan_in = fan_in
 
-    def _keyed(self, docs: DataFrame, carry: list[Column]) -> DataFrame:
-        keyed = docs.select(F.col("doc_id").alias("_id"), normalised().alias("_norm"), F.length(text_or_empty()).alias("_points"), *carry)
-        keyed = keyed.withColumn("_sha", F.sha2("_norm", 256))
+    @staticmethod
+    def _plain(docs: DataFrame, carry: list[Column]) -> DataFrame:
+        """The columns that a scan reads, and a quick hash of the text."""
+        return docs.select(F.col("doc_id").alias("_id"), text_or_empty().alias("_text"), F.xxhash64(text_or_empty()).alias("_quick"), *carry)
+
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn("_norm", F.translate("_text", BLANKS, "")).withColumn("_points", F.length("_text"))
+        keyed = keyed.withColumn("_sha", F.sha2("_norm", 256)).drop("_text")
         return keyed.withColumn("_digest", F.unhex(F.substring("_sha", 1, 2 * self.digest_bytes)))
 
     def flush(self, docs: DataFrame) -> DataFrame:
-        """A sorted run for each memtable, without a shuffle."""
-        run = self._keyed(docs, []).select("_digest", "_id", "_points").sortWithinPartitions("_digest")
-        return written(run, "lsm-runs", {"parquet.bloom.filter.enabled#_digest": "true", "parquet.bloom.filter.max.bytes": "131072"})
+        """A sorted run (numbered) for each memtable, without a shuffle."""
+        columns = ["_digest", "_id", "_points", "_quick"] + (["_sha"] if self.digest_bytes < 32 else [])
+        return written(self._keyed(self._plain(docs, [])).select(*columns).withColumn("_run", F.spark_partition_id()).sortWithinPartitions("_digest"), "lsm-runs")
 
     def compact(self, runs: DataFrame) -> DataFrame:
-        """One row for each digest over all runs: its rows, merged from partial counts of each run."""
-        return runs.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"))
-
-    def hit_filter(self, level: DataFrame) -> DataFrame:
-        """The filter over the digests that occur more than once."""
-        return filter_over(level.where("_rows > 1"), "_digest")
-
-    def verified(self, rows: DataFrame) -> DataFrame:
-        """Rows inside the filter with _keep_id, _size and _kept, after each was compared with its keeper's bytes.
+        """One row for each digest over all runs: its rows and the keep order of the one that stays (_least), level by level."""
+        level = runs.select("_digest", "_run", keep_order().alias("_least"), F.lit(1).cast("long").alias("_rows"))
+        left = (runs.agg(F.max("_run")).first()[0] or 0) + 1
+        while True:
+            left = -(-left // self.fan_in)
+            merged = level.withColumn("_run", F.floor(F.col("_run") / self.fan_in)).groupBy("_run", "_digest").agg(F.min("_least").alias("_least"), F.sum("_rows").alias("_rows"))
+            if left == 1:  # the last level, of which only the hits are read on
+                return merged.drop("_run")
+            level = written(merged, "lsm-level")
+
+    def hits(self, level: DataFrame) -> DataFrame:
+        return written(level.where("_rows > 1"), "lsm-hits")
+
+    def hit_filters(self, runs: DataFrame, hits: DataFrame) -> tuple[KeyFilter, KeyFilter]:
+        """Over the digests that occur more than once, and over the quick hashes of the rows inside that filter."""
+        digests = KeyFilter(hits, "_digest")
+        return digests, KeyFilter(digests.probed(runs, "_digest").where("_hit").select("_quick").distinct(), "_quick")
+
+    def verified(self, rows: DataFrame, hits: DataFrame) -> DataFrame:
+        """The rows of the hits' digests with _keep_id, _size and _kept, after each was compared with its keeper's bytes; others stand alone.
 
         rows has _digest, _norm, _points, _id and a unique _row. If different texts share a digest, the rows of such
         digests are grouped by their bytes instead.
         """
-        order = F.struct((-F.col("_points")).alias("p"), F.col("_id").isNull().alias("z"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-        groups = rows.groupBy("_digest").agg(F.min(order).alias("_k"), F.count(F.lit(1)).alias("_size"))
-        keepers = groups.select(F.col("_k.r").alias("_row"), F.col("_k.i").alias("_keep_id"), "_size")
-        keepers = rows.select("_row", "_digest", F.col("_norm").alias("_keep_norm")).join(keepers, "_row").withColumnRenamed("_row", "_keep_row")
-        compared = rows.select("_row", "_digest", "_norm").join(keepers, "_digest").select("_row", "_digest", "_keep_row", "_keep_id", "_size", (F.col("_norm") == F.col("_keep_norm")).alias("_same"))
+        found = rows.select("_row", "_digest", keep_order().alias("_own"), "_norm")
+        first = found.drop("_norm").join(hits, "_digest").where(F.col("_own") == F.col("_least"))
+        # Of rows that repeat the least, one.
+        keepers = first.groupBy("_digest").agg(F.min("_row").alias("_keep_row"), F.first("_least.i").alias("_keep_id"), F.first("_rows").alias("_size"))
+        keepers = found.select(F.col("_row").alias("_keep_row"), F.col("_norm").alias("_keep_norm")).join(keepers, "_keep_row")
+        compared = found.select("_row", "_digest", "_norm").join(keepers, "_digest").select("_row", "_digest", "_keep_row", "_keep_id", "_size", (F.col("_norm") == F.col("_keep_norm")).alias("_same"))
         compared = written(compared, "lsm-verified")
         settled = compared
         clashing = compared.where(~F.col("_same")).select("_digest").distinct()
         if not compared.where(~F.col("_same")).isEmpty():
             settled = compared.join(clashing, "_digest", "left_anti")
+            order = F.struct(keep_order().alias("o"), F.col("_row").alias("r"))
             mixed = rows.join(clashing, "_digest", "left_semi")
             exact = mixed.groupBy("_digest", "_norm").agg(F.min(order).alias("_k"), F.count(F.lit(1)).alias("_size"))
-            exact = mixed.join(exact, ["_digest", "_norm"]).select("_row", "_digest", F.col("_k.r").alias("_keep_row"), F.col("_k.i").alias("_keep_id"), "_size", F.lit(True).alias("_same"))
+            exact = mixed.join(exact, ["_digest", "_norm"]).select("_row", "_digest", F.col("_k.r").alias("_keep_row"), F.col("_k.o.i").alias("_keep_id"), "_size", F.lit(True).alias("_same"))
             settled = settled.unionByName(exact)
         return settled.select("_row", "_keep_id", "_size", (F.col("_row") == F.col("_keep_row")).alias("_kept"))
 
-    def _candidates(self, docs: DataFrame, bits: DataFrame, carry: list[Column]) -> DataFrame:
-        keyed = probed(self._keyed(docs, carry), bits, "_digest").where("_hit").drop("_hit")
-        return written(keyed.withColumn("_row", F.monotonically_increasing_id()), "lsm-candidates")
+    def _candidates(self, docs: DataFrame, quick: KeyFilter, digests: KeyFilter, carry: list[Column]) -> DataFrame:
+        """The rows inside both filters, each normalised and digested, with a number."""
+        inside = self._keyed(quick.probed(self._plain(docs, carry), "_quick").where("_hit").drop("_hit"))
+        inside = digests.probed(inside, "_digest").where("_hit").drop("_hit", "_quick")
+        return written(inside.withColumn("_row", F.monotonically_increasing_id()), "lsm-candidates")
 
     def groups(self, docs: DataFrame) -> DataFrame:
         """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
-        if self.digest_bytes == 32:
-            runs = self.flush(docs)
-        else:
-            runs = written(self._keyed(docs, []).select("_digest", "_id", "_points", "_sha"), "lsm-runs")
-        bits = self.hit_filter(self.compact(runs))
+        runs = self.flush(docs)
+        hits = self.hits(self.compact(runs))
+        digests, quick = self.hit_filters(runs, hits)
         sha = F.lower(F.hex("_digest")) if self.digest_bytes == 32 else F.col("_sha")
-        alone = probed(runs, bits, "_digest").where(~F.col("_hit"))
+        alone = digests.probed(runs, "_digest").where(~F.col("_hit"))
         alone = alone.select(F.col("_id").alias("doc_id"), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha.alias("text_sha256"))
-        rows = self._candidates(docs, bits, [])
-        shared = rows.select("_row", "_id", "_sha").join(self.verified(rows), "_row")
-        shared = shared.select(F.col("_id").alias("doc_id"), F.col("_keep_id").alias("keep_id"), F.col("_size").alias("group_size"), F.col("_kept").alias("kept"), F.col("_sha").alias("text_sha256"))
+        rows = self._candidates(docs, quick, digests, [])
+        # A row inside the filter whose digest is no hit is unique.
+        shared = rows.select("_row", "_id", "_sha").join(self.verified(rows, hits), "_row", "left")
+        single = F.col("_kept").isNull()
+        shared = shared.select(
+            F.col("_id").alias("doc_id"),
+            F.when(single, F.col("_id")).otherwise(F.col("_keep_id")).alias("keep_id"),
+            F.coalesce("_size", F.lit(1).cast("long")).alias("group_size"),
+            F.coalesce("_kept", F.lit(True)).alias("kept"),
+            F.col("_sha").alias("text_sha256"),
+        )
         return alone.unionByName(shared)
 
     def survivors(self, docs: DataFrame) -> DataFrame:
         """The rows of docs that stay, with all their columns; unique rows go through without a shuffle."""
-        bits = self.hit_filter(self.compact(self.flush(docs)))
+        runs = self.flush(docs)
+        hits = self.hits(self.compact(runs))
+        digests, quick = self.hit_filters(runs, hits)
         whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
-        alone = probed(self._keyed(docs, [whole]), bits, "_digest").where(~F.col("_hit")).select("_whole.*")
-        rows = self._candidates(docs, bits, [whole])
-        kept = self.verified(rows).where("_kept").select("_row")
-        return alone.unionByName(rows.select("_row", "_whole").join(kept, "_row", "left_semi").select("_whole.*"))
+        # The quick hash alone decides what may repeat, so rows outside it aren't normalised again.
+        tried = quick.probed(docs.select(whole, F.xxhash64(text_or_empty()).alias("_quick")), "_quick")
+        alone = tried.where(~F.col("_hit")).select("_whole.*")
+        inside = self._keyed(quick.probed(self._plain(docs, [whole]), "_quick").where("_hit").drop("_hit")).drop("_quick")
+        rows = written(inside.withColumn("_row", F.monotonically_increasing_id()), "lsm-candidates")
+        dropped = self.verified(rows, hits).where(~F.col("_kept")).select("_row")
+        return alone.unionByName(rows.select("_row", "_whole").join(dropped, "_row", "left_anti").select("_whole.*"))
 
 
 def exact_groups(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:

@@ -9,12 +9,20 @@ candidate is verified on all bits. The search is exact: statistics only steer it
 Equal fingerprints are one class from the start; copies are never expanded into pairs. A fingerprint has at most 2,080
 others within two bits, so links are bounded by the number of different fingerprints.
 
+SimilarRows is the search with its candidates verified on texts: near copies are documents whose sets of five-word shingles
+have a Jaccard similarity of 0.8 or more, found among the documents whose word fingerprints lie within NEAR_RADIUS bits. An
+edit changes five shingles but one word, so fingerprints of words (weighed by the logarithm of their counts) lie closer. In a
+group of many near copies, first each is held against the centres of its buckets only; then the exact search compares what
+the links so far leave in different components, so pairs within a linked group are never enumerated. Every pair within the
+radius is either verified or already linked over others; pairs of that similarity beyond the radius are missed.
+
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other. Rows that repeat are in
 one component. A null doc_id is never a component's id unless it has no other. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -27,19 +35,27 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import filter_over, probed
-from sedimenta.llm.common import bounded_batches, utf8, written
+from sedimenta.llm.bitfilter import KeyFilter
+from sedimenta.llm.common import bounded_batches, joined_rows, utf8, written
 
 BITS = 64
 SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
-#: Different fingerprints up to which three and two parts are used: beyond, wider parts make fewer candidates.
-PARTS_UP_TO = ((1 << 24, 3), (1 << 31, 2))
+#: Bits in which the word fingerprints of near copies may differ.
+NEAR_RADIUS = 7
+#: Near copies: words of a shingle, and the least similarity as a fraction.
+NEAR_SHINGLE_WORDS = 5
+LEAST = (4, 5)
+#: Fingerprints of one component from which their pairs are kept out of the search between components.
+LARGE_COMPONENT = 64
+#: Fingerprints, and probes of each, that are made as one block.
+BLOCK_ROWS = 4096
+BLOCK_MASKS = 64
 #: A part's values with more than this share of all fingerprints are counted exactly: 1,024 values for a part at most.
 FREQUENT_SHARE = 1 / 1024
-#: What a probe costs, in candidates.
-PROBE_COST = 1.0
+#: What a probe costs, in candidates: a probe is shuffled and sorted, a candidate only compared.
+PROBE_COST = 20.0
 
 _LANES = np.arange(8, dtype=np.int64) * 256
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -61,6 +77,33 @@ def fingerprint(text: str | None, words_in_shingle: int = SHINGLE_WORDS) -> int:
     return int(_WEIGHTS[(2 * (seen @ _BYTE_BITS) > n).ravel()].sum(dtype=np.uint64))
 
 
+def word_fingerprint(text: str | None) -> int:
+    """The SimHash of the different words, each weighed by the logarithm of its count (in sixteenths, so that sums are exact)."""
+    counts = Counter(utf8(text).lower().split())
+    if not counts:
+        return 0
+    h = xxhash.xxh64_intdigest
+    hashes = np.fromiter((h(w, SEED) for w in counts), dtype=np.uint64, count=len(counts))
+    weights = np.rint(16 * np.log2(1 + np.fromiter(counts.values(), dtype=np.float64, count=len(counts)))).astype(np.int64)
+    seen = np.array([np.bincount(column, weights=weights, minlength=256) for column in hashes.view(np.uint8).reshape(-1, 8).T])
+    return int(_WEIGHTS[(2 * (seen @ _BYTE_BITS) > weights.sum()).ravel()].sum(dtype=np.uint64))
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The hashes of the different five-word shingles, in order; five words or fewer are one."""
+    words = utf8(text).lower().split()
+    h = xxhash.xxh64_intdigest
+    if len(words) <= NEAR_SHINGLE_WORDS:
+        return np.array([h(b" ".join(words), SEED)], dtype=np.uint64)
+    found = map(b" ".join, zip(*(words[i:] for i in range(NEAR_SHINGLE_WORDS)), strict=False))
+    return np.unique(np.fromiter((h(s, SEED) for s in found), dtype=np.uint64, count=len(words) - NEAR_SHINGLE_WORDS + 1))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return LEAST[1] * shared >= LEAST[0] * (len(a) + len(b) - shared)
+
+
 def fingerprints(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fp (the fingerprint's bits as a signed long) of every row."""
     bounded_batches(docs.sparkSession)
@@ -89,6 +132,7 @@ class Plan:
     halves: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     #: For each part, its frequent values and their exact counts.
     frequent: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    known_near: list[list[np.ndarray]] | None = None
 
     def values(self, bits: np.ndarray) -> list[np.ndarray]:
         """Each part's value of every fingerprint."""
@@ -104,20 +148,19 @@ class Plan:
 
     def near(self) -> list[list[np.ndarray]]:
         """For each part and half, the count of fingerprints at each distance up to the radius from each value."""
+        if self.known_near is not None:
+            return self.known_near
         out = []
         for pair in self.halves:
             tables = []
             for histogram in pair:
-                width = int(np.log2(len(histogram)))
-                ids = np.arange(len(histogram))
-                rows = []
-                for d in range(self.radius + 1):
-                    total = np.zeros(len(histogram))
-                    for chosen in combinations(range(width), d):
-                        total += histogram[ids ^ sum(1 << b for b in chosen)]
-                    rows.append(total)
-                tables.append(np.array(rows))
+                ids, rows = np.arange(len(histogram)), np.zeros((self.radius + 1, len(histogram)))
+                rows[0] = histogram
+                for bit in range(int(np.log2(len(histogram)))):  # each bit is flipped or not
+                    rows[1:] += rows[:-1][:, ids ^ (1 << bit)]
+                tables.append(rows)
             out.append(tables)
+        self.known_near = out
         return out
 
 
@@ -178,33 +221,49 @@ def thresholds(plan: Plan, values: list[np.ndarray], near: list[list[np.ndarray]
     return out
 
 
+def cheapest_parts(n: int, radius: int) -> int:
+    """The number of parts, two at least, with the least cost of probes and candidates if n fingerprints lie evenly."""
+
+    def cost(parts: int) -> float:
+        out = 0.0
+        for i in range(parts):
+            width = BITS // parts + (i < BITS % parts)
+            allowed = (radius - parts + 1) // parts + (i < (radius - parts + 1) % parts)
+            probes = sum(comb(width, d) for d in range(allowed + 1))
+            out += probes * (PROBE_COST + n / 2**width)
+        return out
+
+    return min(range(2, radius + 2), key=cost)
+
+
 class PigeonholeSearch:
-    """Pairs of different fingerprints within the radius."""
+    """Pairs within the radius among points: different fingerprints (fp), with other columns (carried) or without."""
 
-    def __init__(self, classes: DataFrame, radius: int = RADIUS, parts: int | None = None):
-        self.classes = classes.select("fp")
+    def __init__(self, points: DataFrame, radius: int = RADIUS, parts: int | None = None, carried: str | None = None):
+        self.points = points.select("fp", *([carried] if carried else []))
         self.radius = radius
         self.parts = parts
+        self.carried = carried
 
     def plan(self) -> Plan:
-        n = self.classes.count()
-        parts = min(self.parts or next((p for most, p in PARTS_UP_TO if n < most), 1), self.radius + 1)
+        n = self.points.count()
+        parts = self.parts or cheapest_parts(n, self.radius)
 
         def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((BITS, BITS))
-            for batch in batches:
+            for batch in joined_rows(batches, BLOCK_ROWS):
                 bits = _as_bits(batch.column(0).to_numpy(zero_copy_only=False)).astype(np.float64)
                 total += bits.T @ bits
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(BITS * BITS, dtype=np.int32)), pa.array(total.ravel())], ["cell", "v"])
 
         sums = np.zeros(BITS * BITS)
-        for row in self.classes.mapInArrow(moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect():  # 4,096 rows
+        for row in self.points.select("fp").mapInArrow(moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect():  # 4,096 rows
             sums[row.cell] = row.v
         plan = Plan(self.radius, correlated_groups(sums.reshape(BITS, BITS), n, parts), n)
 
         def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts: dict[tuple[int, int], np.ndarray] = {}
-            for batch in batches:
+            for batch in joined_rows(batches, BLOCK_ROWS):
                 values = plan.values(_as_bits(batch.column(0).to_numpy(zero_copy_only=False)))
                 for i, own in enumerate(values):
                     for h, half in enumerate(plan.half_values(i, own)):
@@ -215,7 +274,7 @@ class PigeonholeSearch:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), 2 * i + h, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(c[at].astype(np.int64))], ["half", "value", "n"])
 
         tables = [[np.zeros(1 << w) for w in plan.split(i)] for i in range(parts)]
-        for row in self.classes.mapInArrow(histograms, "half int, value int, n bigint").groupBy("half", "value").agg(F.sum("n").alias("n")).collect():  # two tables of 65,536 rows a part at most
+        for row in self.points.select("fp").mapInArrow(histograms, "half int, value int, n bigint").groupBy("half", "value").agg(F.sum("n").alias("n")).collect():  # two tables of 65,536 rows a part at most
             tables[row.half // 2][row.half % 2][row.value] = row.n
         plan.halves = [tuple(pair) for pair in tables]
         often = self.index(plan).groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(8, n * FREQUENT_SHARE)).collect()  # 1,024 rows a part at most
@@ -224,43 +283,84 @@ class PigeonholeSearch:
             plan.frequent.append((np.array([k for k, _ in own], dtype=np.uint64), np.array([c for _, c in own], dtype=np.float64)))
         return plan
 
-    def index(self, plan: Plan) -> DataFrame:
-        """A row for each part of each fingerprint."""
+    def _mapped(self, points: DataFrame, name: str, make) -> DataFrame:
+        """part, key and the fingerprint under the name (and what is carried), from make(fps): parts, keys and the places of the fingerprints."""
+        more = [f"{name}_{self.carried}"] if self.carried else []
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in joined_rows(batches, BLOCK_ROWS):
                 fps = batch.column(0).to_numpy(zero_copy_only=False)
-                for i, own in enumerate(plan.values(_as_bits(fps))):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), i, dtype=np.int8)), pa.array(own.view(np.int64)), pa.array(fps)], ["part", "key", "fp"])
+                rest = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+                for part, keys, at in make(fps):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part, dtype=np.int8)), pa.array(keys.view(np.int64)), pa.array(fps[at]), *(pa.array(c[at]) for c in rest)], ["part", "key", name, *more])
+
+        return points.mapInArrow(run, f"part tinyint, key bigint, {name} bigint" + "".join(f", {c} bigint" for c in more))
+
+    def index(self, plan: Plan, points: DataFrame | None = None) -> DataFrame:
+        """A row for each part of each fingerprint."""
 
-        return self.classes.mapInArrow(run, "part tinyint, key bigint, fp bigint")
+        def make(fps: np.ndarray) -> Iterator[tuple]:
+            every = np.arange(len(fps))
+            for i, own in enumerate(plan.values(_as_bits(fps))):
+                yield i, own, every
 
-    def probes(self, plan: Plan) -> DataFrame:
+        return self._mapped(self.points if points is None else points, "fp", make)
+
+    def probes(self, plan: Plan, points: DataFrame | None = None) -> DataFrame:
         """The values to look up for each fingerprint, under its own thresholds."""
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            near = plan.near()
-            for batch in batches:
-                fps = batch.column(0).to_numpy(zero_copy_only=False)
-                values = plan.values(_as_bits(fps))
-                allotted = thresholds(plan, values, near)
-                for i, own in enumerate(values):
-                    for d in range(plan.radius + 1):
-                        rows = np.flatnonzero(allotted[:, i] >= d)
-                        if not len(rows):
-                            continue
-                        for chosen in combinations(range(len(plan.groups[i])), d):
-                            keys = own[rows] ^ np.uint64(sum(1 << b for b in chosen))
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), i, dtype=np.int8)), pa.array(keys.view(np.int64)), pa.array(fps[rows])], ["part", "key", "probe"])
+        def make(fps: np.ndarray) -> Iterator[tuple]:
+            near, values = plan.near(), plan.values(_as_bits(fps))
+            allotted = thresholds(plan, values, near)
+            for i, own in enumerate(values):
+                for d in range(plan.radius + 1):
+                    rows = np.flatnonzero(allotted[:, i] >= d)
+                    if not len(rows):
+                        break
+                    masks = np.array([sum(1 << b for b in chosen) for chosen in combinations(range(len(plan.groups[i])), d)], dtype=np.uint64)
+                    for at in range(0, len(masks), BLOCK_MASKS):
+                        some = masks[at : at + BLOCK_MASKS]
+                        yield i, (own[rows][:, None] ^ some[None, :]).ravel(), np.repeat(rows, len(some))
 
-        return self.classes.mapInArrow(run, "part tinyint, key bigint, probe bigint")
+        return self._mapped(self.points if points is None else points, "probe", make)
+
+    def within(self) -> Column:
+        return F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= self.radius
 
     def links(self) -> DataFrame:
         """a and b (a < b) of every pair of different fingerprints within the radius, once each."""
         plan = self.plan()
-        found = self.probes(plan).join(self.index(plan), ["part", "key"]).where((F.col("probe") < F.col("fp")) & (F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= self.radius))
+        found = self.probes(plan).join(self.index(plan), ["part", "key"]).where((F.col("probe") < F.col("fp")) & self.within())
         return found.select(F.col("probe").alias("a"), F.col("fp").alias("b")).distinct()
 
+    def stars(self) -> DataFrame:
+        """a and b of fingerprints within the radius, b the centre of a bucket that a is in: as many at most as there are parts of fingerprints."""
+        index = written(self.index(self.plan()).select("part", "key", "fp"), "pigeonholes")
+        mixed = F.struct(F.xxhash64("fp"), "fp")
+        centres = index.groupBy("part", "key").agg(F.min(mixed).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "key", F.col("c.fp").alias("probe"))
+        found = index.join(centres, ["part", "key"]).where(F.col("probe") != F.col("fp")).where(self.within())
+        return found.select(F.col("fp").alias("a"), F.col("probe").alias("b")).distinct()
+
+    def across(self) -> DataFrame:
+        """Pairs of points within the radius that differ in what is carried, a component: a, a_of, b and b_of.
+
+        A pair of points of small components, or of a small and a large one, is found by the small one's probes. Points
+        of large components probe the buckets of other large ones by the components that a bucket holds, so a
+        component's own points never meet.
+        """
+        plan = self.plan()
+        of = self.carried
+        own, other = f"probe_{of}", f"fp_{of}"
+        large = written(self.points.groupBy(of).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_COMPONENT).select(of), "large-components")
+        small_points, large_points = self.points.join(large, of, "left_anti").select("fp", of), self.points.join(large, of, "left_semi").select("fp", of)
+        differ = F.col(own) != F.col(other)
+        found = self.probes(plan, small_points).join(self.index(plan), ["part", "key"]).where(differ & self.within())
+        held = written(self.index(plan, large_points), "large-index")
+        asked = self.probes(plan, large_points).join(held.select("part", "key", other).distinct(), ["part", "key"]).where(differ)
+        between = asked.join(held, ["part", "key", other]).where(self.within())
+        columns = [F.col("probe").alias("a"), F.col(own).alias("a_of"), F.col("fp").alias("b"), F.col(other).alias("b_of")]
+        return found.select(*columns).unionByName(between.select(*columns)).distinct()
+
 
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node it reaches) of every node with a link, by alternating large and small stars."""
@@ -303,20 +403,74 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_in_shingle: int
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each_group(docs: DataFrame, radius: int = RADIUS, words_in_shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each component the row with its smallest doc_id (null last; of repeated rows one)."""
+class SimilarRows:
+    """Rows (_row, _text) in groups of near copies."""
+
+    def __init__(self, rows: DataFrame, radius: int = NEAR_RADIUS, parts: int | None = None):
+        self.rows, self.radius, self.parts = rows, radius, parts
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b, rows) whose texts are similar."""
+        ids = KeyFilter(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct(), "_row")
+        known = ids.probed(self.rows.select("_row", "_text"), "_row").where("_hit")
+        both = pairs.join(known.select(F.col("_row").alias("a"), F.col("_text").alias("_one")), "a")
+        both = both.join(known.select(F.col("_row").alias("b"), F.col("_text").alias("_two")), "b").select("a", "b", "_one", "_two")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sets: dict[int, np.ndarray] = {}
+                kept = []
+                a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                for i, (x, y) in enumerate(zip(a, b, strict=True)):
+                    if x not in sets:
+                        sets[x] = shingles(batch.column(2)[i].as_py())
+                    if y not in sets:
+                        sets[y] = shingles(batch.column(3)[i].as_py())
+                    if similar(sets[x], sets[y]):
+                        kept.append(i)
+                yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(kept, pa.int64())) for k in (0, 1)], ["a", "b"])
+
+        return both.mapInArrow(run, "a bigint, b bigint")
+
+    def roots(self, marked: DataFrame) -> DataFrame:
+        """node and root of every row of marked (_row, fp) that has a near copy."""
+        # Rows against the first of their fingerprint, and that against the centres of its buckets.
+        classes = written(marked.groupBy("fp").agg(F.min("_row").alias("first")), "fingerprint-classes")
+        stars = PigeonholeSearch(classes, self.radius, self.parts).stars()
+        stars = stars.join(classes.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(classes.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+        same = marked.join(classes, "fp").where("_row != first").select(F.col("first").alias("a"), F.col("_row").alias("b"))
+        pairs = written(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(same), "star-pairs")
+        first_links = written(self.links(pairs), "star-links")
+        parts = components(first_links).withColumnRenamed("node", "_row")
+        # What lies within the radius and isn't linked yet.
+        placed = written(marked.join(parts, "_row", "left").select("_row", "fp", F.coalesce("root", "_row").alias("of")), "placed")
+        search = PigeonholeSearch(written(placed.select("fp", "of").distinct(), "points"), self.radius, self.parts, "of")
+        across = search.across()
+        ends = placed.select("_row", "fp", "of")
+        pairs = across.join(ends.select(F.col("fp").alias("a"), F.col("of").alias("a_of"), F.col("_row").alias("x")), ["a", "a_of"])
+        pairs = pairs.join(ends.select(F.col("fp").alias("b"), F.col("of").alias("b_of"), F.col("_row").alias("y")), ["b", "b_of"])
+        pairs = written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "candidates")
+        return components(first_links.unionByName(self.links(pairs)))
+
+
+def keep_one_of_each_group(docs: DataFrame, radius: int = NEAR_RADIUS) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each group of near copies the row with its smallest doc_id (null last; of repeated rows one)."""
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("bigint")
     def marks(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words_in_shingle) for t in texts], dtype=np.uint64).view(np.int64))
+        return pd.Series(np.array([word_fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
 
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
     rows = docs.select("doc_id", F.col("text").alias("_text"), whole).select("doc_id", marks("_text").alias("fp"), "_whole")
     rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "fingerprinted")
-    marked = rows.select("doc_id", "fp", "_row")
-    losers = written(marked.join(_named(marked, radius), "fp").where("_row != keep_row").select("_row"), "near-copies")
-    tried = probed(rows.select("_row", "_whole"), filter_over(losers, "_row"), "_row")
+    found = SimilarRows(rows.select("_row", F.col("_whole.text").alias("_text")), radius).roots(rows.select("_row", "fp"))
+    roots = written(found.withColumnRenamed("node", "_row"), "roots")
+    first = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("_row").alias("r"))
+    members = rows.select("doc_id", "_row").join(roots, "_row")
+    keepers = members.groupBy("root").agg(F.min(first).alias("_least")).select(F.col("_least.r").alias("_row"))
+    losers = written(roots.select("_row").join(keepers, "_row", "left_anti"), "near-copies")
+    tried = KeyFilter(losers, "_row").probed(rows.select("_row", "_whole"), "_row")
     passed = tried.where(~F.col("_hit")).select("_whole.*")
     return passed.unionByName(tried.where("_hit").select("_row", "_whole").join(losers, "_row", "left_anti").select("_whole.*"))
 

@@ -2,11 +2,14 @@
 
 A rolling hash over each document's ids cuts them into chunks, so shared passages give equal chunks wherever they stand.
 Each different chunk is stored once under its SHA-256; a document's recipe lists its chunks in order, and the root of a
-Merkle tree over them vouches for the whole. The files are three Parquet tables in one folder:
+Merkle tree over them vouches for the whole. The files are Parquet tables in one folder:
 
-    staged    the encoder's output, dropped once the other two are written
+    staged    the encoder's output, dropped once the others are written
     chunks    digest, width (bytes of an id: 2 or 4, little-endian), ids (binary)
-    recipes   doc_id, start (ids of all documents before it), n_tokens, root, chunks (digest and ids of each), ascending by doc_id
+    recipes   doc_id, range, within (ids of the documents before it in its range), n_tokens, root, chunks (digest and ids of each)
+    ranges    range, range_start (ids of all documents in the ranges before)
+
+Recipes ascend by doc_id within each file and from file to file in name order. Chunks are found by digest and have no order.
 
 Reading back takes the stored bytes only: every chunk is hashed again and must match its name, every recipe's root is
 computed again from the chunks found, and a document's CRC-32 is combined from those of its chunks, as CRC-32 is linear.
@@ -29,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import filter_over, probed
+from sedimenta.llm.bitfilter import KeyFilter
 from sedimenta.llm.common import blocks, bounded_batches, new_folder, remove
 
 #: The rolling hash covers this many ids; chunks have MIN_IDS to MAX_IDS ids, some MIN_IDS + 2 ** CUT_BITS on average.
@@ -282,7 +285,10 @@ class TokenStore:
 
     @property
     def recipes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/recipes")
+        """The recipes with start, the ids of all documents before."""
+        ranges = self.spark.read.parquet(f"{self.folder}/ranges")  # one for each task that wrote recipes
+        found = self.spark.read.parquet(f"{self.folder}/recipes").join(F.broadcast(ranges), "range")
+        return found.withColumn("start", F.col("range_start") + F.col("within")).drop("range", "range_start", "within")
 
     @classmethod
     def write(cls, docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None) -> TokenStore:
@@ -324,9 +330,9 @@ class TokenStore:
 
         # Most chunks occur once and are written where they are; only those that may repeat are shuffled.
         digests = staged.select(F.explode("chunks.digest").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-        bits = filter_over(digests.where("n > 1"), "digest")
+        repeated = KeyFilter(digests.where("n > 1"), "digest")
         each = staged.select("width", F.explode("chunks").alias("c")).select(F.col("c.digest").alias("digest"), "width", F.col("c.ids").alias("ids"))
-        tried = probed(each, bits, "digest")
+        tried = repeated.probed(each, "digest")
         once = tried.where(~F.col("_hit")).unionByName(tried.where("_hit").dropDuplicates(["digest"])).drop("_hit")
         once.write.option("compression", "zstd").parquet(f"{store.folder}/chunks")
 
@@ -336,17 +342,23 @@ class TokenStore:
         return store
 
     def _write_recipes(self, listed: DataFrame) -> None:
-        """Ascending by doc_id, with each document's start: sums of whole ranges first, then a running sum in each."""
+        """Ascending by doc_id, within and across files, with each document's place in its range; and each range's start."""
         order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
-        ranged = listed.repartitionByRange(self._ranges(), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
-        ranged.write.parquet(f"{self.folder}/ranged")
-        ranged = self.spark.read.parquet(f"{self.folder}/ranged")
-        sums = ranged.groupBy("range").agg(F.sum("n_tokens").alias("s"))  # a row for each range
-        before = sums.select("range", F.coalesce(F.sum("s").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-        running = F.sum("n_tokens").over(Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = ranged.join(F.broadcast(before), "range").withColumn("start", F.col("before") + running - F.col("n_tokens"))
-        out.select("doc_id", "start", "n_tokens", "root", "chunks", "row").write.parquet(f"{self.folder}/recipes")
-        remove(self.spark, f"{self.folder}/ranged")
+
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            before = 0
+            for batch in batches:
+                n = batch.column(2).to_numpy(zero_copy_only=False)
+                ends = before + np.cumsum(n)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - n)], [*batch.schema.names, "within"])
+                before = int(ends[-1]) if len(n) else before
+
+        ranged = listed.select("doc_id", "row", "n_tokens", "root", "chunks").repartitionByRange(self._ranges(), *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id())
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranged.schema)
+        ranged.mapInArrow(placed, f"{kinds}, within bigint").write.parquet(f"{self.folder}/recipes")
+        sums = self.spark.read.parquet(f"{self.folder}/recipes").groupBy("range").agg(F.sum("n_tokens").alias("s"))  # a row for each range
+        before = sums.select("range", F.coalesce(F.sum("s").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint").alias("range_start"))
+        before.write.parquet(f"{self.folder}/ranges")
 
     def _ranges(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
