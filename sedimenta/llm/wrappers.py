@@ -1,29 +1,36 @@
-"""Main text of web pages through wrappers inferred for each host: union-free regular expressions over tag streams.
-
-A page's tag stream, with text as slots, is folded: neighbours of one kind become a repeated group, and so do alternating
-runs. The streams of a host are aligned one after another with its wrapper so far; what one side lacks becomes optional,
-what stands once here and several times there becomes repeated, and aligned parts are resolved in the same way within. Each
-part of a wrapper keeps how much text its slots hold over all pages. Pages of a host are aligned within their task first,
-then wrappers in a tree of two levels, so a hot host is never in one task as a whole.
-
-From its wrapper, a host's content parts are chosen (article, main, a part named as content, or the innermost part with
-most of the text) as are its boilerplate parts (menus, headers, footers, sidebars, notices, adverts, forms, comments). Each
-page's text is then read from its own stream: blocks of the content parts without boilerplate, whole and in page order.
-
-Defined results: a null html has an empty text. A page that lacks its host's content parts is read by a wrapper of its own.
-A null or unreadable url belongs to the host ''. Rows that repeat give a row each. Elements of any depth are
-parsed and read; below MAX_DEPTH the wrapper counts their text for their ancestor, and each page decides on boilerplate there.
+"""Main text of web pages through wrappers inferred for each host: union-free regular expressions over token streams.
+
+A page's stream of tags and texts is folded: neighbours of one kind become a repeated group, and so do alternating runs.
+The streams of a host are aligned one after another with its wrapper so far. Where texts in one place differ, the mismatch
+becomes a slot; texts that never differ are the template's. What one side lacks becomes optional, what stands once here and
+several times there becomes repeated, and aligned parts are resolved in the same way within. Each part keeps how much text
+it holds over all pages and on how many it stands. Pages of a host are aligned within their task first, then wrappers in a
+tree whose nodes take some FAN_IN wrappers each, so a hot host is never in one task as a whole.
+
+A host's wrapper decides what is read. Parts whose text is the template's go (they stand on LEAST_PAGES pages at least; an
+optional part on half of the pages), but not within article, main or parts named as content. Boilerplate that varies
+(comments, adverts) goes by its tag, role or name. Of what is left, the content parts are chosen: article, main, a part named as content,
+or the innermost part with most of the text. Each page's text is then read from its own stream: blocks of the content
+parts without what goes, whole and in page order.
+
+Defined results: a null, empty or textless html has an empty text. A page that lacks its host's content parts is read by a
+wrapper of its own, without what goes on its host. A host with a page or two, or with the same page each time, has no
+template. A null or unreadable url belongs to the host ''. Rows that repeat give a row each; an empty table gives an empty
+result; other columns are left alone. Texts of any length and elements of any depth are read; below MAX_DEPTH the wrapper
+counts their text for their ancestor, and each page decides on boilerplate there.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +40,10 @@ from sedimenta.llm.common import bounded_batches, written
 MAX_DEPTH = 100
 #: Hosts that a task aligns at once; beyond, it passes on what it has.
 TASK_HOSTS = 2000
-#: Wrappers of a host meet in so many groups before they become one.
-SALTS = 32
-#: Sizes of child lists up to which alignment is exact; longer ones are merged by kind.
-ALIGN_CELLS = 250_000
+#: Wrappers of a host that one group merges, on average.
+FAN_IN = 32
+#: Pages of a host on which a text must stand unchanged to be the template's.
+LEAST_PAGES = 3
 #: A part with this share of the text around it is the next part inwards.
 DENSE_SHARE = 0.6
 
@@ -65,6 +72,12 @@ KEPT_TAGS = set("html body main article".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: What classes and ids lose: numbers of their own, as in post-17, and marks that kinds and paths use.
+_NUMBERED = re.compile(r"(?<=[-_])\d+|[^A-Za-z0-9_-]+")
+
+
+def _names(labels: str) -> set[str]:
+    return {n.lower() for n in _NAME.findall(labels)}
 
 
 class Node:
@@ -75,10 +88,14 @@ class Node:
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.children, self.holds = tag, [], False
         found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
-        self.role = "main" if found.get("role") == "main" or "articlebody" in found.get("itemprop", "").lower() else found.get("role", "").lower()
+        self.role = "main" if found.get("role") == "main" or "articlebody" in found.get("itemprop", "").lower() else re.sub("[^a-z]", "", found.get("role", "").lower())
         label = " ".join(found.get(k, "") for k in ("class", "id"))
-        self.names = {n.lower() for n in _NAME.findall(label)} if label.strip() else set()
-        self.kind = tag + "".join(f".{n}" for n in sorted(self.names)) + (f"@{self.role}" if self.role else "")
+        self.kind, self.names = tag, set()
+        if label.strip():
+            self.kind += "".join(f".{n}" for n in sorted({_NUMBERED.sub("", n) for n in label.split()}) if n)
+            self.names = _names(self.kind[len(tag) :])
+        if self.role:
+            self.kind += f"@{self.role}"
 
     @property
     def boilerplate(self) -> bool:
@@ -170,32 +187,46 @@ def tree(html: str | None) -> Node:
     return root
 
 
-# A wrapper part is [kind, flags, text, children]; a group of several kinds has the kind "()".
+# A wrapper part is [kind, flags, text, children, same, pages]: how much text it holds itself, a digest of all its text (None
+# once it differs between pages: a slot), and on how many pages it stands. A text has the kind "#", a group of several kinds "()".
 OPTIONAL, REPEATED = 1, 2
+TEXT, GROUP = "#", "()"
+
+
+def _digest(parts: Iterable[str]) -> str:
+    return xxhash.xxh64_hexdigest("\x00".join(parts).encode("utf-8", "surrogatepass"))
 
 
 def folded(node: Node, depth: int = 0) -> list:
-    """The wrapper of one element: neighbours of a kind and alternating runs repeated, texts as slots."""
-    text = sum(len(c.strip()) for c in node.children if isinstance(c, str))
-    inner = [c for c in node.children if isinstance(c, Node)]
+    """The wrapper of one element of one page: texts between its tags, neighbours of a kind and alternating runs repeated."""
     if depth < MAX_DEPTH:
-        return [node.kind, 0, text, fold([folded(c, depth + 1) for c in inner])]
+        parts, run = [], []
+        for child in [*node.children, None]:
+            if isinstance(child, str):
+                run.append(child)
+                continue
+            text = " ".join("".join(run).split())
+            run.clear()
+            if text:
+                parts.append([TEXT, 0, len(text), [], _digest([text]), 1])
+            if child is not None:
+                parts.append(folded(child, depth + 1))
+        return [node.kind, 0, 0, fold(parts), _digest([node.kind, *(p[4] for p in parts)]), 1]
+    texts, inner = [], [node]
     while inner:
         below = inner.pop()
-        if not below.deep_boilerplate:
-            for c in below.children:
-                if isinstance(c, str):
-                    text += len(c.strip())
-                else:
-                    inner.append(c)
-    return [node.kind, 0, text, []]
+        if isinstance(below, str):
+            texts.append(below.strip())
+        elif below is node or not below.deep_boilerplate:
+            inner.extend(reversed(below.children))
+    return [node.kind, 0, sum(map(len, texts)), [], _digest([node.kind, *texts]), 1]
 
 
 def fold(parts: list) -> list:
     out: list = []
     for part in parts:
         if out and out[-1][0] == part[0]:
-            out[-1] = aligned(out[-1], part, REPEATED)
+            out[-1] = repeated(out[-1], part, REPEATED)
         else:
             out.append(part)
     for width in (2, 3):
@@ -203,60 +234,73 @@ def fold(parts: list) -> list:
         while i + 2 * width <= len(out):
             kinds = [p[0] for p in out[i : i + width]]
             ahead = i + width
-            if len(set(kinds)) > 1 and "()" not in kinds and [p[0] for p in out[ahead : ahead + width]] == kinds:
+            if len(set(kinds)) > 1 and GROUP not in kinds and [p[0] for p in out[ahead : ahead + width]] == kinds:
                 group = out[i : i + width]
                 while [p[0] for p in out[ahead : ahead + width]] == kinds:
-                    group = [aligned(a, b, 0) for a, b in zip(group, out[ahead : ahead + width], strict=True)]
+                    group = [repeated(a, b, 0) for a, b in zip(group, out[ahead : ahead + width], strict=True)]
                     ahead += width
-                out[i:ahead] = [["()", REPEATED, 0, group]]
+                out[i:ahead] = [[GROUP, REPEATED, 0, group, _digest(p[4] for p in group), 1]]
             i += 1
     return out
 
 
+def repeated(a: list, b: list, flags: int) -> list:
+    """One part for two of a kind on one page: the same on another page only if both are, in this order."""
+    return [a[0], a[1] | b[1] | flags, a[2] + b[2], aligned_lists(a[3], b[3], repeated), _digest([a[4], b[4]]), 1]
+
+
 def aligned(a: list, b: list, flags: int = 0) -> list:
-    """One part for two of a kind."""
-    return [a[0], a[1] | b[1] | flags, a[2] + b[2], aligned_lists(a[3], b[3])]
+    """One part for two of a kind of different pages."""
+    return [a[0], a[1] | b[1] | flags, a[2] + b[2], aligned_lists(a[3], b[3], aligned), a[4] if a[4] == b[4] else None, a[5] + b[5]]
 
 
-def aligned_lists(a: list, b: list) -> list:
-    """Longest common subsequence by kind; what is in one only becomes optional."""
+def aligned_lists(a: list, b: list, join: Callable) -> list:
+    """Parts of both sides in order; what is in one only becomes optional. At a mismatch, the side whose next match is nearer moves on."""
     if [p[0] for p in a] == [p[0] for p in b]:
-        return [aligned(x, y) for x, y in zip(a, b, strict=True)]
-    if len(a) * len(b) > ALIGN_CELLS:
-        kinds: dict[str, list] = {}
-        for part in [*a, *b]:
-            kinds[part[0]] = aligned(kinds[part[0]], part, REPEATED) if part[0] in kinds else [part[0], part[1] | OPTIONAL, part[2], part[3]]
-        return list(kinds.values())
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+        return [join(x, y, 0) for x, y in zip(a, b, strict=True)]
+    places: list[dict[str, list[int]]] = [{}, {}]
+    for own, parts in zip(places, (a, b), strict=True):
+        for k, part in enumerate(parts):
+            own.setdefault(part[0], []).append(k)
+
+    def ahead(side: int, kind: str, at: int) -> int | None:
+        found = places[side].get(kind, [])
+        k = bisect_left(found, at)
+        return found[k] - at if k < len(found) else None
+
     out, i, j = [], 0, 0
-    lone = lambda p: [p[0], p[1] | OPTIONAL, p[2], p[3]]
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i][0] == b[j][0] and best[i][j] == best[i + 1][j + 1] + 1:
-            out.append(aligned(a[i], b[j]))
+    lone = lambda p: [p[0], p[1] | OPTIONAL, *p[2:]]
+    while i < len(a) and j < len(b):
+        if a[i][0] == b[j][0]:
+            out.append(join(a[i], b[j], 0))
             i, j = i + 1, j + 1
-        elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            out.append(lone(a[i]))
-            i += 1
+            continue
+        in_a, in_b = ahead(0, b[j][0], i), ahead(1, a[i][0], j)
+        if in_a is None and in_b is None:
+            out += [lone(a[i]), lone(b[j])]
+            i, j = i + 1, j + 1
+        elif in_a is None or (in_b is not None and in_b <= in_a):
+            out += map(lone, b[j : j + in_b])
+            j += in_b
         else:
-            out.append(lone(b[j]))
-            j += 1
+            out += map(lone, a[i : i + in_a])
+            i += in_a
+    out += map(lone, [*a[i:], *b[j:]])
     # Neighbours that alignment brought together are one repeated part.
-    joined: list = []
+    met: list = []
     for part in out:
-        if joined and joined[-1][0] == part[0]:
-            joined[-1] = aligned(joined[-1], part, REPEATED)
+        if met and met[-1][0] == part[0]:
+            more = join(met[-1], part, REPEATED)
+            met[-1] = [*more[:5], max(met[-1][5], part[5])]
         else:
-            joined.append(part)
-    return joined
+            met.append(part)
+    return met
 
 
 def expression(part: list) -> str:
-    """The wrapper as a regular expression, for reading."""
+    """The wrapper as a regular expression, for reading: # is a slot, = a text of the template."""
     inner = "".join(expression(c) for c in part[3])
-    own = f"({inner})" if part[0] == "()" else f"<{part[0]}>{'#' if part[2] else ''}{inner}</>"
+    own = f"({inner})" if part[0] == GROUP else ("#" if part[4] is None else "=") if part[0] == TEXT else f"<{part[0]}>{inner}</>"
     mark = {0: "", OPTIONAL: "?", REPEATED: "+", OPTIONAL | REPEATED: "*"}[part[1]]
     return f"({own}){mark}" if mark else own
 
@@ -264,23 +308,27 @@ def expression(part: list) -> str:
 def _parse_kind(kind: str) -> Node:
     node = Node("")
     head, _, node.role = kind.partition("@")
-    node.tag, *names = head.split(".")
-    node.names, node.kind = set(names), kind
+    node.tag, _, labels = head.partition(".")
+    node.names, node.kind = _names(labels), kind
     return node
 
 
-def choices(wrapper: list) -> tuple[list[str], list[str]]:
-    """Paths of the content parts and of the boilerplate parts. They depend on summed paths only, not on the order of alignment."""
+def choices(wrapper: list, gone: Iterable[str] = ()) -> tuple[list[str], list[str]]:
+    """Paths of the content parts and of what goes (gone goes in any case). They depend on each path's parts, not on the order of alignment."""
     text: dict[str, int] = {}
     nodes: dict[str, Node] = {"": _parse_kind("")}
     parent: dict[str, str] = {}
+    varies: set[str] = set()  # paths with a part that isn't the template's
     todo = [("", wrapper)]
     while todo:
         path, part = todo.pop()
         text[path] = text.get(path, 0) + part[2]
+        needed = max(LEAST_PAGES, wrapper[5] / 2 if part[1] & OPTIONAL else 0)
+        if part[0] != GROUP and (part[4] is None or part[5] < needed):
+            varies.add(path)
         for child in part[3]:
-            if child[0] == "()":
-                todo.append((path, ["()", 0, 0, child[3]]))
+            if child[0] == GROUP:
+                todo.append((path, child))
                 continue
             below = f"{path}>{child[0]}"
             nodes.setdefault(below, _parse_kind(child[0]))
@@ -298,16 +346,20 @@ def choices(wrapper: list) -> tuple[list[str], list[str]]:
             named[parent[path]] = named.get(parent[path], False) or named[path]
     dropped: set[str] = set()
     within: dict[str, bool] = {}  # in an article or main
+    in_named: dict[str, bool] = {}  # or in a part that is named as content
+    known, has_template = set(gone), "" in varies
     for path in order:
         node = nodes[path]
         above = parent.get(path)
         inside = within.get(above, False)
         within[path] = inside or node.is_content
+        in_named[path] = in_named.get(above, False) or bool(node.names & CONTENT_NAMES and not node.names & DROPPED_NAMES)
+        template = path in known or (has_template and path not in varies)
         strong = node.tag in DROPPED or node.role in DROPPED_ROLES
         # A layout's name, such as with-sidebar, doesn't count for what holds the content; comments may hold parts of any name.
         exempt = holds[path] or (named[path] and not node.names & ASIDE_NAMES)
         by_name = node.tag not in KEPT_TAGS and bool(node.names & DROPPED_NAMES) and not exempt
-        if above in dropped or strong or by_name or node.is_aside or (node.header and not inside and not exempt):
+        if above in dropped or strong or by_name or node.is_aside or (node.header and not inside and not exempt) or (template and not within[path] and not in_named[path] and not holds[path]):
             dropped.add(path)
     whole = {p: 0 if p in dropped else text[p] for p in order}
     for path in reversed(order):
@@ -335,7 +387,8 @@ def choices(wrapper: list) -> tuple[list[str], list[str]]:
                 inner = [p for p in live if parent[p] == path and nodes[p].tag in ("html", "body", "div", "section", "table", "tbody", "tr", "td", "center")]
                 next_path = max(inner, key=lambda p: (whole[p], p), default=None)
                 # Headings, paragraphs and the body's own text beside the part are content; own text of other elements may be a sibling's of the same kind.
-                beside = whole[path] - sum(whole[p] for p in inner) - (0 if nodes[path].tag in ("", "html", "body") else text[path])
+                own = text[path] + (whole.get(f"{path}>{TEXT}", 0))
+                beside = whole[path] - sum(whole[p] for p in inner) - (0 if nodes[path].tag in ("", "html", "body") else own)
                 if next_path is None or whole[next_path] < DENSE_SHARE * whole[path] or beside > 0:
                     break
                 path = next_path
@@ -369,7 +422,7 @@ def text_of(root: Node, content: set[str], dropped: set[str]) -> tuple[str, bool
         later: list[tuple] = [(None, "", False, 0)] if own else []
         for child in item.children:
             if isinstance(child, str):
-                if inside:
+                if inside and (depth > MAX_DEPTH or f"{path}>{TEXT}" not in dropped):
                     later.append((child, path, True, 0))
                 continue
             deep = depth >= MAX_DEPTH
@@ -394,7 +447,7 @@ def main_text(html: str | None, chosen: tuple[list[str], list[str]] | None = Non
         text, found = text_of(root, set(chosen[0]), set(chosen[1]))
         if found:
             return text
-    content, dropped = choices(folded(root))
+    content, dropped = choices(folded(root), chosen[1] if chosen else ())
     return text_of(root, set(content), set(dropped))[0]
 
 
@@ -427,10 +480,17 @@ def wrappers(pages: DataFrame) -> DataFrame:
             found = own if found is None else aligned(found, own)
         return pa.table({"host": table["host"][:1], "wrapper": pa.array([json.dumps(found)])})
 
-    parts = pages.select(host_of().alias("host"), "html").mapInArrow(by_task, "host string, wrapper string")
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    once = salted.groupBy("host", "salt").applyInArrow(lambda t: merged(t.select(["host", "wrapper"])), "host string, wrapper string")
-    return once.groupBy("host").applyInArrow(merged, "host string, wrapper string")
+    def placed(parts: DataFrame) -> DataFrame:
+        """Wrappers with a number of their own, so that equal ones part as well."""
+        return written(parts.withColumn("salt", F.xxhash64("wrapper", F.monotonically_increasing_id())), "wrapper-level")
+
+    level = placed(pages.select(host_of().alias("host"), "html").mapInArrow(by_task, "host string, wrapper string"))
+    while True:
+        sizes = level.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= 1:
+            return level.select("host", "wrapper")
+        dealt = level.join(sizes, "host").withColumn("node", F.pmod("salt", F.ceil(F.col("n") / FAN_IN)))
+        level = placed(dealt.groupBy("host", "node").applyInArrow(lambda t: merged(t.select(["host", "wrapper"])), "host string, wrapper string"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
 import html
+import json
+import random
 import re
 
 from sedimenta.llm import wrappers
@@ -40,9 +42,9 @@ def test_boilerplate_goes_and_content_stays():
 def test_expressions():
     one = wrappers.folded(wrappers.tree("<ul><li>a</ul><p>x"))
     many = wrappers.folded(wrappers.tree("<ul><li>a<li>b<li>c</ul><hr><p>x"))
-    assert wrappers.expression(wrappers.aligned(one, many)) == "<><ul>(<li>#</>)+</>(<hr></>)?<p>#</></>"
+    assert wrappers.expression(wrappers.aligned(one, many)) == "<><ul>(<li>#</>)+</>(<hr></>)?<p>=</></>"
     pairs = wrappers.folded(wrappers.tree("<dl><dt>a<dd>b<dt>c<dd>d</dl>"))
-    assert wrappers.expression(pairs) == "<><dl>((<dt>#</><dd>#</>))+</></>"
+    assert wrappers.expression(pairs) == "<><dl>((<dt>=</><dd>=</>))+</></>"
 
 
 def test_choices_dont_depend_on_order():
@@ -82,3 +84,55 @@ def test_deep_elements_count():
         deep = "<div>" * depth + "<p>a</p><p>b</p><nav>n</nav><form>f</form><div class=comments>c</div><div class='wrap sidebar-left'><article><p>d</p></article></div>" + "</div>" * depth
         text = wrappers.main_text(f"<article>{deep}<p>behind</p></article>")
         assert text == "a\nb\nd\nbehind", depth
+
+
+MEANINGLESS = """<body><div class=q1><a href=/>Home</a> <a href=/n>News</a><ul><li>All<li>Old<li>New</ul></div>{top}<div class=q2><h1>{title}</h1><p>{text}</p><p>{more}</p></div><div class=q3><span>Read our terms before you use this site, all rights are reserved for all of it.</span></div></body>"""
+
+
+def meaningless(i):
+    return MEANINGLESS.format(top="<div class=q4>A note that stands on most pages.</div>" if i % 3 else "", title=f"Title {i}", text=f"Text of page {i} " * (3 + i % 5), more=f"More words, {i * i}")
+
+
+def wrapper_of(pages):
+    out = None
+    for page in pages:
+        own = wrappers.folded(wrappers.tree(page))
+        out = own if out is None else wrappers.aligned(out, own)
+    return out
+
+
+def test_what_repeats_on_a_host_goes_whatever_its_name(spark):
+    pages = spark.createDataFrame([(i, "http://h/x", meaningless(i)) for i in range(40)], "page_id bigint, url string, html string")
+    want = {i: f"Title {i}\n{(f'Text of page {i} ' * (3 + i % 5)).strip()}\nMore words, {i * i}" for i in range(40)}
+    assert {r.page_id: r.text for r in wrappers.extracted(pages).collect()} == want
+    # Only the wrapper knows: a page by itself keeps what repeats.
+    assert all(s in wrappers.main_text(meaningless(4)) for s in ("Home News", "A note", "Read our terms"))
+
+
+def test_string_mismatches_become_slots():
+    own = wrappers.expression(wrapper_of(["<p>same</p><div>a</div><ul><li>x<li>y</ul>", "<p>same</p><div>b</div><ul><li>x<li>y</ul>"]))
+    assert own == "<><p>=</><div>#</><ul>(<li>=</>)+</></>"
+
+
+def test_same_text_stays_where_it_is_content():
+    article = "<body><div class=a>Menu of it</div><article><p>Same in all.</p><p>{}</p></article></body>"
+    chosen = wrappers.choices(wrapper_of([article.format(i) for i in range(5)]))
+    assert wrappers.main_text(article.format(3), chosen) == "Same in all.\n3"
+    # One page again and again has no template, nor have two pages.
+    page = meaningless(4)
+    assert wrappers.main_text(page, wrappers.choices(wrapper_of([page] * 5))) == wrappers.main_text(page)
+    assert wrappers.main_text(page, wrappers.choices(wrapper_of([page, meaningless(5)]))) == wrappers.main_text(page)
+
+
+def test_long_lists_of_many_kinds_align():
+    rng = random.Random(4)
+    pages = ["<article>" + "".join(f"<{(t := rng.choice(['p', 'h2', 'div', 'section', 'pre']))}>{k}</{t}>" for k in range(4000)) + "</article>" for _ in range(3)]
+    found = wrapper_of(pages)
+    assert wrappers.main_text(pages[0], wrappers.choices(found)).count("\n") == 3999
+
+
+def test_a_hot_host_is_merged_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "FAN_IN", 2)
+    pages = spark.createDataFrame([(i, "http://h/x", meaningless(i % 7)) for i in range(120)], "page_id bigint, url string, html string").repartition(12)
+    (row,) = wrappers.wrappers(pages).collect()
+    assert row.host == "h" and json.loads(row.wrapper)[5] == 120
