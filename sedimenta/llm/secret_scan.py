@@ -4,14 +4,21 @@ A candidate is a run of at least MIN_LENGTH characters of the usual encodings wi
 alphabet that holds it. A run with + or / as well as - or _, which no alphabet holds, is cut at + and / and, for
 itself, at - and _; each part of MIN_LENGTH is one. Three tests ask whether its symbols look drawn at random from that alphabet: chi-squared
 over parts of the alphabet, the number of runs below and above the middle, and the correlation of neighbours. A Cauchy
-combination makes one p-value of the three; small ones mean structure (words, slugs, counters).
+combination makes one p-value of the three; small ones mean structure (words, slugs, counters). A string of n symbols has
+no p-value above 1 - 1 / n, so that counters and alphabets, which are perfectly even, can't make up for the other two tests.
 
-Rejections are under false-discovery control over the whole corpus (Benjamini-Hochberg), apart for each encoding and
-length class, as long strings give their structure away at smaller p-values than short ones. What is not rejected is
-reported as a span `random`, also where it lies in a span of a fixed pattern; all of those stay.
+What is reported as a span `random` passes two limits, apart for each encoding and length class over the whole corpus, as
+long strings give their structure away at smaller p-values than short ones:
 
-Defined results: a null text counts as empty and has no spans. Rows that repeat are scanned each on its own and count each
-in the control. Positions are in code points, ends exclusive.
+    rejected    Benjamini-Hochberg at RATE: random strings are held to be structured at most that often
+    mixed       among those at or above the limit, the share of structured strings is estimated as RATE at most. Random
+                strings have even p-values, so those above one half, doubled, say how many there are in all
+
+So the second limit controls false secrets, the first lost ones. Spans of fixed patterns stay, also those that a `random` lies in.
+
+Defined results: a null text counts as empty and has no spans; an empty table gives an empty result. Texts of any length are
+read whole. Rows that repeat are scanned each on its own and count each in the control. Other columns are left alone.
+Positions are in code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -55,10 +62,11 @@ _PARTS = [{c: i for i, part in enumerate(parts) for c in part} for _, parts in E
 _ORDER = [{c: i for i, c in enumerate("".join(parts))} for _, parts in ENCODINGS]
 _SETS = [frozenset(order) for order in _ORDER]
 LENGTH_CLASSES = 16
-#: The false-discovery rate, and the steps of -log10(p) in which p-values are counted.
+#: The false-discovery rate, and the steps of -log10(p) in which p-values are counted; those before HALF_STEP are above one half.
 RATE = 0.05
 STEPS_A_DECADE = 20
 STEPS = 20 * STEPS_A_DECADE
+HALF_STEP = 6
 
 
 def _two_sided(z: float) -> float:
@@ -102,9 +110,9 @@ def battery(symbols: str, encoding: int) -> tuple[float, float, float]:
     return chi, wald, serial
 
 
-def combined(ps: tuple[float, ...]) -> float:
-    """The Cauchy combination."""
-    clipped = [min(max(p, 1e-15), 1 - 1e-15) for p in ps]
+def combined(ps: tuple[float, ...], n: int) -> float:
+    """The Cauchy combination of the p-values of a string of n symbols."""
+    clipped = [min(max(p, 1e-15), 1 - 1 / n) for p in ps]
     return min(1.0, max(10.0 ** (-STEPS / STEPS_A_DECADE), 0.5 - atan(sum(tan((0.5 - p) * pi) for p in clipped) / len(clipped)) / pi))
 
 
@@ -129,7 +137,7 @@ def candidates(text: str) -> list[tuple[int, int, int, int]]:
             continue
         for k, allowed in enumerate(_SETS):
             if seen <= allowed:
-                p = combined(battery(own, k))
+                p = combined(battery(own, k), len(own))
                 length = min(LENGTH_CLASSES - 1, len(own).bit_length())
                 out.append((start, end, k * LENGTH_CLASSES + length, min(STEPS - 1, int(-log10(p) * STEPS_A_DECADE))))
                 break
@@ -167,22 +175,33 @@ def tested(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def rejected_from(rows: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """For each stratum, the least step whose p-values are rejected; strata and steps are few, whatever the corpus."""
+def limit_of(seen: list[int], rate: float = RATE) -> int:
+    """The least step (of -log10(p)) whose strings aren't reported, from the counts of all steps of a stratum."""
+    total = sum(seen)
+    rejected, beyond = STEPS, 0
+    for step in range(STEPS - 1, -1, -1):
+        beyond += seen[step]
+        # All p-values of a step are at most 10 ** (-step / STEPS_A_DECADE).
+        if beyond and total * 10.0 ** (-step / STEPS_A_DECADE) <= rate * beyond:
+            rejected = step
+    half = 10.0 ** (-HALF_STEP / STEPS_A_DECADE)
+    random = min(total, (sum(seen[:HALF_STEP]) + 1) / (1 - half))  # one more, as no estimate is sure
+    mixed, reported = 0, 0
+    for step in range(STEPS):
+        reported += seen[step]
+        expected = random * (1 - 10.0 ** (-(step + 1) / STEPS_A_DECADE))
+        if reported - expected <= rate * reported:
+            mixed = step + 1
+    return min(rejected, mixed)
+
+
+def limits_from(rows: DataFrame, rate: float = RATE) -> dict[int, int]:
+    """limit_of() each stratum; strata and steps are few, whatever the corpus."""
     counts: dict[int, list[int]] = {}
     steps = rows.select(F.explode("tried").alias("t")).groupBy("t.stratum", "t.step").agg(F.count(F.lit(1)).alias("n"))
     for row in steps.collect():  # 8 encodings, 16 length classes and 400 steps at most
         counts.setdefault(row["stratum"], [0] * STEPS)[row["step"]] += row["n"]
-    out = {}
-    for stratum, seen in counts.items():
-        total, beyond, best = sum(seen), 0, STEPS
-        for step in range(STEPS - 1, -1, -1):
-            beyond += seen[step]
-            # All p-values of a step are at most 10 ** (-step / STEPS_A_DECADE).
-            if beyond and total * 10.0 ** (-step / STEPS_A_DECADE) <= rate * beyond:
-                best = step
-        out[stratum] = best
-    return out
+    return {stratum: limit_of(seen, rate) for stratum, seen in counts.items()}
 
 
 def _joined(spans: Column) -> Column:
@@ -193,7 +212,7 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_random of every row."""
     rows = written(tested(docs), "secret-tests")
-    limits = rejected_from(rows, rate)
+    limits = limits_from(rows, rate)
     limit = F.create_map(*[F.lit(v) for pair in sorted(limits.items()) for v in pair]) if limits else F.create_map(F.lit(0), F.lit(STEPS))
     kept = F.filter("tried", lambda t: t["step"] < limit[t["stratum"]])
     more = F.transform(kept, lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), t["end"].alias("end")))

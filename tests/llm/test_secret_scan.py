@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -26,7 +27,7 @@ def test_base_spans(documents):
 
 def test_battery_tells_random_from_text():
     rng = random.Random(2)
-    random_ps = [secret_scan.combined(secret_scan.battery("".join(rng.choice("0123456789abcdef") for _ in range(40)), 0)) for _ in range(2000)]
+    random_ps = [secret_scan.combined(secret_scan.battery("".join(rng.choice("0123456789abcdef") for _ in range(40)), 0), 40) for _ in range(2000)]
     assert 0.03 < sum(p <= 0.05 for p in random_ps) / 2000 < 0.08
     for slug in ("the-quick-brown-fox-jumps-over-the-lazy-dog-2024", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", "abcabcabcabcabcabcabcabcabcabcabcabc123123123"):
         ((_, _, stratum, step),) = secret_scan.candidates(slug)
@@ -63,3 +64,87 @@ def test_mixed_and_letter_only_runs_are_tested():
         assert (at, at + len(key)) in [c[:2] for c in secret_scan.candidates(text)], before
     letters = "QWHZKDNVTBXAPLRMCYFJSEUGIO"
     assert [c[:2] for c in secret_scan.candidates(f"see {letters} here")] == [(4, 4 + len(letters))]
+
+
+EVEN = ("0123456789abcdef" * 2, "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "00112233445566778899aabbccddeeff", "0f1e2d3c4b5a69780f1e2d3c4b5a6978")
+
+
+def plain_p(own):
+    """The battery and its combination, written out."""
+    k = next(i for i, (_, parts) in enumerate(secret_scan.ENCODINGS) if set(own) <= set("".join(parts)))
+    parts = secret_scan.ENCODINGS[k][1]
+    alphabet, n = "".join(parts), len(own)
+    x2 = sum((sum(own.count(c) for c in part) - n * len(part) / len(alphabet)) ** 2 / (n * len(part) / len(alphabet)) for part in parts)
+    dof = len(parts) - 1
+    # The tail of chi-squared: closed forms for 3 and 4 degrees of freedom.
+    chi = math.erfc(math.sqrt(x2 / 2)) + math.sqrt(2 * x2 / math.pi) * math.exp(-x2 / 2) if dof == 3 else math.exp(-x2 / 2) * (1 + x2 / 2)
+    v = [alphabet.index(c) for c in own]
+    sides = "".join("h" if 2 * i >= len(alphabet) else "l" for i in v)
+    h, low = sides.count("h"), sides.count("l")
+    if h and low:
+        groups = len(re.findall("h+|l+", sides))
+        mean, var = 2 * h * low / n + 1, 2 * h * low * (2 * h * low - n) / (n * n * (n - 1))
+        runs = math.erfc(abs(groups - mean) / math.sqrt(var) / math.sqrt(2))
+    else:
+        runs = 2 / 2**n
+    m = sum(v) / n
+    r = sum((v[i] - m) * (v[i + 1] - m) for i in range(n - 1)) / sum((i - m) ** 2 for i in v)
+    serial = math.erfc(abs(r + 1 / n) * math.sqrt(n) / math.sqrt(2))
+    t = [math.tan(math.pi * (0.5 - min(max(p, 1e-15), 1 - 1 / n))) for p in (chi, runs, serial)]
+    return 0.5 - math.atan(sum(t) / 3) / math.pi
+
+
+def test_battery_equals_the_plain_one():
+    rng = random.Random(9)
+    for alphabet in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"):
+        for _ in range(200):
+            own = "a1B"[: 3 if alphabet[0] == "a" else 0] + "".join(rng.choice(alphabet) for _ in range(rng.randint(24, 90)))
+            found = [c for c in secret_scan.candidates(own) if c[:2] == (0, len(own))]
+            for _, _, stratum, step in found:
+                # The approximated tail of chi-squared is off by little.
+                assert abs(-math.log10(plain_p(own)) - step / secret_scan.STEPS_A_DECADE) < 0.06 + 0.1 * step / secret_scan.STEPS_A_DECADE
+                assert stratum % secret_scan.LENGTH_CLASSES == len(own).bit_length()
+
+
+def test_even_strings_are_structured(spark):
+    for own in EVEN:
+        ((_, _, _, step),) = secret_scan.candidates(own)
+        assert step > 2 * secret_scan.STEPS_A_DECADE, own
+    got = secret_scan.scan(spark.createDataFrame(list(enumerate(EVEN)), "doc_id bigint, text string"))
+    assert {r.n_random for r in got.collect()} == {0}
+
+
+def plain_limit(ps, rate):
+    """Both limits on p itself, as the docstring says, over the steps' p-values."""
+    cuts = [10 ** (-k / 20) for k in range(401)]
+    rejected = min([c for c in cuts[:-1] if sum(p <= c for p in ps) and len(ps) * c <= rate * sum(p <= c for p in ps)][:1] or [0])
+    n_random = min(len(ps), (sum(p > cuts[6] for p in ps) + 1) / (1 - cuts[6]))
+    mixed = [c for c in cuts[1:] if (k := sum(p > c for p in ps)) - n_random * (1 - c) <= rate * k]
+    return max(rejected, min(mixed, default=1))
+
+
+def test_limits_equal_the_plain_ones():
+    rng = random.Random(10)
+    for shape in range(40):
+        ps = [rng.random() for _ in range(rng.randint(0, 300))] + [10 ** -rng.uniform(0, 9) for _ in range(rng.randint(1, 300))]
+        seen = [0] * secret_scan.STEPS
+        for p in ps:
+            seen[min(secret_scan.STEPS - 1, int(-math.log10(p) * 20))] += 1
+        limit = secret_scan.limit_of(seen)
+        assert abs(10 ** (-limit / 20) / plain_limit(ps, 0.05) - 1) < 1e-6 or (limit == secret_scan.STEPS and plain_limit(ps, 0.05) < 1e-19), shape
+
+
+def test_false_secrets_stay_below_the_rate():
+    """Structured strings with p-values near the limit among random ones: the share reported falsely, over many corpora."""
+    rng = random.Random(11)
+    false, reported = 0, 0
+    for _ in range(60):
+        real, other = [rng.random() for _ in range(400)], [10 ** -rng.uniform(0.6, 6) for _ in range(400)]
+        seen = [0] * secret_scan.STEPS
+        step = lambda p: min(secret_scan.STEPS - 1, int(-math.log10(p) * 20))
+        for p in real + other:
+            seen[step(p)] += 1
+        limit = secret_scan.limit_of(seen)
+        false += sum(step(p) < limit for p in other)
+        reported += sum(step(p) < limit for p in real + other)
+    assert reported > 60 * 200 and false / reported < 0.08
