@@ -6,11 +6,16 @@ in words, so the words taken stay exactly what was expected. Groups of documents
 leave one residual fraction each; residuals meet in groups of the next level of a tree, until one is left for each source.
 So a source's words differ from its target by the size of one document at most.
 
-Groups, pairs and coins depend on hashes of the rows only, so reruns agree whatever the partitioning.
+Groups, pairs and coins depend on hashes of the rows only, so reruns agree whatever the partitioning. Rows that repeat in
+every way are counted and numbered, and each number has a hash of its own, so they are dealt like others.
 
-Defined results: a null text counts as empty and has size 0. Rows that repeat are documents of their own; of rows that
-repeat in every way, which of them takes a copy doesn't matter. A source whose documents have no words takes none (target
-0). An empty table gives an empty result.
+Targets are min(cap * size, weight * level) of each source, with one level for all at which they sum up to the share of all
+words: it starts as if no source were full, and each round raises it by what full sources leave. Only sums reach the
+driver, so sources may be any number.
+
+Defined results: a null text counts as empty and has size 0; texts of any length are read whole. Rows that repeat are
+documents of their own; of rows that repeat in every way, which of them takes a copy doesn't matter. A source whose
+documents have no words takes none (target 0). An empty table gives an empty result. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -23,14 +28,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.common import bounded_batches, text_or_empty, utf8, written
+from sedimenta.operators.schedule import numbered
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 CAP = 2.0
 #: Documents, or residuals, that are rounded together.
 GROUP_ROWS = 4096
-#: Sources whose sums may be held by the driver; see targets().
-MOST_SOURCES = 1_000_000
 #: Sources up to which their table is sent to every task.
 BROADCAST_SOURCES = 10_000
 SEED = 20_240
@@ -41,24 +45,6 @@ def words(text: str | None) -> int:
     return len(utf8(text).split())
 
 
-def targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> dict[str | None, float]:
-    """Words that each source shall give: shares by weight, cut at cap times its size, what is cut shared again."""
-    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    rest, free, out = share * sum(sizes.values()), list(order), {}
-    while free:
-        whole = sum(weight[s] for s in free)
-        full = [s for s in free if rest * weight[s] / whole > cap * sizes[s]]
-        if not full:
-            out.update({s: rest * weight[s] / whole for s in free})
-            break
-        for s in full:
-            out[s] = cap * sizes[s]
-        free = [s for s in free if s not in set(full)]
-        rest -= sum(out[s] for s in full)
-    return out
-
-
 def pivotal(size: np.ndarray, fraction: np.ndarray, coins: np.ndarray) -> tuple[np.ndarray, int]:
     """Rounded fractions, and the place of the one that stays fractional (-1: none). sum(size * fraction) is kept."""
     out = np.zeros(len(size), dtype=np.float64)
@@ -116,29 +102,56 @@ class Mix:
         return F.xxhash64(F.lit(SEED), F.col("doc_id"), text_or_empty(), F.col("source"))
 
     def source_targets(self, sized: DataFrame) -> DataFrame:
-        """source, source_size, target and rows of every source: one row each, few by nature and checked to be."""
-        sums = sized.groupBy("source").agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"))
-        found = sums.limit(MOST_SOURCES + 1).collect()
-        if len(found) > MOST_SOURCES:
-            raise ValueError(f"more than {MOST_SOURCES} sources")
-        own = {r["source"]: int(r["s"]) for r in found}
-        aim = targets(own, self.weights, self.share, self.cap)
-        rows = [(r["source"], own[r["source"]], float(aim[r["source"]]), int(r["n"])) for r in found]
-        aims = sized.sparkSession.createDataFrame(rows, "source string, source_size bigint, target double, source_rows bigint")
-        return F.broadcast(aims) if len(rows) <= BROADCAST_SOURCES else aims
+        """_source, source_size, target and source_rows of every source."""
+        sums = sized.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
+        order = F.col("source").asc_nulls_last()
+        placed = sums.repartitionByRange(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")), order).withColumn("_range", F.spark_partition_id())
+        placed = written(placed, "mix-sources")
+        before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+        offsets = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+        own = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+        weights = F.array(*[F.lit(float(w)) for w in self.weights])
+        rank = F.col("_before") + F.col("_own")
+        placed = placed.withColumn("_own", own).join(offsets, "_range").withColumn("_weight", F.element_at(weights, (F.pmod(rank, F.lit(len(self.weights))) + 1).cast("int")))
+        placed = written(placed.select("source", "source_size", "source_rows", "_weight"), "mix-weights")
+        full_size = F.col("source_size") * F.lit(self.cap)
+        level = None
+        while True:
+            full = F.lit(False) if level is None else F.col("_weight") * F.lit(level) > full_size
+            row = placed.agg(F.sum("source_size").alias("all"), F.sum(F.when(full, full_size)).alias("full"), F.sum(F.when(~full, F.col("_weight"))).alias("free")).first()
+            if not row["free"]:
+                level = float("inf")
+                break
+            higher = (self.share * (row["all"] or 0) - (row["full"] or 0.0)) / row["free"]
+            if level is not None and higher <= level:
+                break
+            level = higher
+        aims = placed.select(F.col("source").alias("_source"), "source_size", F.least(full_size, F.col("_weight") * F.lit(level)).alias("target"), "source_rows")
+        return F.broadcast(aims) if placed.count() <= BROADCAST_SOURCES else aims
+
+    def apart(self, sized: DataFrame) -> DataFrame:
+        """sized with a hash of its own for each row, and base, the one it shares with rows that repeat it: these are counted and written out again."""
+        keys = ["doc_id", "source", "ord", "size"]
+        counted = written(sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "mix-counted")
+        again = counted.where("_n > 1").select(*keys, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / self.group_rows))).alias("_block"))
+        # Blocks are dealt anew before they are written out, as one row may stand for many.
+        again = again.repartition(F.xxhash64("ord", "_block")).withColumn("_low", F.col("_block") * self.group_rows)
+        again = again.select(*keys, F.explode(F.sequence(F.col("_low"), F.least(F.col("_low") + self.group_rows, F.col("_n")) - 1)).alias("_k"))
+        again = again.select("doc_id", "source", F.xxhash64(F.lit(SEED), "ord", "_k").alias("ord"), "size", F.col("ord").alias("base"))
+        return counted.where("_n = 1").select(*keys, F.col("ord").alias("base")).unionByName(again)
 
     def copies(self, docs: DataFrame) -> DataFrame:
-        """doc_id, source, ord, size, source_size, target and copies (0, 1 or 2) of every row."""
+        """doc_id, source, ord, base, size, source_size, target and copies (0, 1 or 2) of every row."""
         spark = docs.sparkSession
-        sized = written(self.sized(docs), "mix-sizes")
+        sized = written(self.apart(self.sized(docs)), "mix-sizes")
         aims = self.source_targets(sized)
-        rows = sized.join(aims, sized["source"].eqNullSafe(aims["source"])).drop(aims["source"])
+        rows = sized.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         expected = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(self.cap))).otherwise(0.0)
         rows = rows.withColumn("whole", F.floor(expected)).withColumn("fraction", expected - F.floor(expected))
         # A group has GROUP_ROWS rows on average, so hot sources are dealt to many tasks.
         rows = rows.withColumn("groups", F.ceil(F.col("source_rows") / self.group_rows)).withColumn("group", F.pmod("ord", "groups"))
         kind = sized.schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {kind}, source string, ord bigint, size bigint, source_size bigint, target double, whole bigint, fraction double, groups bigint, group bigint, done boolean"
+        schema = f"doc_id {kind}, source string, ord bigint, base bigint, size bigint, source_size bigint, target double, whole bigint, fraction double, groups bigint, group bigint, done boolean"
 
         def settle(rows: pa.Table) -> pa.Table:
             ord_, size, fraction = (rows[c].to_numpy() for c in ("ord", "size", "fraction"))
@@ -169,7 +182,7 @@ class Mix:
         out = settled[0]
         for more in settled[1:]:
             out = out.unionByName(more)
-        return out.select("doc_id", "source", "ord", "size", "source_size", "target", (F.col("whole") + F.col("fraction").cast("bigint")).alias("copies"))
+        return out.select("doc_id", "source", "ord", "base", "size", "source_size", "target", (F.col("whole") + F.col("fraction").cast("bigint")).alias("copies"))
 
     def taken(self, docs: DataFrame) -> DataFrame:
         """doc_id, size, source_size, target and taken of every row."""
@@ -178,12 +191,13 @@ class Mix:
     def mixed(self, docs: DataFrame) -> DataFrame:
         """docs with each row as often as the mix takes it, all columns kept."""
         count = lambda n: F.sum((F.col("copies") == n).cast("int"))
-        own = written(self.copies(docs), "mix-copies").groupBy(F.col("doc_id").alias("_id"), F.col("ord").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), count(1).alias("_once"), count(2).alias("_twice"))
+        own = written(self.copies(docs), "mix-copies").groupBy(F.col("doc_id").alias("_id"), F.col("base").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), count(1).alias("_once"), count(2).alias("_twice"))
         whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
         rows = docs.select(whole, F.col("doc_id").alias("_doc"), self.order(docs).alias("_ord"))
         rows = rows.join(own, (F.col("_ord") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))).drop("_id", "_doc")
         # Rows that repeat a doc_id, text and source are numbered, so that each takes copies of its own.
-        repeated = rows.where("_n > 1").withColumn("_k", F.row_number().over(Window.partitionBy("_ord").orderBy(F.xxhash64("_whole"))))
-        numbered = rows.where("_n = 1").withColumn("_k", F.lit(1)).unionByName(repeated)
+        repeated = rows.where("_n > 1").select("*", F.xxhash64("_whole").alias("_order"), F.monotonically_increasing_id().alias("_at"))
+        repeated = numbered(repeated, ["_ord"], [F.col("_order"), F.col("_at")], "_k").drop("_order", "_at")
+        every = rows.where("_n = 1").withColumn("_k", F.lit(1).cast("bigint")).unionByName(repeated.withColumn("_k", F.col("_k").cast("bigint")))
         copies = F.when(F.col("_k") <= F.col("_twice"), 2).when(F.col("_k") <= F.col("_twice") + F.col("_once"), 1).otherwise(0)
-        return numbered.select("_whole", F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")).select("_whole.*")
+        return every.select("_whole", F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")).select("_whole.*")
