@@ -4,14 +4,19 @@ A capture is a transaction of three records: the response (or, for a payload see
 metadata; the latter two name the first in WARC-Concurrent-To. Spark's text writer ends each record with the two line
 ends that the format asks for, so archives go to any file system that Spark writes to, under its commit protocol, as gzip.
 
+Archives are read by the text reader as well, cut at the same two line ends and put together again as a stream, so a task
+holds one record at a time, however long its archive.
+
 Assembly joins request and metadata to the response or revisit through that identifier, and a revisit to its original
-through WARC-Refers-To. Payloads stay where they are parsed: the joins move identifiers, lengths and digests.
+through WARC-Refers-To. Payloads stay where they are parsed: the joins move identifiers, lengths and digests. For writing,
+only payloads that may repeat are shuffled, by a filter over the digests that do.
 
 Of pages with equal payloads of at least `least_bytes`, those with the smallest page_id are responses and the others
 revisits; smaller payloads are all responses.
 
 Defined results: a null html is an empty payload, a null url an empty target. Rows that repeat the smallest page_id of a
-payload are all responses. A null page_id is a response's only if its payload has no other; refers_to is null then. An
+payload are all responses. A null page_id is a response's only if its payload has no other; refers_to is null then. Payloads
+of any length are kept whole; an empty table gives empty archives and an empty result; other columns are left alone. An
 archive that ends within a record, or whose block doesn't match its digest, raises an error.
 """
 
@@ -21,12 +26,14 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.llm.bitfilter import KeyFilter
 from sedimenta.llm.common import bounded_batches, new_folder, written
 
 RECORD_END = "\r\n\r\n"
@@ -34,9 +41,9 @@ RECORD_END = "\r\n\r\n"
 NAMESPACE = uuid.UUID("6f1d2c3a-5b0e-4d57-9a3c-2f8e1b7c4d60")
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes that an archive is read in.
+#: Bytes that an archive is read in, and read bytes that are kept at most.
 READ_BYTES = 1 << 20
-#: Records of an archive at most, so that one fits in memory.
+#: Records of an archive at most, as one is read by one task.
 FILE_RECORDS = 15_000
 
 RECORD = (
@@ -78,7 +85,8 @@ def capture_records(page_id: object, url: str | None, payload: bytes, keep_id: o
         block = http + payload
     main.append(("WARC-Block-Digest", f"sha1:{payload_digest(block)}"))
     request = f"GET {target} HTTP/1.1\r\n\r\n".encode("utf-8", "surrogatepass")
-    facts = f"page-id: {page_id}\r\npayload-bytes: {len(payload)}\r\n".encode()
+    named = "" if page_id is None else f"page-id: {quote(str(page_id), safe='')}\r\n"
+    facts = f"{named}payload-bytes: {len(payload)}\r\n".encode()
     return [
         _record(main, block),
         _record([("WARC-Type", "request"), ("WARC-Record-ID", record_id("request", page_id, digest)), ("WARC-Concurrent-To", own), *common, ("Content-Type", "application/http; msgtype=request")], request),
@@ -92,10 +100,14 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
     bounded_batches(spark)
     folder = folder or new_folder(spark, "warc")
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha"), F.octet_length(body).alias("n"))
+    digests = pages.select("page_id", F.sha1(body).alias("sha"), F.octet_length(body).alias("n")).where(F.col("n") >= least_bytes)
     # Payloads that occur once need no entry; the others' table is small beside the pages, and has no payloads.
-    first = rows.where(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min("page_id").alias("keep_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("sha", "n", "keep_id")
-    rows = rows.join(first, ["sha", "n"], "left")
+    first = digests.groupBy("sha", "n").agg(F.min("page_id").alias("keep_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("sha", "n", "keep_id")
+    first = written(first.withColumn("quick", F.xxhash64("sha")), "warc-repeated")
+    rows = KeyFilter(first, "quick").probed(pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha")).withColumn("quick", F.xxhash64("sha")), "quick")
+    alone = rows.where(~F.col("_hit")).select("page_id", "url", "body", F.lit(None).cast(pages.schema["page_id"].dataType).alias("keep_id"))
+    among = rows.where("_hit").withColumn("n", F.octet_length("body")).join(first.drop("quick"), ["sha", "n"], "left").select("page_id", "url", "body", "keep_id")
+    rows = alone.unionByName(among)
     revisit = F.col("keep_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,31 +123,28 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
 
 
 class _Reader:
-    """Bytes of one archive, unpacked as they are asked for."""
+    """Bytes of archives, asked for part by part."""
 
-    def __init__(self, raw: bytes):
-        self.raw, self.at, self.have, self.read = raw, 0, bytearray(), 0
-        self.packed = raw[:2] == b"\x1f\x8b"
-        self.unpack = zlib.decompressobj(31)
+    def __init__(self, parts: Iterable[bytes]):
+        self.parts, self.have, self.read = iter(parts), bytearray(), 0
 
     def more(self) -> bool:
-        if self.at >= len(self.raw):
+        part = next(self.parts, None)
+        if part is None:
             return False
         if self.read > READ_BYTES:
             del self.have[: self.read]
             self.read = 0
-        part = self.raw[self.at : self.at + READ_BYTES]
-        self.at += len(part)
-        if not self.packed:
-            self.have += part
-            return True
-        while part:
-            self.have += self.unpack.decompress(part)
-            part = self.unpack.unused_data
-            if self.unpack.eof:  # another member may follow
-                self.unpack = zlib.decompressobj(31)
+        self.have += part
         return True
 
+    def skip_line_ends(self) -> None:
+        while True:
+            while self.read < len(self.have) and self.have[self.read] in b"\r\n":
+                self.read += 1
+            if self.read < len(self.have) or not self.more():
+                return
+
     def until(self, mark: bytes) -> bytes | None:
         """Bytes up to a mark, which is skipped; None at the archive's end."""
         start = self.read
@@ -159,11 +168,35 @@ class _Reader:
         return out
 
 
+def unpacked(raw: bytes) -> Iterator[bytes]:
+    """An archive's bytes in parts, of gzip members one after another or plain."""
+    packed, unpack = raw[:2] == b"\x1f\x8b", zlib.decompressobj(31)
+    for at in range(0, len(raw), READ_BYTES):
+        part = raw[at : at + READ_BYTES]
+        if not packed:
+            yield part
+            continue
+        while part:
+            yield unpack.decompress(part)
+            part = unpack.unused_data
+            if unpack.eof:  # another member may follow
+                unpack = zlib.decompressobj(31)
+
+
 def parse(raw: bytes) -> Iterator[dict]:
     """The records of one archive."""
-    reader, end = _Reader(raw), RECORD_END.encode()
-    while (head := reader.until(b"\r\n\r\n")) is not None:
-        lines = head.decode("utf-8", "surrogatepass").lstrip("\r\n").split("\r\n")
+    return records_in(unpacked(raw))
+
+
+def records_in(parts: Iterable[bytes]) -> Iterator[dict]:
+    """The records of archives that come in parts, one after another."""
+    reader, end = _Reader(parts), RECORD_END.encode()
+    while True:
+        reader.skip_line_ends()
+        head = reader.until(b"\r\n\r\n")
+        if head is None:
+            return
+        lines = head.decode("utf-8", "surrogatepass").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record starts with {lines[0][:40]!r}")
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
@@ -182,7 +215,8 @@ def parse(raw: bytes) -> Iterator[dict]:
             out["payload_digest"] = fields["warc-payload-digest"].partition(":")[2]
         elif out["type"] == "metadata":
             facts = [(k.strip(), v.strip()) for k, _, v in (line.partition(":") for line in block.decode("utf-8", "surrogatepass").split("\r\n") if line)]
-            out["fields"], out["page_id"] = facts, dict(facts).get("page-id")
+            page_id = dict(facts).get("page-id")
+            out["fields"], out["page_id"] = facts, page_id if page_id is None else unquote(page_id)
         yield out
 
 
@@ -192,18 +226,20 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     kind = pa.struct([("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.string()), ("refers_to_id", pa.string()), ("target_uri", pa.string()), ("page_id", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("block_bytes", pa.int64()), ("fields", pa.map_(pa.string(), pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
+        # The reader took the ends away; where a block's own line ends came before, it took those, and the rest follows.
+        parts = (part for batch in batches for value in batch.column(0) for part in (value.as_buffer(), end))
+        rows = []
+        for record in records_in(parts):
+            rows.append(record)
+            if len(rows) == 2000:
+                yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
                 rows = []
-                for record in parse(batch.column(0)[i].as_py()):
-                    rows.append(record)
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
+        if rows:
+            yield pa.RecordBatch.from_struct_array(pa.array(rows, kind))
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content").mapInArrow(run, RECORD)
+    end = RECORD_END.encode()
+    lines = spark.read.option("lineSep", RECORD_END).option("pathGlobFilter", "*.gz").text(folder)
+    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(run, RECORD)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -230,7 +266,7 @@ def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of every row, from archives that were written and read back."""
     kind = pages.schema["page_id"].dataType
     found = assemble(written(read(pages.sparkSession, write(pages, least_bytes)), "warc-records"))
-    as_id = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind)
+    as_id = lambda c: F.col(c).cast(kind)
     return found.select(
         as_id("metadata.page_id").alias("page_id"),
         F.coalesce("response.payload_bytes", "original.payload_bytes").alias("payload_bytes"),

@@ -45,3 +45,17 @@ def test_damage_is_found():
     for bad in (raw.replace(b"payload\r\n\r\n", b"paylxad\r\n\r\n"), raw[:-5], raw[:40]):
         with pytest.raises(ValueError):
             list(warc.parse(bad))
+
+
+def test_text_ids_come_back_as_they_were(spark):
+    ids = ["None", " a ", "a", "x: y\r\nz", "ü%20", ""]
+    pages = spark.createDataFrame([(i, "u", f"payload {i}") for i in ids] + [(None, "u", "p")], "page_id string, url string, html string")
+    assert sorted(r.page_id or "-" for r in warc.captures(pages).collect() if r.page_id is not None) == sorted(i or "-" for i in ids)
+
+
+def test_long_archives_are_read_as_a_stream(spark):
+    """Payloads that end in, start with or consist of line ends, next to each other in one file."""
+    htmls = ["\r\n", "\r\n\r\n", "\r", "x\r\n\r", "\n\r\n\r\nx\r\n", "", None, "\r\n" * 50, "y" * 3_000_000 + "\r\n"] * 3
+    rows = [(i, "u", h) for i, h in enumerate(htmls)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    assert sorted(map(tuple, warc.captures(pages).collect()), key=str) == plain(rows, 0)
