@@ -2,15 +2,18 @@
 
 sequences() parses each page into one array of structs in page order, each a text block or a media reference with its
 position, source, digest and caption. A caption belongs to the media of its figure and doesn't appear as text again.
-Media lie in a MediaStore, a Parquet table of raster images under the SHA-256 of their samples. resolve() joins references
-to what the store holds; only small rows of the two sides meet, as a store reads its own bytes back where they lie and
-passes on what was measured. Positions and captions stay aligned, as every reference keeps its place in the array.
+Media lie in a MediaStore, a Parquet table of raster images under the SHA-256 of their samples, each once. resolve() joins
+references to what the store holds; only small rows of the two sides meet, as a store reads its own bytes back where they
+lie and passes on what was measured, a row for each digest. Positions and captions stay aligned, as every reference keeps
+its place in the array.
 
 The raster format is PNG, 8-bit greyscale, ROW_SAMPLES samples a row: a payload is padded with 255 to whole rows, one at
 least, and n_bytes says how many bytes were there before.
 
 Defined results: null pages and texts count as empty; an empty page has no elements; a reference whose digest the store
-lacks keeps its place with null measures; rows that repeat are resolved each on its own. Bad HTML is read as far as it goes.
+lacks keeps its place with null measures; rows that repeat are resolved each on its own; texts of any length are stored whole;
+an empty table gives an empty store and an empty result; other columns, whatever their names, are left alone. Of bad HTML no text
+is lost: an end tag closes what was left open within its element, content closes an open head, and a caption left open ends with its figure or the page.
 """
 
 from __future__ import annotations
@@ -18,8 +21,8 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -27,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import bounded_batches, new_folder, utf8
+from sedimenta.llm.bitfilter import KeyFilter
+from sedimenta.llm.common import bounded_batches, new_folder, written
 
 ROW_SAMPLES = 576
 TAIL_BYTES = 32
@@ -39,6 +43,8 @@ SCHEME = "sha256:"
 BLOCKS = set("address article aside blockquote body br dd div dl dt figcaption figure footer h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table td th tr ul".split())
 SILENT = set("head script style template noscript".split())
 MEDIA = set("img video audio source embed object".split())
+IN_HEAD = set("head title base link meta script style noscript template".split())
+VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 
 ELEMENT = "struct<kind: string, position: int, text: string, src: string, digest: string, caption: string>"
 MEASURES = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
@@ -51,7 +57,8 @@ class _Sequence(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.elements: list[dict] = []
         self.text: list[str] = []
-        self.silent = 0
+        self.open: list[str] = []
+        self.counts: Counter[str] = Counter()
         self.figures: list[list[dict]] = []
         self.caption: list[str] | None = None
 
@@ -67,55 +74,95 @@ class _Sequence(HTMLParser):
         self.elements.append(element)
         return element
 
+    def _silent(self) -> bool:
+        return any(self.counts[t] for t in SILENT)
+
+    def _close_until(self, tag: str) -> None:
+        """Ends the innermost such element and all that is open in it."""
+        while self.open:
+            last = self.open.pop()
+            self.counts[last] -= 1
+            if last == "figcaption":
+                self._end_caption()
+            elif last == "figure":
+                self._end_figure()
+            if last == tag:
+                return
+
+    def _end_caption(self) -> None:
+        if self.caption is None:
+            return
+        text, self.caption = " ".join("".join(self.caption).split()), None
+        if self.figures:
+            self.figures[-1].append({"caption": text})
+        elif text:
+            self._add("text", text, None, None)
+
+    def _end_figure(self) -> None:
+        self._flush()
+        if not self.figures:
+            return
+        parts = self.figures.pop()
+        captions = [p["caption"] for p in parts if "kind" not in p]
+        media = [p for p in parts if "kind" in p]
+        for found in media:
+            if captions and captions[-1]:
+                found["caption"] = captions[-1]
+        # A caption of no media is text, and so is any but the last.
+        for text in captions if not media else captions[:-1]:
+            if text:
+                self._add("text", text, None, None)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in SILENT:
-            self.silent += 1
-        if tag in BLOCKS:
+        if self.counts["head"] and tag not in IN_HEAD and not any(self.counts[t] for t in SILENT - {"head"}):
+            self._close_until("head")
+        if tag in BLOCKS and self.caption is None:
             self._flush()
-        if tag == "figure":
-            self.figures.append([])
-        elif tag == "figcaption":
-            self.caption = []
-        elif tag in MEDIA:
+        if tag in MEDIA:
             own = dict(attrs)
             src = own.get("src") or own.get("data")
-            if src:
+            if src and not self._silent():
                 self._flush()
                 found = self._add("media", None, src, own.get("alt") or own.get("title"))
                 if self.figures:
                     self.figures[-1].append(found)
+        if tag in VOID:
+            return
+        if tag == "figure":
+            self.figures.append([])
+        elif tag == "figcaption":
+            self._end_caption()
+            self._flush()
+            self.caption = []
+        self.open.append(tag)
+        self.counts[tag] += 1
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
-        if tag == "figcaption" and self.caption is not None:
-            text, self.caption = " ".join("".join(self.caption).split()), None
-            if self.figures:
-                for found in self.figures[-1]:
-                    found["caption"] = text or found["caption"]
-                self.figures[-1].append({"caption": text})
-            return
-        if tag in BLOCKS:
+        if tag in BLOCKS and self.caption is None:
             self._flush()
-        if tag == "figure" and self.figures:
-            parts = self.figures.pop()
-            captions = [p["caption"] for p in parts if "kind" not in p]
-            for found in parts:
-                if captions and "kind" in found:
-                    found["caption"] = captions[-1] or found["caption"]
+        if self.counts[tag] > 0:
+            self._close_until(tag)
 
     def handle_data(self, data: str) -> None:
-        if self.silent:
-            return
-        (self.text if self.caption is None else self.caption).append(data)
+        if self.counts["head"] and data.strip() and self.open[-1] == "head":
+            self._close_until("head")
+        if not self._silent():
+            (self.text if self.caption is None else self.caption).append(data)
+
+    def finish(self) -> None:
+        self.close()
+        self._close_until("")
+        self._flush()
 
 
 def parse(html: str | None) -> list[dict]:
     """The elements of one page."""
     reader = _Sequence()
     reader.feed(html or "")
-    reader.close()
-    reader._flush()
+    reader.finish()
     return reader.elements
 
 
@@ -194,28 +241,36 @@ class MediaStore:
 
     @classmethod
     def from_texts(cls, docs: DataFrame, key: str = "doc_id", text: str = "text", folder: str | None = None) -> tuple[MediaStore, DataFrame]:
-        """Stores each text as a raster; also gives a page for each row that shows it: key, n_bytes and html."""
+        """Stores each different text as a raster; also gives a page for each row that shows it: key, n_bytes and html."""
         spark = docs.sparkSession
         bounded_batches(spark)
         store = cls(spark, folder or new_folder(spark, "media"))
+        raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+        n = F.octet_length(raw)
+        whole = F.greatest(F.ceil(n / ROW_SAMPLES), F.lit(1)) * ROW_SAMPLES
+        digest = F.sha2(F.rpad(raw, whole.cast("int"), F.lit(b"\xff")), 256)
+        name = F.coalesce(F.col(key).cast("string"), F.lit("None"))
+        for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            name = F.replace(name, F.lit(plain), F.lit(coded))
+        figure = F.concat(F.lit("<article><h1>"), name, F.lit(f'</h1><figure><img src="{SCHEME}'), F.col("digest"), F.lit('"><figcaption>'), name, F.lit(", "), F.col("n_bytes").cast("string"), F.lit(" bytes</figcaption></figure></article>"))
+        pages = written(docs.select(key, n.cast("bigint").alias("n_bytes"), digest.alias("digest")).withColumn("html", figure), "media-pages")
+        # A text that occurs once is stored where it is; of those that may repeat, one of each.
+        repeated = KeyFilter(pages.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "digest")
+        tried = repeated.probed(docs.select(raw.alias("raw"), digest.alias("digest")), "digest")
+        once = tried.where(~F.col("_hit")).select("raw", "digest").unionByName(tried.where("_hit").select("raw", "digest").dropDuplicates(["digest"]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n, digests, html, rasters = [], [], [], []
-                for own, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    raw = utf8(value)
-                    samples = padded(raw)
-                    digest = hashlib.sha256(samples).hexdigest()
-                    name = escape(str(own))
-                    n.append(len(raw))
-                    digests.append(digest)
-                    html.append(f'<article><h1>{name}</h1><figure><img src="{SCHEME}{digest}"><figcaption>{name}, {len(raw)} bytes</figcaption></figure></article>')
+                rasters = []
+                for value, named in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    samples = padded(value)
+                    if hashlib.sha256(samples).hexdigest() != named:
+                        raise ValueError(f"the samples of {named} are others")
                     rasters.append(to_png(samples))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests), pa.array(html), pa.array(rasters, pa.binary())], [key, "n_bytes", "digest", "html", "media"])
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rasters, pa.binary())], ["digest", "media"])
 
-        kind = docs.schema[key].dataType.simpleString()
-        docs.select(key, text).mapInArrow(run, f"{key} {kind}, n_bytes bigint, digest string, html string, media binary").write.option("compression", "none").parquet(store.folder)
-        return store, spark.read.parquet(store.folder).select(key, "n_bytes", "html")
+        once.mapInArrow(run, "digest string, media binary").write.option("compression", "none").parquet(store.folder)
+        return store, pages.select(key, "n_bytes", "html")
 
     def measured(self) -> DataFrame:
         """digest and what the stored bytes give when read back, a row for each different digest."""
@@ -234,7 +289,7 @@ class MediaStore:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], ["digest", *MEASURES])
 
         schema = "digest string, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-        return self.spark.read.parquet(self.folder).select("digest", "media").mapInArrow(run, schema).dropDuplicates(["digest"])
+        return self.spark.read.parquet(self.folder).select("digest", "media").mapInArrow(run, schema)
 
 
 def resolve(sequenced: DataFrame, key: str, store: MediaStore) -> DataFrame:
