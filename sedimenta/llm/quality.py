@@ -3,12 +3,14 @@
 Words and their character n-grams (with word boundaries marked) hash to buckets that have learned vectors; word bigrams
 count only as repeats of the word before, one bucket for all words. A document is the mean of the vectors of all its
 features, and a softmax over two classes reads it. Training is stochastic gradient descent in numpy, on a bounded sample
-of labelled rows (TRAIN_ROWS for each class, those with the smallest hash of their doc_id); scoring reads every whole
+of labelled rows (TRAIN_ROWS for each class, those with the smallest hash of doc_id and text); scoring reads every whole
 text. As the read-out is linear in the mean, scoring adds one number for each word.
 
 Defined results: a null text counts as empty; every document has an end feature, so an empty text scores what that feature
 learned. doc_ids without a usable label, or a table without labels, teach nothing; without both classes every score is
 the labels' share of class 1, or 0.5 without any label. Repeated labels of a doc_id count as their majority (1 in a tie).
+Rows that repeat are scored each on its own; texts of any length are read whole; an empty table gives an empty result; other
+columns are left alone.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import blocks, bounded_batches
+from sedimenta.llm.common import blocks, bounded_batches, written
 
 WORD_BUCKETS = 1 << 14
 GRAM_BUCKETS = 1 << 15
@@ -183,6 +185,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_
     chosen = known.where("y = 0").orderBy(*order).limit(train_rows).unionByName(known.where("y = 1").orderBy(*order).limit(train_rows))
     chosen = chosen.withColumnRenamed("doc_id", "_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    # A doc_id may have any number of rows, so each class is limited once more.
+    rows = written(rows.withColumn("_h", F.xxhash64("doc_id", "text")), "labelled")
+    last = {y: rows.where(F.col("y") == y).select("_h").orderBy("_h").limit(train_rows).agg(F.max("_h")).first()[0] for y in (0, 1)}
+    parts = [rows.where((F.col("y") == y) & (F.col("_h") <= F.lit(last[y]))).orderBy("_h").limit(train_rows) for y in (0, 1)]
+    rows = parts[0].unionByName(parts[1]).drop("_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

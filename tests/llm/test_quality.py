@@ -56,3 +56,78 @@ def test_edges(edge_docs, no_docs, spark):
     assert quality.scored(no_docs, nothing).count() == 0
     kept = quality.accepted(edge_docs, quality.Model(None, 1.0))
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def plain_features(text):
+    """Share of each bucket: every word with its boundaries, its n-grams, the end, and repeats of the word before."""
+    mask = (1 << 64) - 1
+
+    def bucket(h, buckets):
+        m = (h ^ (h >> 31)) * 0xD6E8FEB86659FD93 & mask
+        return (m ^ (m >> 32)) % buckets
+
+    words = (text or "").translate(str.maketrans("\t\n\v\f\r", " " * 5)).split(" ")
+    words = [w for w in words if w]
+    counts = {quality.END: 1}
+    for k, word in enumerate(words):
+        codes = [ord(c) for c in f"<{word}>"]
+        found = [bucket(sum(c * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, c in enumerate(codes)) & mask, 1 << 14)]
+        for size in (2, 3, 4):
+            for i in range(len(codes) - size + 1):
+                h = size
+                for c in codes[i : i + size]:
+                    h = (h * 0x9E3779B97F4A7C15 + c) & mask
+                found.append((1 << 14) + bucket(h, 1 << 15))
+        for b in found:
+            counts[b] = counts.get(b, 0) + 1
+        if k and word == words[k - 1]:
+            counts[quality.REPEAT] = counts.get(quality.REPEAT, 0) + 4
+    total = sum(counts.values())
+    return {b: n / total for b, n in counts.items()}
+
+
+def test_scores_equal_a_plain_version(edge_docs, documents):
+    model = quality.Model(np.random.default_rng(4).normal(size=quality.FEATURES))
+    for docs in (edge_docs, documents):
+        texts = [r.text for r in docs.collect()]
+        got = model.score(pa.array(texts, pa.string()))
+        for text, score in zip(texts, got, strict=True):
+            z = sum(model.evidence[b] * x for b, x in plain_features(text).items())
+            assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def plain_training(rows, seed=7):
+    """Gradient descent of the mean vector's softmax, vector by vector."""
+    rng = np.random.default_rng(seed)
+    share = sum(y for _, _, y in rows) / len(rows)
+    d = quality.DIMENSION
+    vectors = rng.uniform(-1 / d, 1 / d, (quality.FEATURES, d)).astype(np.float32)
+    out = np.zeros((2, d))
+    step = 0
+    for _ in range(quality.EPOCHS):
+        for k in rng.permutation(len(rows)):
+            at, x, y = rows[k]
+            hidden = sum(w * vectors[b].astype(float) for b, w in zip(at, x, strict=True))
+            e = np.exp(out @ hidden)
+            error = e / e.sum() - np.eye(2)[y]
+            rate = quality.RATE * (1 - step / (quality.EPOCHS * len(rows))) * 0.5 / (share if y else 1 - share)
+            back = error @ out
+            out = out - rate * np.outer(error, hidden)
+            for b, w in zip(at, x, strict=True):
+                vectors[b] -= (rate * w / max(x) * back).astype(np.float32)
+            step += 1
+    return vectors.astype(float) @ (out[1] - out[0])
+
+
+def test_training_equals_a_plain_version():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["good", "fine", "words", "here"] if k % 2 else ["###", "!!", "buy", "here"], 6)) for k in range(30)]
+    rows = [(at.astype(np.int64), x, k % 2) for k, (at, x) in enumerate(quality.document_features(pa.array(texts)))]
+    assert np.abs(quality.train(rows).evidence - plain_training(rows)).max() < 1e-3
+
+
+def test_the_sample_has_a_bound(spark):
+    docs = spark.createDataFrame([(1, "a b")] * 20000 + [(i, f"w {i}") for i in range(2, 60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id bigint, quality int")
+    got = quality.training_sample(docs, labels, 5)
+    assert len(got) <= 10 and {y for _, _, y in got} == {0, 1}
