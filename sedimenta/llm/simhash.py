@@ -11,10 +11,12 @@ others within two bits, so links are bounded by the number of different fingerpr
 
 SimilarRows is the search with its candidates verified on texts: near copies are documents whose sets of five-word shingles
 have a Jaccard similarity of 0.8 or more, found among the documents whose word fingerprints lie within NEAR_RADIUS bits. An
-edit changes five shingles but one word, so fingerprints of words (weighed by the logarithm of their counts) lie closer. In a
-group of many near copies, first each is held against the centres of its buckets only; then the exact search compares what
-the links so far leave in different components, so pairs within a linked group are never enumerated. Every pair within the
-radius is either verified or already linked over others; pairs of that similarity beyond the radius are missed.
+edit changes five shingles but one word, so fingerprints of words (weighed by the logarithm of their counts) lie closer. First
+each document is held against a centre of its buckets, in crowded buckets against CENTRES, so most of a large group of copies
+is one component after a few comparisons of each. Then all that lies within the radius in different components is compared:
+outside of crowds pair by pair; within, only documents that share a rare shingle, as similar ones must, and never those of
+one large component among each other. Every pair within the radius is thus verified, linked over others, or shown to be too
+different; similar pairs beyond the radius are missed.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other. Rows that repeat are in
 one component. A null doc_id is never a component's id unless it has no other. An empty table gives an empty result.
@@ -23,8 +25,9 @@ one component. A null doc_id is never a component's id unless it has no other. A
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -32,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.llm.bitfilter import KeyFilter
@@ -43,10 +46,13 @@ SHINGLE_WORDS = 3
 RADIUS = 2
 SEED = 42
 #: Bits in which the word fingerprints of near copies may differ.
-NEAR_RADIUS = 7
+NEAR_RADIUS = 6
 #: Near copies: words of a shingle, and the least similarity as a fraction.
 NEAR_SHINGLE_WORDS = 5
 LEAST = (4, 5)
+#: Fingerprints near a bucket's centre (or rows of one fingerprint) that are a crowd, and the centres that a crowd has.
+CROWD = 8
+CENTRES = 8
 #: Fingerprints of one component from which their pairs are kept out of the search between components.
 LARGE_COMPONENT = 64
 #: Fingerprints, and probes of each, that are made as one block.
@@ -55,7 +61,10 @@ BLOCK_MASKS = 64
 #: A part's values with more than this share of all fingerprints are counted exactly: 1,024 values for a part at most.
 FREQUENT_SHARE = 1 / 1024
 #: What a probe costs, in candidates: a probe is shuffled and sorted, a candidate only compared.
-PROBE_COST = 20.0
+PROBE_COST = 50.0
+
+#: Numbers that part and value of a key are mixed with.
+_PART_MIX, _KEY_MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 _LANES = np.arange(8, dtype=np.int64) * 256
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -237,16 +246,21 @@ def cheapest_parts(n: int, radius: int) -> int:
 
 
 class PigeonholeSearch:
-    """Pairs within the radius among points: different fingerprints (fp), with other columns (carried) or without."""
+    """Pairs of different fingerprints within the radius."""
 
-    def __init__(self, points: DataFrame, radius: int = RADIUS, parts: int | None = None, carried: str | None = None):
-        self.points = points.select("fp", *([carried] if carried else []))
-        self.radius = radius
-        self.parts = parts
-        self.carried = carried
+    def __init__(self, classes: DataFrame, radius: int = RADIUS, parts: int | None = None):
+        self.points = classes.select("fp")
+        self.radius, self.parts = radius, parts
+        self._plan: Plan | None = None
 
     def plan(self) -> Plan:
-        n = self.points.count()
+        if self._plan is None:
+            self._plan = self._learn()
+        return self._plan
+
+    def _learn(self) -> Plan:
+        fps = self.points.select("fp")
+        n = fps.count()
         parts = self.parts or cheapest_parts(n, self.radius)
 
         def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +271,7 @@ class PigeonholeSearch:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(BITS * BITS, dtype=np.int32)), pa.array(total.ravel())], ["cell", "v"])
 
         sums = np.zeros(BITS * BITS)
-        for row in self.points.select("fp").mapInArrow(moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect():  # 4,096 rows
+        for row in fps.mapInArrow(moments, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect():  # 4,096 rows
             sums[row.cell] = row.v
         plan = Plan(self.radius, correlated_groups(sums.reshape(BITS, BITS), n, parts), n)
 
@@ -274,30 +288,37 @@ class PigeonholeSearch:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), 2 * i + h, dtype=np.int32)), pa.array(at.astype(np.int32)), pa.array(c[at].astype(np.int64))], ["half", "value", "n"])
 
         tables = [[np.zeros(1 << w) for w in plan.split(i)] for i in range(parts)]
-        for row in self.points.select("fp").mapInArrow(histograms, "half int, value int, n bigint").groupBy("half", "value").agg(F.sum("n").alias("n")).collect():  # two tables of 65,536 rows a part at most
+        for row in fps.mapInArrow(histograms, "half int, value int, n bigint").groupBy("half", "value").agg(F.sum("n").alias("n")).collect():  # two tables of 65,536 rows a part at most
             tables[row.half // 2][row.half % 2][row.value] = row.n
         plan.halves = [tuple(pair) for pair in tables]
-        often = self.index(plan).groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(8, n * FREQUENT_SHARE)).collect()  # 1,024 rows a part at most
+
+        def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in joined_rows(batches, BLOCK_ROWS):
+                for i, own in enumerate(plan.values(_as_bits(batch.column(0).to_numpy(zero_copy_only=False)))):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, dtype=np.int8)), pa.array(own.view(np.int64))], ["part", "value"])
+
+        each = fps.mapInArrow(values, "part tinyint, value bigint").groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
+        often = each.where(F.col("n") > max(8, n * FREQUENT_SHARE)).collect()  # 1,024 rows a part at most
         for i in range(parts):
-            own = sorted((row.key & (2**64 - 1), row.n) for row in often if row.part == i)
+            own = sorted((row.value & (2**64 - 1), row.n) for row in often if row.part == i)
             plan.frequent.append((np.array([k for k, _ in own], dtype=np.uint64), np.array([c for _, c in own], dtype=np.float64)))
         return plan
 
-    def _mapped(self, points: DataFrame, name: str, make) -> DataFrame:
-        """part, key and the fingerprint under the name (and what is carried), from make(fps): parts, keys and the places of the fingerprints."""
-        more = [f"{name}_{self.carried}"] if self.carried else []
+    def _mapped(self, points: DataFrame, name: str, make: Callable[[np.ndarray], Iterator[tuple]]) -> DataFrame:
+        """key (part and value mixed) and the fingerprint as name; make(fps) gives part, values and the places of their fingerprints."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in joined_rows(batches, BLOCK_ROWS):
                 fps = batch.column(0).to_numpy(zero_copy_only=False)
-                rest = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
-                for part, keys, at in make(fps):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), part, dtype=np.int8)), pa.array(keys.view(np.int64)), pa.array(fps[at]), *(pa.array(c[at]) for c in rest)], ["part", "key", name, *more])
+                for part, values, at in make(fps):
+                    mixed = (values + np.array([part], dtype=np.uint64) * _PART_MIX) * _KEY_MIX
+                    yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64)), pa.array(fps[at])], ["key", name])
 
-        return points.mapInArrow(run, f"part tinyint, key bigint, {name} bigint" + "".join(f", {c} bigint" for c in more))
+        return points.mapInArrow(run, f"key bigint, {name} bigint")
 
-    def index(self, plan: Plan, points: DataFrame | None = None) -> DataFrame:
+    def index(self, points: DataFrame | None = None) -> DataFrame:
         """A row for each part of each fingerprint."""
+        plan = self.plan()
 
         def make(fps: np.ndarray) -> Iterator[tuple]:
             every = np.arange(len(fps))
@@ -306,8 +327,9 @@ class PigeonholeSearch:
 
         return self._mapped(self.points if points is None else points, "fp", make)
 
-    def probes(self, plan: Plan, points: DataFrame | None = None) -> DataFrame:
+    def probes(self, points: DataFrame | None = None) -> DataFrame:
         """The values to look up for each fingerprint, under its own thresholds."""
+        plan = self.plan()
 
         def make(fps: np.ndarray) -> Iterator[tuple]:
             near, values = plan.near(), plan.values(_as_bits(fps))
@@ -327,39 +349,33 @@ class PigeonholeSearch:
     def within(self) -> Column:
         return F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= self.radius
 
-    def links(self) -> DataFrame:
-        """a and b (a < b) of every pair of different fingerprints within the radius, once each."""
-        plan = self.plan()
-        found = self.probes(plan).join(self.index(plan), ["part", "key"]).where((F.col("probe") < F.col("fp")) & self.within())
-        return found.select(F.col("probe").alias("a"), F.col("fp").alias("b")).distinct()
-
-    def stars(self) -> DataFrame:
-        """a and b of fingerprints within the radius, b the centre of a bucket that a is in: as many at most as there are parts of fingerprints."""
-        index = written(self.index(self.plan()).select("part", "key", "fp"), "pigeonholes")
-        mixed = F.struct(F.xxhash64("fp"), "fp")
-        centres = index.groupBy("part", "key").agg(F.min(mixed).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1").select("part", "key", F.col("c.fp").alias("probe"))
-        found = index.join(centres, ["part", "key"]).where(F.col("probe") != F.col("fp")).where(self.within())
-        return found.select(F.col("fp").alias("a"), F.col("probe").alias("b")).distinct()
-
-    def across(self) -> DataFrame:
-        """Pairs of points within the radius that differ in what is carried, a component: a, a_of, b and b_of.
-
-        A pair of points of small components, or of a small and a large one, is found by the small one's probes. Points
-        of large components probe the buckets of other large ones by the components that a bucket holds, so a
-        component's own points never meet.
+    def links(self, probing: DataFrame | None = None) -> DataFrame:
+        """a and b (a < b) of every pair of different fingerprints within the radius, once each; with probing, of those with one of its points."""
+        order = F.col("probe") < F.col("fp") if probing is None else F.col("probe") != F.col("fp")
+        found = self.probes(probing).join(self.index(), "key").where(order & self.within())
+        return found.select(F.least("probe", "fp").alias("a"), F.greatest("probe", "fp").alias("b")).distinct()
+
+    def stars(self) -> tuple[DataFrame, DataFrame]:
+        """a and b of fingerprints within the radius, one of them a centre of a bucket of both; and the fingerprints (fp) in crowds.
+
+        A bucket has one centre, a crowd CENTRES: those with the least hashes, so that buckets of one group share them, and
+        those nearest to what most of the crowd have. Pairs grow with the fingerprints only.
         """
-        plan = self.plan()
-        of = self.carried
-        own, other = f"probe_{of}", f"fp_{of}"
-        large = written(self.points.groupBy(of).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_COMPONENT).select(of), "large-components")
-        small_points, large_points = self.points.join(large, of, "left_anti").select("fp", of), self.points.join(large, of, "left_semi").select("fp", of)
-        differ = F.col(own) != F.col(other)
-        found = self.probes(plan, small_points).join(self.index(plan), ["part", "key"]).where(differ & self.within())
-        held = written(self.index(plan, large_points), "large-index")
-        asked = self.probes(plan, large_points).join(held.select("part", "key", other).distinct(), ["part", "key"]).where(differ)
-        between = asked.join(held, ["part", "key", other]).where(self.within())
-        columns = [F.col("probe").alias("a"), F.col(own).alias("a_of"), F.col("fp").alias("b"), F.col(other).alias("b_of")]
-        return found.select(*columns).unionByName(between.select(*columns)).distinct()
+        index = written(self.index(), "pigeonholes")
+        centres = index.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp"), "fp"))["fp"].alias("probe"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        near = written(index.join(centres, "key").where(self.within()), "near-centres")
+        # Sums of each bit in eight columns of eight bytes: a crowd's majority, without its fingerprints in one place.
+        votes = [F.sum(F.shiftrightunsigned("fp", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(BITS)]
+        crowds = near.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *votes).where(F.col("n") >= CROWD)
+        bits = [F.when(2 * F.col(f"b{b}") > F.col("n"), F.shiftleft(F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint")) for b in range(BITS)]
+        crowds = written(crowds.select("key", reduce(Column.bitwiseOR, bits).alias("middle")), "crowds")
+        members = written(near.select("key", "fp").join(crowds, "key"), "crowd-members")
+        off = F.bit_count(F.col("fp").bitwiseXOR(F.col("middle")))
+        orders = [F.struct(F.xxhash64(F.lit(k), "fp"), F.col("fp")) if k % 2 else F.struct(off.cast("bigint"), F.xxhash64(F.lit(k), "fp"), F.col("fp")) for k in range(1, CENTRES)]
+        more = members.groupBy("key").agg(F.array(*[F.min(o)["fp"] for o in orders]).alias("probes"))
+        starred = members.select("key", "fp").join(more, "key").select("fp", F.explode("probes").alias("probe"))
+        found = near.select("fp", "probe").unionByName(starred).where(F.col("probe") != F.col("fp")).where(self.within())
+        return found.select(F.least("fp", "probe").alias("a"), F.greatest("fp", "probe").alias("b")).distinct(), members.select("fp").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -432,23 +448,66 @@ class SimilarRows:
 
         return both.mapInArrow(run, "a bigint, b bigint")
 
+    def crowd_pairs(self, crowded: DataFrame) -> DataFrame:
+        """x and y of pairs within the radius of crowded (_row, fp, of), in different components (of), that may be similar.
+
+        Shingles are ordered by how many of these rows have them. Of two similar documents, each has one shingle at least in common
+        with the other among its rarest, a fifth of all and one; the rest alone couldn't make up the similarity. So
+        only rows with a shared shingle among these are compared, and none if what a row shares with any other is too little.
+        Rows of one large component never meet: they ask first which large components hold a shingle.
+        """
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    own = shingles(text)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row)), pa.array(own.view(np.int64))], ["_row", "h"])
+
+        ids = KeyFilter(crowded, "_row")
+        texts = ids.probed(self.rows.select("_row", "_text"), "_row").where("_hit").join(crowded.select("_row"), "_row").select("_row", "_text")
+        each = written(texts.mapInArrow(run, "_row bigint, h bigint"), "crowd-shingles")
+        known = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        common = written(each.join(known, "h"), "crowd-common")
+        sizes = each.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).join(common.groupBy("_row").agg(F.count(F.lit(1)).alias("m")), "_row")
+        # Shingles that no other row has are the rarest; what is left of the fifth comes from the common ones.
+        sizes = sizes.withColumn("most", F.col("n") - F.ceil(F.col("n") * LEAST[0] / LEAST[1]) + 1 - (F.col("n") - F.col("m"))).where("most > 0")
+        ranked = common.join(sizes, "_row").withColumn("k", F.row_number().over(Window.partitionBy("_row").orderBy("c", "h"))).where(F.col("k") <= F.col("most"))
+        large = crowded.groupBy("of").agg(F.count(F.lit(1)).alias("size")).select("of", (F.col("size") >= LARGE_COMPONENT).alias("large"))
+        columns = ["_row", "fp", "of", "n", "m", "large"]
+        rare = written(ranked.join(crowded.join(large, "of"), "_row").select("h", *columns), "crowd-rare")
+        own, other = (lambda df, side=side: df.select("h", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "xy")
+        shared, differ = F.least("x_m", "y_m"), F.col("x_of") != F.col("y_of")
+        may = differ & (F.bit_count(F.col("x_fp").bitwiseXOR(F.col("y_fp"))) <= self.radius) & (LEAST[1] * shared >= LEAST[0] * (F.col("x_n") + F.col("y_n") - shared))
+        # Rows of small components meet in one order, and each row of large ones.
+        some = own(rare.where(~F.col("large"))).join(other(rare), "h").where(may & (F.col("y_large") | (F.col("x__row") < F.col("y__row"))))
+        held = rare.where("large")
+        asked = own(held).join(held.select("h", F.col("of").alias("y_of")).distinct(), "h").where(F.col("x_of") < F.col("y_of"))
+        more = asked.join(other(held), ["h", "y_of"]).where(may)
+        found = some.select("x__row", "y__row", "x_n", "y_n").unionByName(more.select("x__row", "y__row", "x_n", "y_n"))
+        met = found.groupBy(F.least("x__row", "y__row").alias("x"), F.greatest("x__row", "y__row").alias("y")).agg(F.count(F.lit(1)).alias("met"), F.max(F.greatest("x_n", "y_n")).alias("more"), F.min(F.least("x_n", "y_n")).alias("less"))
+        # All that two rows share is among the rarest of both, or behind the rarest of one.
+        whole = F.col("met") + F.ceil(F.col("more") * LEAST[0] / LEAST[1]) - 1
+        return met.where(LEAST[1] * whole >= LEAST[0] * (F.col("more") + F.col("less") - whole)).select("x", "y")
+
     def roots(self, marked: DataFrame) -> DataFrame:
         """node and root of every row of marked (_row, fp) that has a near copy."""
         # Rows against the first of their fingerprint, and that against the centres of its buckets.
-        classes = written(marked.groupBy("fp").agg(F.min("_row").alias("first")), "fingerprint-classes")
-        stars = PigeonholeSearch(classes, self.radius, self.parts).stars()
+        classes = written(marked.groupBy("fp").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprint-classes")
+        search = PigeonholeSearch(classes, self.radius, self.parts)
+        stars, crowd = search.stars()
+        crowd = written(crowd.unionByName(classes.where(F.col("n") >= CROWD).select("fp")).distinct(), "crowd")
         stars = stars.join(classes.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(classes.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-        same = marked.join(classes, "fp").where("_row != first").select(F.col("first").alias("a"), F.col("_row").alias("b"))
-        pairs = written(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(same), "star-pairs")
-        first_links = written(self.links(pairs), "star-links")
+        same = marked.join(classes.where("n > 1"), "fp").where("_row != first").select(F.col("first").alias("a"), F.col("_row").alias("b"))
+        first_links = written(self.links(written(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(same), "star-pairs")), "star-links")
         parts = components(first_links).withColumnRenamed("node", "_row")
-        # What lies within the radius and isn't linked yet.
         placed = written(marked.join(parts, "_row", "left").select("_row", "fp", F.coalesce("root", "_row").alias("of")), "placed")
-        search = PigeonholeSearch(written(placed.select("fp", "of").distinct(), "points"), self.radius, self.parts, "of")
-        across = search.across()
-        ends = placed.select("_row", "fp", "of")
-        pairs = across.join(ends.select(F.col("fp").alias("a"), F.col("of").alias("a_of"), F.col("_row").alias("x")), ["a", "a_of"])
-        pairs = pairs.join(ends.select(F.col("fp").alias("b"), F.col("of").alias("b_of"), F.col("_row").alias("y")), ["b", "b_of"])
+        # What lies within the radius and isn't linked yet: pairs with a fingerprint outside of crowds, and rows of those that have some.
+        lone = search.points.join(crowd, "fp", "left_anti")
+        near = search.links(lone).select("a", "b")
+        alone = classes.where("n > 1").join(crowd, "fp", "left_anti").select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+        one, two = (placed.select(F.col("fp").alias(side), F.col("_row").alias(row), F.col("of").alias(f"{row}_of")) for side, row in (("a", "x"), ("b", "y")))
+        pairs = near.unionByName(alone).join(one, "a").join(two, "b").where("x_of != y_of").select("x", "y")
+        pairs = pairs.unionByName(self.crowd_pairs(written(placed.join(crowd, "fp", "left_semi").select("_row", "fp", "of"), "crowd-rows")))
         pairs = written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "candidates")
         return components(first_links.unionByName(self.links(pairs)))
 

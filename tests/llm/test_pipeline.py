@@ -26,7 +26,7 @@ def test_stages_match_plain_versions(spark):
     text = {r["doc_id"]: r["text"] for r in rows}
     assert all(r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest() for r in got)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mix", "tokens"]
-    assert simhash.NEAR_RADIUS == 7
+    assert simhash.NEAR_RADIUS == 6
 
 
 def test_stages_take_edges(spark, edge_docs, no_docs):

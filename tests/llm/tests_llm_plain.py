@@ -31,7 +31,7 @@ def keep_exact(rows):
     return [r for _, r in best.values()]
 
 
-def keep_near(rows, radius=7):
+def keep_near(rows, radius=6):
     fps = [word_fingerprint(r["text"]) for r in rows]
     parent = list(range(len(rows)))
 
