@@ -142,3 +142,6 @@ JSON_DEPTH, JSON_NODES = 18, 20_000
 
 # Origins of a field's value; a value of higher priority wins.
 PRIORITY_OF_ORIGIN = {"api": 3, "live": 2, "archive": 1, "historical": 0}
+
+# Letters whose folded form isn't their lower case.
+FOLDED_LETTERS = {"ß": "ss", "ſ": "s", "ς": "σ", "ŉ": "ʼn", "և": "եւ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "µ": "μ"}

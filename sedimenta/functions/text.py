@@ -43,6 +43,14 @@ def casefold(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else t.casefold())
 
 
+def folded(c: Column) -> Column:
+    """Lower case, and letters with a folded form of their own as that: texts that differ in case only are equal."""
+    out = F.lower(c)
+    for letter, form in fixed.FOLDED_LETTERS.items():
+        out = F.replace(out, F.lit(letter), F.lit(form))
+    return F.when(c.rlike("[^\\x00-\\x7f]"), out).otherwise(F.lower(c))
+
+
 def same_value(a: ColumnLike, b: ColumnLike) -> Column:
     """Both missing, numbers within 1e-7, or texts that are equal when cleaned and folded."""
     x, y = _text(a), _text(b)
@@ -52,17 +60,18 @@ def same_value(a: ColumnLike, b: ColumnLike) -> Column:
         ((x == "") & (y == ""), True),
         ((x == "") | (y == ""), False),
         (x.rlike(number) & y.rlike(number), F.coalesce(gap < 1e-7, F.lit(False))),
-        otherwise=F.lower(clean_text(x)) == F.lower(clean_text(y)),
+        otherwise=folded(clean_text(x)) == folded(clean_text(y)),
     )
 
 
 def unique_paragraphs(blocks: ColumnLike) -> Column:
     """Blocks joined by a blank line, without those that repeat one before, case and white space aside."""
-    named = F.transform(col(blocks), lambda b: F.struct(F.lower(F.regexp_replace(clean_text(b), r"(?U)\s+", " ")).alias("k"), clean_text(b).alias("t")))
+    named = F.transform(col(blocks), lambda b: let(clean_text(b), lambda t: F.struct(folded(F.regexp_replace(t, r"(?U)\s+", " ")).alias("k"), t.alias("t"))))
     kept = F.filter(named, lambda b: b["k"] != "")
-    keys = F.transform(kept, lambda b: b["k"])
-    firsts = F.filter(kept, lambda b, i: F.array_position(keys, b["k"]) == i + 1)
-    return F.array_join(F.transform(firsts, lambda b: b["t"]), "\n\n")
+    # The first block of each key: keys and places in one map, so that long lists take linear time.
+    numbered = F.transform(kept, lambda b, i: F.struct(b["k"].alias("k"), i.alias("i"), b["t"].alias("t")))
+    firsts = let(F.array_sort(numbered), lambda s: F.filter(s, lambda b, i: (i == 0) | (b["k"] != F.try_element_at(s, F.greatest(i, F.lit(1)))["k"])))
+    return F.array_join(F.transform(F.array_sort(F.transform(firsts, lambda b: F.struct(b["i"].alias("i"), b["t"].alias("t")))), lambda b: b["t"]), "\n\n")
 
 
 def _letters(c: Column, ranges: str) -> Column:

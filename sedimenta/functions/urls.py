@@ -201,7 +201,7 @@ def link_kind(url: ColumnLike, own_domain: str) -> Column:
 
 
 def is_external_url(url: ColumnLike) -> Column:
-    return _trimmed(url).rlike(r"^https?://[^/?#\s]+")
+    return _trimmed(url).rlike(r"(?i)^https?://[^/?#\s]+")
 
 
 def source_type(url: ColumnLike, publisher: ColumnLike | None = None) -> Column:

@@ -90,7 +90,8 @@ def retry_after(header: ColumnLike, now: Column) -> Column:
     text = F.trim(col(header))
     seconds = F.when(text.rlike(r"^\d+(\.\d+)?$"), text.try_cast("double"))
     at = F.try_to_timestamp(F.regexp_replace(text, r"^[A-Za-z]{3}, ", ""), F.lit("d MMM yyyy HH:mm:ss 'GMT'"))
-    return F.least(F.lit(120.0), F.greatest(F.lit(0.0), F.coalesce(seconds, at.cast("double") - now.cast("double"))))
+    wait = F.coalesce(seconds, at.cast("double") - now.cast("double"))
+    return F.when(wait.isNotNull(), F.least(F.lit(120.0), F.greatest(F.lit(0.0), wait)))
 
 
 def backoff(attempt: ColumnLike, cap: float) -> Column:
