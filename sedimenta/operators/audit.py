@@ -197,6 +197,10 @@ def link_audit(pages: DataFrame, files: DataFrame) -> DataFrame:
 
 def summary_report(spark: SparkSession, records: DataFrame, status: str, domain: list[str]) -> DataFrame:
     """For each status of the domain its records and up to 20 of their ids."""
-    groups = records.groupBy(F.col(status).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_set("record_id")), 1, 20).alias("examples"))
+    rows = records.select(F.col(status).alias("value"), "record_id")
+    # Each task keeps its first 20 of a status before anything is shuffled.
+    first = rows.distinct().withColumn("_n", F.row_number().over(Window.partitionBy("value").orderBy("record_id"))).where("_n <= 20")
+    examples = first.groupBy("value").agg(F.array_sort(F.collect_list("record_id")).alias("examples"))
+    groups = rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).join(examples, "value")
     values = spark.createDataFrame([(v,) for v in domain], "value string")
     return values.join(groups, "value", "left").select("value", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("examples", F.array().cast("array<string>")).alias("examples"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.values import is_missing
+from sedimenta.operators.schedule import numbered
 
 
 def duplicate_groups(df: DataFrame, content_hash: str, key: str, prefix: str = "exact-content") -> DataFrame:
@@ -32,8 +33,7 @@ def duplicate_counts(df: DataFrame, content_hash: str) -> DataFrame:
 
 def repeated_occurrence(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """df with occurrence (1, 2, ... in order) and is_repeat, within equal keys."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("occurrence", n).withColumn("is_repeat", F.col("occurrence") > 1)
+    return numbered(df, keys, order, "occurrence").withColumn("is_repeat", F.col("occurrence") > 1)
 
 
 def append_unique(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

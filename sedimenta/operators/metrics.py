@@ -150,17 +150,24 @@ def circuit_runs(attempts: DataFrame, host: str, order: str, failed: Column, thr
 
 
 def job_overlaps(jobs: DataFrame, by: str, job: str, first: str, last: str) -> DataFrame:
-    """Pairs of jobs of one key whose ranges overlap. Ranges are dealt to fixed-width buckets, so only near ones meet."""
-    width = jobs.agg(F.avg(F.col(last).cast("double") - F.col(first).cast("double"))).first()[0] or 1.0
-    width = max(float(width), 1.0)
-    bucket = lambda c: F.floor(F.col(c).cast("double") / width).cast("bigint")
-    dealt = jobs.select(by, job, first, last, F.explode(F.sequence(bucket(first), bucket(last))).alias("_b"))
-    a, b = dealt.alias("a"), dealt.alias("b")
-    meet = (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a._b") == F.col("b._b")) & (F.col(f"a.{job}") < F.col(f"b.{job}"))
+    """Pairs of jobs of one key whose ranges overlap.
+
+    Ranges are dealt to buckets as wide as they are, by powers of two, and meet in those of the wider of two: each lies in two
+    buckets of a width at most, however long it is beside the others. Widths are few, as lengths are numbers.
+    """
+    level = F.ceil(F.log2(F.greatest(F.col(last).cast("double") - F.col(first).cast("double"), F.lit(1.0)))).cast("int")
+    own = jobs.select(by, job, first, last, level.alias("_own"))
+    levels = [r[0] for r in own.select("_own").where("_own is not null").distinct().collect()]  # powers of two of a double: 1,024 at most
+    bucket = lambda c, w: F.floor(F.col(c).cast("double") / F.pow(F.lit(2.0), w)).cast("bigint")
+    wide = F.filter(F.array(*[F.lit(v) for v in sorted(levels)]), lambda v: v >= F.col("_own")) if levels else F.array().cast("array<int>")
+    dealt = own.withColumn("_w", F.explode(wide)).withColumn("_b", F.explode(F.sequence(bucket(first, F.col("_w")), bucket(last, F.col("_w")))))
+    a, b = dealt.where("_own = _w").alias("a"), dealt.alias("b")
+    meet = (F.col(f"a.{by}") == F.col(f"b.{by}")) & (F.col("a._w") == F.col("b._w")) & (F.col("a._b") == F.col("b._b"))
     overlap = (F.col(f"a.{first}") <= F.col(f"b.{last}")) & (F.col(f"a.{last}") >= F.col(f"b.{first}"))
-    # A pair is counted in the first bucket that both reach.
-    once = F.col("a._b") == F.greatest(bucket(f"a.{first}"), bucket(f"b.{first}"))
-    return a.join(b, meet & overlap & once).select(F.col(f"a.{by}").alias(by), F.col(f"a.{job}").alias("left_job"), F.col(f"b.{job}").alias("right_job"))
+    # A pair is counted in the first bucket that both reach, and once if both are as wide.
+    w = F.col("a._w")
+    once = (F.col("a._b") == F.greatest(bucket(f"a.{first}", w), bucket(f"b.{first}", w))) & ((F.col("b._own") < w) & (F.col(f"a.{job}") != F.col(f"b.{job}")) | (F.col(f"a.{job}") < F.col(f"b.{job}")))
+    return a.join(b, meet & overlap & once).select(F.col(f"a.{by}").alias(by), F.least(f"a.{job}", f"b.{job}").alias("left_job"), F.greatest(f"a.{job}", f"b.{job}").alias("right_job"))
 
 
 def job_snapshot(items: DataFrame, now: Column, started: Column, total: Column, classes: dict[str, list[str]], active: Column | None = None) -> DataFrame:

@@ -46,10 +46,16 @@ def facets(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def status_index(df: DataFrame, key: str, groups: dict[str, str]) -> DataFrame:
-    """group, status and the sorted ids with it, for several status columns."""
+    """group, status and id of each row and status column: a status that most rows have is many rows, not one.
+
+    Written with partitionBy("group", "status") it is looked up by folder; status_counts() has the sizes.
+    """
     each = F.explode(F.array(*[F.struct(F.lit(g).alias("group"), F.col(c).cast("string").alias("status")) for g, c in groups.items()]))
-    rows = df.select(F.col(key).alias("id"), each.alias("e")).select("id", "e.*").where("status is not null")
-    return rows.groupBy("group", "status").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.count(F.lit(1)).alias("n"))
+    return df.select(F.col(key).alias("id"), each.alias("e")).where("e.status is not null").select("e.group", "e.status", "id")
+
+
+def status_counts(index: DataFrame) -> DataFrame:
+    return index.groupBy("group", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def neighbours(df: DataFrame, by: list[str], order: list[Column], key: str) -> DataFrame:

@@ -110,12 +110,12 @@ def size_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     WITH j AS (SELECT d.doc_id, d.lang, CAST(l.quality AS VARCHAR) AS quality, CAST(l.toxic AS VARCHAR) AS toxic FROM documents d JOIN labels l USING (doc_id)),
     e AS (SELECT 'lang' AS "group", lang AS status, doc_id FROM j UNION ALL SELECT 'quality', quality, doc_id FROM j UNION ALL SELECT 'toxic', toxic, doc_id FROM j)
-    SELECT "group", status, array_to_string(list(doc_id ORDER BY doc_id), ',') AS ids, count(*) AS n FROM e GROUP BY 1, 2
+    SELECT "group", status, doc_id AS id, count(*) OVER (PARTITION BY "group", status) AS n FROM e
 """)
 def status_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
     found = search.status_index(rows, "doc_id", {"lang": "lang", "quality": "quality", "toxic": "toxic"})
-    return found.select("group", "status", F.array_join("ids", ",").alias("ids"), "n")
+    return found.join(search.status_counts(found), ["group", "status"])
 
 
 @query("""
@@ -145,13 +145,23 @@ def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.index_rows(records, sources)
 
 
-@query("""
-    SELECT d.doc_id, count(*) AS n FROM documents d JOIN benchmark b
-      ON sha256(lower(trim(regexp_replace(d.text, '[ \\t\\r\\n]+', ' ', 'g')))) = sha256(lower(trim(regexp_replace(b.text, '[ \\t\\r\\n]+', ' ', 'g')))) GROUP BY d.doc_id
+_GRAMS = "SELECT DISTINCT {key}, unnest(list_transform(range(1, greatest(len(w) - 6, 1)), lambda i: array_to_string(w[i:i + 7], ' '))) AS gram FROM (SELECT {key}, string_split_regex(trim(lower(text), ' ' || chr(9) || chr(10) || chr(13)), '[ \\t\\r\\n]+') AS w FROM {table})"
+
+
+@query(f"""
+    WITH d AS ({_GRAMS.format(key="doc_id", table="documents")}), b AS ({_GRAMS.format(key="item_id", table="benchmark")})
+    SELECT d.doc_id, b.item_id, count(*) AS n FROM d JOIN b ON d.gram = b.gram GROUP BY d.doc_id, b.item_id
 """)
 def contamination_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.sha2(F.lower(F.trim(F.regexp_replace("text", r"[ \t\r\n]+", " "))), 256).alias("k")
-    return heavy(spark, sf_dir, "documents").select("doc_id", key).join(heavy(spark, sf_dir, "benchmark").select(key), "k").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    """Passages of the benchmark within longer documents, by the eight-word runs that both have."""
+
+    def grams(name: str, key: str) -> DataFrame:
+        words = F.split(F.regexp_replace(F.lower("text"), r"^[ \t\r\n]+|[ \t\r\n]+$", ""), r"[ \t\r\n]+")
+        runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 7), lambda i: F.array_join(F.slice(w, i, F.lit(8)), " "))
+        rows = heavy(spark, sf_dir, name).select(key, words.alias("w")).where(F.size("w") >= 8)
+        return rows.select(key, F.explode(runs(F.col("w"))).alias("gram")).distinct()
+
+    return grams("documents", "doc_id").join(grams("benchmark", "item_id"), "gram").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()

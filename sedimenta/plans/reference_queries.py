@@ -138,13 +138,12 @@ def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH s AS (SELECT c_custkey AS id, c_mktsegment AS tag FROM customer WHERE c_custkey % 2 = 0), t AS (SELECT c_custkey AS id, c_name AS tag FROM customer WHERE c_custkey % 3 = 0)
+    WITH s AS (SELECT s_suppkey AS id, s_name AS tag FROM supplier), t AS (SELECT c_custkey AS id, c_name AS tag FROM customer)
     SELECT coalesce(s.id, t.id) AS id, coalesce(s.tag, t.tag) AS label, array_to_string(list_filter([s.tag, t.tag], lambda x: x IS NOT NULL), '|') AS tags FROM s FULL JOIN t ON s.id = t.id
 """)
 def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer")
-    a = rows.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("label"), F.array("c_mktsegment").alias("tags"))
-    b = rows.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("label"), F.array("c_name").alias("tags"))
+    a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label"), F.array("s_name").alias("tags"))
+    b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("label"), F.array("c_name").alias("tags"))
     out = merge.merge_state(a, b, "id", ["label"], ["tags"])
     return out.select("id", "label", F.array_join("tags", "|").alias("tags"))
 
@@ -184,21 +183,21 @@ def select_work(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH k AS (SELECT DISTINCT o_orderkey AS s FROM orders), g AS (SELECT s, coalesce(lag(s) OVER (ORDER BY s), 0) AS b FROM k)
+    WITH k AS (SELECT DISTINCT l_orderkey AS s FROM lineitem WHERE l_orderkey > 0), g AS (SELECT s, coalesce(lag(s) OVER (ORDER BY s), 0) AS b FROM k)
     SELECT b + 1 AS first_missing, s - 1 AS last_missing FROM g WHERE s - b > 1
 """)
 def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.contiguity(table(spark, sf_dir, "orders"), "o_orderkey")
+    return audit.contiguity(table(spark, sf_dir, "lineitem").where("l_orderkey > 0"), "l_orderkey")
 
 
 @query("""
-    WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 5 <> 0), u AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders)
-    SELECT u.k AS key, u.s AS status, o.s AS outcome FROM u LEFT JOIN o ON u.k = o.k WHERE o.k IS NULL OR u.s IS DISTINCT FROM o.s
+    WITH o AS (SELECT l_orderkey AS k, min(l_linestatus) AS s FROM lineitem GROUP BY l_orderkey)
+    SELECT u.o_orderkey AS key, u.o_orderstatus AS status, o.s AS outcome FROM orders u LEFT JOIN o ON u.o_orderkey = o.k WHERE o.k IS NULL OR u.o_orderstatus IS DISTINCT FROM o.s
 """)
 def outcome_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"))
-    live = orders.withColumn("status", F.when(F.col("key") % 7 == 0, "X").otherwise(F.col("status")))
-    return audit.mismatched(live, orders.where("key % 5 != 0"), "key", "status")
+    live = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"))
+    outcomes = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.min("l_linestatus").alias("status"))
+    return audit.mismatched(live, outcomes, "key", "status")
 
 
 @query("""

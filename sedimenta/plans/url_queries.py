@@ -158,10 +158,11 @@ def fair_order_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.pages(ordered, schedule.turn_columns(by_size=True)).select("page_id", "bucket", "round", "bucket_size", "position")
 
 
-@query(f"""
-    WITH {NORMALIZED}, a AS (SELECT normalized AS u FROM j WHERE page_id % 2 = 0), b AS (SELECT normalized AS u FROM j WHERE page_id % 3 = 0)
-    SELECT u AS url, 'missing' AS side FROM (SELECT u FROM a EXCEPT SELECT u FROM b) UNION ALL SELECT u, 'unexpected' FROM (SELECT u FROM b EXCEPT SELECT u FROM a)
+@query("""
+    WITH a AS (SELECT doc_id AS id FROM documents WHERE lang = 'en'), b AS (SELECT doc_id AS id FROM labels)
+    SELECT id, 'missing' AS side FROM (SELECT id FROM a EXCEPT SELECT id FROM b) UNION ALL SELECT id, 'unexpected' FROM (SELECT id FROM b EXCEPT SELECT id FROM a)
 """)
 def set_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages").select("page_id", urls.normalize_source_url("url").alias("url"))
-    return dedupe.set_difference(rows.where("page_id % 2 = 0"), rows.where("page_id % 3 = 0"), "url")
+    """English documents against labelled ones."""
+    english = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("id"))
+    return dedupe.set_difference(english, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")), "id")

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from sedimenta.functions.values import rows_by_header
 from sedimenta.operators.extract import FieldRule, extract_records
+from sedimenta.operators.schedule import numbered
 
 CORRUPT = "_corrupt"
 
@@ -29,17 +30,17 @@ def json_folder(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 def json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One object for each line; blank lines are skipped, bad ones kept in _corrupt; line counts from 1 within its file.
 
-    Lines are numbered by their order in a file, in a window for each file: files are the unit of work here.
+    Lines are numbered by ranges of a file and moved by the lines before, so that a large file is many tasks' work.
     """
     lines = spark.read.text(path).withColumn("file", F.input_file_name()).withColumn("_at", F.monotonically_increasing_id())
-    numbered = lines.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("_at"))).where(F.trim("value") != "")
+    counted = numbered(lines, ["file"], [F.col("_at")], "line").where(F.trim("value") != "")
     whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    parsed = numbered.withColumn("_r", F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = counted.withColumn("_r", F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     return parsed.select("_r.*", "line", F.regexp_extract("file", r"([^/]+)$", 1).alias("file"))
 
 
 def zip_members(spark: SparkSession, path: str, pattern: str = r"\.json$") -> DataFrame:
-    """archive, member and text of the files in ZIP snapshots; a member over 50 MB is left out (text null)."""
+    """archive, member and text of the files in ZIP snapshots, a member at a time."""
     import re
 
     wanted = re.compile(pattern)
@@ -48,8 +49,9 @@ def zip_members(spark: SparkSession, path: str, pattern: str = r"\.json$") -> Da
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    rows = [(archive, i.filename, z.read(i).decode("utf-8", "replace") if i.file_size <= 50_000_000 else None) for i in z.infolist() if wanted.search(i.filename)]
-                yield pd.DataFrame(rows, columns=["archive", "member", "text"])
+                    for i in z.infolist():
+                        if wanted.search(i.filename):
+                            yield pd.DataFrame([(archive, i.filename, z.read(i).decode("utf-8", "replace"))], columns=["archive", "member", "text"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, text string")
 

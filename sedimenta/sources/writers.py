@@ -12,7 +12,28 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REFERENCE_COLUMNS = ["source_reference_id", "record_id", "origin", "occurrence", "raw_url", "normalized_url", "source_id", "is_repeat"]
+#: The columns of an export of references, in order. Fixed values.
+REFERENCE_COLUMNS = [
+    "source_reference_id",
+    "record_id",
+    "raw_url",
+    "normalized_url",
+    "normalization_status",
+    "normalization_reason",
+    "label",
+    "title",
+    "publisher",
+    "citation_text",
+    "publication_date",
+    "source_type",
+    "domain",
+    "current_reachability_status",
+    "content_preservation_status",
+    "duplicate_relationship",
+    "malformed",
+    "manual_review",
+    "external_source_id",
+]
 
 
 def write_text(path: str | Path, text: str) -> None:
@@ -56,12 +77,13 @@ def append_audit(events: DataFrame, path: str) -> None:
 
 
 def export_references(references: DataFrame, folder: str) -> None:
-    """JSON lines, CSV, and the sorted different URLs of both forms."""
-    columns = [c for c in REFERENCE_COLUMNS if c in references.columns]
-    references.select(*columns).write.mode("overwrite").json(f"{folder}/references_jsonl")
-    references.select(*columns).write.mode("overwrite").option("header", True).csv(f"{folder}/references_csv")
-    for c in ("raw_url", "normalized_url"):
-        urls = references.where(F.coalesce(F.col(c), F.lit("")) != "").select(c).distinct()
+    """JSON lines, CSV, and the sorted different URLs of both forms; columns that references lacks are empty."""
+    rows = references.select(*[F.col(c) if c in references.columns else F.lit(None).cast("string").alias(c) for c in REFERENCE_COLUMNS])
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/references_jsonl")
+    rows.write.mode("overwrite").option("header", True).csv(f"{folder}/references_csv")
+    fine = F.coalesce("normalization_status", F.lit("")) != "malformed"
+    for c, kept in (("raw_url", F.lit(True)), ("normalized_url", fine)):
+        urls = rows.where((F.coalesce(F.col(c), F.lit("")) != "") & kept).select(c).distinct()
         urls.orderBy(c).write.mode("overwrite").text(f"{folder}/{c}s")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sedimenta.operators.merge import latest
+from sedimenta.session import checkpointed
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -150,7 +151,7 @@ def negative_cache(attempts: DataFrame, ttl_ms: int) -> DataFrame:
 
 
 class RecoveryQueue:
-    """Deferred sources of one scope: what is pending, what was tried, and what came of it. State is a table."""
+    """Deferred sources of one scope: what is pending, what was tried, and what came of it. State is written after each step."""
 
     SCHEMA = "source_id string, original_url string, host string, first_deferred_at timestamp, last_attempt_at timestamp, recovery_attempts int, last_status string, reason string"
 
@@ -165,18 +166,19 @@ class RecoveryQueue:
             raise ValueError(f"the queue is for {self.scope}, not {scope}")
         new = rows.join(self.pending.select("source_id"), "source_id", "left_anti")
         new = new.select("source_id", "original_url", "host", now.alias("first_deferred_at"), F.lit(None).cast("timestamp").alias("last_attempt_at"), F.lit(0).alias("recovery_attempts"), F.lit("recovery_deferred").alias("last_status"), "reason")
-        self.pending = self.pending.unionByName(new)
+        self.pending = checkpointed(self.pending.unionByName(new))
 
     def note(self, attempts: DataFrame, now: Column) -> None:
         """Counts an attempt for each source_id, with its status."""
         a = attempts.select(F.col("source_id").alias("_s"), F.col("status").alias("_status"))
         out = self.pending.join(a, F.col("source_id") == F.col("_s"), "left")
         hit = F.col("_s").isNotNull()
-        self.pending = out.withColumn("recovery_attempts", F.col("recovery_attempts") + hit.cast("int")).withColumn("last_attempt_at", F.when(hit, now).otherwise(F.col("last_attempt_at"))).withColumn("last_status", F.when(hit, F.col("_status")).otherwise(F.col("last_status"))).drop("_s", "_status")
+        out = out.withColumn("recovery_attempts", F.col("recovery_attempts") + hit.cast("int")).withColumn("last_attempt_at", F.when(hit, now).otherwise(F.col("last_attempt_at"))).withColumn("last_status", F.when(hit, F.col("_status")).otherwise(F.col("last_status"))).drop("_s", "_status")
+        self.pending = checkpointed(out)
 
     def resolve(self, ids: DataFrame) -> None:
-        self.resolved = self.resolved.unionByName(self.pending.join(ids.select("source_id"), "source_id", "left_semi"))
-        self.pending = self.pending.join(ids.select("source_id"), "source_id", "left_anti")
+        self.resolved = checkpointed(self.resolved.unionByName(self.pending.join(ids.select("source_id"), "source_id", "left_semi")))
+        self.pending = checkpointed(self.pending.join(ids.select("source_id"), "source_id", "left_anti"))
 
     def select(self, limit: int) -> DataFrame:
         from sedimenta.operators.schedule import select_recovery
