@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.urls import hash_id, normalize_url, urls_in
 from sedimenta.operators.extract import json_leaves
+from sedimenta.session import checkpointed
 
 
 def match_sources(references: DataFrame, sources: DataFrame) -> DataFrame:
@@ -30,48 +31,56 @@ def collect_references(historical: DataFrame, provenance: DataFrame, embedded: D
     Each input has record_id, raw_url and ord, its order within the stage. The first keeps every occurrence (by position)
     and flags repeats; the others number theirs for each record.
     """
-    pair = ["record_id", "raw_url"]
-    by_record = Window.partitionBy("record_id").orderBy("ord", "raw_url")
-    first = historical.withColumn("origin", F.lit("historical")).withColumn("occurrence", F.row_number().over(by_record))
-    first = first.withColumn("is_repeat", F.row_number().over(Window.partitionBy(*pair).orderBy("occurrence")) > 1)  # by occurrence, as rows may tie in ord
-
-    def stage(rows: DataFrame, seen: DataFrame, origin: str) -> DataFrame:
-        new = rows.where("raw_url is not null and raw_url != '' and record_id is not null").join(seen.select(*pair).distinct(), pair, "left_anti")
-        new = new.withColumn("_n", F.row_number().over(Window.partitionBy(*pair).orderBy("ord"))).where("_n = 1").drop("_n")
-        return new.withColumn("origin", F.lit(origin)).withColumn("occurrence", F.row_number().over(by_record)).withColumn("is_repeat", F.lit(False))
-
-    second = stage(provenance, first, "provenance")
-    third = stage(embedded, first.select(*pair).unionByName(second.select(*pair)), "embedded")
-    columns = ["record_id", "origin", "occurrence", "raw_url", "is_repeat"]
-    out = first.select(*columns).unionByName(second.select(*columns)).unionByName(third.select(*columns))
+    pair, columns = ["record_id", "raw_url"], ["record_id", "raw_url", "ord"]
+    first = historical.select(*columns, F.lit(1).alias("stage"))
+    stated = lambda df, n: df.where("raw_url is not null and raw_url != '' and record_id is not null").select(*columns, F.lit(n).alias("stage"))
+    # The earliest stage that has a pair, and its first place there.
+    earliest = first.unionByName(stated(provenance, 2)).unionByName(stated(embedded, 3)).groupBy(*pair).agg(F.min(F.struct("stage", "ord")).alias("e"))
+    later = earliest.where("e.stage > 1").select(*pair, F.col("e.ord").alias("ord"), F.col("e.stage").alias("stage"))
+    every = first.select(*pair, "ord", "stage").unionByName(later)
+    every = every.withColumn("occurrence", F.row_number().over(Window.partitionBy("record_id", "stage").orderBy("ord", "raw_url")))
+    # By occurrence, as rows may tie in ord; a later stage has each pair once.
+    repeat = F.row_number().over(Window.partitionBy(*pair, "stage").orderBy("occurrence")) > 1
+    origin = F.element_at(F.array(F.lit("historical"), F.lit("provenance"), F.lit("embedded")), F.col("stage"))
+    out = every.select("record_id", origin.alias("origin"), "occurrence", "raw_url", repeat.alias("is_repeat"))
     return out.withColumn("source_reference_id", reference_id(F.col("record_id"), F.col("origin"), F.col("occurrence"), F.col("raw_url")))
 
 
-def roll_up_entities(references: DataFrame, url: str, ref_id: str, order: str) -> DataFrame:
+#: Items that an entity or record holds as an array; more are found in the table of pairs only.
+MOST_IN_ARRAY = 10_000
+
+
+def entity_references(references: DataFrame, url: str, ref_id: str, order: str) -> DataFrame:
+    """entity_id, ref, ord and the URL's parts (raw, norm, status, domain) of every reference: the whole table of pairs."""
+    link = normalize_url(url)
+    rows = references.select(F.col(ref_id).alias("ref"), F.col(order).alias("ord"), link.alias("l")).select("ref", "ord", F.col("l.raw").alias("raw"), F.col("l.normalized").alias("norm"), F.col("l.status").alias("status"), F.col("l.domain").alias("domain"))
+    return rows.withColumn("entity_id", hash_id("external", F.when(F.col("norm") != "", F.col("norm")).otherwise(F.col("raw"))))
+
+
+def roll_up_entities(references: DataFrame, url: str, ref_id: str, order: str, most: int = MOST_IN_ARRAY) -> DataFrame:
     """One entity for each normalised URL, malformed ones by their text: first URL, raw variants and references in order.
 
-    Variants are made unique before they are collected, so an entity's array has one item for each raw form.
+    An entity with more than most references has no arrays (null); entity_references() has all of them, and n_references
+    counts them. Each URL is taken apart once.
     """
-    link = normalize_url(url)
-    rows = references.select(F.col(ref_id).alias("ref"), F.col(order).alias("ord"), link["raw"].alias("raw"), link["normalized"].alias("norm"), link["status"].alias("status"), link["domain"].alias("domain"))
-    rows = rows.withColumn("entity_id", hash_id("external", F.when(F.col("norm") != "", F.col("norm")).otherwise(F.col("raw"))))
-    variants = rows.groupBy("entity_id", "raw").agg(F.min("ord").alias("ord")).groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "raw"))), lambda v: v["raw"]).alias("raw_urls"))
-    firsts = rows.groupBy("entity_id").agg(
-        F.min_by("norm", "ord").alias("normalized_url"),
-        F.min_by("status", "ord").alias("status"),
-        F.min_by("domain", "ord").alias("domain"),
-        F.count(F.lit(1)).alias("n_references"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "ref"))), lambda v: v["ref"]).alias("reference_ids"),
-    )
-    return firsts.join(variants, "entity_id")
-
-
-def nest_references(records: DataFrame, references: DataFrame, key: str, fields: list[str], order: str) -> DataFrame:
-    """records with references, an ordered array of structs; empty for records without any."""
-    nested = references.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *fields))).alias("_refs"))
-    out = records.join(nested, key, "left")
+    rows = checkpointed(entity_references(references, url, ref_id, order))
+    by_raw = rows.groupBy("entity_id", "raw").agg(F.min("ord").alias("ord"), F.count(F.lit(1)).alias("n"), F.min_by(F.struct("norm", "status", "domain"), "ord").alias("f"))
+    firsts = by_raw.groupBy("entity_id").agg(F.min_by("f", "ord").alias("f"), F.sum("n").alias("n_references"))
+    small = firsts.where(F.col("n_references") <= most).select("entity_id")
+    listed = lambda df, c: df.join(small, "entity_id", "left_semi").groupBy("entity_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", c))), lambda v: v[c]).alias("_l"))
+    out = firsts.join(listed(rows, "ref").withColumnRenamed("_l", "reference_ids"), "entity_id", "left").join(listed(by_raw, "raw").withColumnRenamed("_l", "raw_urls"), "entity_id", "left")
+    return out.select("entity_id", F.col("f.norm").alias("normalized_url"), F.col("f.status").alias("status"), F.col("f.domain").alias("domain"), "n_references", "reference_ids", "raw_urls")
+
+
+def nest_references(records: DataFrame, references: DataFrame, key: str, fields: list[str], order: str, most: int = MOST_IN_ARRAY) -> DataFrame:
+    """records with references, an ordered array of structs: empty for records without any, null for those with more than most."""
+    many = references.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(F.col(key).alias("_many"))
+    few = references.join(many, F.col(key) == F.col("_many"), "left_anti")
+    nested = few.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *fields))).alias("_refs"))
+    out = records.join(nested, key, "left").join(many, F.col(key) == F.col("_many"), "left")
     kept = F.transform("_refs", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    return out.withColumn("references", F.coalesce(kept, F.filter(F.array(F.struct(*[F.lit(None).cast(references.schema[f].dataType).alias(f) for f in fields])), lambda _: F.lit(False)))).drop("_refs")
+    none = F.filter(F.array(F.struct(*[F.lit(None).cast(references.schema[f].dataType).alias(f) for f in fields])), lambda _: F.lit(False))
+    return out.withColumn("references", F.when(F.col("_many").isNull(), F.coalesce(kept, none))).drop("_refs", "_many")
 
 
 def through_edges(left: DataFrame, edges: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -105,7 +105,10 @@ def stream(spark, folder, rows, schema, transform, mode, *, state=None):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", live.ROCKSDB)
     name = f"out_{abs(hash(str(folder))) % 10**9}"
     query = transform(source).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination(120)
+    try:
+        assert query.awaitTermination(240), "the stream hasn't ended"
+    finally:
+        query.stop()
     return [tuple(r) for r in spark.table(name).collect()]
 
 
