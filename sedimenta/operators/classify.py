@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sedimenta.functions import fixed
+from sedimenta.functions.text import clean_text, content_quality, strip_tags
 from sedimenta.functions.urls import normalize_url
 from sedimenta.functions.values import ColumnLike, as_number, case, col, contains_any, first_present, is_missing
 
@@ -224,3 +225,21 @@ def summary_columns(record: dict[str, ColumnLike]) -> list[Column]:
 
 def title_of(*candidates: ColumnLike) -> Column:
     return first_present(*candidates, F.lit("Untitled"))
+
+
+def platform_text(platform: ColumnLike, body: ColumnLike) -> Column:
+    """What a platform's public answer says of a post: text, author, completeness, accepted and status.
+
+    platform is x, youtube, facebook or telegram. The first two answer with an object (oEmbed): a post's fragment, or a
+    title, which is only partial. The others answer with a page. A text that isn't good enough gives the status null.
+    """
+    answer = F.from_json(col(body), "struct<html: string, title: string, author_name: string>")
+    p = col(platform)
+    title = F.array_join(F.array_compact(F.array(answer["title"], answer["author_name"])), "\n")
+    text = clean_text(case((p == "x", strip_tags(answer["html"])), (p == "youtube", title), otherwise=strip_tags(body)))
+    partial = p == "youtube"
+    quality = content_quality(text, None, F.lit("public_post"))
+    accepted = quality["accepted"] & (text != "")
+    status = F.when(accepted, F.when(partial, "successful_partial").otherwise("successful"))
+    author = F.when(p.isin("x", "youtube"), clean_text(answer["author_name"]))
+    return F.struct(text.alias("text"), author.alias("author"), F.when(partial, "partial").otherwise("full").alias("completeness"), accepted.alias("accepted"), status.alias("status"))

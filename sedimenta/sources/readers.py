@@ -184,3 +184,18 @@ def snapshot_import(payloads: DataFrame, payload: str, schema: str, names: dict[
 
 def canonical_json(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def database_table(spark: SparkSession, url: str, name: str, key: str | None = None, parts: int = 1, properties: dict[str, str] | None = None) -> DataFrame:
+    """A table of a database by JDBC; with a numeric key it is read in so many ranges of it, between its least and greatest."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=name, **(properties or {}))
+    if key is None or parts < 2:
+        return reader.load()
+    low, high = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {name}", **(properties or {})).load().first()
+    if low is None:
+        return reader.load()
+    return reader.options(partitionColumn=key, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts)).load()
+
+
+def write_database_table(df: DataFrame, url: str, name: str, mode: str = "append", properties: dict[str, str] | None = None) -> None:
+    df.write.format("jdbc").mode(mode).options(url=url, dbtable=name, **(properties or {})).save()

@@ -44,6 +44,17 @@ def sessions(events: DataFrame, at: str, by: str, gap: str) -> DataFrame:
     return out.select(by, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
+def joined_streams(left: DataFrame, right: DataFrame, key: str, at: str, within: str, late: str) -> DataFrame:
+    """Events of both streams that share a key, the right one at or up to `within` after the left one; late bounds the state.
+
+    Both have key and at; the other columns' names must differ.
+    """
+    a = with_watermark(left, at, late).withColumnRenamed(key, "_k").withColumnRenamed(at, "left_at")
+    b = with_watermark(right, at, late).withColumnRenamed(at, "right_at")
+    near = (F.col("right_at") >= F.col("left_at")) & (F.col("right_at") <= F.col("left_at") + F.expr(f"INTERVAL {within}"))
+    return a.join(b, (F.col("_k") == F.col(key)) & near).drop("_k")
+
+
 def running_totals(events: DataFrame, by: str, value: str) -> DataFrame:
     return events.groupBy(by).agg(F.count(value).alias("n"), F.sum(value).alias("total"))
 

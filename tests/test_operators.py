@@ -347,3 +347,31 @@ def test_record_pages(spark):
     from sedimenta.operators.classify import coordinate_reasons
 
     assert spark.createDataFrame([("35.9", "4239.00416")], "a string, b string").select(coordinate_reasons("a", "b").alias("r")).first().r == ["invalid_longitude"]
+
+
+def test_platform_answers(spark):
+    long = "A post of some length that says a thing or two about what was seen there."
+    rows = [("x", f'{{"html": "<blockquote><p>{long}</p></blockquote>", "author_name": "An Author"}}'), ("youtube", '{"title": "A video of the morning in the town", "author_name": "Chan"}'), ("facebook", f"<div><p>{long}</p></div>"), ("telegram", "<p>Log in to Facebook</p>"), ("x", "no json")]
+    df = spark.createDataFrame(rows, "p string, b string")
+    got = [tuple(r.t) for r in df.select(classify.platform_text("p", "b").alias("t")).collect()]
+    assert got[0] == (long, "An Author", "full", True, "successful")
+    assert got[1] == ("A video of the morning in the town\nChan", "Chan", "partial", True, "successful_partial")
+    assert got[2][0] == long and got[2][4] == "successful"
+    assert got[3][3] is False and got[3][4] is None and got[4][4] is None
+
+
+def test_entities_beyond_the_bound_keep_their_pairs(spark):
+    df = spark.createDataFrame([(i, "http://h/a" if i < 6 else "http://h/b") for i in range(8)], "id int, url string")
+    got = {r.normalized_url: r for r in refs.roll_up_entities(df, "url", "id", "id", most=5).collect()}
+    assert got["http://h/a"].n_references == 6 and got["http://h/a"].reference_ids is None and got["http://h/b"].reference_ids == [6, 7]
+    assert refs.entity_references(df, "url", "id", "id").count() == 8
+
+
+def test_overlaps_of_ranges_of_any_width(spark):
+    import random
+
+    rng = random.Random(4)
+    jobs = [(rng.randrange(3), i, a, a + rng.choice([0, 1, 5, 900, 10**7])) for i in range(150) for a in [rng.randrange(10**6)]]
+    want = {(k, min(i, j), max(i, j)) for k, i, a, b in jobs for k2, j, c, d in jobs if k == k2 and i < j and a <= d and b >= c}
+    got = metrics.job_overlaps(spark.createDataFrame(jobs, "k int, j int, a bigint, b bigint"), "k", "j", "a", "b").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want

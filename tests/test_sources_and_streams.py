@@ -55,7 +55,7 @@ def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("f1", "r1", "http://b", "http://b/"), ("f2", "r1", "http://a", "http://a/"), ("f3", "r2", "http://a", "")], "source_reference_id string, record_id string, raw_url string, normalized_url string")
     writers.export_references(df, str(tmp_path))
     assert spark.read.json(str(tmp_path / "references_jsonl")).count() == 3
-    assert spark.read.option("header", True).csv(str(tmp_path / "references_csv")).columns[0] == "source_reference_id"
+    assert spark.read.option("header", True).csv(str(tmp_path / "references_csv")).columns == writers.REFERENCE_COLUMNS and len(writers.REFERENCE_COLUMNS) == 19
     assert [r.value for r in spark.read.text(str(tmp_path / "raw_urls")).collect()] == ["http://a", "http://b"]
     assert writers.markdown_table(df.select("record_id").distinct().orderBy("record_id")) == "| record_id |\n|---|\n| r1 |\n| r2 |\n"
     with pytest.raises(ValueError):
@@ -104,11 +104,12 @@ def stream(spark, folder, rows, schema, transform, mode, *, state=None):
     source = live.event_stream(spark, f"{folder}/in", spark.createDataFrame([], schema), 1)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", live.ROCKSDB)
     name = f"out_{abs(hash(str(folder))) % 10**9}"
-    query = transform(source).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    query = transform(source).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").start()
     try:
-        assert query.awaitTermination(240), "the stream hasn't ended"
+        query.processAllAvailable()  # a stream with timers of processing time has no end of its own
     finally:
         query.stop()
+    assert not query.isActive and query.exception() is None
     return [tuple(r) for r in spark.table(name).collect()]
 
 
@@ -175,3 +176,25 @@ def test_runs_move_as_allowed_and_resume(spark):
     done = spark.createDataFrame([(1, "PARSED"), (2, "DEAD")], "id int, status string")
     assert [r.id for r in live.remaining(targets, done, "id").collect()] == [3]
     assert sorted(r.id for r in live.remaining(targets, done, "id", retry=True).collect()) == [2, 3]
+
+
+def test_database_tables_are_read_in_ranges(spark):
+    url = "jdbc:derby:memory:sedimenta;create=true"
+    rows = [(i, f"n{i}") for i in range(100)]
+    readers.write_database_table(spark.createDataFrame(rows, "ID int, NAME string"), url, "ITEMS", "overwrite", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    found = readers.database_table(spark, url, "ITEMS", "ID", 4, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert found.rdd.getNumPartitions() == 4 and sorted(tuple(r) for r in found.collect()) == rows
+    assert readers.database_table(spark, url, "ITEMS", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}).count() == 100
+
+
+def test_streams_join_within_a_time(spark, tmp_path):
+    """Requests and answers of a key, the answer within ten seconds."""
+    for name, rows in (("a", [("k", stamp(0), "q1"), ("k", stamp(100), "q2"), ("z", stamp(0), "q3")]), ("b", [("k", stamp(5), "r1"), ("k", stamp(130), "r2"), ("z", stamp(0), "r3")])):
+        spark.createDataFrame(rows, f"key string, ts timestamp, {name} string").coalesce(1).write.parquet(str(tmp_path / name))
+    sources = [live.event_stream(spark, str(tmp_path / n), spark.createDataFrame([], f"key string, ts timestamp, {n} string")) for n in "ab"]
+    query = live.joined_streams(*sources, "key", "ts", "10 seconds", "1 minute").writeStream.format("memory").queryName("joined_out").option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    try:
+        assert query.awaitTermination(240), "the stream hasn't ended"
+    finally:
+        query.stop()
+    assert sorted((r.key, r.a, r.b) for r in spark.table("joined_out").collect()) == [("k", "q1", "r1"), ("z", "q3", "r3")]
