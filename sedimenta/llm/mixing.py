@@ -191,13 +191,22 @@ class Mix:
     def mixed(self, docs: DataFrame) -> DataFrame:
         """docs with each row as often as the mix takes it, all columns kept."""
         count = lambda n: F.sum((F.col("copies") == n).cast("int"))
-        own = written(self.copies(docs), "mix-copies").groupBy(F.col("doc_id").alias("_id"), F.col("base").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), count(1).alias("_once"), count(2).alias("_twice"))
+        found = written(self.copies(docs), "mix-copies")
+        own = written(found.groupBy(F.col("doc_id").alias("_id"), F.col("base").alias("_key")).agg(F.count(F.lit(1)).alias("_n"), count(1).alias("_once"), count(2).alias("_twice")), "mix-counts")
         whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
         rows = docs.select(whole, F.col("doc_id").alias("_doc"), self.order(docs).alias("_ord"))
         rows = rows.join(own, (F.col("_ord") == F.col("_key")) & F.col("_doc").eqNullSafe(F.col("_id"))).drop("_id", "_doc")
+        single = rows.where("_n = 1").withColumn("_k", F.lit(1).cast("bigint"))
         # Rows that repeat a doc_id, text and source are numbered, so that each takes copies of its own.
-        repeated = rows.where("_n > 1").select("*", F.xxhash64("_whole").alias("_order"), F.monotonically_increasing_id().alias("_at"))
-        repeated = numbered(repeated, ["_ord"], [F.col("_order"), F.col("_at")], "_k").drop("_order", "_at")
-        every = rows.where("_n = 1").withColumn("_k", F.lit(1).cast("bigint")).unionByName(repeated.withColumn("_k", F.col("_k").cast("bigint")))
+        if own.where("_n > 1").isEmpty():
+            every = single
+        else:
+            every = single.unionByName(self._placed(rows.where("_n > 1")))
         copies = F.when(F.col("_k") <= F.col("_twice"), 2).when(F.col("_k") <= F.col("_twice") + F.col("_once"), 1).otherwise(0)
         return every.select("_whole", F.explode(F.array_repeat(F.lit(1), copies)).alias("_copy")).select("_whole.*")
+
+    @staticmethod
+    def _placed(rows: DataFrame) -> DataFrame:
+        """rows with their number (_k) from 1 among those of the same id, text and source."""
+        ordered = rows.select("*", F.xxhash64("_whole").alias("_order"), F.monotonically_increasing_id().alias("_at"))
+        return numbered(ordered, ["_ord"], [F.col("_order"), F.col("_at")], "_k").drop("_order", "_at").withColumn("_k", F.col("_k").cast("bigint"))
