@@ -9,7 +9,7 @@ and change nothing before (PrefixEncoder.append), and after an edit only the pre
 A piece that is a token as a whole encodes to it, as the tiktoken library does. Ids decode by joining their bytes.
 
 Defined results: null counts as empty and has no ids; a text of any length is encoded whole, in memory that grows with its
-longest piece.
+longest piece. Rows that repeat are encoded each on its own; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ one large component among each other. Every pair within the radius is thus verif
 different; similar pairs beyond the radius are missed.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other. Rows that repeat are in
-one component. A null doc_id is never a component's id unless it has no other. An empty table gives an empty result.
+one component. A null doc_id is never a component's id unless it has no other. Texts of any length
+are read whole; an empty table gives an empty result; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations

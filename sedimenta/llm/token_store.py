@@ -16,7 +16,8 @@ computed again from the chunks found, and a document's CRC-32 is combined from t
 So no ids are shuffled again. ids() rebuilds the ids themselves.
 
 Defined results: a null text counts as empty and gives the end id only. Rows that repeat a doc_id, and rows without one
-(first), are documents of their own, in an order that is stable for one store. A missing or damaged chunk raises an error.
+(first), are documents of their own, in an order that is stable for one store. Texts of any length are encoded whole; an empty table gives an empty store and an empty result; other
+columns are left alone. A missing or damaged chunk raises an error.
 """
 
 from __future__ import annotations
