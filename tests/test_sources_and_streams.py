@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 import json
 import zipfile
 
@@ -96,8 +97,8 @@ def stamp(seconds):
     return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
 
 
-def stream(spark, folder, rows, schema, transform, mode, *, state=None):
-    """Runs a stream over two files, in order, and gives what it wrote."""
+def stream(spark, folder, rows, schema, transform, mode, *, endless=False):
+    """Runs a stream over two files, in order, and gives what it wrote; one with state that expires by the clock is endless."""
     half = len(rows) // 2
     for i, part in enumerate((rows[:half], rows[half:])):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
@@ -106,7 +107,11 @@ def stream(spark, folder, rows, schema, transform, mode, *, state=None):
     name = f"out_{abs(hash(str(folder))) % 10**9}"
     query = transform(source).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").start()
     try:
-        query.processAllAvailable()  # a stream with timers of processing time has no end of its own
+        until = time.time() + 100
+        while endless and time.time() < until and sum(p.numInputRows for p in query.recentProgress) < len(rows):
+            time.sleep(0.5)
+        if not endless:
+            query.processAllAvailable()
     finally:
         query.stop()
     assert not query.isActive and query.exception() is None
@@ -139,7 +144,7 @@ def test_circuit_opens_probes_and_closes(spark, tmp_path):
 
 def test_misses_are_remembered(spark, tmp_path):
     rows = [("h", stamp(i), f, "gone") for i, f in enumerate([True, True, False, True])]
-    got = stream(spark, tmp_path, rows, "host string, ts timestamp, failed boolean, reason string", lambda s: live.negative_cache(s, 3_600_000), "append")
+    got = stream(spark, tmp_path, rows, "host string, ts timestamp, failed boolean, reason string", lambda s: live.negative_cache(s, 3_600_000), "append", endless=True)
     assert [r[2] for r in sorted(got, key=lambda r: r[1])] == [False, True, True, False]
 
 
