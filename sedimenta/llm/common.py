@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,17 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for the jobs within: of one, where each row is megabytes."""
+    bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        yield
+    finally:
+        bounded_batches(spark)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is named, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -72,14 +84,14 @@ def _clean_up() -> None:
             return
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches joined up to BLOCK_BYTES."""
+def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to a number of bytes."""
     held, size = [], 0
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
             size += batch.nbytes
-        if size >= BLOCK_BYTES:
+        if size >= most:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, size = [], 0
     if held:
