@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sedimenta import files
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,11 +31,11 @@ def local_session(cpus: int | None = None, shuffle_partitions: int = 8, memory:
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder: what reads it twice reads the same rows in the same partitions.
 
-    The folder is spark.checkpoint.dir; a temporary one only where none is named, as in tests.
+    The folder is in spark.checkpoint.dir; a temporary one only where none is named, as in tests.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sedimenta-"))
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(files.shared_folder(spark, "checkpoints"))
     return df.checkpoint()
 
 

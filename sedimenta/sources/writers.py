@@ -12,6 +12,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.sources.keyed import KeyValueTable
+
+__all__ = ["KeyValueTable"]
+
 #: The columns of an export of references, in order. Fixed values.
 REFERENCE_COLUMNS = [
     "source_reference_id",
@@ -173,31 +177,3 @@ def markdown_table(df: DataFrame, most: int = 1000) -> str:
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join(cell(v) for v in r) + " |" for r in rows)]) + "\n"
-
-
-class KeyValueTable:
-    """A table of the latest entry of each key, as versions in one folder; a link-free pointer file names the current one."""
-
-    def __init__(self, spark: SparkSession, folder: str, schema: str):
-        self.spark, self.folder, self.schema = spark, Path(folder), schema
-
-    def _current(self) -> str | None:
-        pointer = self.folder / "CURRENT"
-        return pointer.read_text().strip() if pointer.exists() else None
-
-    def read(self) -> DataFrame:
-        at = self._current()
-        return self.spark.read.parquet(str(self.folder / at)) if at else self.spark.createDataFrame([], self.schema)
-
-    def upsert(self, changes: DataFrame, key: str = "cache_key", order: str = "updated_at") -> None:
-        """The latest entry of each key wins; readers see the old version until the new one is whole."""
-        from sedimenta.operators.merge import upsert
-
-        merged = upsert(self.read(), changes.select(*self.read().columns), [key], [order])
-        at = self._current()
-        name = f"v{int(at[1:]) + 1 if at else 1:08d}"
-        merged.write.mode("overwrite").parquet(str(self.folder / name))
-        write_text(self.folder / "CURRENT", name)
-
-    def count(self) -> int:
-        return self.read().count()

@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sedimenta.operators.merge import latest
 from sedimenta.session import checkpointed
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from sedimenta.sources.keyed import KeyValueTable
+from sedimenta.streaming.replay import ROCKSDB  # noqa: F401
 
 
 def event_stream(spark: SparkSession, folder: str, like: DataFrame, files_per_trigger: int = 16) -> DataFrame:
@@ -59,106 +58,213 @@ def running_totals(events: DataFrame, by: str, value: str) -> DataFrame:
     return events.groupBy(by).agg(F.count(value).alias("n"), F.sum(value).alias("total"))
 
 
-def upsert_sink(table, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: each batch's latest row of a key goes into a KeyValueTable. A batch that is redone changes nothing."""
+def upsert_sink(table: KeyValueTable, name: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: each batch's latest row of a key goes into the table. A batch that is done again changes nothing."""
+    return lambda batch, number: table.upsert(batch, (name, number))
+
+
+def _in_order(rows: Iterator[pd.DataFrame], *by: str) -> Iterator[tuple]:
+    """A key's rows of one batch by time. How many there are is bounded by what a batch may take (files_per_trigger)."""
+    return pd.concat(list(rows)).sort_values(list(by), kind="stable").itertuples(index=False)
+
+
+class _Processor(StatefulProcessor):
+    def close(self) -> None:
+        pass
+
+
+def _timed(events: DataFrame, at: str, *columns: str) -> DataFrame:
+    """Columns of rows with a watermark, and ms: their time since 1970 as a number, which sessions in any zone agree on."""
+    return with_watermark(events, at, "0 seconds").select(*columns, at, F.unix_millis(at).alias("ms"))
 
-    def write(batch: DataFrame, _: int) -> None:
-        table.upsert(latest(batch, keys, order), keys[0], order[0])
 
-    return write
+class ChangeFeed(_Processor):
+    """A key's row when its signature changes, a heartbeat for each interval of quiet, and nothing after a terminal status.
 
+    Rows tell their time; between batches a timer does, so a key that is never heard of again has heartbeats as well.
+    """
 
-class ChangeFeed(StatefulProcessor):
-    """Emits a key's row when its signature changes, and nothing after a terminal status."""
+    TERMINAL = ("completed", "completed_with_gaps", "completed_with_errors", "failed", "cancelled")
 
-    TERMINAL = ("completed", "failed", "cancelled")
+    def __init__(self, heartbeat_ms: int = 12_000):
+        self.heartbeat = heartbeat_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "signature string, terminal boolean")
+        self.handle = handle
+        self.last = handle.getValueState("last", "signature string, told bigint, terminal boolean")
+
+    def _beats(self, key, signature: str, told: int, until: int) -> list[tuple]:
+        """Heartbeats that are due up to a time."""
+        return [(key[0], t, "heartbeat", signature) for t in range(told + self.heartbeat, until + 1, self.heartbeat)]
+
+    def _keep(self, signature: str, told: int, terminal: bool) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.last.update((signature, told, terminal))
+        if not terminal:
+            self.handle.registerTimer(told + self.heartbeat)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        held = self.last.get() if self.last.exists() else ("", False)
+        signature, told, terminal = self.last.get() if self.last.exists() else (None, None, False)
         out = []
-        for row in pd.concat(list(rows)).sort_values("ts").itertuples():
-            if held[1] or row.status == held[0]:
-                continue
-            held = (row.status, row.status in self.TERMINAL)
-            out.append((key[0], row.ts, row.status))
-        self.last.update(held)
-        yield pd.DataFrame(out, columns=["id", "ts", "status"])
+        for row in _in_order(rows, "ms", "seq"):
+            if terminal:
+                break
+            if told is not None:
+                beats = self._beats(key, signature, told, row.ms - 1)
+                out += beats
+                told = beats[-1][1] if beats else told
+            if row.status != signature:
+                signature, told, terminal = row.status, int(row.ms), row.status in self.TERMINAL
+                out.append((key[0], told, "change", signature))
+        self._keep(signature, told, terminal)
+        yield pd.DataFrame(out, columns=["id", "ms", "kind", "status"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        signature, told, terminal = self.last.get()
+        out = self._beats(key, signature, told, timerValues.getCurrentWatermarkInMs())
+        self._keep(signature, out[-1][1] if out else told, terminal)
+        yield pd.DataFrame(out, columns=["id", "ms", "kind", "status"])
+
+
+def change_feed(events: DataFrame, heartbeat_ms: int = 12_000) -> DataFrame:
+    """id, ts, kind (change or heartbeat) and status; events has id, ts, status and seq, which orders rows of one time."""
+    out = _timed(events, "ts", "id", "status", "seq").groupBy("id").transformWithStateInPandas(ChangeFeed(heartbeat_ms), "id string, ms bigint, kind string, status string", "append", "EventTime")
+    return out.select("id", F.timestamp_millis("ms").alias("ts"), "kind", "status")
+
+
+class Coalescer(_Processor):
+    """A key's changes in flushes: once so many different items wait, or the first has waited for an interval.
+
+    The last change of an item wins. State holds the items that wait, fewer than a flush.
+    """
 
-    def close(self) -> None:
-        pass
+    def __init__(self, most: int, interval_ms: int):
+        self.most, self.interval = most, interval_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "item string", "status string, ms bigint")
+        self.since = handle.getValueState("since", "ms bigint, flushes int")
 
+    def _flushed(self, key, held: dict, number: int, at: int, reason: str) -> list[tuple]:
+        return [(key[0], number, at, reason, item, status, ms) for item, (status, ms) in held.items()]
 
-def change_feed(events: DataFrame) -> DataFrame:
-    """id, ts and status of every change; events has these."""
-    return events.groupBy("id").transformWithStateInPandas(ChangeFeed(), "id string, ts timestamp, status string", "append", "none")
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        first, number = self.since.get() if self.since.exists() else (-1, 0)
+        held = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
+        out = []
+        for row in _in_order(rows, "ms", "seq"):
+            if held and row.ms >= first + self.interval:
+                out += self._flushed(key, held, number, first + self.interval, "interval")
+                held, number = {}, number + 1
+            if not held:
+                first = int(row.ms)
+            held[row.item] = (row.status, int(row.ms))
+            if len(held) >= self.most:
+                out += self._flushed(key, held, number, int(row.ms), "size")
+                held, number = {}, number + 1
+        self.waiting.clear()
+        for item, value in held.items():
+            self.waiting.updateValue((item,), value)
+        self.since.update((first, number))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if held:
+            self.handle.registerTimer(first + self.interval)
+        yield pd.DataFrame(out, columns=["id", "flush", "ms", "reason", "item", "status", "item_ms"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        first, number = self.since.get()
+        held = {k[0]: tuple(v) for k, v in self.waiting.iterator()}
+        self.waiting.clear()
+        self.since.update((-1, number + 1))
+        yield pd.DataFrame(self._flushed(key, held, number, first + self.interval, "interval"), columns=["id", "flush", "ms", "reason", "item", "status", "item_ms"])
+
+
+def coalesced(events: DataFrame, most: int = 32, interval_ms: int = 1000) -> DataFrame:
+    """id, flush (numbered from 0), flushed_at, reason (size or interval), item, status and ts of every item flushed.
+
+    events has id, item, status, ts and seq, which orders rows of one time.
+    """
+    rows = _timed(events, "ts", "id", "item", "status", "seq").groupBy("id")
+    out = rows.transformWithStateInPandas(Coalescer(most, interval_ms), "id string, flush int, ms bigint, reason string, item string, status string, item_ms bigint", "append", "EventTime")
+    return out.select("id", "flush", F.timestamp_millis("ms").alias("flushed_at"), "reason", "item", "status", F.timestamp_millis("item_ms").alias("ts"))
 
 
-class Circuit(StatefulProcessor):
+class Circuit(_Processor):
     """A host's circuit: so many failures on end open it; after the cool-down one probe decides."""
 
     def __init__(self, threshold: int = 3, cooldown_seconds: float = 60.0):
-        self.threshold, self.cooldown = threshold, cooldown_seconds
+        self.threshold, self.cooldown = threshold, round(cooldown_seconds * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("circuit", "failures int, opened_at double")
+        self.state = handle.getValueState("circuit", "failures int, opened_at bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        failures, opened_at = self.state.get() if self.state.exists() else (0, -1.0)
+        failures, opened_at = self.state.get() if self.state.exists() else (0, -1)
         out = []
-        for row in pd.concat(list(rows)).sort_values("ts").itertuples():
-            at = row.ts.timestamp()
-            if opened_at >= 0 and at - opened_at < self.cooldown:
-                out.append((key[0], row.ts, "skip", "open", failures))
+        for row in _in_order(rows, "ms", "seq"):
+            if opened_at >= 0 and row.ms - opened_at < self.cooldown:
+                out.append((key[0], row.ts, row.seq, "skip", "open", failures))
                 continue
             probe = opened_at >= 0
             if row.failed:
                 failures += 1
                 if probe or failures >= self.threshold:
-                    opened_at = at
+                    opened_at = int(row.ms)
             else:
-                failures, opened_at = 0, -1.0
-            out.append((key[0], row.ts, "probe" if probe else "allow", "open" if opened_at >= 0 else "closed", failures))
+                failures, opened_at = 0, -1
+            out.append((key[0], row.ts, row.seq, "probe" if probe else "allow", "open" if opened_at >= 0 else "closed", failures))
         self.state.update((failures, opened_at))
-        yield pd.DataFrame(out, columns=["host", "ts", "decision", "state", "failures"])
-
-    def close(self) -> None:
-        pass
+        yield pd.DataFrame(out, columns=["host", "ts", "seq", "decision", "state", "failures"])
 
 
 def circuits(attempts: DataFrame, threshold: int = 3, cooldown_seconds: float = 60.0) -> DataFrame:
-    """What each attempt met; attempts has host, ts and failed."""
-    return attempts.groupBy("host").transformWithStateInPandas(Circuit(threshold, cooldown_seconds), "host string, ts timestamp, decision string, state string, failures int", "append", "none")
+    """What each attempt met; attempts has host, ts, failed and, where times may be equal, seq (a number)."""
+    rows = attempts if "seq" in attempts.columns else attempts.withColumn("seq", F.lit(0))
+    rows = rows.select("host", F.col("ts").cast("timestamp").alias("ts"), "failed", F.col("seq").cast("bigint").alias("seq")).withColumn("ms", F.unix_millis("ts"))
+    return rows.groupBy("host").transformWithStateInPandas(Circuit(threshold, cooldown_seconds), "host string, ts timestamp, seq bigint, decision string, state string, failures int", "append", "None")
 
 
-class NegativeCache(StatefulProcessor):
-    """Misses that are remembered for a time: state that expires by itself."""
+class NegativeCache(_Processor):
+    """Misses that are remembered for a time, by the events' own clock; a timer forgets those of keys that aren't asked for again."""
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.miss = handle.getValueState("miss", "reason string", self.ttl_ms)
+        self.handle = handle
+        self.miss = handle.getValueState("miss", "reason string, until bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        reason, until = self.miss.get() if self.miss.exists() else (None, -1)
         out = []
-        for row in pd.concat(list(rows)).sort_values("ts").itertuples():
-            known = self.miss.exists()
-            out.append((key[0], row.ts, bool(known)))
+        for row in _in_order(rows, "ms", "seq"):
+            known = row.ms < until
+            out.append((key[0], row.ts, row.seq, bool(known), reason if known else None))
             if row.failed and not known:
-                self.miss.update((row.reason,))
-            elif not row.failed and known:
-                self.miss.clear()
-        yield pd.DataFrame(out, columns=["host", "ts", "was_known"])
-
-    def close(self) -> None:
-        pass
+                reason, until = row.reason, int(row.ms) + self.ttl_ms
+            elif not row.failed:
+                reason, until = None, -1
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if until < 0:
+            self.miss.clear()
+        else:
+            self.miss.update((reason, until))
+            self.handle.registerTimer(until)
+        yield pd.DataFrame(out, columns=["host", "ts", "seq", "was_known", "reason"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.miss.clear()
+        return iter([])
 
 
 def negative_cache(attempts: DataFrame, ttl_ms: int) -> DataFrame:
-    return attempts.groupBy("host").transformWithStateInPandas(NegativeCache(ttl_ms), "host string, ts timestamp, was_known boolean", "append", "processingTime")
+    """Whether each attempt met a remembered miss; attempts has host, ts, failed, reason and seq, which orders rows of one time."""
+    rows = _timed(attempts.withColumn("seq", F.col("seq").cast("bigint")), "ts", "host", "failed", "reason", "seq").groupBy("host")
+    return rows.transformWithStateInPandas(NegativeCache(ttl_ms), "host string, ts timestamp, seq bigint, was_known boolean, reason string", "append", "EventTime")
 
 
 class RecoveryQueue:

@@ -1,5 +1,4 @@
 import datetime as dt
-import time
 import json
 import zipfile
 
@@ -7,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from sedimenta import files
 from sedimenta.sources import readers, writers
+from sedimenta.sources.keyed import KeyValueTable
 from sedimenta.streaming import live
+from sedimenta.streaming.replay import replay
 
 SCHEMA = StructType([StructField("id", LongType()), StructField("name", StringType())])
 
@@ -97,24 +99,19 @@ def stamp(seconds):
     return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
 
 
-def stream(spark, folder, rows, schema, transform, mode, *, endless=False):
-    """Runs a stream over two files, in order, and gives what it wrote; one with state that expires by the clock is endless."""
+def stream(spark, folder, rows, schema, transform, mode):
+    """Runs a stream over two files, in order, and gives what it wrote."""
     half = len(rows) // 2
-    for i, part in enumerate((rows[:half], rows[half:])):
+    for part in (rows[:half], rows[half:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     source = live.event_stream(spark, f"{folder}/in", spark.createDataFrame([], schema), 1)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", live.ROCKSDB)
     name = f"out_{abs(hash(str(folder))) % 10**9}"
     query = transform(source).writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").start()
     try:
-        until = time.time() + 100
-        while endless and time.time() < until and sum(p.numInputRows for p in query.recentProgress) < len(rows):
-            time.sleep(0.5)
-        if not endless:
-            query.processAllAvailable()
+        query.processAllAvailable()
     finally:
         query.stop()
-    assert not query.isActive and query.exception() is None
     return [tuple(r) for r in spark.table(name).collect()]
 
 
@@ -130,31 +127,143 @@ def test_streamed_counts_and_sessions(spark, tmp_path):
     assert sorted((r.host, r.n) for r in live.running_totals(df.withColumn("v", F.lit(2)), "host", "v").collect()) == [("g", 1), ("h", 3)]
 
 
-def test_change_feed_ends_with_a_terminal_status(spark, tmp_path):
-    rows = [("j", stamp(i), s) for i, s in enumerate(["queued", "queued", "running", "running", "completed", "running"])]
-    got = stream(spark, tmp_path, rows, "id string, ts timestamp, status string", live.change_feed, "append")
-    assert [r[2] for r in sorted(got, key=lambda r: r[1])] == ["queued", "running", "completed"]
+def replayed(spark, rows, schema, transform, **options):
+    """What a stream gives over rows in two runs, the second of them broken off and done again."""
+    out = replay(spark.createDataFrame(rows, schema), "ts", lambda read: transform(read()), **options)
+    return [tuple(r) for r in out.drop("batch").collect()]
 
 
-def test_circuit_opens_probes_and_closes(spark, tmp_path):
+def test_change_feed_beats_while_it_is_quiet_and_ends(spark):
+    rows = [("j", stamp(t), s, t) for t, s in [(0, "queued"), (1, "queued"), (30, "running"), (54, "completed"), (60, "running")]] + [("q", stamp(5), "queued", 5)]
+    end = spark.createDataFrame([("end", stamp(80), "x", 80)], "id string, ts timestamp, status string, seq int")
+    got = replayed(spark, rows, end.schema, live.change_feed, closing=end)
+    at = lambda key: sorted((round((r[1] - stamp(0)).total_seconds()), r[2], r[3]) for r in got if r[0] == key)
+    assert at("j") == [(0, "change", "queued"), (12, "heartbeat", "queued"), (24, "heartbeat", "queued"), (30, "change", "running"), (42, "heartbeat", "running"), (54, "change", "completed")]
+    assert at("q") == [(5, "change", "queued")] + [(t, "heartbeat", "queued") for t in (17, 29, 41, 53, 65, 77)]
+
+
+def test_flushes_by_size_and_by_interval(spark):
+    rows = [("j", f"i{k % 4}", f"s{k}", stamp(k), k) for k in range(5)] + [("j", "z", "z1", stamp(100), 100), ("j", "z", "z2", stamp(105), 105), ("k", "a", "b", stamp(7), 7)]
+    schema = "id string, item string, status string, ts timestamp, seq int"
+    end = spark.createDataFrame([("end", "x", "x", stamp(300), 300)], schema)
+    got = sorted(replayed(spark, rows, schema, lambda s: live.coalesced(s, 4, 20_000), closing=end))
+    brief = [(r[0], r[1], round((r[2] - stamp(0)).total_seconds()), r[3], r[4], r[5]) for r in got]
+    assert brief == [
+        *[("j", 0, 3, "size", f"i{k}", f"s{k}") for k in range(4)],
+        ("j", 1, 24, "interval", "i0", "s4"),
+        ("j", 2, 120, "interval", "z", "z2"),
+        ("k", 0, 27, "interval", "a", "b"),
+    ]
+
+
+def test_circuit_opens_probes_and_closes(spark):
     rows = [("h", stamp(t), f) for t, f in [(0, True), (1, True), (2, True), (3, True), (70, True), (80, True), (140, False), (141, True)]]
-    got = stream(spark, tmp_path, rows, "host string, ts timestamp, failed boolean", lambda s: live.circuits(s, 3, 60.0), "append")
-    assert [(r[2], r[3]) for r in sorted(got, key=lambda r: r[1])] == [("allow", "closed"), ("allow", "closed"), ("allow", "open"), ("skip", "open"), ("probe", "open"), ("skip", "open"), ("probe", "closed"), ("allow", "closed")]
+    got = replayed(spark, rows, "host string, ts timestamp, failed boolean", lambda s: live.circuits(s, 3, 60.0))
+    assert [(r[3], r[4]) for r in sorted(got, key=lambda r: r[1])] == [("allow", "closed"), ("allow", "closed"), ("allow", "open"), ("skip", "open"), ("probe", "open"), ("skip", "open"), ("probe", "closed"), ("allow", "closed")]
+
+
+def test_misses_are_remembered_and_expire(spark):
+    rows = [("h", stamp(t), f, "gone", t) for t, f in [(0, True), (10, True), (20, False), (30, True), (50, True), (95, True), (96, True)]]
+    got = replayed(spark, rows, "host string, ts timestamp, failed boolean, reason string, seq int", lambda s: live.negative_cache(s, 60_000))
+    assert [r[3] for r in sorted(got, key=lambda r: r[1])] == [False, True, True, False, True, False, True]
+
+
+def test_a_broken_batch_is_done_again_once(spark):
+    rows = [("h", k, stamp(k)) for k in range(40)]
+    seen = []
+
+    def sink(batch, number):
+        seen.append((number, batch.count()))
 
+    log = spark.createDataFrame(rows, "host string, kind int, ts timestamp").repartition(4)
+    assert replay(log, "ts", lambda read: read(), runs=2, files_per_batch=1, breaks_in=1, sink=sink) is None
+    numbers = [n for n, _ in seen]
+    assert len(numbers) == len(set(numbers)) + 1 and sum(dict(seen).values()) == 40
+    empty = replay(log.limit(0), "ts", lambda read: live.result_counts(read(), "host", "kind"), "update", ["host", "kind"])
+    assert empty.count() == 0
 
-def test_misses_are_remembered(spark, tmp_path):
-    rows = [("h", stamp(i), f, "gone") for i, f in enumerate([True, True, False, True])]
-    got = stream(spark, tmp_path, rows, "host string, ts timestamp, failed boolean, reason string", lambda s: live.negative_cache(s, 3_600_000), "append", endless=True)
-    assert [r[2] for r in sorted(got, key=lambda r: r[1])] == [False, True, True, False]
+
+KEYED = "cache_key string, entry string, updated_at int"
+
+
+def keyed(spark, tmp_path, **options):
+    return KeyValueTable(spark, f"file://{tmp_path}/t", KEYED, buckets=4, **options)
+
+
+def entries(spark, *rows):
+    return spark.createDataFrame(list(rows), KEYED)
 
 
 def test_upserts_can_be_redone(spark, tmp_path):
-    table = writers.KeyValueTable(spark, str(tmp_path), "cache_key string, entry string, updated_at int")
-    write = live.upsert_sink(table, ["cache_key"], ["updated_at"])
-    batch = spark.createDataFrame([("a", "1", 1), ("a", "2", 2)], table.schema)
-    write(batch, 0)
-    write(batch, 0)
-    assert [tuple(r) for r in table.read().collect()] == [("a", "2", 2)]
+    table = keyed(spark, tmp_path)
+    write = live.upsert_sink(table, "feed")
+    write(entries(spark, ("a", "1", 1), ("a", "2", 2)), 0)
+    before = table._entry()
+    write(entries(spark, ("a", "1", 1), ("a", "2", 2)), 0)
+    assert table._entry() == before and [tuple(r) for r in table.read().collect()] == [("a", "2", 2)]
+
+
+def test_an_upsert_that_breaks_off_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    table = keyed(spark, tmp_path)
+    table.upsert(entries(spark, ("a", "1", 1), ("b", "1", 1)))
+    with monkeypatch.context() as m:
+        m.setattr(table, "_commit", lambda entry: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.upsert(entries(spark, ("a", "lost", 9), ("c", "lost", 9)))
+    assert sorted(r.entry for r in table.read().collect()) == ["1", "1"]
+    table.upsert(entries(spark, ("c", "2", 2)))
+    assert sorted(tuple(r) for r in table.read().collect()) == [("a", "1", 1), ("b", "1", 1), ("c", "2", 2)]
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    table.upsert(entries(spark, ("a", "1", 1)))
+    stale = table._entry()
+    table.upsert(entries(spark, ("a", "2", 2)))
+    with pytest.raises(FileExistsError):
+        table._commit(stale | {"version": stale["version"] + 1})
+    assert table.read().first().entry == "2"
+
+
+def test_only_full_buckets_are_compacted_and_bytes_follow_the_batch(spark, tmp_path):
+    table = keyed(spark, tmp_path, most_deltas=2)
+    table.upsert(spark.range(20_000).selectExpr("concat('k', id) cache_key", "sha2(cast(id as string), 256) entry", "0 updated_at"))
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / "t/data" / name).rglob("*.parquet"))
+    first = table._entry()["parts"][0]
+    for n in (1, 2, 3):
+        table.upsert(entries(spark, ("k7", f"v{n}", n)))
+    entry = table._entry()
+    deltas = [p for p in (tmp_path / "t/data").iterdir() if p.name.endswith("delta") and p.name != first["name"]]
+    assert len(deltas) == 3 and all(size(p.name) * 100 < size(first["name"]) for p in deltas)
+    assert entry["parts"][0]["name"].endswith("merged") and len(entry["parts"][0]["buckets"]) == 1
+    assert set(entry["parts"][1]["buckets"]) == set(range(4)) - set(entry["parts"][0]["buckets"])
+    assert table.count() == 20_000 and table.get("k7").first().entry == "v3" and table.get("nothing").count() == 0
+    assert "EqualTo(cache_key,k7)" in table.get("k7")._jdf.queryExecution().toString()  # reaches the files
+    gone = table.vacuum(1)
+    assert gone and table.count() == 20_000
+
+
+def test_upserts_in_any_order(spark, tmp_path):
+    rows = [(f"k{k % 7}", str(k), k % 11) for k in range(60)] + [(None, "n", 1), (None, "m", 2)]
+    table = keyed(spark, tmp_path, most_deltas=1)
+    for at in range(0, len(rows), 13):
+        table.upsert(entries(spark, *rows[at : at + 13]))
+    table.upsert(spark.createDataFrame([], KEYED))
+    best = {}
+    for k, e, u in rows:
+        best[k] = max(best.get(k, (-1, "")), (u, e))
+    assert sorted((tuple(r) for r in table.read().collect()), key=str) == sorted(((k, e, u) for k, (u, e) in best.items()), key=str)
+
+
+def test_small_files_are_written_once(spark, tmp_path):
+    path = f"file://{tmp_path}/x/a.txt"
+    files.write_once(spark, path, "one ü")
+    assert files.read_text(spark, path) == "one ü" and files.exists(spark, path)
+    with pytest.raises(FileExistsError):
+        files.write_once(spark, path, "two")
+    files.write_once(spark, path, "three", replace=True)
+    assert files.read_text(spark, path) == "three" and "a.txt" in files.names(spark, f"file://{tmp_path}/x")
+    assert files.names(spark, f"file://{tmp_path}/none") == []
 
 
 def test_recovery_queue(spark):
