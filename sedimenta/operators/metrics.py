@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.values import case, percent
+from sedimenta.operators.scan import percentiles, rolling_counts, running_sums, with_percentiles
+from sedimenta.session import checkpointed
 
 RECENT_ROWS = 500
 RATE_WINDOWS = (30, 60, 300)
@@ -16,22 +18,19 @@ FORECAST_LEAST = 3
 
 
 def linear_percentiles(df: DataFrame, columns: list[str], by: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """Interpolated p50 and p90 of each column, three decimals.
-
-    Exact ones hold a group's different values in memory; with an accuracy, sketches of a fixed size give them nearly.
-    """
-    one = (lambda c, p: F.percentile(c, F.lit(p))) if accuracy is None else (lambda c, p: F.percentile_approx(c, p, accuracy))
-    cells = [F.round(one(c, p), 3).alias(f"{c}_p{int(p * 100)}") for c in columns for p in (0.5, 0.9)]
+    """Interpolated p50 and p90 of each column, three decimals: exact, or with an accuracy from sketches of a fixed size."""
+    shares = {f"{c}_p{int(p * 100)}": (c, p) for c in columns for p in (0.5, 0.9)}
+    if accuracy is None:
+        found = percentiles(df, by or [], {name: (F.col(c), p, "linear") for name, (c, p) in shares.items()})
+        return found.withColumns({name: F.round(name, 3) for name in shares})
+    cells = [F.round(F.percentile_approx(c, p, accuracy), 3).alias(name) for name, (c, p) in shares.items()]
     return (df.groupBy(*by) if by else df).agg(*cells)
 
 
-def nearest_rank(c: str, p: float) -> Column:
-    """The smallest value that at least a share p of the values don't exceed; an aggregate."""
-    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})")
-
-
 def timing_report(df: DataFrame, seconds: str, by: list[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(seconds).alias("n"), F.avg(seconds).alias("mean"), F.percentile(seconds, F.lit(0.5)).alias("median"), nearest_rank(seconds, 0.9).alias("p90"))
+    """n, mean, median, and p90 by nearest rank."""
+    summary = df.groupBy(*by).agg(F.count(seconds).alias("n"), F.avg(seconds).alias("mean"))
+    return with_percentiles(summary, df, by, {"median": (F.col(seconds), 0.5, "linear"), "p90": (F.col(seconds), 0.9, "rank")})
 
 
 def host_rollup(df: DataFrame, host: str, status: str, classes: dict[str, list[str]], timings: list[str], top: int = 8) -> DataFrame:
@@ -39,8 +38,10 @@ def host_rollup(df: DataFrame, host: str, status: str, classes: dict[str, list[s
     good = lambda c: F.when(F.col(c).isNotNull() & ~F.isnan(c) & (F.col(c) >= 0) & (F.col(c) < float("inf")), F.col(c))
     cells = [F.count(F.lit(1)).alias("total")]
     cells += [F.count_if(F.col(status).isin(*group)).alias(name) for name, group in classes.items()]
-    cells += [F.percentile(good(c), F.lit(0.5)).alias(f"{c}_p50") for c in timings]
-    return df.groupBy(host).agg(*cells).orderBy(F.desc("total"), F.asc(host)).limit(top)
+    shown = checkpointed(df.groupBy(host).agg(*cells).orderBy(F.desc("total"), F.asc(host)).limit(top))
+    rows = df.join(F.broadcast(shown.select(F.col(host).alias("_host"))), F.col(host).eqNullSafe(F.col("_host")), "left_semi")  # top rows at most
+    out = with_percentiles(shown, rows, [host], {f"{c}_p50": (good(c), 0.5, "linear") for c in timings})
+    return out.orderBy(F.desc("total"), F.asc(host))
 
 
 def bottleneck(hosts: DataFrame, queue: str, pacing: str, p90: str) -> DataFrame:
@@ -69,8 +70,7 @@ def with_eta(rates: DataFrame, remaining: Column, active: Column) -> DataFrame:
 
 def rolling_count(df: DataFrame, by: str, at: str, seconds: int) -> DataFrame:
     """df with the rows of its key in the seconds up to each row."""
-    w = Window.partitionBy(by).orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
-    return df.withColumn(f"last_{seconds}s", F.count(F.lit(1)).over(w))
+    return rolling_counts(df, by, F.unix_micros(F.col(at).cast("timestamp")), seconds * 1_000_000, f"last_{seconds}s")
 
 
 def is_stalled(updated_at: Column, now: Column, threshold: int) -> Column:
@@ -118,9 +118,13 @@ def counter_deltas(changes: DataFrame, key: str, status: str, order: str) -> Dat
     return each.where("status is not null").groupBy("status").agg(F.sum("delta").alias("n"))
 
 
-def size_report(df: DataFrame, text: str) -> DataFrame:
-    n = F.octet_length(F.coalesce(F.col(text), F.lit("")))
-    return df.select(n.alias("bytes")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.avg("bytes").alias("mean"), F.percentile("bytes", F.lit(0.5)).alias("median"), nearest_rank("bytes", 0.9).alias("p90"))
+def size_report(df: DataFrame, text: str, by: list[str] | None = None) -> DataFrame:
+    """n, bytes, mean, median, and p90 by nearest rank, of the sizes of texts in UTF-8."""
+    sizes = df.select(*(by or []), F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("bytes"))
+    cells = [F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("_sum"), F.avg("bytes").alias("mean")]
+    summary = (sizes.groupBy(*by) if by else sizes).agg(*cells)
+    out = with_percentiles(summary, sizes, by or [], {"median": (F.col("bytes"), 0.5, "linear"), "p90": (F.col("bytes"), 0.9, "rank")})
+    return out.select(*(by or []), "n", F.col("_sum").alias("bytes"), "mean", "median", "p90")
 
 
 def key_sizes(df: DataFrame) -> DataFrame:
@@ -130,10 +134,11 @@ def key_sizes(df: DataFrame) -> DataFrame:
     return wide.unpivot([], wide.columns, "key", "bytes")
 
 
-def projections(spark, scenarios: dict[str, float], sizes: list[int], unit_bytes: float) -> DataFrame:
-    """Bytes for each scenario's factor at each size; both lists are given by hand and small."""
-    rows = [(name, n, n * unit_bytes * factor) for name, factor in scenarios.items() for n in sizes]
-    return spark.createDataFrame(rows, "scenario string, records bigint, bytes double")
+def projections(measured: DataFrame, unit_bytes: str, scenarios: dict[str, float], sizes: list[int]) -> DataFrame:
+    """What measured units would take: bytes for each row of measured, each scenario's factor and each size."""
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("scenario"), F.lit(float(factor)).alias("_factor")) for name, factor in scenarios.items()]))
+    rows = measured.select("*", each).select("*", F.explode(F.array(*[F.lit(n).cast("bigint") for n in sizes])).alias("records"))
+    return rows.withColumn("bytes", F.col("records") * F.col(unit_bytes) * F.col("_factor")).drop("_factor")
 
 
 def speedup(mean_seconds: Column, n: Column, wall_seconds: Column) -> Column:
@@ -142,11 +147,11 @@ def speedup(mean_seconds: Column, n: Column, wall_seconds: Column) -> Column:
 
 
 def circuit_runs(attempts: DataFrame, host: str, order: str, failed: Column, threshold: int) -> DataFrame:
-    """Runs of failures on end for each host, and whether one opens the circuit: gaps and islands."""
-    by = Window.partitionBy(host).orderBy(order)
-    out = attempts.withColumn("_failed", failed).withColumn("_run", F.sum(F.when(F.col("_failed"), 0).otherwise(1)).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = out.where("_failed").groupBy(host, "_run").agg(F.count(F.lit(1)).alias("failures"), F.min(order).alias("since"), F.max(order).alias("until"))
-    return runs.withColumn("opens", F.col("failures") >= threshold).drop("_run")
+    """Runs of failures on end for each host, and whether one opens the circuit: a run is the failures with as many successes before."""
+    rows = attempts.select(F.col(host).alias("host"), F.col(order).alias("_order"), failed.alias("_failed"))
+    out = running_sums(rows, ["host"], [F.col("_order")], {"_run": F.when(F.col("_failed"), 0).otherwise(1)})
+    runs = out.where("_failed").groupBy("host", "_run").agg(F.count(F.lit(1)).alias("failures"), F.min("_order").alias("since"), F.max("_order").alias("until"))
+    return runs.select(F.col("host").alias(host), "failures", "since", "until", (F.col("failures") >= threshold).alias("opens"))
 
 
 def job_overlaps(jobs: DataFrame, by: str, job: str, first: str, last: str) -> DataFrame:

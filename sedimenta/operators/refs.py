@@ -114,8 +114,16 @@ def hydrate_from_cache(sources: DataFrame, cache: DataFrame) -> DataFrame:
     good = cache.where("text is not null and text != ''").where(F.sha2("text", 256) == F.col("content_hash"))
     good = good.select(F.col("fetch_key").alias("_k"), F.col("source_id").alias("cached_from"), F.col("text").alias("cached_text"))
     wanted = sources.where("text is null or text = ''")
-    found = wanted.join(good, (F.col("fetch_key") == F.col("_k")) & (F.col("source_id") != F.col("cached_from")))
-    return found.groupBy("source_id").agg(F.min(F.struct("cached_from", "cached_text")).alias("hit")).select("source_id", "hit.cached_from", "hit.cached_text")
+    # The two smallest sources of each key, the second for the case that the first is the source itself; texts come last, one each.
+    ids = good.select("_k", "cached_from")
+    least = ids.groupBy("_k").agg(F.min("cached_from").alias("_first"))
+    second = ids.join(least, "_k").where("cached_from > _first").groupBy(F.col("_k").alias("_k2")).agg(F.min("cached_from").alias("_second"))
+    pair = least.join(second, F.col("_k") == F.col("_k2"), "left").drop("_k2")
+    own = wanted.select("source_id", "fetch_key").distinct().join(pair, F.col("fetch_key") == F.col("_k"))
+    chosen = own.withColumn("cached_from", F.when(F.col("source_id") == F.col("_first"), F.col("_second")).otherwise(F.col("_first"))).where("cached_from is not null")
+    chosen = chosen.groupBy("source_id").agg(F.min(F.struct("cached_from", "_k")).alias("c")).select("source_id", "c.cached_from", "c._k")
+    texts = good.groupBy("_k", "cached_from").agg(F.min("cached_text").alias("cached_text"))
+    return chosen.join(texts, ["_k", "cached_from"]).select("source_id", "cached_from", "cached_text")
 
 
 def link_evidence(declared: DataFrame, documents: DataFrame, key: str, column: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.scan import paced
 from sedimenta.session import checkpointed
 
 
@@ -73,14 +74,5 @@ def pages(df: DataFrame, order: list[Column], size: int = 100, ranges: int | Non
 
 
 def gcra(df: DataFrame, key: str, arrival: str, rate: float, burst: int) -> DataFrame:
-    """df with start: when each request of a key may begin under a rate with a burst (the generic cell rate algorithm).
-
-    The recurrence t = max(arrival, t + 1/rate) has a closed form: t_n = n/rate + the running maximum of arrival_i - i/rate.
-    """
-    by = Window.partitionBy(key).orderBy(arrival)
-    n = F.row_number().over(by) - 1
-    gap = 1.0 / rate
-    out = df.withColumn("_n", n).withColumn("_slack", F.col(arrival) - F.col("_n") * gap)
-    peak = F.max("_slack").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    due = peak + F.col("_n") * gap
-    return out.withColumn("start", F.greatest(F.col(arrival), due - (burst - 1) * gap)).drop("_n", "_slack")
+    """df with start: when each request of a key may begin under a rate with a burst (the generic cell rate algorithm)."""
+    return paced(df, [key], [F.col(arrival)], F.col(arrival), 1.0 / rate, burst)

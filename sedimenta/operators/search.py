@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.text import search_text, snippet
 from sedimenta.functions.values import ColumnLike, col
+from sedimenta.operators.scan import neighbours
+
+__all__ = ["neighbours"]
 
 
 def index_rows(records: DataFrame, sources: DataFrame) -> DataFrame:
@@ -58,12 +61,6 @@ def status_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("group", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def neighbours(df: DataFrame, by: list[str], order: list[Column], key: str) -> DataFrame:
-    """df with the keys before and behind each row."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("previous", F.lag(key).over(w)).withColumn("next", F.lead(key).over(w))
-
-
 def nearest_marker(points: DataFrame, x: float, y: float, reach: float = 12.0) -> DataFrame:
     """The marker nearest to a position, within reach."""
     d = F.sqrt(F.pow(F.col("x") - x, 2) + F.pow(F.col("y") - y, 2))

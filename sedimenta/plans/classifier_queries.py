@@ -119,10 +119,10 @@ def media_to_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refs.media_sources(media, sources).select("s_suppkey", "source_id")
 
 
-@query("SELECT DISTINCT o_custkey, l_partkey, p_name FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'P'")
+@query("SELECT DISTINCT o_custkey, l_partkey, p_name FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey")
 def through_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    edges = orders.where("o_orderstatus = 'P'").join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey")
+    edges = orders.join(table(spark, sf_dir, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey")
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
     return refs.through_edges(customers, edges, table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "o_custkey", "l_partkey")
 
@@ -148,12 +148,12 @@ def batch_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH h AS (SELECT o_orderkey AS u, o_custkey AS e FROM orders WHERE o_orderstatus = 'F'), n AS (SELECT o_orderkey AS u, o_custkey AS e FROM orders WHERE o_totalprice > 150000)
+    WITH h AS (SELECT o_orderkey AS u, o_custkey AS e FROM orders WHERE o_orderstatus = 'F'), n AS (SELECT o_orderkey AS u, o_custkey AS e FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice > 150000)
     SELECT u AS normalized_url, e FROM h UNION ALL SELECT u, e FROM n WHERE (u, e) NOT IN (SELECT u, e FROM h)
 """)
 def url_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("url"), F.col("o_custkey").alias("e"), "o_orderstatus", "o_totalprice")
-    out = dedupe.url_observations(rows.where("o_orderstatus = 'F'"), rows.where("o_totalprice > 150000"), "url", "e", F.col("url"))
+    out = dedupe.url_observations(rows.where("o_orderstatus = 'F'"), rows.where("o_orderstatus <> 'F' or o_totalprice > 150000"), "url", "e", F.col("url"))
     return out.select("normalized_url", "e")
 
 
@@ -225,7 +225,8 @@ def merged_host_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, sum(octet_length(encode(text))) AS bytes, avg(octet_length(encode(text))) AS mean, median(octet_length(encode(text))) AS median, quantile_disc(octet_length(encode(text)), 0.9) AS p90 FROM documents")
 def text_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.size_report(table(spark, sf_dir, "documents"), "text")
+    out = metrics.size_report(table(spark, sf_dir, "documents"), "text")
+    return out.withColumn("p90", F.col("p90").cast("bigint"))
 
 
 @query("SELECT count(o_custkey) AS total, count(DISTINCT o_custkey) AS distinct_values, count(o_custkey) - count(DISTINCT o_custkey) AS repeated FROM orders")

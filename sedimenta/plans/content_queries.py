@@ -103,8 +103,8 @@ def fair_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT source, count(*) AS n, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, CAST(round(avg(octet_length(encode(text))), 6) AS DOUBLE) AS mean, CAST(quantile_disc(octet_length(encode(text)), 0.9) AS BIGINT) AS p90 FROM documents GROUP BY source")
 def size_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("source", F.octet_length("text").cast("bigint").alias("b"))
-    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"), F.round(F.avg("b"), 6).alias("mean"), metrics.nearest_rank("b", 0.9).alias("p90"))
+    out = metrics.size_report(table(spark, sf_dir, "documents"), "text", ["source"])
+    return out.select("source", "n", "bytes", F.round("mean", 6).alias("mean"), F.col("p90").cast("bigint").alias("p90"))
 
 
 @query("""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta.operators import metrics
+from sedimenta.operators.scan import with_percentiles
 from sedimenta.plans.registry import query, table
 
 
@@ -63,7 +64,8 @@ def host_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT host, round(q, 6) AS waiting, 'queue' AS reason FROM h ORDER BY q DESC, p90 DESC, total DESC, host DESC LIMIT 1
 """)
 def bottleneck(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hosts = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("host")).agg(F.count(F.lit(1)).alias("total"), F.percentile("value", F.lit(0.5)).alias("q"), metrics.nearest_rank("value", 0.9).alias("p90")).withColumn("p", F.lit(0.0))
+    rows = table(spark, sf_dir, "events").withColumnRenamed("user_id", "host")
+    hosts = with_percentiles(rows.groupBy("host").agg(F.count(F.lit(1)).alias("total")), rows, ["host"], {"q": (F.col("value"), 0.5, "linear"), "p90": (F.col("value"), 0.9, "rank")}).withColumn("p", F.lit(0.0))
     return metrics.bottleneck(hosts, "q", "p", "p90").withColumn("waiting", F.round("waiting", 6))
 
 

@@ -163,7 +163,7 @@ def test_mirrored_observations_count_once(spark):
 def test_percentiles_of_two_kinds(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (10.0,)], "duration double")
     assert tuple(metrics.linear_percentiles(df, ["duration"]).first()) == (2.0, 8.4)
-    assert df.agg(metrics.nearest_rank("duration", 0.9)).first()[0] == 10.0
+    assert metrics.timing_report(df.withColumn("g", F.lit(None).cast("string")), "duration", ["g"]).first().p90 == 10.0
 
 
 def test_bottleneck_needs_waiting(spark):
@@ -178,7 +178,8 @@ def test_partials_and_rest(spark):
     assert tuple(metrics.merge_partials(df, ["k"], ["n"], "state", "at").first()) == ("k", 5, "new")
     maps = spark.createDataFrame([({"h": {"ok": 1}},), ({"h": {"ok": 2, "bad": 1}},)], "host_status map<string, map<string, int>>")
     assert rows(metrics.merge_host_maps(maps), "status") == [("h", "bad", 1), ("h", "ok", 3)]
-    assert metrics.projections(spark, {"low": 0.5, "high": 2.0}, [10, 100], 3.0).count() == 4
+    projected = metrics.projections(spark.createDataFrame([("u", 3.0)], "unit string, size double"), "size", {"low": 0.5, "high": 2.0}, [10, 100])
+    assert sorted((r.scenario, r.records, r.bytes) for r in projected.collect()) == [("high", 10, 60.0), ("high", 100, 600.0), ("low", 10, 15.0), ("low", 100, 150.0)]
     one = spark.range(1).select(metrics.unattributed(F.lit(10.0), F.lit(3.0), F.lit(None).cast("double")).alias("a"), metrics.unattributed(F.lit(10.0), F.lit(None).cast("double")).alias("b"), metrics.speedup(F.lit(2.0), F.lit(10), F.lit(4.0)).alias("c")).first()
     assert tuple(one) == (7.0, None, 5.0)
     assert {r.key for r in metrics.key_sizes(df).collect()} == {"k", "at", "n", "state"}
