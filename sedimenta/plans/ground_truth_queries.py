@@ -132,7 +132,7 @@ def _release(spark: SparkSession, sf_dir: str) -> ground_truth.Tables:
     t["exports"] = references.where("origin != 'embedded'").select(F.lit("raw").alias("kind"), F.col("raw_url").alias("url")).unionByName(references.select(F.lit("normalized").alias("kind"), F.col("normalized_url").alias("url")).where("url != ''"))
     t["manifest"] = count(references, "source_reference_records").unionByName(count(sources.where("checked"), "source_entities"))
     t["report"] = count(records, "incident_records_total").unionByName(count(references, "source_reference_records_total"))
-    logged = F.concat("props", F.when(F.col("event_type") == "error", "}").otherwise(""))  # a brace too many
+    logged = F.concat(F.when(F.col("event_type") == "error", "{").otherwise(""), "props")  # a brace too many
     t["damaged"] = table(spark, sf_dir, "events").where(F.json_object_keys(logged).isNull())
     t["layout"], t["assets"] = names("data", "site", "reports", "logs"), names("map_script", "url_wrapping")
     t["search_fields"], t["search_filters"] = names("date", "location", "victim", "actor"), names("date", "coordinates", "source_status", "search_text")
@@ -168,7 +168,7 @@ _GATE_SQL = {
     "metadata_source_counted_full": "(SELECT count(*) FROM srcs WHERE content_status = 'METADATA_ONLY' AND full_text_passed)",
     "source_status_reconciliation_failed": "0",
     "coordinate_reconciliation_failed": "0",
-    "utf8_or_json_errors": "(SELECT count(*) FROM events WHERE NOT json_valid(props || CASE event_type WHEN 'error' THEN '}' ELSE '' END))",
+    "utf8_or_json_errors": "(SELECT count(*) FROM events WHERE NOT json_valid(CASE event_type WHEN 'error' THEN '{' ELSE '' END || props))",
     "search_document_count_mismatch": "(SELECT count(*) FROM rec WHERE latitude IS NULL)",
     "search_fields_missing": "8",
     "search_filters_not_implemented": "0",
