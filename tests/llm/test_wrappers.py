@@ -29,7 +29,7 @@ def test_given_pages(spark):
 
 def test_boilerplate_goes_and_content_stays():
     assert wrappers.main_text(PAGE) == "Té\nOne two three\nFour\na\nb"
-    assert wrappers.main_text("<body><div class=menu>m</div><div><div><p>Long text of the page</p>tail &lt;b&gt;<br>x</div></div><div>short</div></body>") == "Long text of the page\ntail <b> x"
+    assert wrappers.main_text("<body><div class=menu>m</div><div><div><p>Long text of the page</p>tail &lt;b&gt;<br>x</div></div><div>short</div></body>") == "Long text of the page\ntail <b> x\nshort"
     layout = "<body><div class='layout with-sidebar'><div class=content><p>Body text</p></div><div class=sidebar>s</div></div><div id=comments><div class=content>much more text than there is in the body of it</div></div>"
     assert wrappers.main_text(layout) == "Body text"
     assert wrappers.main_text("<body><div class='wrap sidebar-left'><article class='post comments-open'><p>Body</p></article></div>") == "Body"
@@ -67,7 +67,7 @@ def test_a_host_decides_for_its_pages(spark):
     got = wrappers.extracted(pages).collect()
     assert len(got) == len(rows)
     by = {r.page_id: r.text for r in got}
-    assert by[100] == "short" and by[101] == "" and by[None] == "x y"
+    assert by[100] == "short\nthis side is longer than it" and by[101] == "" and by[None] == "x y"
     assert wrappers.extracted(pages.where("false")).count() == 0
 
 
@@ -136,3 +136,77 @@ def test_a_hot_host_is_merged_by_levels(spark, monkeypatch):
     pages = spark.createDataFrame([(i, "http://h/x", meaningless(i % 7)) for i in range(120)], "page_id bigint, url string, html string").repartition(12)
     (row,) = wrappers.wrappers(pages).collect()
     assert row.host == "h" and json.loads(row.wrapper)[5] == 120
+
+
+def test_no_text_goes_for_its_size_beside_another():
+    big, small = "word " * 83 + "x", "text " * 39 + "y"
+    assert wrappers.main_text(f"<body><div class=a><p>{big}</p></div><div class=b><p>{small}</p></div>") == f"{big}\n{small}"
+
+
+def test_headings_and_quotes_between_texts_that_differ_stay(spark):
+    page = "<body><div class=x1><a href=/>Home</a> <a href=/n>News</a></div><div class=x2><p>Opening {0} {0}</p><h2>Summary</h2><p>Middle {0}</p><blockquote>Quoted refrain</blockquote><p>Closing {0}</p></div>"
+    pages = spark.createDataFrame([(i, "http://h/x", page.format(i)) for i in range(5)], "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extracted(pages).collect()} == {i: f"Opening {i} {i}\nSummary\nMiddle {i}\nQuoted refrain\nClosing {i}" for i in range(5)}
+
+
+def test_names_within_content_need_other_evidence(spark):
+    assert wrappers.main_text("<div class=story><p>One</p><div class='related-story'><p>Two</p></div></div>") == "One\nTwo"
+    assert wrappers.main_text("<div id=main><p>One</p><div class='social-history'>Two</div><div class='widget-guide'>Three</div></div>") == "One\nTwo\nThree"
+    assert wrappers.main_text("<article><p>One</p><div class='share'>Share of votes</div></article>") == "One\nShare of votes"
+    assert wrappers.main_text("<article><p>One</p><div class='share'><a href=x>Tweet</a> <a href=y>Post</a></div><div class=ad-slot>Buy</div><div id=comments>c</div></article>") == "One"
+    page = "<article><p>Text {0}</p><div class=newsletter>Subscribe to our letter</div></article>"
+    pages = spark.createDataFrame([(i, "http://h/x", page.format(i)) for i in range(4)], "page_id bigint, url string, html string")
+    assert {r.text for r in wrappers.extracted(pages).collect()} == {f"Text {i}" for i in range(4)}
+    assert wrappers.main_text(page.format(1)) == "Text 1\nSubscribe to our letter"
+
+
+def test_lists_of_links_go_where_nothing_is_named():
+    assert wrappers.main_text("<body><div class=k1><a href=1>First story</a><br><a href=2>Second story</a></div><div class=k2><p>The text, with <a href=3>one link</a>.</p></div>") == "The text, with one link."
+
+
+def test_depth_is_no_switch():
+    for n in (0, 3, 99, 100, 101, 5000):
+        page = "<div>" * n + "<p>side note</p><article><p>Body text of it</p></article><div><p>tail</p></div>" + "</div>" * n
+        assert wrappers.main_text(page) == "Body text of it", n
+
+
+def made_up(rng, host):
+    """Seven pages of a host of meaningless names, where parts come, go, swap and repeat."""
+    kinds = [f"{rng.choice(['div', 'section', 'ul', 'p', 'h2', 'span', 'td'])} class=z{rng.randrange(9)}" for _ in range(8)]
+
+    def block(depth):
+        k = rng.choice(kinds)
+        inner = "".join(block(depth + 1) for _ in range(rng.randrange(4))) if depth < 3 else ""
+        text = rng.choice(["", "same words", "other words", f"own {rng.random()}"])
+        return f"<{k}>{text}{inner}</{k.split()[0]}>"
+
+    blocks = [block(0) for _ in range(6)]
+    return ["<body>" + "".join(rng.choice([b, b, block(0), ""]) for b in rng.sample(blocks, len(blocks))) + "</body>" for _ in range(7)]
+
+
+def test_one_result_whatever_the_order(spark):
+    rng = random.Random(11)
+    rows = [(7 * h + k, f"http://h{h}/x", page) for h in range(300) for k, page in enumerate(made_up(rng, h))]
+    found = []
+    for parts in (1, 3, 16):
+        rng.shuffle(rows)
+        pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)
+        found.append({r.page_id: r.text for r in wrappers.extracted(pages).collect()})
+    assert len(found[0]) == 2100 and found[0] == found[1] == found[2]
+
+
+def test_wrappers_stay_small(spark):
+    page = "<body><div class=top><a href=/>Home</a></div><div class=s{0}><h1>T {0}</h1><div class=t{0}><p>Words of {0}</p></div><div class=u{0}><p>More of {0}</p></div></div><div class=foot>All rights reserved, everywhere.</div></body>"
+    pages = spark.range(10_000).selectExpr("id page_id", "'http://h/x' url", f"replace('{page}', '{{0}}', cast(id as string)) html")
+    (row,) = wrappers.wrappers(pages).collect()
+    assert len(row.wrapper) < 100 * wrappers.MOST_PARTS and json.loads(row.wrapper)[5] == 10_000
+    for r in wrappers.extracted(pages.where("page_id % 500 = 3 or page_id < 60")).collect():
+        assert r.text == f"T {r.page_id}\nWords of {r.page_id}\nMore of {r.page_id}"
+    chosen = wrappers.choices(json.loads(row.wrapper))
+    assert chosen[2] and wrappers.main_text(page.replace("{0}", "77"), chosen) == "T 77\nWords of 77\nMore of 77"
+
+
+def test_clashing_columns_and_copies(spark):
+    rows = [(1, "http://h/x", "<p>a</p>", 1, "w", "n")] * 3 + [(2, "http://h/y", None, 1, "w", "n"), (None, None, "", 1, "w", "n")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, at bigint, wrapper string, host string")
+    assert sorted((r.text for r in wrappers.extracted(pages).collect())) == ["", "", "a", "a", "a"]
