@@ -43,11 +43,13 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is named, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where none is named, a local session gets a temporary one; a cluster can't share that."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
         if context.getCheckpointDir() is None:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='sedimenta-')}")
         found = context.getCheckpointDir()
     return found.rstrip("/")

@@ -154,10 +154,10 @@ class Mix:
         schema = f"doc_id {kind}, source string, ord bigint, base bigint, size bigint, source_size bigint, target double, whole bigint, fraction double, groups bigint, group bigint, done boolean"
 
         def settle(rows: pa.Table) -> pa.Table:
-            ord_, size, fraction = (rows[c].to_numpy() for c in ("ord", "size", "fraction"))
+            ord_, size, fraction, coin = (rows[c].to_numpy() for c in ("ord", "size", "fraction", "coin"))
             by = np.lexsort((fraction, size, ord_))
-            rows, ord_ = rows.take(pa.array(by)), ord_[by]
-            coins = (ord_.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+            rows = rows.take(pa.array(by)).drop_columns(["coin"])
+            coins = (coin[by].view(np.uint64) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
             rounded, left = pivotal(size[by], fraction[by], coins)
             done = np.ones(len(by), dtype=bool)
             if left >= 0:
@@ -166,8 +166,10 @@ class Mix:
             return rows.set_column(rows.schema.get_field_index("done"), "done", pa.array(done))
 
         columns = [c.split()[0] for c in schema.split(", ")]
-        settled, level, most = [], rows.withColumn("done", F.lit(False)).select(*columns), None
+        settled, level, most, height = [], rows.withColumn("done", F.lit(False)).select(*columns), None, 0
         while True:
+            height += 1  # a residual has a fresh coin on each level
+            level = level.withColumn("coin", F.xxhash64(F.lit(SEED), F.lit(height), "ord"))
             most = level.agg(F.max("groups")).first()[0]
             level = written(level.groupBy("source", "group").applyInArrow(settle, schema), "mix-level")
             settled.append(level.where("done"))

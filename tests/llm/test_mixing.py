@@ -120,3 +120,15 @@ def test_many_identical_rows_are_dealt_apart(spark):
     want = plain_targets({"x": 2100, "y": sum(range(2, 40)), None: 0})["x"]
     assert abs(taken - want) <= 3
     assert mix.mixed(docs).where("doc_id = 1").count() * 3 == taken
+
+
+def test_small_and_large_rows_are_taken_at_their_rate(spark):
+    """Groups of four make four levels: a residual's coins must not depend on one another."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(2000 * 64).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2000).alias("source"), F.when(F.floor(F.col("id") / 2000) % 2 == 0, F.repeat(F.lit("w "), F.lit(50))).otherwise("w").alias("text"))
+    mix = mixing.Mix()
+    mix.group_rows = 4
+    found = mix.copies(docs).where("source_size > 0").withColumn("due", F.col("target") / F.col("source_size"))
+    rows = found.where("due % 1 > 0.01").groupBy("size").agg(F.avg(F.col("copies") - F.col("due")).alias("bias"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(rows) == 2 and all(r.n > 30_000 and abs(r.bias) < 0.006 for r in rows), rows
