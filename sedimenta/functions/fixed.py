@@ -136,6 +136,8 @@ REGION = {"lat": (31.0, 38.0), "lon": (34.0, 43.0)}
 # Priorities of text found under JSON keys, and the least length of such a text.
 TEXT_KEYS = {"articlebody": 120, "article_body": 120, "body": 80, "content": 75, "text": 70, "description": 45, "summary": 45, "caption": 35, "message": 35}
 TEXT_KEY_LEAST = 24
+#: The run of blocks with the most text: behind what a page marks as its content, before all that is left.
+MAIN_RUN_PRIORITY = 90
 JSON_LD_BONUS, SEMANTIC_PRIORITY, META_PRIORITY, BODY_PRIORITY = 30, 100, 20, 5
 CANDIDATE_LENGTH_CAP = 250_000
 JSON_DEPTH, JSON_NODES = 18, 20_000

@@ -276,5 +276,8 @@ def register(spark) -> None:
     spark.udf.register("casefold", casefold)
     spark.udf.register("repair_mojibake", repair_mojibake)
     spark.udf.register("decoded", decoded)
+    from sedimenta.functions import tables
+
+    tables.register(spark)
 
 

@@ -2,7 +2,8 @@
 
 Each body gives candidates with a priority; the best is the one of highest priority, then length (up to a cap), then order.
 Parsing trees needs Python: bodies go through mapInPandas in Arrow batches and only text comes back. There is no HTML library
-here, so the standard parser reads HTML, and no main-text library's candidate exists.
+here, so the standard parser reads HTML. The main text of a page that marks none is the run of blocks with the greatest sum of
+weights: words, less what every block and every linked word costs (main_run).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,9 @@ BREAKS = BLOCKS | set("div section article main ul ol table tr br h4 h5 h6 dt dd
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 ZIP_MEMBER_BYTES = 50_000_000
 MOST_ALTERNATES = 8
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: What a block and a linked word take from a run of blocks, in words.
+BLOCK_COST, LINK_COST = 12, 3
 
 RESULT = "title string, author string, publication_date string, description string, text string, method string, candidate_count int, alternates array<string>"
 
@@ -195,6 +200,79 @@ class _Page(HTMLParser):
         return unique_blocks("".join(self.body).split("\n"))
 
 
+@dataclass
+class Block:
+    """A block of a page: the innermost tag that breaks lines, its text, and how much of it is in links."""
+
+    tag: str
+    text: str
+    link_chars: int
+    link_words: int
+    aside: bool  # in a part that holds no text of the page's own
+
+
+class _Blocks(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.open: list[str] = []
+        self.blocks: list[Block] = []
+        self.run: list[tuple[str, bool]] = []
+
+    def flush(self) -> None:
+        text = " ".join("".join(t for t, _ in self.run).split())
+        linked = " ".join("".join(t for t, own in self.run if own).split())
+        if text:
+            tag = next((t for t in reversed(self.open) if t in BREAKS or t in DROPPED), "")
+            self.blocks.append(Block(tag, text, len(linked), len(linked.split()), any(t in DROPPED for t in self.open)))
+        self.run.clear()
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in BREAKS or tag in DROPPED:
+            self.flush()
+        if tag not in VOID:
+            self.open.append(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in BREAKS or tag in DROPPED:
+            self.flush()
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+
+    def handle_data(self, data: str) -> None:
+        if not any(t in ("script", "style", "template", "noscript", "title") for t in self.open):
+            self.run.append((data, "a" in self.open))
+
+
+def blocks_of(html: str) -> list[Block]:
+    """The blocks of a page in order, without scripts and its title."""
+    reader = _Blocks()
+    reader.feed(html)
+    reader.close()
+    reader.flush()
+    return reader.blocks
+
+
+def block_weight(block: Block) -> int:
+    """Words, less BLOCK_COST for any block but a heading and LINK_COST for each linked word; what stands aside counts against."""
+    words = len(block.text.split())
+    if block.aside:
+        return -words
+    return words - LINK_COST * block.link_words - (0 if block.tag in HEADINGS else BLOCK_COST)
+
+
+def main_run(blocks: list[Block]) -> tuple[int, int]:
+    """First and last (exclusive) of the contiguous blocks with the greatest sum of weights, the longest of equal ones; 0, 0 if none is above 0."""
+    best, found, total, least, since = 0, (0, 0), 0, 0, 0
+    for k, block in enumerate(blocks, 1):
+        total += block_weight(block)
+        if total - least >= best and total > least:
+            best, found = total - least, (since, k)
+        if total < least:
+            least, since = total, k
+    return found
+
+
 def from_html(text: str) -> Found:
     page, out = _Page(), Found()
     page.feed(text)
@@ -221,10 +299,29 @@ def from_html(text: str) -> Found:
             _metadata(value, out)
     roots = [unique_blocks("".join(r).split("\n")) for r in page.semantic]
     out.add(fixed.SEMANTIC_PRIORITY, "semantic_dom", max(roots, key=len, default=""))
+    blocks = blocks_of(text)
+    first, last = main_run(blocks)
+    out.add(fixed.MAIN_RUN_PRIORITY, "main_run", "\n\n".join(b.text for b in blocks[first:last]))
     out.add(fixed.BODY_PRIORITY, "body_text", page.body_text())
     return out
 
 
+def main_texts(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """key, first and last (exclusive) block, n_blocks and text (a line for each block) of each page's main run; a null html has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = []
+            for page in batch.column(1).to_pylist():
+                blocks = blocks_of(page or "")
+                first, last = main_run(blocks)
+                cells.append((first, last, len(blocks), "\n".join(b.text for b in blocks[first:last])))
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([c[k] for c in cells], t) for k, t in enumerate(kinds))], [key, "first", "last", "n_blocks", "text"])
+
+    return pages.select(key, html).mapInArrow(run, f"{key} {pages.schema[key].dataType.simpleString()}, first int, last int, n_blocks int, text string")
+
+
 def _metadata(value: object, out: Found) -> None:
     for node in value if isinstance(value, list) else [value]:
         if isinstance(node, dict):
