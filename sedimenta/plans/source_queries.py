@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from sedimenta import files
 from sedimenta.functions import tables
-from sedimenta.operators import extract
+from sedimenta.operators import extract, spatial, trigrams
 from sedimenta.plans.registry import heavy, query, table
-from sedimenta.sources import archives
+from sedimenta.sources import archives, release
 
 #: The blocks of the given pages: their inline tags are a and b, and what stands aside is in nav and footer.
 _BLOCKS = r"""
@@ -89,3 +89,48 @@ def main_text_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run of blocks with the most text of its own, on every page."""
     found = extract.main_texts(heavy(spark, sf_dir, "pages"), "page_id").where("last > first")
     return found.select("page_id", "first", "last", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("""
+    WITH p AS (SELECT c_custkey AS id, c_acctbal / 10 AS x, (c_custkey * 37) % 1000 AS y FROM customer), m AS (SELECT s_suppkey AS id, s_acctbal / 10 AS x, (s_suppkey * 91) % 1000 AS y FROM supplier),
+    d AS (SELECT p.id, m.id AS marker_id, sqrt(power(p.x - m.x, 2) + power(p.y - m.y, 2)) AS distance FROM p, m)
+    SELECT id, arg_min(marker_id, (distance, marker_id)) AS marker_id, round(min(distance), 6) AS distance FROM d WHERE distance <= 60 GROUP BY id
+""")
+def nearest_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest supplier of every customer within reach, on a plane of balances and numbers."""
+    place = lambda name, k, v, f: table(spark, sf_dir, name).select(F.col(k).alias("id"), (F.col(v) / 10).alias("x"), (F.col(k) * f % 1000).alias("y"))
+    return spatial.nearest(place("customer", "c_custkey", "c_acctbal", 37), place("supplier", "s_suppkey", "s_acctbal", 91), 60.0, 4).withColumn("distance", F.round("distance", 6))
+
+
+#: Frequent, rare, of two lines, of two bytes, in no text.
+NEEDLES = ("thention", "ción as", ".\n", "ß", "eau", "no such words here")
+
+
+@query("SELECT n AS needle, doc_id FROM documents, (VALUES " + ", ".join("('" + n.replace("\n", "' || chr(10) || '") + "')" for n in NEEDLES) + ") v(n) WHERE contains(text, n)")
+def trigram_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = trigrams.TrigramIndex.build(heavy(spark, sf_dir, "documents"), "doc_id", "text")
+    out = None
+    for needle in NEEDLES:
+        hits = index.search(needle).select(F.lit(needle).alias("needle"), F.col("key").alias("doc_id"))
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+@query("SELECT 'documents' AS name, count(*) AS n, 0 AS problems, 'r2' AS current FROM documents UNION ALL SELECT 'pages', count(*), 0, 'r2' FROM pages UNION ALL SELECT 'labels', count(*), 0, 'r2' FROM labels")
+def published_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A release of three tables: built, published after another, a third refused by its health check, and read back."""
+    store = release.ReleaseStore(spark, files.shared_folder(spark, "releases"))
+    tables_of = {name: table(spark, sf_dir, name) for name in ("documents", "pages", "labels")}
+    filled = lambda held: [name for name, df in held.items() if df.isEmpty()]
+    store.build("r1", {"labels": tables_of["labels"]}, filled)
+    store.build("r2", tables_of, filled)
+    store.publish("r1", lambda held: True)
+    store.publish("r2", lambda held: set(held) == set(tables_of))
+    store.build("r3", {"labels": tables_of["labels"]}, filled)
+    store.publish("r3", lambda held: "documents" in held)
+    problems = store.problems(store.current).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    counts = None
+    for name in tables_of:
+        rows = store.read(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts.withColumn("problems", problems.scalar()).withColumn("current", F.lit(store.current))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
 from abc import ABC, abstractmethod
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from sedimenta.functions.values import rows_by_header
 from sedimenta.operators.extract import FieldRule, extract_records
 from sedimenta.operators.schedule import numbered
+from sedimenta.sources import archives
 
 CORRUPT = "_corrupt"
 
@@ -40,20 +37,10 @@ def json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def zip_members(spark: SparkSession, path: str, pattern: str = r"\.json$") -> DataFrame:
-    """archive, member and text of the files in ZIP snapshots, a member at a time."""
-    import re
-
-    wanted = re.compile(pattern)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
-                    for i in z.infolist():
-                        if wanted.search(i.filename):
-                            yield pd.DataFrame([(archive, i.filename, z.read(i).decode("utf-8", "replace"))], columns=["archive", "member", "text"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, text string")
+    """archive, member and text of the files in ZIP snapshots, by spans of members."""
+    archives.register(spark)
+    rows = spark.read.format("zip_members").option("path", path).option("pattern", pattern).load()
+    return rows.select("archive", "member", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def joined_parts(spark: SparkSession, path: str) -> bytes:
