@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
 from abc import ABC, abstractmethod
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sedimenta import files
 from sedimenta.functions.values import rows_by_header
 from sedimenta.operators.extract import FieldRule, extract_records
 from sedimenta.operators.schedule import numbered
@@ -49,6 +51,29 @@ def joined_parts(spark: SparkSession, path: str) -> bytes:
     return b"".join(bytes(p.content) for p in parts)
 
 
+def assemble_parts(spark: SparkSession, folder: str, target: str) -> None:
+    """Puts the part-* files of a folder together as one file, in order of their names; bytes stream through, and the file appears when it is whole."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    whole = path(target)
+    beside = path(whole.getParent(), f".{whole.getName()}.{uuid.uuid4().hex}")
+    system = whole.getFileSystem(conf)
+    out = system.create(beside, False)
+    try:
+        for name in files.names(spark, folder):
+            if name.startswith("part-"):
+                part = path(f"{folder}/{name}")
+                stream = part.getFileSystem(conf).open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+                finally:
+                    stream.close()
+    finally:
+        out.close()
+    if not system.rename(beside, whole):
+        raise FileExistsError(target)
+
+
 def normalized_records(spark: SparkSession, path: str, schema: StructType, columns: dict[str, str]) -> DataFrame:
     """Entity files under the names that a snapshot's rows have."""
     return json_folder(spark, path, schema).where(f"{CORRUPT} is null").select(*[F.col(c).alias(name) for name, c in columns.items()])
