@@ -66,6 +66,13 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminated(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
+def page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a sequence of texts and media: how many there are, and the texts in order."""
+    found = interleave.sequences(spread(table(spark, sf_dir, "pages")), "page_id")
+    texts = F.filter("elements", lambda e: e["kind"] == "text")
+    return found.select("page_id", F.size("elements").alias("n_elements"), F.size(texts).alias("n_texts"), F.sha2(F.array_join(F.transform(texts, lambda e: e["text"]), "\n"), 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -80,6 +87,7 @@ QUERIES = {
     "op11_ranked_search": op11_ranked_search,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_decontamination": op13_decontamination,
+    "page_sequences": page_sequences,
 }
 
 ORACLES = {

@@ -3,6 +3,9 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from sedimenta.llm import exact_dedup
 from sedimenta.llm.exact_dedup import DigestIndex, drop_exact_duplicates, exact_groups
 
 
@@ -52,3 +55,43 @@ def test_runs_are_sorted_and_compacted(documents):
     assert runs.count() == documents.count()
     level = index.compact(runs)
     assert level.agg({"_rows": "sum"}).first()[0] == documents.count()
+
+
+def index_of(spark, *batches, **options):
+    index = exact_dedup.StoredIndex(spark, **options)
+    for batch in batches:
+        index.insert(batch)
+    return index
+
+
+@pytest.mark.parametrize("digest_bytes, fan_in", [(32, 64), (32, 2), (1, 3)])
+def test_two_batches_give_what_one_gives(spark, edge_docs, digest_bytes, fan_in):
+    docs = edge_docs.select("doc_id", "text").withColumn("n", F.monotonically_increasing_id()).cache()
+    batches = [docs.where(f"n % 3 = {k}").drop("n").repartition(2) for k in range(3)]
+    index = index_of(spark, *batches, digest_bytes=digest_bytes, fan_in=fan_in)
+    whole = docs.drop("n")
+    want = sorted(map(str, exact_dedup.exact_groups(whole).collect()))
+    assert sorted(map(str, index.groups(whole, whole).collect())) == want
+    parts = [r for b in batches for r in map(str, index.groups(b.where("doc_id is null or doc_id <> 7"), whole).collect())]
+    assert sorted(parts) == [w for w in want if "doc_id=7," not in w]
+
+
+def test_a_lookup_reads_the_runs_that_filters_let_through(spark):
+    docs = lambda low: spark.range(low, low + 2000).selectExpr("id doc_id", "concat('text ', id) text").repartition(4)
+    index = index_of(spark, docs(0), docs(2000), fan_in=64)
+    keyed = index.index._keyed(index.index._plain(docs(1000).unionByName(docs(9000)), [])).select("_digest").distinct()
+    asked = index.candidates(keyed)
+    assert 2000 <= asked.count() < 2600  # eight runs, and each of 4,000 digests passes its own run's filter and hardly any other
+    assert index.lookup(keyed).count() == 2000
+    assert exact_dedup.StoredIndex(spark).lookup(keyed).count() == 0
+
+
+def test_levels_are_merged_when_they_are_full(spark):
+    docs = lambda k: spark.range(40).selectExpr(f"id * 10 + {k} doc_id", "concat('t', id % 7) text").repartition(2)
+    index = index_of(spark, *[docs(k) for k in range(5)], fan_in=4)
+    assert sum(n for n, _, _ in index.runs.values()) == 4 and set(index.runs) == {0, 1}
+    _, merged, _ = index.runs[1]
+    assert merged.groupBy("_digest").count().where("count > 2").count() == 0
+    assert index.lookup(merged.select("_digest").distinct()).agg(F.sum("_rows")).first()[0] == 200
+    plan = merged.groupBy("_digest").agg(F.min("_least"))._jdf.queryExecution().toString()
+    assert "SortAggregate" in plan

@@ -112,3 +112,25 @@ def test_sequences_take_clashing_names_and_empty_tables(spark, documents):
     page = spark.createDataFrame([(1, "<p>a<img src=b>", "x", 3), (1, "<p>a<img src=b>", "x", 3)], "page_id bigint, html string, digest string, position int")
     assert interleave.resolve(interleave.sequences(page, "page_id"), "page_id", store).count() == 4
     assert interleave.resolve(interleave.sequences(page.where("false"), "page_id"), "page_id", store).count() == 0
+
+
+def test_sequences_of_the_given_pages(spark):
+    import hashlib
+
+    from sedimenta.llm.registry import page_sequences
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    got = {r.page_id: r for r in page_sequences(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(pages)
+    for page in pages:
+        elements = interleave.parse(page.html)
+        texts = [e["text"] for e in elements if e["kind"] == "text"]
+        r = got[page.page_id]
+        assert (r.n_elements, r.n_texts, r.text_sha256) == (len(elements), len(texts), hashlib.sha256("\n".join(texts).encode()).hexdigest())
+        assert [e["position"] for e in elements] == sorted(e["position"] for e in elements) and texts
+
+
+def test_sequences_of_empty_and_clashing_tables(spark):
+    pages = spark.createDataFrame([(1, None, "e", "d"), (2, "", "e", "d"), (None, "<p>x</p>", "e", "d")], "page_id bigint, html string, elements string, digest string")
+    assert {r.page_id: len(r.elements) for r in interleave.sequences(pages, "page_id").collect()} == {1: 0, 2: 0, None: 1}
+    assert interleave.sequences(pages.limit(0), "page_id").count() == 0
