@@ -270,8 +270,10 @@ def recovery_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
+    SELECT * FROM (
     SELECT 'critical' AS severity, 'reference_without_record' AS code, count(*) FILTER (o_orderstatus = 'P') AS n FROM orders UNION ALL SELECT 'critical', 'full_text_without_text', count(*) FILTER (c_nationkey = 1) FROM customer UNION ALL SELECT 'critical', 'blocked_as_success', count(*) FILTER (c_nationkey = 2) FROM customer
     UNION ALL SELECT 'warning', 'record_without_reference', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'P') UNION ALL SELECT 'info', 'coordinates_not_drawable', count(*) FILTER (c_nationkey = 5) FROM customer
+    ) WHERE n > 0
 """)
 def site_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validator's rules over customers as records and sources, orders as references."""
