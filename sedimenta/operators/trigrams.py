@@ -120,7 +120,7 @@ class TrigramIndex:
         return self.spark.read.parquet(f"{self.folder}/texts")
 
     def candidates(self, needle: str) -> DataFrame | None:
-        """shard and row of the texts that hold all of a needle's trigrams; None if it has none."""
+        """shard and rows (numbers there) of the texts that hold all of a needle's trigrams, a row for each shard; None if it has none."""
         grams = sorted({int(g) for g in grams_of(np.frombuffer(needle.encode("utf-8"), np.uint8))})
         if not grams:
             return None
@@ -130,10 +130,12 @@ class TrigramIndex:
             for gram, part in zip(table["gram"].to_pylist(), table["texts"].to_pylist(), strict=True):
                 parts.setdefault(gram, []).append(part)
             found = intersect(list(parts.values())) if len(parts) == len(grams) else np.zeros(0, np.int64)
-            return pa.table({"shard": pa.array([table["shard"][0].as_py()] * len(found), pa.string()), "row": pa.array(found, pa.int32())})
+            if not len(found):
+                return pa.table({"shard": pa.array([], pa.string()), "rows": pa.array([], pa.list_(pa.int32()))})
+            return pa.table({"shard": pa.array([table["shard"][0].as_py()]), "rows": pa.array([found], pa.list_(pa.int32()))})
 
         rows = self.spark.read.parquet(f"{self.folder}/postings").where(F.col("gram").isin(grams))
-        return rows.groupBy("shard").applyInArrow(met, "shard string, row int")
+        return rows.groupBy("shard").applyInArrow(met, "shard string, rows array<int>")
 
     def search(self, needle: str) -> DataFrame:
         """key and text of every text that contains the needle."""
@@ -141,8 +143,8 @@ class TrigramIndex:
         rows = self.texts
         if found is not None:
             found = files.written(found, "trigram-candidates")
-            shards = [r.shard for r in found.select("shard").distinct().limit(NAMED_SHARDS + 1).collect()]
+            shards = [r.shard for r in found.select("shard").limit(NAMED_SHARDS + 1).collect()]
             if len(shards) <= NAMED_SHARDS:
                 rows = rows.where(F.col("shard").isin(shards))
-            rows = rows.join(found, ["shard", "row"], "left_semi")
+            rows = rows.join(found, "shard").where(F.array_contains("rows", F.col("row")))
         return rows.where(F.contains("text", F.lit(needle))).select("key", "text")
