@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from sedimenta import files
 from sedimenta.operators import site_audit
 from sedimenta.plans.registry import heavy, query, table
+from sedimenta.streaming import runs
+from sedimenta.streaming.replay import BrokenOff
 
 _RULES = site_audit.SiteRules("2", "p1", required_fields=("record_id", "lang", "source"), provenance_fields=("lang", "source"), statuses=("successful", "blocked"))
 
@@ -101,3 +103,33 @@ def site_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A site whose records are the given pages: what was found, and that most wasn't looked at, so that it doesn't pass."""
     records = table(spark, sf_dir, "pages").select(F.col("page_id").alias("record_id"), F.col("url").alias("canonical_url"), F.lit("1").alias("schema_version"), F.lit("p1").alias("parser_version"))
     return site_audit.site_verdict({"records": records}, _RULES)
+
+
+@query("""
+    SELECT doc_id AS identity, CASE WHEN n_chars >= 400 OR lang = 'en' THEN 'PARSED' ELSE 'BLOCKED' END AS status, CASE WHEN n_chars >= 400 THEN 1 ELSE 2 END AS attempt FROM documents
+""")
+def worklist_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all documents that loses its driver in a batch, is paused and resumed, and whose gaps are retried."""
+    run = runs.Run(spark, files.shared_folder(spark, "run"), batch_rows=table(spark, sf_dir, "documents").count() // 3 + 1)
+    run.create(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("identity"), "lang", F.col("n_chars").alias("size")))
+    calls: list[int] = []
+
+    def process(rows: DataFrame, attempt: int) -> DataFrame:
+        calls.append(attempt)
+        if len(calls) == 2:
+            raise BrokenOff("batch")
+        if len(calls) == 3:
+            run.request("pause")
+        good = (F.col("size") >= 400) | ((F.col("lang") == "en") & (F.lit(attempt) > 1))
+        return rows.select("identity", F.when(good, "PARSED").otherwise("BLOCKED").alias("status"))
+
+    try:
+        run.execute(process)
+    except BrokenOff:
+        run.execute(process)
+    run.request("resume")
+    run.execute(process)
+    if run.state["status"] == "COMPLETED_WITH_GAPS":
+        run.retry()
+        run.execute(process)
+    return run.outcomes().select("identity", "status", "attempt")
