@@ -1,4 +1,4 @@
-"""The validator of a whole site: records, sources, relationships, media, map, files and pages, as one table of issues.
+"""The validator of a site: records, sources, relationships, media, map, files and pages, as one table of issues.
 
 Rules that look at one row are tested together: each table is read once and gives an array of faults a row. Rules about keys are
 counts by key, rules between tables are anti joins. Nothing is collected; a table that isn't given has no rules, and `checks` says so.
@@ -16,6 +16,9 @@ Tables (columns that a rule doesn't find are taken as null):
     files          path (below the site's root) and content (null for what isn't read)
     stored         path of every file that is kept, published or not
 
+Not among the rules: JSON that can't be parsed before it is a record (the readers keep it apart), JSON Schema, the scope of a pilot, and
+saved credentials (`extract.credential_like` finds those).
+
 Null ids count as one key that is missing. Null arrays are empty. Rows that repeat are issues of each row, but a key that repeats
 is one issue. Empty tables give none, except that expected files and an empty coverage are missing.
 """
