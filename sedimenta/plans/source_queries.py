@@ -11,11 +11,12 @@ from sedimenta.operators import extract, spatial, trigrams
 from sedimenta.plans.registry import heavy, query, table
 from sedimenta.sources import archives, release
 
-#: The blocks of the given pages: their inline tags are a and b, and what stands aside is in nav and footer.
+#: The blocks of the given pages: their inline tags are a and b, and what stands aside is in nav and footer. As in HTML, the character
+#: references that pages have hold without a semicolon too, which a page that is cut off may lack.
 _BLOCKS = r"""
     p AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<head>.*</head>|<!--.*?-->', '', 'g'), '</?b>|</a>', '', 'g'), '<a [^>]*>', chr(1), 'g') AS h FROM pages),
-    s AS (SELECT page_id, unnest(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)', 1)) AS before, unnest(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)', 2)) AS raw, unnest(range(1, 100000)[1:len(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)'))]) AS k FROM p),
-    t AS (SELECT page_id, k, before, contains(raw, chr(1)) AS linked, trim(regexp_replace(replace(replace(replace(replace(replace(raw, chr(1), ''), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM s),
+    s AS (SELECT page_id, unnest(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)', 1)) AS before, unnest(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)', 2)) AS raw, unnest(range(1, len(regexp_extract_all(h, '<(/?[a-z0-9]+)[^>]*>([^<]*)')) + 1)) AS k FROM p),
+    t AS (SELECT page_id, k, before, contains(raw, chr(1)) AS linked, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(raw, chr(1), ''), '&quot;?', '"', 'g'), '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM s),
     b AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) AS n, before, linked, text, len(string_split(text, ' ')) AS words FROM t WHERE text <> '')
 """
 
