@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -63,9 +62,9 @@ def upsert_sink(table: KeyValueTable, name: str) -> Callable[[DataFrame, int], N
     return lambda batch, number: table.upsert(batch, (name, number))
 
 
-def _in_order(rows: Iterator[pd.DataFrame], *by: str) -> Iterator[tuple]:
-    """A key's rows of one batch by time. How many there are is bounded by what a batch may take (files_per_trigger)."""
-    return pd.concat(list(rows)).sort_values(list(by), kind="stable").itertuples(index=False)
+def _in_order(rows: Iterator[Row]) -> list[Row]:
+    """A key's rows of one batch by ms and seq. How many there are is bounded by what a batch may take (replay's rows_per_run)."""
+    return sorted(rows, key=lambda r: (r.ms is None, r.ms, r.seq is None, r.seq))
 
 
 class _Processor(StatefulProcessor):
@@ -74,8 +73,8 @@ class _Processor(StatefulProcessor):
 
 
 def _timed(events: DataFrame, at: str, *columns: str) -> DataFrame:
-    """Columns of rows with a watermark, and ms: their time since 1970 as a number, which sessions in any zone agree on."""
-    return with_watermark(events, at, "0 seconds").select(*columns, at, F.unix_millis(at).alias("ms"))
+    """Columns of rows with a watermark, ms and us: their time since 1970 as numbers, which sessions in any zone agree on."""
+    return with_watermark(events, at, "0 seconds").select(*columns, at, F.unix_millis(at).alias("ms"), F.unix_micros(at).alias("us"))
 
 
 class ChangeFeed(_Processor):
@@ -85,6 +84,7 @@ class ChangeFeed(_Processor):
     """
 
     TERMINAL = ("completed", "completed_with_gaps", "completed_with_errors", "failed", "cancelled")
+    ROW = Row("id", "ms", "kind", "status")
 
     def __init__(self, heartbeat_ms: int = 12_000):
         self.heartbeat = heartbeat_ms
@@ -97,39 +97,42 @@ class ChangeFeed(_Processor):
         """Heartbeats that are due up to a time."""
         return [(key[0], t, "heartbeat", signature) for t in range(told + self.heartbeat, until + 1, self.heartbeat)]
 
-    def _keep(self, signature: str, told: int, terminal: bool) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _keep(self, signature: str, told: int, terminal: bool, timer: int | None) -> None:
+        """timer: the one that is set; a state's own time tells it, so timers needn't be listed."""
+        due = None if terminal else told + self.heartbeat
         self.last.update((signature, told, terminal))
-        if not terminal:
-            self.handle.registerTimer(told + self.heartbeat)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        signature, told, terminal = self.last.get() if self.last.exists() else (None, None, False)
-        out = []
-        for row in _in_order(rows, "ms", "seq"):
+        if timer != due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
+        signature, told, terminal = self.last.get() or (None, None, False)
+        timer = None if told is None or terminal else told + self.heartbeat
+        for row in _in_order(rows):
             if terminal:
                 break
             if told is not None:
-                beats = self._beats(key, signature, told, row.ms - 1)
-                out += beats
-                told = beats[-1][1] if beats else told
+                for beat in self._beats(key, signature, told, row.ms - 1):
+                    told = beat[1]
+                    yield self.ROW(*beat)
             if row.status != signature:
-                signature, told, terminal = row.status, int(row.ms), row.status in self.TERMINAL
-                out.append((key[0], told, "change", signature))
-        self._keep(signature, told, terminal)
-        yield pd.DataFrame(out, columns=["id", "ms", "kind", "status"])
+                signature, told, terminal = row.status, row.ms, row.status in self.TERMINAL
+                yield self.ROW(key[0], told, "change", signature)
+        self._keep(signature, told, terminal, timer)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         signature, told, terminal = self.last.get()
-        out = self._beats(key, signature, told, timerValues.getCurrentWatermarkInMs())
-        self._keep(signature, out[-1][1] if out else told, terminal)
-        yield pd.DataFrame(out, columns=["id", "ms", "kind", "status"])
+        for beat in self._beats(key, signature, told, timerValues.getCurrentWatermarkInMs()):
+            told = beat[1]
+            yield self.ROW(*beat)
+        self._keep(signature, told, terminal, None)  # Spark takes away the timer that is up
 
 
 def change_feed(events: DataFrame, heartbeat_ms: int = 12_000) -> DataFrame:
     """id, ts, kind (change or heartbeat) and status; events has id, ts, status and seq, which orders rows of one time."""
-    out = _timed(events, "ts", "id", "status", "seq").groupBy("id").transformWithStateInPandas(ChangeFeed(heartbeat_ms), "id string, ms bigint, kind string, status string", "append", "EventTime")
+    out = _timed(events, "ts", "id", "status", "seq").groupBy("id").transformWithState(ChangeFeed(heartbeat_ms), "id string, ms bigint, kind string, status string", "append", "EventTime")
     return out.select("id", F.timestamp_millis("ms").alias("ts"), "kind", "status")
 
 
@@ -139,6 +142,8 @@ class Coalescer(_Processor):
     The last change of an item wins. State holds the items that wait, fewer than a flush.
     """
 
+    ROW = Row("id", "flush", "ms", "reason", "item", "status", "item_ms")
+
     def __init__(self, most: int, interval_ms: int):
         self.most, self.interval = most, interval_ms
 
@@ -147,39 +152,40 @@ class Coalescer(_Processor):
         self.waiting = handle.getMapState("waiting", "item string", "status string, ms bigint")
         self.since = handle.getValueState("since", "ms bigint, flushes int")
 
-    def _flushed(self, key, held: dict, number: int, at: int, reason: str) -> list[tuple]:
-        return [(key[0], number, at, reason, item, status, ms) for item, (status, ms) in held.items()]
+    def _flushed(self, key, held: dict, number: int, at: int, reason: str) -> Iterator[Row]:
+        return (self.ROW(key[0], number, at, reason, item, status, ms) for item, (status, ms) in held.items())
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        first, number = self.since.get() if self.since.exists() else (-1, 0)
-        held = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
-        out = []
-        for row in _in_order(rows, "ms", "seq"):
+    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
+        first, number = self.since.get() or (-1, 0)
+        held = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if first >= 0 else {}
+        timer = first + self.interval if held else None
+        for row in _in_order(rows):
             if held and row.ms >= first + self.interval:
-                out += self._flushed(key, held, number, first + self.interval, "interval")
+                yield from self._flushed(key, held, number, first + self.interval, "interval")
                 held, number = {}, number + 1
             if not held:
-                first = int(row.ms)
-            held[row.item] = (row.status, int(row.ms))
+                first = row.ms
+            held[row.item] = (row.status, row.ms)
             if len(held) >= self.most:
-                out += self._flushed(key, held, number, int(row.ms), "size")
+                yield from self._flushed(key, held, number, row.ms, "size")
                 held, number = {}, number + 1
         self.waiting.clear()
         for item, value in held.items():
             self.waiting.updateValue((item,), value)
         self.since.update((first, number))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if held:
-            self.handle.registerTimer(first + self.interval)
-        yield pd.DataFrame(out, columns=["id", "flush", "ms", "reason", "item", "status", "item_ms"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = first + self.interval if held else None
+        if timer != due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         first, number = self.since.get()
         held = {k[0]: tuple(v) for k, v in self.waiting.iterator()}
         self.waiting.clear()
         self.since.update((-1, number + 1))
-        yield pd.DataFrame(self._flushed(key, held, number, first + self.interval, "interval"), columns=["id", "flush", "ms", "reason", "item", "status", "item_ms"])
+        yield from self._flushed(key, held, number, first + self.interval, "interval")
 
 
 def coalesced(events: DataFrame, most: int = 32, interval_ms: int = 1000) -> DataFrame:
@@ -188,48 +194,51 @@ def coalesced(events: DataFrame, most: int = 32, interval_ms: int = 1000) -> Dat
     events has id, item, status, ts and seq, which orders rows of one time.
     """
     rows = _timed(events, "ts", "id", "item", "status", "seq").groupBy("id")
-    out = rows.transformWithStateInPandas(Coalescer(most, interval_ms), "id string, flush int, ms bigint, reason string, item string, status string, item_ms bigint", "append", "EventTime")
+    out = rows.transformWithState(Coalescer(most, interval_ms), "id string, flush int, ms bigint, reason string, item string, status string, item_ms bigint", "append", "EventTime")
     return out.select("id", "flush", F.timestamp_millis("ms").alias("flushed_at"), "reason", "item", "status", F.timestamp_millis("item_ms").alias("ts"))
 
 
 class Circuit(_Processor):
     """A host's circuit: so many failures on end open it; after the cool-down one probe decides."""
 
+    ROW = Row("host", "us", "seq", "decision", "state", "failures")
+
     def __init__(self, threshold: int = 3, cooldown_seconds: float = 60.0):
         self.threshold, self.cooldown = threshold, round(cooldown_seconds * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("circuit", "failures int, opened_at bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        failures, opened_at = self.state.get() if self.state.exists() else (0, -1)
-        out = []
-        for row in _in_order(rows, "ms", "seq"):
+    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
+        failures, opened_at = self.state.get() or (0, -1)
+        for row in _in_order(rows):
             if opened_at >= 0 and row.ms - opened_at < self.cooldown:
-                out.append((key[0], row.ts, row.seq, "skip", "open", failures))
+                yield self.ROW(key[0], row.us, row.seq, "skip", "open", failures)
                 continue
             probe = opened_at >= 0
             if row.failed:
                 failures += 1
                 if probe or failures >= self.threshold:
-                    opened_at = int(row.ms)
+                    opened_at = row.ms
             else:
                 failures, opened_at = 0, -1
-            out.append((key[0], row.ts, row.seq, "probe" if probe else "allow", "open" if opened_at >= 0 else "closed", failures))
+            yield self.ROW(key[0], row.us, row.seq, "probe" if probe else "allow", "open" if opened_at >= 0 else "closed", failures)
         self.state.update((failures, opened_at))
-        yield pd.DataFrame(out, columns=["host", "ts", "seq", "decision", "state", "failures"])
 
 
 def circuits(attempts: DataFrame, threshold: int = 3, cooldown_seconds: float = 60.0) -> DataFrame:
     """What each attempt met; attempts has host, ts, failed and, where times may be equal, seq (a number)."""
     rows = attempts if "seq" in attempts.columns else attempts.withColumn("seq", F.lit(0))
-    rows = rows.select("host", F.col("ts").cast("timestamp").alias("ts"), "failed", F.col("seq").cast("bigint").alias("seq")).withColumn("ms", F.unix_millis("ts"))
-    return rows.groupBy("host").transformWithStateInPandas(Circuit(threshold, cooldown_seconds), "host string, ts timestamp, seq bigint, decision string, state string, failures int", "append", "None")
+    rows = rows.select("host", "failed", F.col("seq").cast("bigint").alias("seq"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    out = rows.groupBy("host").transformWithState(Circuit(threshold, cooldown_seconds), "host string, us bigint, seq bigint, decision string, state string, failures int", "append", "None")
+    return out.select("host", F.timestamp_micros("us").alias("ts"), "seq", "decision", "state", "failures")
 
 
 class NegativeCache(_Processor):
     """Misses that are remembered for a time, by the events' own clock; a timer forgets those of keys that aren't asked for again."""
 
+    ROW = Row("host", "us", "seq", "was_known", "reason")
+
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
@@ -237,26 +246,27 @@ class NegativeCache(_Processor):
         self.handle = handle
         self.miss = handle.getValueState("miss", "reason string, until bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        reason, until = self.miss.get() if self.miss.exists() else (None, -1)
-        out = []
-        for row in _in_order(rows, "ms", "seq"):
+    def handleInputRows(self, key, rows: Iterator[Row], timers) -> Iterator[Row]:
+        reason, until = self.miss.get() or (None, -1)
+        timer = until
+        for row in _in_order(rows):
             known = row.ms < until
-            out.append((key[0], row.ts, row.seq, bool(known), reason if known else None))
+            yield self.ROW(key[0], row.us, row.seq, known, reason if known else None)
             if row.failed and not known:
-                reason, until = row.reason, int(row.ms) + self.ttl_ms
+                reason, until = row.reason, row.ms + self.ttl_ms
             elif not row.failed:
                 reason, until = None, -1
-        for timer in list(self.handle.listTimers()):
+        if until == timer:
+            return
+        if timer >= 0:
             self.handle.deleteTimer(timer)
         if until < 0:
             self.miss.clear()
         else:
             self.miss.update((reason, until))
             self.handle.registerTimer(until)
-        yield pd.DataFrame(out, columns=["host", "ts", "seq", "was_known", "reason"])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.miss.clear()
         return iter([])
 
@@ -264,7 +274,8 @@ class NegativeCache(_Processor):
 def negative_cache(attempts: DataFrame, ttl_ms: int) -> DataFrame:
     """Whether each attempt met a remembered miss; attempts has host, ts, failed, reason and seq, which orders rows of one time."""
     rows = _timed(attempts.withColumn("seq", F.col("seq").cast("bigint")), "ts", "host", "failed", "reason", "seq").groupBy("host")
-    return rows.transformWithStateInPandas(NegativeCache(ttl_ms), "host string, ts timestamp, seq bigint, was_known boolean, reason string", "append", "EventTime")
+    out = rows.transformWithState(NegativeCache(ttl_ms), "host string, us bigint, seq bigint, was_known boolean, reason string", "append", "EventTime")
+    return out.select("host", F.timestamp_micros("us").alias("ts"), "seq", "was_known", "reason")
 
 
 class RecoveryQueue:
