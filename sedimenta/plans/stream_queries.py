@@ -12,6 +12,8 @@ from sedimenta.streaming import live
 from sedimenta.streaming.replay import replay
 
 DAY_MS = 86_400_000
+#: Of a stream of few keys: a task orders the rows of a key that a run brings.
+ROWS_PER_RUN = 2_000_000
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +151,7 @@ def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_flushes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes of users by type of event, written once 32 users wait or the first has waited for twelve hours."""
     log = _log(spark, sf_dir)
-    found = replay(log, "ts", lambda read: live.coalesced(_items(read), 32, DAY_MS // 2), closing=_end(log)).where("id <> 'none'")
+    found = replay(log, "ts", lambda read: live.coalesced(_items(read), 32, DAY_MS // 2), closing=_end(log), rows_per_run=ROWS_PER_RUN).where("id <> 'none'")
     return found.select("id", "flush", "reason", F.col("flushed_at").cast("timestamp_ntz").alias("flushed_at"), "item", "status")
 
 

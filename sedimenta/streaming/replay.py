@@ -67,11 +67,13 @@ def replay(
     breaks_in: int | None = 1,
     closing: DataFrame | None = None,
     sink: Callable[[DataFrame, int], None] | None = None,
+    rows_per_run: int | None = None,
 ) -> DataFrame | None:
     """All rows that the stream gives over the log, with their batch; in update mode the last of each of keys.
 
     Rows of a run come in one batch, or files_per_batch files at a time; time never goes back between runs. closing: a row behind
-    the log's end, which moves the watermark past what waits for it. sink: what takes the batches instead; nothing is read back then.
+    the log's end, which moves the watermark past what waits for it. rows_per_run: how many rows a run takes in the mean at most, for
+    streams of few keys, whose processors order a key's rows of one batch; a longer log has more runs. sink: what takes the batches instead; nothing is read back then.
     """
     spark = log.sparkSession
     source, out, checkpoint = (files.shared_folder(spark, f"stream-{x}") for x in ("in", "out", "state"))
@@ -102,7 +104,17 @@ def replay(
         finally:
             query.stop()
 
-    parts = [log.where(c) for c in slices(log, at, runs)]
+    if rows_per_run:
+        runs = max(runs, -(-log.count() // rows_per_run))
+    spans = slices(log, at, runs)
+    parts = [log.where(c) for c in spans]
+    if rows_per_run and len(spans) > 2:  # dealt in one pass, or each run would read the whole log
+        dealt = files.shared_folder(spark, "stream-dealt")
+        span = F.when(F.lit(False), 0)
+        for k, c in enumerate(spans):
+            span = span.when(c, k)
+        log.withColumn("_span", F.coalesce(span, F.lit(-1))).write.partitionBy("_span").parquet(dealt)
+        parts = [spark.read.schema(log.schema).parquet(f"{dealt}/_span={k}") if files.exists(spark, f"{dealt}/_span={k}") else empty for k in range(len(spans))]
     for run, part in enumerate([*parts, *([closing] if closing is not None else [])]):
         part.write.mode("append").parquet(source)
         try:
