@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sedimenta import files
@@ -24,10 +24,10 @@ def json_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file for each supplier."""
     at = files.shared_folder(spark, "json-folder")
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    rows.write.option("maxRecordsPerFile", 1).json(at)
+    writers.file_for_each(rows, at)
     found = readers.json_folder(spark, at, rows.schema)
-    alone = found.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("file", F.lit(True).alias("own_file"))
-    return found.where(f"{readers.CORRUPT} is null").join(alone, "file", "left").select("id", "name", F.coalesce("own_file", F.lit(False)).alias("own_file"))
+    alone = F.count(F.lit(1)).over(Window.partitionBy("file")) == 1
+    return found.withColumn("own_file", alone).where(f"{readers.CORRUPT} is null").select("id", "name", "own_file")
 
 
 @query("SELECT s_suppkey AS record_id, s_name AS title FROM supplier")
@@ -35,7 +35,7 @@ def entity_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity files under a snapshot's names; damaged ones are left out."""
     at = files.shared_folder(spark, "entities")
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    rows.write.option("maxRecordsPerFile", 1).json(at)
+    writers.file_for_each(rows, at)
     files.write_once(spark, f"{at}/part-damaged.json", '{"id": 1, "name": ')
     return readers.normalized_records(spark, at, rows.schema, {"record_id": "id", "title": "name"})
 

@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.session import spread
 from sedimenta.sources.keyed import KeyValueTable
 
 __all__ = ["KeyValueTable"]
@@ -177,3 +178,8 @@ def markdown_table(df: DataFrame, most: int = 1000) -> str:
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join([*lines, *("| " + " | ".join(cell(v) for v in r) + " |" for r in rows)]) + "\n"
+
+
+def file_for_each(rows: DataFrame, path: str) -> None:
+    """A JSON file for each row, by all cores; tasks move their own files in place, as one by one on the driver they take longer than to write."""
+    spread(rows).write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(path)
