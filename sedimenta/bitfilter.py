@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import written
+from sedimenta.files import written
 
 #: Bits for each key, and the most bits of a filter.
 BITS_A_KEY = 16

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import BITS_A_KEY, BUCKET_BITS, KeyFilter
+from sedimenta.bitfilter import BITS_A_KEY, BUCKET_BITS, KeyFilter
 from sedimenta.llm.common import BLANKS, text_or_empty, written
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import KeyFilter
+from sedimenta.bitfilter import KeyFilter
 from sedimenta.llm.common import bounded_batches, new_folder, written
 
 ROW_SAMPLES = 576

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import KeyFilter
+from sedimenta.bitfilter import KeyFilter
 from sedimenta.llm.common import bounded_batches, joined_rows, utf8, written
 
 BITS = 64

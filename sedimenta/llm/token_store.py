@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sedimenta.llm.bitfilter import KeyFilter
+from sedimenta.bitfilter import KeyFilter
 from sedimenta.llm.common import blocks, bounded_batches, new_folder, remove
 
 #: The rolling hash covers this many ids; chunks have MIN_IDS to MAX_IDS ids, some MIN_IDS + 2 ** CUT_BITS on average.

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.bitfilter import KeyFilter
+from sedimenta.files import written
 from sedimenta.functions import fixed, text
 from sedimenta.operators import classify, dedupe, extract, metrics, schedule, search
 from sedimenta.plans.registry import heavy, query, table
@@ -159,9 +161,12 @@ def contamination_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
         words = F.split(F.regexp_replace(F.lower("text"), r"^[ \t\r\n]+|[ \t\r\n]+$", ""), r"[ \t\r\n]+")
         runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 7), lambda i: F.array_join(F.slice(w, i, F.lit(8)), " "))
         rows = heavy(spark, sf_dir, name).select(key, words.alias("w")).where(F.size("w") >= 8)
-        return rows.select(key, F.explode(runs(F.col("w"))).alias("gram")).distinct()
+        return rows.select(key, F.explode(runs(F.col("w"))).alias("gram"))
 
-    return grams("documents", "doc_id").join(grams("benchmark", "item_id"), "gram").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    # Of the documents' runs only those that the benchmark may have are moved.
+    wanted = written(grams("benchmark", "item_id").distinct(), "benchmark-runs")
+    found = KeyFilter(wanted.select("gram").distinct(), "gram").probed(grams("documents", "doc_id"), "gram").where("_hit").select("doc_id", "gram")
+    return found.distinct().join(wanted, "gram").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
