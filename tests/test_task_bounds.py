@@ -2,6 +2,7 @@
 
 import pytest
 
+from sedimenta.operators import classify, ground_truth
 from sedimenta.plans import catalogue
 
 
@@ -31,3 +32,69 @@ def test_runs_that_the_benchmark_lacks_stay_where_they_are(spark, measured, tmp_
     got, ran = measured(lambda: sorted(map(tuple, catalogue.QUERIES["contamination_overlap"](spark, str(tmp_path)).collect()), key=str))
     assert got == [(900, 1, 3), (900, 4, 1), (None, 1, 2), (None, 4, 1)]
     assert sum(s.shuffleWriteRecords() for s in ran) < 93 * 200 / 2
+
+
+def test_a_coordinate_is_read_once(spark):
+    rows = spark.createDataFrame([("35", " 36.5 "), ("200", "1"), ("x", "1"), (None, "1"), ("1", "1"), ("1e999", "1"), ("nan", "1")], "lat string, lon string")
+    kinds = rows.select("lat", classify.coordinate_class("lat", "lon").alias("kind"))
+    assert [r.kind for r in kinds.collect()] == ["drawable", "malformed", "malformed", "missing", "outside_accepted_range", "malformed", "malformed"]
+    drawn = kinds.where("kind = 'drawable'")
+    assert [r.lat for r in drawn.collect()] == ["35"]
+    assert drawn._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2 * 2  # in the filter and in the column
+
+
+def test_gates_count_nulls_repeats_and_strangers(spark):
+    frame = spark.createDataFrame
+    t = {
+        "records": frame([(1, "p1", 35.0, 36.0, False), (1, "p2", None, None, False), (None, None, 35.0, 36.0, True), (3, "p3", 200.0, 36.0, None)], "record_id int, page_id string, latitude double, longitude double, direct_ok boolean"),
+        "references": frame([("f1", 1, 7, "u", "n"), ("f1", 9, 8, "v", ""), ("f2", None, None, "v", None)], "source_reference_id string, record_id int, external_source_id int, raw_url string, normalized_url string"),
+        "sources": frame([(7, "FULL_TEXT_DIRECT", " ", False, "h"), (7, "METADATA_ONLY", "x", True, "h"), (None, "no such", "x", None, "h")], "source_id int, content_status string, text string, full_text_passed boolean, content_hash string"),
+        "pages": frame([("record", "p1"), ("record", None), ("record", "p9"), ("reference", "f1"), ("source", "7"), ("source", "6"), ("other", "p2")], "kind string, id string"),
+        "links": frame([(3, 1, 2)], "checked int, broken int, escaped int"),
+        "index": frame([("record", 1), ("source", 7), ("source", 99)], "kind string, id int"),
+        "points": frame([(1,), (None,), (5,)], "record_id int"),
+        "exports": frame([("raw", "u"), ("raw", "w"), ("normalized", "n"), ("raw", None)], "kind string, url string"),
+        "manifest": frame([("source_entities", 3)], "name string, n bigint"),
+        "report": frame([("incident_records_total", 4), ("local_source_entity_pages_generated", 1)], "name string, n bigint"),
+        "layout": frame([("data",), ("data",)], "name string"),
+        "assets": frame([], "name string"),
+        "search_fields": frame([("date",)], "name string"),
+        "search_filters": frame([("date",), ("coordinates",), ("source_status",), ("search_text",)], "name string"),
+    }
+    t["records"] = t["records"].selectExpr("*", "array(403) as direct_statuses", "array('') as direct_errors", "'direct' as origin_status", "'' as description")
+    t["references"] = t["references"].selectExpr("*", "'ok' as url_status")
+    gates = ground_truth.release_gates(t, 5)
+    found = {r.gate: r.found for r in gates.collect() if r.found}
+    assert found == {
+        "missing_release_artifacts": 4,
+        "incident_missing_separate_origin_fields": 1,
+        "incident_file_count_mismatch": 1,
+        "incident_ids_not_unique": 2,
+        "incident_page_set_mismatch": 5,
+        "source_reference_count_mismatch": 4,
+        "source_reference_ids_not_unique": 1,
+        "source_reference_page_set_mismatch": 1,
+        "source_ids_not_unique": 2,
+        "source_page_set_mismatch": 2,
+        "reference_to_missing_incident": 2,
+        "reference_to_missing_source_entity": 1,
+        "raw_url_export_mismatch": 3,
+        "direct_fetch_success_not_zero": 1,
+        "http_403_reconciliation_failed": 1,
+        "empty_source_counted_full": 1,
+        "unvalidated_source_counted_full": 1,
+        "metadata_source_counted_full": 1,
+        "source_status_reconciliation_failed": 1,
+        "utf8_or_json_errors": 1,
+        "search_document_count_mismatch": 3,
+        "search_fields_missing": 11,
+        "map_point_count_mismatch": 3,
+        "map_assets_missing": 2,
+        "long_url_layout_protection_missing": 1,
+        "internal_links_broken": 3,
+        "ground_truth_release_mismatch": 5,
+    }
+    assert gates.where("ok").count() == 34 - len(found)
+    passed = {r.criterion for r in ground_truth.acceptance_matrix(gates).where("passed").collect()}
+    assert passed == {"every_normalized_reference_url_exported", "map_exclusions_explicit"}
+    assert not ground_truth.acceptance_matrix(gates.where("gate != 'coordinate_reconciliation_failed'")).where("criterion = 'map_exclusions_explicit' and passed").count()
