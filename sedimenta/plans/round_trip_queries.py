@@ -57,7 +57,7 @@ def assembled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file that lies in parts is put together on the file system, then read as one."""
     at = files.shared_folder(spark, "parts")
     rows = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows.repartition(5).write.json(f"{at}/parts")
+    writers.json_parts(rows, f"{at}/parts")
     readers.assemble_parts(spark, f"{at}/parts", f"{at}/whole.json")
     return spark.read.schema(rows.schema).json(f"{at}/whole.json").select("doc_id", F.sha2("text", 256).alias("text_sha256"))
 

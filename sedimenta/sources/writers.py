@@ -183,3 +183,8 @@ def markdown_table(df: DataFrame, most: int = 1000) -> str:
 def file_for_each(rows: DataFrame, path: str) -> None:
     """A JSON file for each row, by all cores; tasks move their own files in place, as one by one on the driver they take longer than to write."""
     spread(rows).write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(path)
+
+
+def json_parts(rows: DataFrame, path: str) -> None:
+    """JSON lines in parts, dealt to all cores; a larger table has more parts, so none grows with it."""
+    spread(rows).write.json(path)
