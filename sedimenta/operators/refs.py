@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.urls import hash_id, normalize_url, urls_in
 from sedimenta.operators.extract import json_leaves
-from sedimenta.session import checkpointed
+from sedimenta.session import by_key, checkpointed
 
 
 def match_sources(references: DataFrame, sources: DataFrame) -> DataFrame:
@@ -34,10 +34,11 @@ def collect_references(historical: DataFrame, provenance: DataFrame, embedded: D
     pair, columns = ["record_id", "raw_url"], ["record_id", "raw_url", "ord"]
     first = historical.select(*columns, F.lit(1).alias("stage"))
     stated = lambda df, n: df.where("raw_url is not null and raw_url != '' and record_id is not null").select(*columns, F.lit(n).alias("stage"))
-    # The earliest stage that has a pair, and its first place there.
-    earliest = first.unionByName(stated(provenance, 2)).unionByName(stated(embedded, 3)).groupBy(*pair).agg(F.min(F.struct("stage", "ord")).alias("e"))
-    later = earliest.where("e.stage > 1").select(*pair, F.col("e.ord").alias("ord"), F.col("e.stage").alias("stage"))
-    every = first.select(*pair, "ord", "stage").unionByName(later)
+    # A record's rows are dealt to one task once, and more rows to more tasks: what a task sorts doesn't grow with the table.
+    rows = by_key(first.unionByName(stated(provenance, 2)).unionByName(stated(embedded, 3)), "record_id")
+    # The earliest stage that has a pair, and its first place there; the first stage keeps all.
+    place = F.row_number().over(Window.partitionBy(*pair).orderBy("stage", "ord"))
+    every = rows.withColumn("_place", place).where("stage = 1 or _place = 1").drop("_place")
     every = every.withColumn("occurrence", F.row_number().over(Window.partitionBy("record_id", "stage").orderBy("ord", "raw_url")))
     # By occurrence, as rows may tie in ord; a later stage has each pair once.
     repeat = F.row_number().over(Window.partitionBy(*pair, "stage").orderBy("occurrence")) > 1

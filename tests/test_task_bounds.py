@@ -2,7 +2,8 @@
 
 import pytest
 
-from sedimenta.operators import classify, ground_truth
+from sedimenta import session
+from sedimenta.operators import classify, ground_truth, refs
 from sedimenta.plans import catalogue
 
 
@@ -98,3 +99,24 @@ def test_gates_count_nulls_repeats_and_strangers(spark):
     passed = {r.criterion for r in ground_truth.acceptance_matrix(gates).where("passed").collect()}
     assert passed == {"every_normalized_reference_url_exported", "map_exclusions_explicit"}
     assert not ground_truth.acceptance_matrix(gates.where("gate != 'coordinate_reconciliation_failed'")).where("criterion = 'map_exclusions_explicit' and passed").count()
+
+
+def test_staged_references_sort_a_bounded_number_of_rows(spark, measured, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    rows = spark.range(4000).selectExpr("id % 1000 as record_id", "concat('u', id % 700) as raw_url", "id as ord")
+    got, ran = measured(lambda: refs.collect_references(rows, rows, rows).collect())
+    assert len(got) == 4000 and {r.origin for r in got} == {"historical"}
+    assert max(s.numTasks() for s in ran) == 3 * 4000 // 100
+
+
+def test_later_stages_add_the_first_place_of_new_pairs(spark):
+    kind = "record_id int, raw_url string, ord int"
+    one = spark.createDataFrame([(1, "a", 5), (1, "a", 2), (1, None, 9), (None, "n", 1)], kind)
+    two = spark.createDataFrame([(1, "a", 1), (1, "b", 7), (1, "b", 3), (1, "d", None), (1, "d", 4), (2, "", 1), (None, "n", 1)], kind)
+    three = spark.createDataFrame([(1, "b", 0), (1, "c", 2), (2, "c", 2), (2, "c", 1)], kind)
+    got = refs.collect_references(one, two, three).select("record_id", "origin", "occurrence", "raw_url", "is_repeat").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, "historical", 1, "a", False), (1, "historical", 2, "a", True), (1, "historical", 3, None, False), (None, "historical", 1, "n", False)]
+        + [(1, "provenance", 1, "d", False), (1, "provenance", 2, "b", False), (1, "embedded", 1, "c", False), (2, "embedded", 1, "c", False)],
+        key=str,
+    )
