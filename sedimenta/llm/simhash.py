@@ -15,8 +15,9 @@ edit changes five shingles but one word, so fingerprints of words (weighed by th
 each document is held against a centre of its buckets, in crowded buckets against CENTRES, so most of a large group of copies
 is one component after a few comparisons of each. Then all that lies within the radius in different components is compared:
 outside of crowds pair by pair; within, only documents that share a rare shingle, as similar ones must, and never those of
-one large component among each other. Every pair within the radius is thus verified, linked over others, or shown to be too
-different; similar pairs beyond the radius are missed.
+one large component among each other. What a crowd's text gives to most copies is not looked up pair by pair: each document
+counts its frequent shingles in groups, and two share at most the lesser count of each. Every pair within the radius is thus
+verified, linked over others, or shown to be too different; similar pairs beyond the radius are missed.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked like any other. Rows that repeat are in
 one component. A null doc_id is never a component's id unless it has no other. Texts of any length
@@ -54,8 +55,13 @@ LEAST = (4, 5)
 #: Fingerprints near a bucket's centre (or rows of one fingerprint) that are a crowd, and the centres that a crowd has.
 CROWD = 8
 CENTRES = 8
+#: Rows near a fingerprint outside of crowds from which it is compared as one of a crowd.
+DENSE = 32
 #: Fingerprints of one component from which their pairs are kept out of the search between components.
 LARGE_COMPONENT = 64
+#: Rows of crowds from which a shingle that they share is frequent, and the groups that frequent shingles are counted in.
+FREQUENT_ROWS = 64
+FREQUENT_GROUPS = 24
 #: Fingerprints, and probes of each, that are made as one block.
 BLOCK_ROWS = 4096
 BLOCK_MASKS = 64
@@ -456,55 +462,94 @@ class SimilarRows:
         with the other among its rarest, a fifth of all and one; the rest alone couldn't make up the similarity. So
         only rows with a shared shingle among these are compared, and none if what a row shares with any other is too little.
         Rows of one large component never meet: they ask first which large components hold a shingle.
+
+        Frequent shingles, those of a text that many copies keep, come last in this order and are counted in groups: those whose
+        first row (by hash) is the same are in one, so what copies keep and what each edit makes are apart. Two rows share
+        at most the sum over the groups of the lesser counts. A frequent shingle makes a pair only if that sum alone is enough, as
+        rows that meet in no other have nothing more in common; any other shingle is in fewer than FREQUENT_ROWS rows.
         """
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     own = shingles(text)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row)), pa.array(own.view(np.int64))], ["_row", "h"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row)), pa.array(own.view(np.int64)), pa.array(np.full(len(own), len(own)))], ["_row", "h", "n"])
 
         ids = KeyFilter(crowded, "_row")
         texts = ids.probed(self.rows.select("_row", "_text"), "_row").where("_hit").join(crowded.select("_row"), "_row").select("_row", "_text")
-        each = written(texts.mapInArrow(run, "_row bigint, h bigint"), "crowd-shingles")
-        known = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        each = written(texts.mapInArrow(run, "_row bigint, h bigint, n bigint"), "crowd-shingles")
+        first = F.min(F.struct(F.xxhash64("_row"), "_row"))["_row"]
+        known = each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), first.alias("first"), F.min("n").alias("least_n")).where("c > 1")
         common = written(each.join(known, "h"), "crowd-common")
-        sizes = each.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).join(common.groupBy("_row").agg(F.count(F.lit(1)).alias("m")), "_row")
+        often = F.col("c") >= FREQUENT_ROWS
+        group = F.pmod(F.xxhash64("first", F.pmod("h", F.lit(4))), F.lit(FREQUENT_GROUPS))
+        groups = [f"g{i}" for i in range(FREQUENT_GROUPS)]
+        in_groups = [F.count_if(often & (F.col("group") == i)).cast("int").alias(g) for i, g in enumerate(groups)]
+        sizes = common.withColumn("group", group).groupBy("_row", "n").agg(F.count(F.lit(1)).alias("m"), F.count_if(often).alias("t"), *in_groups)
         # Shingles that no other row has are the rarest; what is left of the fifth comes from the common ones.
         sizes = sizes.withColumn("most", F.col("n") - F.ceil(F.col("n") * LEAST[0] / LEAST[1]) + 1 - (F.col("n") - F.col("m"))).where("most > 0")
-        ranked = common.join(sizes, "_row").withColumn("k", F.row_number().over(Window.partitionBy("_row").orderBy("c", "h"))).where(F.col("k") <= F.col("most"))
+        sizes = sizes.withColumn("behind", F.greatest(F.lit(0), F.col("m") - F.col("t") - F.col("most")))
+        ranked = common.drop("n").join(sizes, "_row").withColumn("k", F.row_number().over(Window.partitionBy("_row").orderBy("c", "h"))).where(F.col("k") <= F.col("most"))
+        # Of rows of these sizes that share so many, whether they may be similar; and whether a shingle is early enough to be in common first.
+        enough = lambda shared, n, other: sum(LEAST) * shared >= LEAST[0] * (n + other)
+        early = lambda n, m, k, other: enough(m - k + 1, n, other)
+        n, m, k, t, lowest = (F.col(c) for c in ("n", "m", "k", "t", "least_n"))
+        ranked = ranked.where(~often | (enough(t, n, lowest) & early(n, m, k, lowest)))
         large = crowded.groupBy("of").agg(F.count(F.lit(1)).alias("size")).select("of", (F.col("size") >= LARGE_COMPONENT).alias("large"))
-        columns = ["_row", "fp", "of", "n", "m", "large"]
-        rare = written(ranked.join(crowded.join(large, "of"), "_row").select("h", *columns), "crowd-rare")
-        own, other = (lambda df, side=side: df.select("h", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "xy")
-        shared, differ = F.least("x_m", "y_m"), F.col("x_of") != F.col("y_of")
-        may = differ & (F.bit_count(F.col("x_fp").bitwiseXOR(F.col("y_fp"))) <= self.radius) & (LEAST[1] * shared >= LEAST[0] * (F.col("x_n") + F.col("y_n") - shared))
+        columns = ["_row", "fp", "of", "n", "m", "t", "k", "behind", "large", *groups]
+        rare = written(ranked.join(crowded.join(large, "of"), "_row").select("h", often.alias("often"), *columns), "crowd-rare")
+        own, other = (lambda df, side=side: df.select("h", *(["often"] if side == "x" else []), *[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "xy")
+        x, y = (lambda c, side=side: F.col(f"{side}_{c}") for side in "xy")
+        may = (x("of") != y("of")) & (F.bit_count(x("fp").bitwiseXOR(y("fp"))) <= self.radius) & enough(F.least(x("m"), y("m")), x("n"), y("n"))
+        may &= ~F.col("often") | (early(x("n"), x("m"), x("k"), y("n")) & early(y("n"), y("m"), y("k"), x("n")))
+        in_both = reduce(Column.__add__, [F.least(x(g), y(g)) for g in groups])
+        may &= enough(in_both + F.when(F.col("often"), 0).otherwise(F.least(x("m") - x("t"), y("m") - y("t"))), x("n"), y("n"))
         # Rows of small components meet in one order, and each row of large ones.
-        some = own(rare.where(~F.col("large"))).join(other(rare), "h").where(may & (F.col("y_large") | (F.col("x__row") < F.col("y__row"))))
+        some = own(rare.where(~F.col("large"))).join(other(rare), "h").where(may & (y("large") | (x("_row") < y("_row"))))
         held = rare.where("large")
-        asked = own(held).join(held.select("h", F.col("of").alias("y_of")).distinct(), "h").where(F.col("x_of") < F.col("y_of"))
+        asked = own(held).join(held.select("h", F.col("of").alias("y_of")).distinct(), "h").where(x("of") < y("of"))
         more = asked.join(other(held), ["h", "y_of"]).where(may)
-        found = some.select("x__row", "y__row", "x_n", "y_n").unionByName(more.select("x__row", "y__row", "x_n", "y_n"))
-        met = found.groupBy(F.least("x__row", "y__row").alias("x"), F.greatest("x__row", "y__row").alias("y")).agg(F.count(F.lit(1)).alias("met"), F.max(F.greatest("x_n", "y_n")).alias("more"), F.min(F.least("x_n", "y_n")).alias("less"))
-        # All that two rows share is among the rarest of both, or behind the rarest of one.
-        whole = F.col("met") + F.ceil(F.col("more") * LEAST[0] / LEAST[1]) - 1
-        return met.where(LEAST[1] * whole >= LEAST[0] * (F.col("more") + F.col("less") - whole)).select("x", "y")
+        figures = [F.least(x("_row"), y("_row")).alias("x"), F.greatest(x("_row"), y("_row")).alias("y"), "often", (x("n") + y("n")).alias("n"), in_both.alias("in_both"), F.greatest(x("behind"), y("behind")).alias("behind")]
+        met = some.select(*figures).unionByName(more.select(*figures)).groupBy("x", "y").agg(F.count_if(~F.col("often")).alias("met"), *[F.max(c).alias(c) for c in ("n", "in_both", "behind")])
+        # All that two rows share is frequent, among the rarest of both, or behind the rarest of one.
+        return met.where(enough(F.col("in_both") + F.col("met") + F.col("behind"), F.col("n"), F.lit(0))).select("x", "y")
+
+    def _placed(self, marked: DataFrame, links: DataFrame) -> DataFrame:
+        """_row, fp and of (the component, the row itself without a link) of marked."""
+        return marked.join(components(links).withColumnRenamed("node", "_row"), "_row", "left").select("_row", "fp", F.coalesce("root", "_row").alias("of"))
+
+    def joining_pairs(self, search: PigeonholeSearch, members: DataFrame) -> DataFrame:
+        """a and b of rows within the radius: one of members (_row, fp, of) in no large component, and one of CENTRES of each large one in a bucket."""
+        large = members.groupBy("of").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE_COMPONENT).select("of", F.lit(True).alias("large"))
+        held = written(search.index(members.select("fp").distinct()).join(members.join(large, "of", "left"), "fp"), "crowd-index")
+        some = [F.min(F.struct(F.xxhash64(F.lit(k), "_row"), F.col("fp"), F.col("_row"))) for k in range(CENTRES)]
+        some = held.where("large").groupBy("key", "of").agg(F.array(*some).alias("some")).select("key", F.explode("some").alias("one"))
+        met = held.where("large is null").select("key", "fp", "_row").join(some, "key").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("one.fp"))) <= self.radius)
+        return met.select(F.col("_row").alias("a"), F.col("one._row").alias("b")).distinct()
 
     def roots(self, marked: DataFrame) -> DataFrame:
         """node and root of every row of marked (_row, fp) that has a near copy."""
-        # Rows against the first of their fingerprint, and that against the centres of its buckets.
         classes = written(marked.groupBy("fp").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n")), "fingerprint-classes")
         search = PigeonholeSearch(classes, self.radius, self.parts)
         stars, crowd = search.stars()
         crowd = written(crowd.unionByName(classes.where(F.col("n") >= CROWD).select("fp")).distinct(), "crowd")
+        # A fingerprint with many rows near it, though near no centre, is one of a crowd; any other makes DENSE pairs at most.
+        near = written(search.links(search.points.join(crowd, "fp", "left_anti")).select("a", "b"), "near-lone")
+        around = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(classes.select(F.col("fp").alias("b"), "n"), "b")
+        around = around.join(crowd.withColumnRenamed("fp", "a"), "a", "left_anti")
+        dense = around.groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("rows")).where(F.col("rows") > DENSE).select("fp")
+        crowd = written(crowd.unionByName(dense), "whole-crowd")
+        # Rows against the first of their fingerprint, and that against the centres of its buckets.
         stars = stars.join(classes.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(classes.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
         same = marked.join(classes.where("n > 1"), "fp").where("_row != first").select(F.col("first").alias("a"), F.col("_row").alias("b"))
         first_links = written(self.links(written(stars.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(same), "star-pairs")), "star-links")
-        parts = components(first_links).withColumnRenamed("node", "_row")
-        placed = written(marked.join(parts, "_row", "left").select("_row", "fp", F.coalesce("root", "_row").alias("of")), "placed")
+        # Those of crowds in no large component yet against some of each large one in their buckets.
+        members = written(self._placed(marked.join(crowd, "fp", "left_semi"), first_links), "crowd-places")
+        first_links = written(first_links.unionByName(self.links(written(self.joining_pairs(search, members), "joining-pairs"))), "first-links")
+        placed = written(self._placed(marked, first_links), "placed")
         # What lies within the radius and isn't linked yet: pairs with a fingerprint outside of crowds, and rows of those that have some.
-        lone = search.points.join(crowd, "fp", "left_anti")
-        near = search.links(lone).select("a", "b")
+        inside = [crowd.select(F.col("fp").alias(side), F.lit(True).alias(f"in_{side}")) for side in ("a", "b")]
+        near = near.join(inside[0], "a", "left").join(inside[1], "b", "left").where("in_a is null or in_b is null").select("a", "b")
         alone = classes.where("n > 1").join(crowd, "fp", "left_anti").select(F.col("fp").alias("a"), F.col("fp").alias("b"))
         one, two = (placed.select(F.col("fp").alias(side), F.col("_row").alias(row), F.col("of").alias(f"{row}_of")) for side, row in (("a", "x"), ("b", "y")))
         pairs = near.unionByName(alone).join(one, "a").join(two, "b").where("x_of != y_of").select("x", "y")

@@ -87,6 +87,31 @@ def test_all_pairs_within_the_radius_are_linked_and_no_others(spark, monkeypatch
     assert {i: got.get(i, i) for i in want} == want
 
 
+def test_a_crowd_makes_no_pairs_of_what_its_copies_keep(spark, monkeypatch):
+    """Copies of one text, half of them similar and half with so many edits that none is: few pairs are left to verify, and all links are found."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    texts = []
+    for g in range(400):
+        own = list(words)
+        for at in rng.sample(range(3, 147), 1 if g % 2 else 5):
+            own[at] = f"x{g // 5}-{at}"
+        texts.append(" ".join(own))
+    fps = [word_fingerprint(t) for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= simhash.NEAR_RADIUS]
+    want = groups_of([(i, j) for i, j in near if jaccard(texts[i], texts[j]) >= 0.8], range(len(texts)))
+    apart = sum(want[i] != want[j] for i, j in near)
+    assert apart > 20 * len(texts) and 100 < len(set(want.values())) < 300
+    verified, links = [], simhash.SimilarRows.links
+    monkeypatch.setattr(simhash.SimilarRows, "links", lambda self, pairs: verified.append(pairs) or links(self, pairs))
+    rows = spark.createDataFrame(list(enumerate(texts)), "_row bigint, _text string")
+    marked = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "_row bigint, fp bigint")
+    got = {r.node: r.root for r in simhash.SimilarRows(rows).roots(marked).collect()}
+    assert {i: got.get(i, i) for i in want} == want
+    made = [pairs.count() for pairs in verified]
+    assert sum(made) < 40 * len(texts) and made[-1] < 4 * len(texts)
+
+
 def test_near_copies_of_the_given_documents_are_caught(spark):
     """Recall at sf0.1: pairs of the given documents with a similarity of 0.8 or more, among all that share a rare shingle."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
